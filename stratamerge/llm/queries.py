@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, packing, secrets, tokens
+from . import langid, mixing, neardup, packing, secrets, tokens, toxicity
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,6 +24,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": lambda s, d: packing.op2_packing(documents(s, d)),
         "op3_mixing": lambda s, d: mixing.op3_mixing(documents(s, d)),
         "op5_secrets": lambda s, d: secrets.op5_secrets(documents(s, d)),
+        "op7_toxicity": lambda s, d: toxicity.op7_toxicity(documents(s, d), s.read.parquet(f"{d}/labels.parquet")),
+        "op8_jaccard_join": lambda s, d: neardup.op8_jaccard_join(documents(s, d)),
         "op10_token_counts": lambda s, d: tokens.op10_token_counts(documents(s, d), tokenizer_path()),
     }
 
