@@ -26,6 +26,8 @@ from .common import put_columns, with_fields, written
 #: Fixed value: the pre-token pattern of the vocabulary's own library.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+ODD_BLANK = regex.compile(r" [\s--\x20]", regex.V1).search
+
 
 def splitter(path: str):
     """A function text -> pre-tokens; strings of added tokens inside texts stay whole, as the library's default has it."""
@@ -46,16 +48,53 @@ def splitter(path: str):
     return split
 
 
+class Chunked:
+    """Distinct chunks of a text with their counts, and each chunk's pre-tokens.
+
+    A blank before a character that isn't white space always begins a pre-token, so the
+    chunks between such blanks are split one by one, each distinct one once while it is
+    remembered. A text with other blanks or with an added token is one chunk.
+    """
+
+    def __init__(self, path: str, make, most: int = 200_000):
+        self.split = splitter(path)
+        self.odd = ("\0", " \n", " \t", " \r", " \v", " \f", *(t["content"] for t in json.load(open(path)).get("added_tokens", [])))
+        self.make, self.most, self.known = make, most, {}
+
+    def chunks(self, text: str) -> dict[str, int]:
+        parts = text.split(" ")
+        if "" in parts or any(t in text for t in self.odd) or not text.isascii() and ODD_BLANK(text):
+            return {"\0" + text: 1}
+        first = parts.pop(0)
+        out = Counter(parts)
+        out["\0" + first] = 1  # without the blank that the others begin with
+        return out
+
+    def of(self, chunk: str):
+        """make(pre-tokens of the chunk)"""
+        if (x := self.known.get(chunk)) is None:
+            x = self.make(self.split(chunk[1:] if chunk[0] == "\0" else " " + chunk))
+            if len(chunk) < 64:
+                if len(self.known) >= self.most:
+                    self.known.clear()
+                self.known[chunk] = x
+        return x
+
+
 def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_tokens", head: int = 1 << 16) -> DataFrame:
     """docs without the text, with column `out` (long): the number of tokens of each whole text, none added.
 
     path: a byte-level BPE vocabulary of the tokenizers library, there on every machine.
     """
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = splitter(path), Counter()
+        chunked, seen = Chunked(path, tuple), Counter()
         for batch in batches:
+            chunks: Counter = Counter()
             for t in batch.column(0).to_pylist():
-                seen.update(split(t))
+                chunks.update(chunked.chunks(t))
+            for chunk, n in chunks.items():
+                for w in chunked.of(chunk):
+                    seen[w] += n
             if len(seen) > 400_000:
                 yield table(seen)
                 seen = Counter()
@@ -79,7 +118,15 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
     texts = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
     vocabulary = texts.mapInArrow(frequencies, "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
     vocabulary = written(vocabulary.mapInArrow(encode, "pretoken string, n long, pieces int"), "pretokens")
-    top = vocabulary.orderBy(F.desc("n"), "pretoken").limit(head).select("pretoken", "pieces").collect()  # head rows at most
+    # the frequency from which at most `head` pre-tokens are left, to an eighth of an octave
+    octave = F.floor(F.log2("n") * 8)
+    least, left = 1 << 30, head
+    for r in sorted(vocabulary.groupBy(octave.alias("octave")).count().collect(), reverse=True):
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r["octave"]
+    top = vocabulary.where(octave >= least).select("pretoken", "pieces").collect()  # head rows at most
     known = docs.sparkSession.sparkContext.broadcast(dict(top))
 
     rows = docs.drop(out).withColumn("_row", F.monotonically_increasing_id())
@@ -87,19 +134,24 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
     schema = with_fields(T.StructType([f for f in rows.schema.fields if f.name != text]), *new)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, pieces = splitter(path), known.value
+        pieces = known.value
+
+        def priced(words: list[str]) -> tuple[int, list[str]]:
+            return sum(pieces.get(w, 0) for w in words), [w for w in words if w not in pieces]
+
+        chunked = Chunked(path, priced)
         for batch in batches:
             total, rest = [], []
             at = batch.schema.get_field_index(text)
             for t in batch.column(at).to_pylist():
-                n, other = 0, []
-                for w, k in Counter(split(t or "")).items():
-                    if (p := pieces.get(w)) is None:
-                        other.append((w, k))
-                    else:
-                        n += p * k
+                n, other = 0, {}
+                for chunk, k in chunked.chunks(t or "").items():
+                    price, unknown = chunked.of(chunk)
+                    n += price * k
+                    for w in unknown:
+                        other[w] = other.get(w, 0) + k
                 total.append(n)
-                rest.append(other)
+                rest.append(list(other.items()))
             kept = batch.select([n for i, n in enumerate(batch.schema.names) if i != at])
             yield put_columns(kept, {"_head": pa.array(total, pa.int64()), "_rest": pa.array(rest, pa.map_(pa.string(), pa.int64()))})
 
