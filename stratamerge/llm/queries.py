@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, langid, mixing, neardup, packing, secrets, tokens, toxicity
+from . import fingerprints, langid, mixing, neardup, packing, repeats, secrets, tokens, toxicity
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_fingerprints": lambda s, d: fingerprints.op6_fingerprints(documents(s, d)),
         "op7_toxicity": lambda s, d: toxicity.op7_toxicity(documents(s, d), s.read.parquet(f"{d}/labels.parquet")),
         "op8_jaccard_join": lambda s, d: neardup.op8_jaccard_join(documents(s, d)),
+        "op9_repeats": lambda s, d: repeats.op9_repeats(documents(s, d)),
         "op10_token_counts": lambda s, d: tokens.op10_token_counts(documents(s, d), tokenizer_path()),
     }
 
