@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, langid, mixing, neardup, packing, repeats, secrets, tokens, toxicity
+from . import fingerprints, langid, mixing, neardup, packing, repeats, search, secrets, tokens, toxicity
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language": lambda s, d: langid.op1_language(documents(s, d)),
         "op2_packing": lambda s, d: packing.op2_packing(documents(s, d)),
         "op3_mixing": lambda s, d: mixing.op3_mixing(documents(s, d)),
+        "op4_search": lambda s, d: search.op4_search(documents(s, d)),
         "op5_secrets": lambda s, d: secrets.op5_secrets(documents(s, d)),
         "op6_fingerprints": lambda s, d: fingerprints.op6_fingerprints(documents(s, d)),
         "op7_toxicity": lambda s, d: toxicity.op7_toxicity(documents(s, d), s.read.parquet(f"{d}/labels.parquet")),
@@ -33,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.OP3_SQL}
+    return {"op3_mixing": mixing.OP3_SQL, "op4_search": search.OP4_SQL}
