@@ -170,8 +170,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 15) -> LabelM
 
 
 def linear(x: np.ndarray, target: np.ndarray, rounds: int = 400, rate: float = 0.05, shrink: float = 5e-5) -> np.ndarray:
-    """Weights (the last is the bias) of a logistic regression on soft labels, by Adam."""
-    x = np.column_stack([x, np.ones(len(x), np.float32)]).astype(np.float32)
+    """Weights (the last is that of a column of ones) of a logistic regression on soft labels, by Adam."""
     w, m, v = (np.zeros(x.shape[1], np.float32) for _ in range(3))
     mean = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
     w[-1] = np.log(mean / (1 - mean))
@@ -190,7 +189,7 @@ class Model:
     weights: np.ndarray  # of terms, patterns, bias
 
 
-def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", most: int = 5000, lexicon: int = 2048, voters: int = 12, seed: int = 5) -> Model:
+def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", most: int = 5000, lexicon: int = 1024, voters: int = 12, seed: int = 5) -> Model:
     """Label model and classifier from train's texts and the labels of their ids.
 
     most: about so many rows of each label, and so many without one, are used.
@@ -246,16 +245,17 @@ def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc
 
     rows = sorted(sample.mapInArrow(find, "gold int, hits binary, patterns binary").collect(), key=lambda r: (r["gold"], bytes(r["hits"]), bytes(r["patterns"])))
     gold = np.array([r["gold"] for r in rows])
-    found = np.zeros((len(rows), len(words)), np.float32)
+    looks = np.array([np.frombuffer(r["patterns"], bool) for r in rows]).astype(int)
+    found = np.ones((len(rows), len(words) + PATTERNS + 1), np.float32)  # terms, patterns, and the bias
+    found[:, : len(words)], found[:, len(words) : -1] = 0, looks
     for i, r in enumerate(rows):
         found[i, np.frombuffer(r["hits"], np.int16)] = 1
-    looks = np.array([np.frombuffer(r["patterns"], bool) for r in rows]).astype(int)
     # toxic terms are dealt out over the lexicon voters by strength, clean terms form one voter
     toxic = np.argsort(-strength)[: int((strength > 0).sum())]
     lexica = [toxic[k::voters] for k in range(voters)]
     votes = np.column_stack([*[(found[:, x].sum(axis=1) > 0).astype(int) for x in lexica], looks])
     model = label_model(votes, gold)
-    weights = linear(np.column_stack([found, looks]), model.posterior(votes, gold))
+    weights = linear(found, model.posterior(votes, gold))
     return Model(words, weights)
 
 
