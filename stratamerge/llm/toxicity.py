@@ -169,7 +169,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 15) -> LabelM
     return model
 
 
-def linear(x: np.ndarray, target: np.ndarray, rounds: int = 400, rate: float = 0.05, shrink: float = 5e-5) -> np.ndarray:
+def linear(x: np.ndarray, target: np.ndarray, rounds: int = 400, rate: float = 0.05, shrink: float = 2e-4) -> np.ndarray:
     """Weights (the last is that of a column of ones) of a logistic regression on soft labels, by Adam."""
     w, m, v = (np.zeros(x.shape[1], np.float32) for _ in range(3))
     mean = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
