@@ -156,16 +156,20 @@ def dependency_tree(info: np.ndarray, least: float = 0.002) -> list[int]:
 
 
 def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 15) -> LabelModel:
-    """EM: independent voters first, then with the correlations found."""
-    rate = (gold == 1).sum() / max((gold >= 0).sum(), 1)
-    q = np.where(gold < 0, rate, np.where(gold == 1, GOLD, 1 - GOLD))
-    parent = [-1] * votes.shape[1]
+    """EM, with voters linked by the correlations among human-labelled rows first, then among all."""
+    known = gold >= 0
+    rate = (gold == 1).sum() / max(known.sum(), 1)
+    q = np.where(known, np.where(gold == 1, GOLD, 1 - GOLD), rate)
+    some = known if known.any() else np.ones(len(gold), bool)
+    parent = dependency_tree(correlations(votes[some], q[some]), 0.01)
+    model = maximise(votes[some], q[some], parent)
     for step in range(2):
         for _ in range(rounds):
-            model = maximise(votes, q, parent)
             q = model.posterior(votes, gold)
+            model = maximise(votes, q, parent)
         if not step:
             parent = dependency_tree(correlations(votes, q))
+            model = maximise(votes, q, parent)
     return model
 
 
