@@ -47,14 +47,15 @@ def spatial_left_join(points: DataFrame, areas: DataFrame, x: str = "x", y: str
     boxed = boxed.withColumn("_level", F.coalesce(*fits, F.lit(levels - 1))).withColumn("_size", F.lit(size) * F.pow(F.lit(4.0), F.col("_level")))
     span = lambda a: F.sequence(F.floor(F.col(f"_box.{a}min") / F.col("_size")), F.floor(F.col(f"_box.{a}max") / F.col("_size")))
     cells = boxed.withColumn("_cx", F.explode(span("x"))).withColumn("_cy", F.explode(span("y")))
-    numbered = points.withColumn("_row", F.monotonically_increasing_id())
-    probes = numbered.select("_row", F.col(x).alias("_x"), F.col(y).alias("_y"), F.explode(F.array(*[F.lit(k) for k in range(levels)])).alias("_level")).where("_x IS NOT NULL AND _y IS NOT NULL")
+    # places stand for the points, so no row numbers that a recomputation could change
+    places = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).where("_x IS NOT NULL AND _y IS NOT NULL").distinct()
+    probes = places.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in range(levels)])))
     at = F.lit(size) * F.pow(F.lit(4.0), F.col("_level"))
     probes = probes.withColumn("_cx", F.floor(F.col("_x") / at)).withColumn("_cy", F.floor(F.col("_y") / at))
     near = probes.join(small(cells), ["_level", "_cx", "_cy"])
     near = near.where(F.col("_x").between(F.col("_box.xmin"), F.col("_box.xmax")) & F.col("_y").between(F.col("_box.ymin"), F.col("_box.ymax")))
-    found = near.where(st_within(F.col("_x"), F.col("_y"), F.col("_edges"))).select("_row", *attributes)
-    return numbered.join(found, "_row", "left").drop("_row")
+    found = near.where(st_within(F.col("_x"), F.col("_y"), F.col("_edges"))).select("_x", "_y", *attributes)
+    return points.join(found, (points[x] == found["_x"]) & (points[y] == found["_y"]), "left").drop("_x", "_y")
 
 
 def admin_lookup(rows: DataFrame, areas: DataFrame) -> DataFrame:
