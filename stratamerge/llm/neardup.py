@@ -3,16 +3,17 @@
 A document's set holds its distinct word shingles as 64-bit hashes. Equal sets become
 one node, named by a 64-bit hash of the set; links are sought between different sets.
 
-1. A fixed-size table counts shingles by hash bucket over the whole corpus. It orders
-   shingles from rare to frequent (any common order is right; a good one is fast).
-2. Of two sets that link, the first |x| - ceil(t |x|) + 1 shingles in that order share
-   one. Sets that share such a key with another set are candidates.
-3. Candidates form leaves: sets with the same least shared key, at most a fixed number of
-   shingles a leaf. A leaf node holds the OR of its sets' token bitmaps and their size
-   range, and finds its own links.
+1. Sets keep a prefix of their shingles in the order of their hashes. Two sets that link
+   share a key in prefixes of |x| - ceil(t |x|) + 1 shingles, and l keys in prefixes that
+   are l - 1 longer.
+2. So a set without enough keys that other sets have too has no links. Shared passages
+   alone don't make a set a candidate.
+3. Candidates form leaves: sets with the same least shared key, at most a fixed number a
+   leaf. A leaf node holds the OR of its sets' token bitmaps and their size range, and
+   finds its own links.
 4. Where a key occurs in several leaves, a tree over their nodes is traversed against
    itself; node pairs go when their maximum possible overlap is below what any pair of
-   their sizes needs. What remains is verified set by set, with the same bound on pairs
+   their sizes needs. Pairs left in enough blocks are verified set by set, with the same bound on pairs
    of sets first. Pairs that are connected already need no check.
 5. Components of the links are found by large and small stars.
 
@@ -27,18 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, pieces, runs, shingles, utf8, written
+from .common import mix, pieces, shingles, utf8, written
 from .components import components
 
-BITS = 21  # of the frequency table's buckets
-SEGMENTS = 32
 WIDTH = 512  # bits of a signature
 FILTER = 1 << 26  # bits of the filter for candidates
-LEAF = 1 << 17  # shingles of a leaf, about
+LEAF = 128  # sets of a leaf at most
 
 
 def need(n, m, percent: int):
@@ -46,35 +44,14 @@ def need(n, m, percent: int):
     return -(-(percent * (n + m)) // (100 + percent))
 
 
-def frequency_classes(docs: DataFrame, text: str, k: int) -> np.ndarray:
-    """log2 of (documents with a shingle of the bucket), per bucket; 2**BITS bytes whatever the corpus."""
+def short_prefix(n, percent: int):
+    """Two sets that link share one of the first so many shingles of each, in any common order."""
+    return n - -(-(percent * n) // 100) + 1
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << BITS, np.uint32)
-        for batch in batches:
-            data, offsets = utf8(batch.column(0))
-            for i, j in pieces(offsets, 1_000_000):
-                h, _ = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
-                np.add.at(table, (h >> np.uint64(64 - BITS)).astype(np.int64), 1)
-        if table.any():
-            parts = np.minimum(table, 255).astype(np.uint8).reshape(SEGMENTS, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(range(SEGMENTS), pa.int32()), pa.array([TaskContext.get().partitionId()] * SEGMENTS, pa.int64()), pa.array([p.astype(np.uint32).tobytes() for p in parts], pa.binary())], names=["segment", "part", "counts"])
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, ["segment", "part"]):
-            s = np.sum([np.frombuffer(c.as_py(), np.uint32) for c in run.column(2)], axis=0, dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array([run.column(0)[0].as_py()], pa.int32()), pa.array([run.column(1)[0].as_py()], pa.int64()), pa.array([np.minimum(s, (1 << 32) - 1).astype(np.uint32).tobytes()], pa.binary())], names=["segment", "part", "counts"])
-
-    schema = "segment int, part long, counts binary"
-    source = docs.select(text)
-    table, parts = source.mapInArrow(count, schema), source.rdd.getNumPartitions()
-    while parts > 1:  # sums of 32 parts at a time, so no task sees many
-        parts = -(-parts // 32)
-        table = table.withColumn("part", F.floor(F.col("part") / 32)).repartition("segment", "part").sortWithinPartitions("segment", "part").mapInArrow(total, schema)
-    out = np.zeros((SEGMENTS, (1 << BITS) // SEGMENTS), np.uint32)
-    for r in table.collect():
-        out[r["segment"]] += np.frombuffer(r["counts"], np.uint32)
-    return np.ceil(np.log2(1.0 + out.ravel())).astype(np.uint8)
+
+def extra(n):
+    """So many more shingles of each must be shared if the prefixes are so much longer."""
+    return n // 10
 
 
 def set_ids(h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -85,28 +62,19 @@ def set_ids(h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.where(n > 0, mix(sums[cuts[1:]] - sums[cuts[:-1]] + n), 0).astype(np.uint64).view(np.int64)
 
 
-def described(docs: DataFrame, key: str, text: str, k: int, percent: int, classes) -> DataFrame:
-    """key, n_shingles, sid of every row, and the set's keys where the task meets it first."""
+def described(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """key, n_shingles, sid of every row; keys (the prefix, by hash) where the task meets the set first."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, met = classes.value, set()
+        met: set[int] = set()
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for i, j in pieces(offsets, 1_000_000):
                 h, cuts = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
-                n = np.diff(cuts)
-                sid = set_ids(h, cuts)
-                row = np.repeat(np.arange(j - i), n)
-                order = np.lexsort((h, table[(h >> np.uint64(64 - BITS)).astype(np.int64)], row))
-                first = n - -(-(percent * n) // 100) + 1
-                keys = []
-                ordered = h[order].view(np.int64)
-                for r, s in enumerate(sid.tolist()):
-                    if n[r] and s not in met:
-                        met.add(s)
-                        keys.append(ordered[cuts[r] : cuts[r] + first[r]])
-                    else:
-                        keys.append(None)
+                n, sid, signed = np.diff(cuts), set_ids(h, cuts), h.view(np.int64)
+                until = cuts[:-1] + np.minimum(short_prefix(n, percent) + extra(n), n)
+                new = [bool(n[r]) and s not in met and not met.add(s) for r, s in enumerate(sid.tolist())]
+                keys = [signed[cuts[r] : until[r]] if x else None for r, x in enumerate(new)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(sid), pa.array(keys, pa.list_(pa.int64()))], names=[key, "n_shingles", "sid", "keys"])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -114,14 +82,14 @@ def described(docs: DataFrame, key: str, text: str, k: int, percent: int, classe
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """Rows (key, sid, n) of the keys that occur in two sets or more."""
+    """Rows (key, sid) of the keys that occur in two sets or more."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3  # rows of the last key so far
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # rows of the last key so far
         hot = None  # a key known to be shared, whose rows go out at once
 
         def out(columns):
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "sid", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "sid"])
 
         def shared(columns):
             key, sid = columns[0], columns[1]
@@ -142,7 +110,13 @@ def shared_keys(rows: DataFrame) -> DataFrame:
             yield out([c[:end][use[:end]] for c in columns])
             held = [c[end:] for c in columns]
 
-    return rows.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(keep, "key long, sid long, n long")
+    return rows.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(keep, "key long, sid long")
+
+
+def candidates(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """sids of sets with as many shared keys as any link needs: those of its smallest possible partner."""
+    least = F.ceil(F.col("n") * percent / 100)
+    return shared.groupBy("sid").agg(F.countDistinct("key").alias("met")).join(sizes, "sid").where(F.col("met") > F.floor(least / 10)).select("sid")
 
 
 def candidate_filter(sids: DataFrame) -> np.ndarray:
@@ -157,7 +131,7 @@ def candidate_filter(sids: DataFrame) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, text: str, k: int, wanted) -> DataFrame:
-    """(sid, n, members) of the sets that the filter lets pass, once a task."""
+    """(sid, members) of the sets that the filter lets pass, once a task."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, met = wanted.value, set()
@@ -169,9 +143,9 @@ def sets_of(docs: DataFrame, text: str, k: int, wanted) -> DataFrame:
                 at = np.mod(sid, FILTER)
                 ok = (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1
                 rows = [r for r in np.flatnonzero(ok & (n > 0)).tolist() if not (sid[r] in met or met.add(sid[r]))]
-                yield pa.RecordBatch.from_arrays([pa.array(sid[rows]), pa.array(n[rows], pa.int64()), pa.array([h[cuts[r] : cuts[r + 1]].tobytes() for r in rows], pa.binary())], names=["sid", "n", "members"])
+                yield pa.RecordBatch.from_arrays([pa.array(sid[rows]), pa.array([h[cuts[r] : cuts[r + 1]].tobytes() for r in rows], pa.binary())], names=["sid", "members"])
 
-    return docs.select(text).mapInArrow(make, "sid long, n long, members binary")
+    return docs.select(text).mapInArrow(make, "sid long, members binary")
 
 
 # --- nodes and their traversal ----------------------------------------------------------
@@ -248,28 +222,39 @@ def nodes_of(sets: list[np.ndarray]) -> Nodes:
     return Nodes(bits, n, n, n - ones(bits))
 
 
-def links(left: list[np.ndarray], right: list[np.ndarray], percent: int, joined: Union, shift: int) -> list[tuple[int, int]]:
+class Leaf:
+    """Sets of a leaf with their nodes."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.nodes = sets, nodes_of(sets)
+        self.all = np.concatenate(sets)
+        self.begin = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
+
+
+def links(left: Leaf, right: Leaf, percent: int, joined: Union, shift: int) -> list[tuple[int, int]]:
     """Links of left sets (numbers 0..) with right ones (numbers shift..) that connect what isn't connected."""
-    a, b = nodes_of(left), nodes_of(right)
-    ends = np.cumsum([len(s) for s in right])
-    all_right = np.concatenate(right)
     out = []
-    every = np.arange(len(right))
-    for i, s in enumerate(left):
-        ok = a.possible(np.full(len(right), i), b, every, percent)
+    every = np.arange(len(right.sets))
+    roots = {joined.find(i) for i in range(len(left.sets))} | {joined.find(shift + j) for j in every.tolist()}
+    for i, s in enumerate(left.sets):
+        if len(roots) == 1:
+            break
+        ok = left.nodes.possible(np.full(len(every), i), right.nodes, every, percent)
         if shift == 0:
             ok &= every > i
         rest = [j for j in np.flatnonzero(ok).tolist() if joined.find(i) != joined.find(shift + j)]
         if not rest:
             continue
-        if len(rest) * 2 > len(right):
-            at = np.minimum(np.searchsorted(s, all_right), len(s) - 1)
-            overlap = np.add.reduceat((s[at] == all_right).astype(np.int64), np.concatenate([[0], ends[:-1]]))
+        if len(rest) * 2 > len(every):
+            at = np.minimum(np.searchsorted(s, right.all), len(s) - 1)
+            overlap = np.add.reduceat((s[at] == right.all).astype(np.int64), right.begin)
         else:
-            overlap = {j: len(np.intersect1d(s, right[j], assume_unique=True)) for j in rest}
+            overlap = {j: len(np.intersect1d(s, right.sets[j], assume_unique=True)) for j in rest}
         for j in rest:
-            if 100 * int(overlap[j]) >= percent * (len(s) + len(right[j]) - int(overlap[j])) and joined.find(i) != joined.find(shift + j):
-                joined.join(i, shift + j)
+            x, y = joined.find(i), joined.find(shift + j)
+            if x != y and 100 * int(overlap[j]) >= percent * (len(s) + len(right.sets[j]) - int(overlap[j])):
+                roots.discard(x)
+                joined.join(x, y)
                 out.append((i, shift + j))
     return out
 
@@ -278,54 +263,96 @@ LEAVES = "leaf long, least long, most long, slack long, bits binary, sids array<
 EDGE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
-def build_leaves(members: DataFrame, percent: int) -> DataFrame:
-    """One row per leaf from (leaf, sid, n, members): its node, its sets and the links among them."""
+def build_leaves(sets: DataFrame, percent: int) -> DataFrame:
+    """One row per leaf from (first, part, sid, members): its node, its sets and the links among them.
+
+    Sets with the same first and part are neighbours; every LEAF of them are a leaf.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, ["leaf"]):
-            sets = [np.frombuffer(x.as_py(), np.uint64) for x in run.column("members")]
-            inside = links(sets, sets, percent, Union(len(sets)), 0)
-            nodes = nodes_of(sets)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([run.column("leaf")[0].as_py()]), pa.array([int(nodes.least.min())]), pa.array([int(nodes.most.max())]), pa.array([int(nodes.slack.max())]),
-                pa.array([np.bitwise_or.reduce(nodes.bits).tobytes()], pa.binary()), pa.array([run.column("sid").to_pylist()], pa.list_(pa.int64())),
+        key, sids, sets = None, [], []
+
+        def leaf() -> pa.RecordBatch:
+            own = Leaf(sets)
+            inside, nodes = links(own, own, percent, Union(len(sets)), 0), own.nodes
+            return pa.RecordBatch.from_arrays([
+                pa.array([sids[0]]), pa.array([int(nodes.least.min())]), pa.array([int(nodes.most.max())]), pa.array([int(nodes.slack.max())]),
+                pa.array([np.bitwise_or.reduce(nodes.bits).tobytes()], pa.binary()), pa.array([sids], pa.list_(pa.int64())),
                 pa.array([[s.tobytes() for s in sets]], pa.list_(pa.binary())), pa.array([[{"a": x, "b": y} for x, y in inside]], EDGE),
             ], names=["leaf", "least", "most", "slack", "bits", "sids", "sets", "edges"])
 
-    return members.select("leaf", "sid", "members").repartition("leaf").sortWithinPartitions("leaf", "sid").mapInArrow(build, LEAVES)
+        for batch in batches:
+            for first, part, sid, members in zip(*[batch.column(c).to_pylist() for c in ("first", "part", "sid", "members")], strict=True):
+                if sids and (key != (first, part) or len(sids) == LEAF):
+                    yield leaf()
+                    sids, sets = [], []
+                key = (first, part)
+                if not sids or sid != sids[-1]:
+                    sids.append(sid)
+                    sets.append(np.frombuffer(members, np.uint64))
+        if sids:
+            yield leaf()
+
+    return sets.select("first", "part", "sid", "members").repartition("first", "part").sortWithinPartitions("first", "part", "sid").mapInArrow(build, LEAVES)
+
+
+SMALL = 8  # blocks of so many leaves are compared without a tree
+
+
+def block_pairs(key: np.ndarray, nodes: Nodes, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs i < j of rows of the same key that may hold a link; rows come sorted by key."""
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(begin, len(key)))
+    small = np.repeat(size <= SMALL, size)
+    left, right = [], []
+    for d in range(1, min(SMALL, len(key))):
+        i = np.flatnonzero((key[:-d] == key[d:]) & small[:-d])
+        i = i[nodes.possible(i, nodes, i + d, percent)]
+        left.append(i)
+        right.append(i + d)
+    for at, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+        own = np.arange(at, at + n)[np.argsort(nodes.least[at : at + n], kind="stable")]
+        i, j = traverse(Nodes(nodes.bits[own], nodes.least[own], nodes.most[own], nodes.slack[own]), percent)
+        left.append(own[i])
+        right.append(own[j])
+    return np.concatenate([np.zeros(0, np.int64), *left]), np.concatenate([np.zeros(0, np.int64), *right])
 
 
 def leaf_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of leaves that meet in a block (key, leaf, node columns) and may hold a link."""
+    """Pairs of leaves that meet in as many blocks (key, leaf, node columns) as a link between them needs."""
+    names = ["one", "two", "met", "need"]
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[tuple[int, int]] = set()
-        new: list[tuple[int, int]] = []
+        held: pa.Table | None = None
+
+        def of(rows: pa.Table) -> pa.RecordBatch:
+            get = lambda c: rows.column(c).to_numpy()
+            bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(rows.num_rows, -1)
+            least, leaf = get("least"), get("leaf")
+            i, j = block_pairs(get("key"), Nodes(bits, least, get("most"), get("slack")), percent)
+            one, two, enough = np.minimum(leaf[i], leaf[j]), np.maximum(leaf[i], leaf[j]), 1 + extra(np.minimum(least[i], least[j]))
+            order = np.lexsort((two, one))
+            one, two, enough = one[order], two[order], enough[order]
+            at = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])) if len(one) else np.zeros(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(one[at]), pa.array(two[at]), pa.array(np.diff(np.append(at, len(one)))), pa.array(enough[at])], names=names)
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in new], pa.int64()), pa.array([p[1] for p in new], pa.int64())], names=["one", "two"])
-
-        for run in runs(batches, ["key"]):
-            if run.num_rows < 2:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            if rows.num_rows < 20_000:
+                held = rows
                 continue
-            run = run.combine_chunks().sort_by([("least", "ascending"), ("leaf", "ascending")])
-            get = lambda c: run.column(c).to_numpy()  # noqa: B023, E731
-            bits = np.frombuffer(b"".join(run.column("bits").to_pylist()), np.uint64).reshape(run.num_rows, -1)
-            i, j = traverse(Nodes(bits, get("least"), get("most"), get("slack")), percent)
-            leaf = get("leaf")
-            for p in zip(np.minimum(leaf[i], leaf[j]).tolist(), np.maximum(leaf[i], leaf[j]).tolist(), strict=True):
-                if p not in met:
-                    met.add(p)
-                    new.append(p)
-            if len(met) > 1_000_000:
-                met.clear()
-            if len(new) > 10_000:
-                yield out()
-                new.clear()
-        yield out()
-
-    sorted_blocks = blocks.repartition("key").sortWithinPartitions("key", "leaf")
-    return sorted_blocks.mapInArrow(pairs, "one long, two long").distinct()
+            key = rows.column("key").to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield of(rows.slice(0, cut))
+            held = rows.slice(cut)
+        if held is not None and held.num_rows:
+            yield of(held)
+
+    sorted_blocks = blocks.select("key", "leaf", "least", "most", "slack", "bits").repartition("key").sortWithinPartitions("key", "leaf")
+    met = sorted_blocks.mapInArrow(pairs, "one long, two long, met long, need long").groupBy("one", "two").agg(F.sum("met").alias("met"), F.max("need").alias("need"))
+    return met.where("met >= need").select("one", "two")
 
 
 def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
@@ -337,20 +364,20 @@ def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     hosts = leaves.join(sized.select(F.col("home").alias("leaf")).distinct(), "leaf", "left_semi").select(F.col("leaf").alias("home"), F.lit(None).cast("long").alias("guest"), "sids", "sets", "edges")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host = None
+        host = own = n = None
         for batch in batches:
             found = []
             for r in batch.to_pylist():
-                sets = [np.frombuffer(x, np.uint64) for x in r["sets"]]
+                leaf = Leaf([np.frombuffer(x, np.uint64) for x in r["sets"]])
                 if r["guest"] is None:
-                    host = r["sids"], sets, r["edges"]
+                    host, own, n = leaf, r, len(leaf.sets)
                     continue
-                joined = Union(len(host[1]) + len(sets))
-                for e in host[2]:
+                joined = Union(n + len(leaf.sets))
+                for e in own["edges"]:
                     joined.join(e["a"], e["b"])
                 for e in r["edges"]:
-                    joined.join(len(host[1]) + e["a"], len(host[1]) + e["b"])
-                found += [(host[0][i], r["sids"][j - len(host[1])]) for i, j in links(host[1], sets, percent, joined, len(host[1]))]
+                    joined.join(n + e["a"], n + e["b"])
+                found += [(own["sids"][i], r["sids"][j - n]) for i, j in links(host, leaf, percent, joined, n)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
 
     both = hosts.union(guests).repartition("home").sortWithinPartitions("home", F.col("guest").asc_nulls_first())
@@ -363,17 +390,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     Two rows link when 100 * intersection >= percent * union of their k-word shingles.
     """
     context = docs.sparkSession.sparkContext
-    classes = context.broadcast(frequency_classes(docs, text, k))
-    rows = written(described(docs, key, text, k, percent, classes), "sets")
-    shared = written(shared_keys(rows.where("keys IS NOT NULL").select(F.explode("keys").alias("key"), "sid", F.col("n_shingles").alias("n"))), "shared")
-    members = shared.groupBy("sid").agg(F.min("key").alias("least"), F.first("n").alias("n"))
-    groups = members.groupBy("least").agg(F.ceil(F.sum("n") / LEAF).alias("parts"))
-    members = members.join(groups, "least").select("sid", "n", F.xxhash64("least", F.pmod(F.xxhash64("sid"), "parts")).alias("leaf"))
-    members = written(members, "members")
-    wanted = context.broadcast(candidate_filter(members))
-    sets = sets_of(docs, text, k, wanted).groupBy("sid").agg(F.first("members").alias("members"))
-    leaves = written(build_leaves(sets.join(members, "sid"), percent), "leaves")
-    blocks = shared.join(members.select("sid", "leaf"), "sid").select("key", "leaf").distinct()
+    rows = written(described(docs, key, text, k, percent), "sets")
+    news = rows.where("keys IS NOT NULL")
+    sizes = news.select("sid", F.col("n_shingles").alias("n")).distinct()
+    shared = written(shared_keys(news.select(F.explode("keys").alias("key"), "sid")), "shared")
+    for _ in range(2):  # the second time by the keys that candidates share with candidates
+        shared = shared.join(candidates(shared, sizes, percent), "sid", "left_semi")
+        met = shared.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
+        shared = written(shared.join(met, "key", "left_semi").select("key", "sid"), "shared")
+    wanted = context.broadcast(candidate_filter(candidates(shared, sizes, percent)))
+    members = shared.groupBy("sid").agg(F.min("key").alias("first"))
+    groups = members.groupBy("first").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
+    members = members.join(groups, "first").select("sid", "first", F.pmod("sid", "parts").alias("part"))
+    leaves = written(build_leaves(sets_of(docs, text, k, wanted).join(members, "sid"), percent), "leaves")
+    blocks = shared.join(leaves.select("leaf", F.explode("sids").alias("sid")), "sid").select("key", "leaf").distinct()
     busy = blocks.groupBy("key").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi")).where("lo < hi").select("key")
     blocks = blocks.join(busy, "key", "left_semi").join(leaves.select("leaf", "least", "most", "slack", "bits"), "leaf")
     pairs = written(leaf_pairs(blocks, percent), "pairs")
