@@ -8,8 +8,8 @@ one node, named by a 64-bit hash of the set; links are sought between different
    are l - 1 longer.
 2. So a set without enough keys that other sets have too has no links. Shared passages
    alone don't make a set a candidate.
-3. Candidates form leaves: sets with the same least shared key, at most a fixed number a
-   leaf. A leaf node holds the OR of its sets' token bitmaps and their size range, and
+3. Candidates form leaves: sets with the same least shared key and of similar size, at
+   most a fixed number a leaf. A leaf node holds the OR of its sets' token bitmaps and their size range, and
    finds its own links.
 4. Where a key occurs in several leaves, a tree over their nodes is traversed against
    itself; node pairs go when their maximum possible overlap is below what any pair of
@@ -264,9 +264,9 @@ EDGE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
 def build_leaves(sets: DataFrame, percent: int) -> DataFrame:
-    """One row per leaf from (first, part, sid, members): its node, its sets and the links among them.
+    """One row per leaf from (first, size, part, sid, members): its node, its sets and the links among them.
 
-    Sets with the same first and part are neighbours; every LEAF of them are a leaf.
+    Sets with the same first, size and part are neighbours; every LEAF of them are a leaf.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,18 +282,18 @@ def build_leaves(sets: DataFrame, percent: int) -> DataFrame:
             ], names=["leaf", "least", "most", "slack", "bits", "sids", "sets", "edges"])
 
         for batch in batches:
-            for first, part, sid, members in zip(*[batch.column(c).to_pylist() for c in ("first", "part", "sid", "members")], strict=True):
-                if sids and (key != (first, part) or len(sids) == LEAF):
+            for first, size, part, sid, members in zip(*[batch.column(c).to_pylist() for c in ("first", "size", "part", "sid", "members")], strict=True):
+                if sids and (key != (first, size, part) or len(sids) == LEAF):
                     yield leaf()
                     sids, sets = [], []
-                key = (first, part)
+                key = (first, size, part)
                 if not sids or sid != sids[-1]:
                     sids.append(sid)
                     sets.append(np.frombuffer(members, np.uint64))
         if sids:
             yield leaf()
 
-    return sets.select("first", "part", "sid", "members").repartition("first", "part").sortWithinPartitions("first", "part", "sid").mapInArrow(build, LEAVES)
+    return sets.select("first", "size", "part", "sid", "members").repartition("first", "size", "part").sortWithinPartitions("first", "size", "part", "sid").mapInArrow(build, LEAVES)
 
 
 SMALL = 8  # blocks of so many leaves are compared without a tree
@@ -399,9 +399,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         met = shared.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
         shared = written(shared.join(met, "key", "left_semi").select("key", "sid"), "shared")
     wanted = context.broadcast(candidate_filter(candidates(shared, sizes, percent)))
-    members = shared.groupBy("sid").agg(F.min("key").alias("first"))
-    groups = members.groupBy("first").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
-    members = members.join(groups, "first").select("sid", "first", F.pmod("sid", "parts").alias("part"))
+    # sizes of linked sets differ by the threshold at most: they are in the same size class or the next
+    members = shared.groupBy("sid").agg(F.min("key").alias("first")).join(sizes, "sid").withColumn("size", F.floor(F.log("n") / F.log(F.lit(100 / percent))))
+    groups = members.groupBy("first", "size").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
+    members = members.join(groups, ["first", "size"]).select("sid", "first", "size", F.pmod("sid", "parts").alias("part"))
     leaves = written(build_leaves(sets_of(docs, text, k, wanted).join(members, "sid"), percent), "leaves")
     blocks = shared.join(leaves.select("leaf", F.explode("sids").alias("sid")), "sid").select("key", "leaf").distinct()
     busy = blocks.groupBy("key").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi")).where("lo < hi").select("key")
