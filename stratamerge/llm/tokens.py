@@ -12,6 +12,7 @@ named like the outputs are replaced, others are passed on.
 from __future__ import annotations
 
 import json
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,6 +27,7 @@ from .common import put_columns, with_fields, written
 #: Fixed value: the pre-token pattern of the vocabulary's own library.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+SLICE = 500  # texts that a task holds as objects at a time
 ODD_BLANK = regex.compile(r" [\s--\x20]", regex.V1).search
 
 
@@ -56,7 +58,7 @@ class Chunked:
     remembered. A text with other blanks or with an added token is one chunk.
     """
 
-    def __init__(self, path: str, make, most: int = 200_000):
+    def __init__(self, path: str, make, most: int = 40_000):
         self.split = splitter(path)
         self.odd = ("\0", " \n", " \t", " \r", " \v", " \f", *(t["content"] for t in json.load(open(path)).get("added_tokens", [])))
         self.make, self.most, self.known = make, most, {}
@@ -89,29 +91,31 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunked, seen = Chunked(path, tuple), Counter()
         for batch in batches:
-            chunks: Counter = Counter()
-            for t in batch.column(0).to_pylist():
-                chunks.update(chunked.chunks(t))
-            for chunk, n in chunks.items():
-                for w in chunked.of(chunk):
-                    seen[w] += n
-            if len(seen) > 400_000:
-                yield table(seen)
-                seen = Counter()
+            for at in range(0, batch.num_rows, SLICE):
+                chunks: Counter = Counter()
+                for t in batch.column(0).slice(at, SLICE).to_pylist():
+                    chunks.update(chunked.chunks(t))
+                for chunk, n in chunks.items():
+                    for w in chunked.of(chunk):
+                        seen[w] += n
+                if len(seen) > 200_000:
+                    yield table(seen)
+                    seen = Counter()
         yield table(seen)
 
     def table(seen: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pretoken", "n"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 n = [len(e) for e in t.encode_batch(part.column(0).to_pylist(), add_special_tokens=False)]
                 yield put_columns(part, {"pieces": pa.array(n, pa.int32())})
 
@@ -140,7 +144,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
             return sum(pieces.get(w, 0) for w in words), [w for w in words if w not in pieces]
 
         chunked = Chunked(path, priced)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             total, rest = [], []
             at = batch.schema.get_field_index(text)
             for t in batch.column(at).to_pylist():
