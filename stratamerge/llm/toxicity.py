@@ -173,18 +173,22 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 15) -> LabelM
     return model
 
 
-def linear(x: np.ndarray, target: np.ndarray, rounds: int = 400, rate: float = 0.05, shrink: float = 2e-4) -> np.ndarray:
-    """Weights (the last is that of a column of ones) of a logistic regression on soft labels, by Adam."""
-    w, m, v = (np.zeros(x.shape[1], np.float32) for _ in range(3))
+def linear(row: np.ndarray, column: np.ndarray, width: int, target: np.ndarray, rounds: int = 400, rate: float = 0.05, shrink: float = 2e-4) -> np.ndarray:
+    """Weights (the last is the bias) of a logistic regression on soft labels, by Adam.
+
+    The training matrix is given by the (row, column) of its ones.
+    """
+    w, m, v = (np.zeros(width + 1) for _ in range(3))
     mean = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
     w[-1] = np.log(mean / (1 - mean))
     for t in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - target).astype(np.float32) / len(x)
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[column], len(target)) + w[-1], -30, 30)))
+        off = (p - target) / len(target)
+        g = np.append(np.bincount(column, off[row], width), off.sum())
         g[:-1] += shrink * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w
+    return w.astype(np.float32)
 
 
 @dataclass
@@ -193,7 +197,7 @@ class Model:
     weights: np.ndarray  # of terms, patterns, bias
 
 
-def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", most: int = 5000, lexicon: int = 1024, voters: int = 12, seed: int = 5) -> Model:
+def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", most: int = 5000, voters: int = 12, seed: int = 5) -> Model:
     """Label model and classifier from train's texts and the labels of their ids.
 
     most: about so many rows of each label, and so many without one, are used.
@@ -227,7 +231,7 @@ def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc
     counts = sample.where("_label >= 0").mapInArrow(list_terms, "term long, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     odd = F.log((F.col("n1") + 0.5) / (n1 - F.col("n1") + 0.5)) - F.log((F.col("n0") + 0.5) / (n0 - F.col("n0") + 0.5))
     error = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
-    best = counts.where("n1 + n0 >= 3").select("term", odd.alias("odd"), (odd / error).alias("z")).where("abs(z) > 3 AND abs(odd) > 2").orderBy(F.desc(F.abs("z")), "term").limit(lexicon).collect()
+    best = counts.where("n1 + n0 >= 3").select("term", odd.alias("odd"), (odd / error).alias("z")).where("abs(z) > 3 AND abs(odd) > 2").select("term", "z").collect()
     z = {r["term"]: r["z"] for r in best}
     words = np.sort(np.array(list(z), np.int64).view(np.uint64)) if z else np.zeros(0, np.uint64)
     strength = np.array([z[t] for t in words.view(np.int64).tolist()])
@@ -243,23 +247,25 @@ def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc
                 cuts = np.searchsorted(row, np.arange(j - i + 1))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(1).slice(i, j - i),
-                    pa.array([t[a:b].astype(np.int16).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+                    pa.array([t[a:b].astype(np.int32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
                     pa.array([v.tobytes() for v in patterns(*part)], pa.binary()),
                 ], names=["gold", "hits", "patterns"])
 
     rows = sorted(sample.mapInArrow(find, "gold int, hits binary, patterns binary").collect(), key=lambda r: (r["gold"], bytes(r["hits"]), bytes(r["patterns"])))
     gold = np.array([r["gold"] for r in rows])
     looks = np.array([np.frombuffer(r["patterns"], bool) for r in rows]).astype(int)
-    found = np.ones((len(rows), len(words) + PATTERNS + 1), np.float32)  # terms, patterns, and the bias
-    found[:, : len(words)], found[:, len(words) : -1] = 0, looks
-    for i, r in enumerate(rows):
-        found[i, np.frombuffer(r["hits"], np.int16)] = 1
+    terms_of = [np.frombuffer(r["hits"], np.int32) for r in rows]
+    row, term = np.repeat(np.arange(len(rows)), [len(t) for t in terms_of]), np.concatenate(terms_of).astype(np.int64)
     # toxic terms are dealt out over the lexicon voters by strength, clean terms form one voter
     toxic = np.argsort(-strength)[: int((strength > 0).sum())]
-    lexica = [toxic[k::voters] for k in range(voters)]
-    votes = np.column_stack([*[(found[:, x].sum(axis=1) > 0).astype(int) for x in lexica], looks])
+    voter = np.full(len(words), -1)
+    voter[toxic] = np.arange(len(toxic)) % voters
+    lexica = np.zeros((len(rows), voters), int)
+    lexica[row[voter[term] >= 0], voter[term[voter[term] >= 0]]] = 1
+    votes = np.column_stack([lexica, looks])
     model = label_model(votes, gold)
-    weights = linear(found, model.posterior(votes, gold))
+    seen, look = np.nonzero(looks)
+    weights = linear(np.append(row, seen), np.append(term, len(words) + look), len(words) + PATTERNS, model.posterior(votes, gold))
     return Model(words, weights)
 
 

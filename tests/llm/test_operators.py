@@ -242,6 +242,20 @@ def test_toxicity_odd_rows(spark, odd, none):
     assert toxicity.op7_toxicity(none, labels).count() == 0
 
 
+def test_toxicity_lexicon_has_no_limit(spark):
+    random.seed(7)
+    strong, weak, plain = ([f"{c}{i:03x}" for i in range(n)] for c, n in (("s", 1100), ("w", 250), ("p", 100)))
+    rows = []
+    for i in range(800):
+        toxic = [w for p, words in ((0.5, strong), (0.2, weak)) for w in words if random.random() < p] if i % 2 else []
+        rows.append((i, " ".join(toxic + random.choices(plain, k=20)), i % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert len(model.lexicon) >= len(strong) + len(weak)
+    asked = spark.createDataFrame([(1, " ".join(weak)), (2, " ".join(plain))], "doc_id long, text string")
+    assert {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(asked, model).collect()} == {1: 1, 2: 0}
+
+
 def test_label_model_finds_the_good_voters():
     import numpy as np
 
