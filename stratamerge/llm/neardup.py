@@ -15,6 +15,9 @@ one node, named by a 64-bit hash of the set; links are sought between different
    itself; node pairs go when their maximum possible overlap is below what any pair of
    their sizes needs. Pairs left in enough blocks are verified set by set, with the same bound on pairs
    of sets first. Pairs that are connected already need no check.
+   Sets of hot keys are first linked to few representatives. A leaf holds sets of one of the
+   components that arise, or of none, and leaves of the same one are not compared. The other
+   leaves of a key with very many are dealt into small units, and pairs of units over the tasks.
 5. Components of the links are found by large and small stars.
 
 Nulls and texts without words have an empty set and are linked with nothing. Repeated
@@ -31,12 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, pieces, shingles, utf8, written
+from .common import mix, pieces, runs, shingles, utf8, written
 from .components import components
 
 WIDTH = 512  # bits of a signature
 FILTER = 1 << 26  # bits of the filter for candidates
 LEAF = 128  # sets of a leaf at most
+HOT = 128  # keys of more sets are linked to representatives first
+UNIT = 256  # about so many leaves of a key are compared in one step
+GUESTS = 4096  # about so many sets meet one copy of their representative
+VISITS = 64  # about so many leaves meet one copy of their host
 
 
 def need(n, m, percent: int):
@@ -148,6 +155,47 @@ def sets_of(docs: DataFrame, text: str, k: int, wanted) -> DataFrame:
     return docs.select(text).mapInArrow(make, "sid long, members binary")
 
 
+def size_class(n, percent: int):
+    """Sizes of linked sets differ by the threshold at most: they are in the same class or the next."""
+    return F.floor(F.log(n) / F.log(F.lit(100 / percent)))
+
+
+def hot_links(shared: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links (a, b) of sets of hot keys with representatives: the least set of the key, and those of its parts by two hashes; None without hot keys."""
+    counts = written(shared.groupBy("key").agg(F.count("sid").alias("c")).where(F.col("c") > HOT), "hot")
+    if counts.isEmpty():
+        return None
+    hot = shared.join(counts, "key")
+    # powers of two, so that keys of about the same sets have the same parts
+    parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("c") / HOT))).cast("long")
+    met = None
+    for turn in range(3):
+        dealt = hot.select("key", "sid", (F.pmod(F.xxhash64("sid", F.lit(turn)), parts) if turn else F.lit(0).cast("long")).alias("part"))
+        least = dealt.groupBy("key", "part").agg(F.min("sid").alias("to"))
+        one = dealt.join(least, ["key", "part"]).where("sid <> to").groupBy("sid", "to").agg(F.count("key").alias("met"))
+        met = one if met is None else met.union(one)
+    # a hint only: what is passed over here is still compared leaf by leaf
+    enough = F.col("met") > F.floor(F.ceil(F.col("n") * percent / 100) / 10)
+    pairs = written(met.join(sizes, "sid").where(enough).select("sid", "to").distinct(), "stars")
+    spread = pairs.groupBy("to").agg(F.ceil(F.count("sid") / GUESTS).alias("parts"))
+    once = written(sets.join(pairs.select("sid").union(pairs.select("to")).distinct(), "sid", "left_semi").dropDuplicates(["sid"]), "starred")
+    guests = pairs.join(spread, "to").select("to", F.pmod(F.xxhash64("sid"), "parts").alias("part"), "sid").join(once, "sid")
+    hosts = spread.join(once.select(F.col("sid").alias("to"), F.col("members").alias("other")), "to").select("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "other")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                found = []
+                for a, b, x, y in zip(*[c.to_pylist() for c in whole.slice(at, 256).columns], strict=True):
+                    n, m = len(x) // 8, len(y) // 8
+                    overlap = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                    if 100 * overlap >= percent * (n + m - overlap):
+                        found.append((a, b))
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
+
+    return guests.join(hosts, ["to", "part"]).select("sid", "to", "members", "other").mapInArrow(check, "a long, b long")
+
+
 # --- nodes and their traversal ----------------------------------------------------------
 
 
@@ -259,14 +307,15 @@ def links(left: Leaf, right: Leaf, percent: int, joined: Union, shift: int) -> l
     return out
 
 
-LEAVES = "leaf long, least long, most long, slack long, bits binary, sids array<long>, sets array<binary>, edges array<struct<a:int,b:int>>"
+LEAVES = "leaf long, root long, least long, most long, slack long, bits binary, sids array<long>, sets array<binary>, edges array<struct<a:int,b:int>>"
 EDGE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
 def build_leaves(sets: DataFrame, percent: int) -> DataFrame:
-    """One row per leaf from (first, size, part, sid, members): its node, its sets and the links among them.
+    """One row per leaf from (first, size, root, part, sid, members): its node, its sets and the links among them.
 
-    Sets with the same first, size and part are neighbours; every LEAF of them are a leaf.
+    Sets with the same first, size, root and part are neighbours; every LEAF of them are a leaf.
+    Those with a root (not 0) are connected already.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,26 +323,27 @@ def build_leaves(sets: DataFrame, percent: int) -> DataFrame:
 
         def leaf() -> pa.RecordBatch:
             own = Leaf(sets)
-            inside, nodes = links(own, own, percent, Union(len(sets)), 0), own.nodes
+            inside = [(i, i + 1) for i in range(len(sets) - 1)] if key[2] else links(own, own, percent, Union(len(sets)), 0)
+            nodes = own.nodes
             return pa.RecordBatch.from_arrays([
-                pa.array([sids[0]]), pa.array([int(nodes.least.min())]), pa.array([int(nodes.most.max())]), pa.array([int(nodes.slack.max())]),
+                pa.array([sids[0]]), pa.array([key[2]]), pa.array([int(nodes.least.min())]), pa.array([int(nodes.most.max())]), pa.array([int(nodes.slack.max())]),
                 pa.array([np.bitwise_or.reduce(nodes.bits).tobytes()], pa.binary()), pa.array([sids], pa.list_(pa.int64())),
                 pa.array([[s.tobytes() for s in sets]], pa.list_(pa.binary())), pa.array([[{"a": x, "b": y} for x, y in inside]], EDGE),
-            ], names=["leaf", "least", "most", "slack", "bits", "sids", "sets", "edges"])
+            ], names=["leaf", "root", "least", "most", "slack", "bits", "sids", "sets", "edges"])
 
         for batch in batches:
-            for first, size, part, sid, members in zip(*[batch.column(c).to_pylist() for c in ("first", "size", "part", "sid", "members")], strict=True):
-                if sids and (key != (first, size, part) or len(sids) == LEAF):
+            for first, size, root, part, sid, members in zip(*[batch.column(c).to_pylist() for c in ("first", "size", "root", "part", "sid", "members")], strict=True):
+                if sids and (key != (first, size, root, part) or len(sids) == LEAF):
                     yield leaf()
                     sids, sets = [], []
-                key = (first, size, part)
+                key = (first, size, root, part)
                 if not sids or sid != sids[-1]:
                     sids.append(sid)
                     sets.append(np.frombuffer(members, np.uint64))
         if sids:
             yield leaf()
 
-    return sets.select("first", "size", "part", "sid", "members").repartition("first", "size", "part").sortWithinPartitions("first", "size", "part", "sid").mapInArrow(build, LEAVES)
+    return sets.select("first", "size", "root", "part", "sid", "members").repartition("first", "size", "root", "part").sortWithinPartitions("first", "size", "root", "part", "sid").mapInArrow(build, LEAVES)
 
 
 SMALL = 8  # blocks of so many leaves are compared without a tree
@@ -318,23 +368,36 @@ def block_pairs(key: np.ndarray, nodes: Nodes, percent: int) -> tuple[np.ndarray
     return np.concatenate([np.zeros(0, np.int64), *left]), np.concatenate([np.zeros(0, np.int64), *right])
 
 
+def node_rows(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, Nodes]:
+    """Leaves, roots and nodes of rows of blocks."""
+    get = lambda c: rows.column(c).to_numpy()
+    bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(rows.num_rows, -1)
+    return get("leaf"), get("root"), Nodes(bits, get("least"), get("most"), get("slack"))
+
+
+def counted_pairs(leaf: np.ndarray, root: np.ndarray, least: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    """Pairs of rows of blocks as pairs of leaves with the blocks they met in; without those of one component."""
+    apart = (root[i] != root[j]) | (root[i] == 0)
+    i, j = i[apart], j[apart]
+    one, two, enough = np.minimum(leaf[i], leaf[j]), np.maximum(leaf[i], leaf[j]), 1 + extra(np.minimum(least[i], least[j]))
+    order = np.lexsort((two, one))
+    one, two, enough = one[order], two[order], enough[order]
+    at = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])) if len(one) else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(one[at]), pa.array(two[at]), pa.array(np.diff(np.append(at, len(one)))), pa.array(enough[at])], names=["one", "two", "met", "need"])
+
+
+COUNTED = "one long, two long, met long, need long"
+
+
 def leaf_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """Pairs of leaves that meet in as many blocks (key, leaf, node columns) as a link between them needs."""
-    names = ["one", "two", "met", "need"]
+    """(one, two, met, need) of the leaves that meet in blocks (key, leaf, root, node columns) of at most UNIT leaves."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
         def of(rows: pa.Table) -> pa.RecordBatch:
-            get = lambda c: rows.column(c).to_numpy()
-            bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(rows.num_rows, -1)
-            least, leaf = get("least"), get("leaf")
-            i, j = block_pairs(get("key"), Nodes(bits, least, get("most"), get("slack")), percent)
-            one, two, enough = np.minimum(leaf[i], leaf[j]), np.maximum(leaf[i], leaf[j]), 1 + extra(np.minimum(least[i], least[j]))
-            order = np.lexsort((two, one))
-            one, two, enough = one[order], two[order], enough[order]
-            at = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])) if len(one) else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(one[at]), pa.array(two[at]), pa.array(np.diff(np.append(at, len(one)))), pa.array(enough[at])], names=names)
+            leaf, root, nodes = node_rows(rows)
+            return counted_pairs(leaf, root, nodes.least, *block_pairs(rows.column("key").to_numpy(), nodes, percent))
 
         for batch in batches:
             rows = pa.Table.from_batches([batch])
@@ -350,9 +413,47 @@ def leaf_pairs(blocks: DataFrame, percent: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield of(held)
 
-    sorted_blocks = blocks.select("key", "leaf", "least", "most", "slack", "bits").repartition("key").sortWithinPartitions("key", "leaf")
-    met = sorted_blocks.mapInArrow(pairs, "one long, two long, met long, need long").groupBy("one", "two").agg(F.sum("met").alias("met"), F.max("need").alias("need"))
-    return met.where("met >= need").select("one", "two")
+    return blocks.select("key", "leaf", "root", "least", "most", "slack", "bits").repartition("key").sortWithinPartitions("key", "leaf").mapInArrow(pairs, COUNTED)
+
+
+def unit_pairs(blocks: DataFrame, percent: int) -> DataFrame:
+    """leaf_pairs of blocks of any size: their leaves are dealt into units, and each pair of units is a step of its own.
+
+    A unit holds leaves of one size class, and of one component where that has many;
+    units of the same component don't meet.
+    """
+    own = blocks.select("key", "leaf", "root", "least", "most", "slack", "bits", size_class(F.col("least"), percent).alias("size"))
+    held = own.groupBy("key", "root", "size").agg(F.count("leaf").alias("c"))
+    held = held.withColumn("pool", F.when(F.col("c") >= UNIT, F.col("root")).otherwise(0))
+    pools = held.groupBy("key", "pool", "size").agg(F.ceil(F.sum("c") / UNIT).alias("parts"))
+    placed = own.join(held.select("key", "root", "size", "pool"), ["key", "root", "size"]).join(pools, ["key", "pool", "size"])
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("leaf"), "parts")).withColumn("unit", F.concat_ws(":", "pool", "size", "part"))
+    units = pools.select("key", "pool", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    units = units.select("key", "pool", "size", F.concat_ws(":", "pool", "size", "part").alias("unit"))
+    one, two = (units.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("pool", "size", "unit")]) for i in (1, 2))
+    steps = one.join(two, "key").where("unit1 <= unit2 AND abs(size1 - size2) <= 1 AND (pool1 <> pool2 OR pool1 = 0)")
+    steps = steps.select("key", "unit1", "unit2", F.concat_ws("|", "key", "unit1", "unit2").alias("step"))
+    sides = [steps.select("key", F.col("unit1").alias("unit"), "step", F.lit(0).alias("side")), steps.where("unit1 <> unit2").select("key", F.col("unit2").alias("unit"), "step", F.lit(1).alias("side"))]
+    rows = sides[0].union(sides[1]).join(placed, ["key", "unit"]).select("step", "side", "leaf", "root", "least", "most", "slack", "bits")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in runs(batches, ["step"]):
+            leaf, root, nodes = node_rows(step)
+            side = step.column("side").to_numpy()
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if not len(right):  # a unit and itself
+                i, j = np.triu_indices(len(left), 1)
+            else:
+                i, j = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
+            ok = nodes.possible(i, nodes, j, percent)
+            yield counted_pairs(leaf, root, nodes.least, i[ok], j[ok])
+
+    return rows.repartition("step").sortWithinPartitions("step", "side").mapInArrow(pairs, COUNTED)
+
+
+def enough_met(counted: DataFrame) -> DataFrame:
+    """Pairs of leaves that meet in as many blocks as a link between them needs."""
+    return counted.groupBy("one", "two").agg(F.sum("met").alias("met"), F.max("need").alias("need")).where("met >= need").select("one", "two")
 
 
 def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
@@ -360,8 +461,10 @@ def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     cost = leaves.select("leaf", F.aggregate("sets", F.lit(0).cast("long"), lambda n, s: n + F.octet_length(s)).alias("cost"))
     sized = pairs.join(cost.select(F.col("leaf").alias("one"), F.col("cost").alias("c1")), "one").join(cost.select(F.col("leaf").alias("two"), F.col("cost").alias("c2")), "two")
     sized = sized.select(F.when(F.col("c1") >= F.col("c2"), F.col("one")).otherwise(F.col("two")).alias("home"), F.when(F.col("c1") >= F.col("c2"), F.col("two")).otherwise(F.col("one")).alias("leaf"))
-    guests = sized.join(leaves.select("leaf", "sids", "sets", "edges"), "leaf").select("home", F.col("leaf").alias("guest"), "sids", "sets", "edges")
-    hosts = leaves.join(sized.select(F.col("home").alias("leaf")).distinct(), "leaf", "left_semi").select(F.col("leaf").alias("home"), F.lit(None).cast("long").alias("guest"), "sids", "sets", "edges")
+    spread = sized.groupBy("home").agg(F.ceil(F.count("leaf") / VISITS).alias("parts"))
+    dealt = sized.join(spread, "home").withColumn("part", F.pmod(F.xxhash64("leaf"), "parts"))
+    guests = dealt.join(leaves.select("leaf", "sids", "sets", "edges"), "leaf").select("home", "part", F.col("leaf").alias("guest"), "sids", "sets", "edges")
+    hosts = leaves.join(spread.select(F.col("home").alias("leaf"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")), "leaf").select(F.col("leaf").alias("home"), "part", F.lit(None).cast("long").alias("guest"), "sids", "sets", "edges")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host = own = n = None
@@ -380,7 +483,7 @@ def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
                 found += [(own["sids"][i], r["sids"][j - n]) for i, j in links(host, leaf, percent, joined, n)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
 
-    both = hosts.union(guests).repartition("home").sortWithinPartitions("home", F.col("guest").asc_nulls_first())
+    both = hosts.union(guests).repartition("home", "part").sortWithinPartitions("home", "part", F.col("guest").asc_nulls_first())
     return both.mapInArrow(check, "a long, b long")
 
 
@@ -399,17 +502,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         met = shared.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
         shared = written(shared.join(met, "key", "left_semi").select("key", "sid"), "shared")
     wanted = context.broadcast(candidate_filter(candidates(shared, sizes, percent)))
-    # sizes of linked sets differ by the threshold at most: they are in the same size class or the next
-    members = shared.groupBy("sid").agg(F.min("key").alias("first")).join(sizes, "sid").withColumn("size", F.floor(F.log("n") / F.log(F.lit(100 / percent))))
-    groups = members.groupBy("first", "size").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
-    members = members.join(groups, ["first", "size"]).select("sid", "first", "size", F.pmod("sid", "parts").alias("part"))
-    leaves = written(build_leaves(sets_of(docs, text, k, wanted).join(members, "sid"), percent), "leaves")
+    sets = written(sets_of(docs, text, k, wanted), "members")
+    known = hot_links(shared, sizes, sets, percent)
+    known = docs.sparkSession.createDataFrame([], "node long, root long") if known is None else components(known)
+    members = shared.groupBy("sid").agg(F.min("key").alias("first")).join(sizes, "sid").withColumn("size", size_class(F.col("n"), percent))
+    members = members.join(known.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", F.lit(0).cast("long")))
+    # the root's own component is named by itself; 0 names the empty set and so no root
+    roots_too = known.select(F.col("root").alias("sid"), F.col("root").alias("own")).distinct()
+    members = members.join(roots_too, "sid", "left").withColumn("root", F.coalesce("own", "root")).drop("own")
+    groups = members.groupBy("first", "size", "root").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
+    members = members.join(groups, ["first", "size", "root"]).select("sid", "first", "size", "root", F.pmod("sid", "parts").alias("part"))
+    leaves = written(build_leaves(sets.join(members, "sid"), percent), "leaves")
     blocks = shared.join(leaves.select("leaf", F.explode("sids").alias("sid")), "sid").select("key", "leaf").distinct()
-    busy = blocks.groupBy("key").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi")).where("lo < hi").select("key")
-    blocks = blocks.join(busy, "key", "left_semi").join(leaves.select("leaf", "least", "most", "slack", "bits"), "leaf")
-    pairs = written(leaf_pairs(blocks, percent), "pairs")
-    own = leaves.select("sids", F.explode("edges").alias("e")).select(F.get("sids", F.col("e.a")).alias("a"), F.get("sids", F.col("e.b")).alias("b"))
-    roots = components(own.union(cross_links(pairs, leaves, percent)))
+    busy = written(blocks.groupBy("key").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"), F.count("leaf").alias("c")).where("lo < hi").select("key", "c"), "busy")
+    nodes = leaves.select("leaf", "root", "least", "most", "slack", "bits")
+    meet = lambda keys: blocks.join(keys.select("key"), "key", "left_semi").join(nodes, "leaf")
+    counted, many = leaf_pairs(meet(busy.where(F.col("c") <= UNIT)), percent), busy.where(F.col("c") > UNIT)
+    if not many.isEmpty():
+        counted = counted.union(unit_pairs(meet(many), percent))
+    pairs = written(enough_met(counted), "pairs")
+    own = leaves.where("root = 0").select("sids", F.explode("edges").alias("e")).select(F.get("sids", F.col("e.a")).alias("a"), F.get("sids", F.col("e.b")).alias("b"))
+    found = own.union(cross_links(pairs, leaves, percent)).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    roots = components(found)
     rows = rows.drop("keys")
     firsts = rows.where("n_shingles > 0").groupBy("sid").agg(F.min(key).alias("first"))
     firsts = firsts.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))

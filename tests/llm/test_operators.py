@@ -309,6 +309,22 @@ def test_near_duplicates_against_all_pairs(spark, docs, monkeypatch):
         assert got == want
 
 
+def test_near_duplicates_of_a_large_group(spark, monkeypatch):
+    random.seed(18)
+    rows, base = [], [f"v{i}" for i in range(120)]
+    for i in range(240):  # near copies with different texts, and others that share a passage with them
+        edited = [w if random.random() > 0.006 else f"e{i}" for w in base]
+        rows.append((i, " ".join(edited if i % 8 else base[:70] + [f"o{i // 16}x{j}" for j in range(50)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check, seen = neardup.cross_links, []
+    monkeypatch.setattr(neardup, "cross_links", lambda pairs, *rest: seen.append(pairs.count()) or check(pairs, *rest))
+    for name, small in (("LEAF", 2), ("HOT", 8), ("UNIT", 4), ("GUESTS", 7), ("VISITS", 3)):
+        monkeypatch.setattr(neardup, name, small, raising=False)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.op8_jaccard_join(df).collect()}
+    assert got == brute_components(rows)
+    assert seen[0] < 1000  # 1957 if leaves of one component are compared
+
+
 def test_near_duplicates_odd_rows(odd, none):
     assert neardup.op8_jaccard_join(none).count() == 0
     out = neardup.near_duplicates(odd).collect()
