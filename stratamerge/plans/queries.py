@@ -110,6 +110,17 @@ def nested_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region.join(district, region["r_regionkey"] == district["n_regionkey"], "left").select(F.col("r_name").alias("label"), F.col("r_regionkey").cast("string").alias("state_id"), "district")
 
 
+def bounded_locations(spark: SparkSession, sf_dir: str, most: int = 10_000) -> DataFrame:
+    """nested_locations as documents of one district and about `most` blocks at most."""
+    region, nation, supplier = (table(spark, sf_dir, n) for n in ("region", "nation", "supplier"))
+    parts = supplier.groupBy("s_nationkey").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
+    dealt = supplier.join(F.broadcast(parts), "s_nationkey").withColumn("part", F.pmod(F.xxhash64("s_suppkey", "s_name"), "parts"))
+    blocks = dealt.groupBy("s_nationkey", "part").agg(F.collect_list(F.struct(F.col("s_name").alias("label"), F.col("s_suppkey").cast("string").alias("tehsil_id"))).alias("blocks"))
+    n = nation.join(blocks, nation["n_nationkey"] == blocks["s_nationkey"], "left")
+    district = F.when(F.col("n_nationkey").isNotNull(), F.array(F.struct(F.col("n_name").alias("label"), F.col("n_nationkey").cast("string").alias("district_id"), F.col("blocks"))))
+    return region.join(n, region["r_regionkey"] == n["n_regionkey"], "left").select(F.col("r_name").alias("label"), F.col("r_regionkey").cast("string").alias("state_id"), district.alias("district"))
+
+
 LOCATIONS = """locations AS (SELECT r_name AS state_name, r_regionkey::VARCHAR AS state_id, n_name AS district_name, n_nationkey::VARCHAR AS district_id, s_name AS tehsil_name, s_suppkey::VARCHAR AS tehsil_id
   FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey)"""
 
@@ -681,7 +692,7 @@ def _(s, d):
 @query("read_locations", f"WITH {LOCATIONS} SELECT * FROM locations")
 def _(s, d):
     path = scratch(s, "locations")
-    nested_locations(s, d).agg(F.to_json(F.collect_list(F.struct("label", "state_id", "district")))).write.text(path)
+    bounded_locations(s, d).select(F.to_json(F.array(F.struct("label", "state_id", "district")))).write.option("maxRecordsPerFile", 1).text(path)
     return reshape.explode_locations(features.read_locations(s, path))
 
 

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ..operators.reshape import harmonize_geometry_name
 from .geoparquet import located
+from .scratch import materialize_zstd
 
 FEATURES = "features array<struct<type:string,properties:variant,geometry:struct<type:string,coordinates:string>>>"
+FILE_ROWS, FILE_BYTES = 10_000, 1 << 24  # about so much in a feature file at most
 POSITIONS = "array<array<array<double>>>"
 
 
@@ -35,12 +37,12 @@ def spark_type(variant_type: str) -> str:
 
 
 def read_features(spark: SparkSession, path: str | list[str], slug: str | None = "slug") -> DataFrame:
-    """One row per feature of GeoJSON files: properties as columns (types from all files), rings, is_hole, and the file's name without its ending as slug.
+    """One row per feature of GeoJSON files: properties as columns (types from all files), rings, is_hole, and the file's name without its ending (and .part-N) as slug.
 
     Files without features give no rows. Property names must differ from the added ones.
     """
     raw = spark.read.schema(FEATURES).json(path, multiLine=True)
-    rows = raw.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)\.[^.]*$", 1).alias("_slug"), F.explode("features").alias("f")).select("_slug", "f.properties", "f.geometry")
+    rows = raw.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.part-\d+)?\.[^.]*$", 1).alias("_slug"), F.explode("features").alias("f")).select("_slug", "f.properties", "f.geometry")
     found = rows.agg(F.schema_of_variant_agg("properties")).first()[0] or "VOID"
     fields = []
     if found.upper().startswith("OBJECT<"):
@@ -104,22 +106,40 @@ def scan_base(spark: SparkSession, path: str, features: str | None = None) -> Da
 
 
 def write_features(df: DataFrame, folder: str, layer: str) -> int:
-    """GeoJSON files {layer}_{slug}.geojson, one per slug, of a table with slug, rings, is_hole and properties; their number.
+    """GeoJSON files {layer}_{slug}.geojson of a table with slug, rings, is_hole and properties; their number.
 
-    One shape per feature, its rings as one polygon. A file holds one area's features.
+    One shape per feature, its rings as one polygon. A file holds one area's features; those of a
+    large area are dealt over further files, {layer}_{slug}.part-N.geojson.
     """
     ring = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
     own = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in ("slug", "rings", "is_hole")])
     feature = F.to_json(F.struct(F.lit("Feature").alias("type"), own.alias("properties"), F.struct(F.lit("Polygon").alias("type"), ring.alias("coordinates")).alias("geometry")))
-    grouped = df.groupBy("slug").agg(F.array_join(F.collect_list(feature), ",").alias("features"))
+    # numbered as they lie in files, so that equal features are dealt out too, and alike if a task runs again
+    rows = materialize_zstd(df.select("slug", feature.alias("feature")))
+    numbered = rows.withColumn("_n", F.monotonically_increasing_id())
+    sizes = rows.groupBy(F.col("slug").alias("_slug")).agg(F.ceil(F.greatest(F.count(F.lit(1)) / FILE_ROWS, F.sum(F.octet_length("feature")) / FILE_BYTES)).alias("_parts"))
+    dealt = numbered.join(sizes, F.col("slug").eqNullSafe(F.col("_slug"))).select("slug", F.pmod(F.xxhash64("_n"), "_parts").alias("part"), "feature")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, f, names = None, None, []
         for batch in batches:
-            for slug, features in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                store, root = located(folder)
-                store.create_dir(root, recursive=True)
-                with store.open_output_stream(f"{root}/{layer}_{slug}.geojson") as f:
-                    f.write(('{"type":"FeatureCollection","features":[' + features + "]}").encode())
-            yield batch.select(["slug"])
-
-    return grouped.mapInArrow(put, "slug string").count()
+            for slug, part, feature in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                if f is None or now != (slug, part):
+                    if f is not None:
+                        f.write(b"]}")
+                        f.close()
+                    now = (slug, part)
+                    store, root = located(folder)
+                    store.create_dir(root, recursive=True)
+                    f = store.open_output_stream(f"{root}/{layer}_{slug}{f'.part-{part}' if part else ''}.geojson")
+                    f.write(b'{"type":"FeatureCollection","features":[')
+                    names.append(slug)
+                else:
+                    f.write(b",")
+                f.write(feature.encode())
+        if f is not None:
+            f.write(b"]}")
+            f.close()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["slug"])
+
+    return dealt.repartition("slug", "part").sortWithinPartitions("slug", "part").mapInArrow(put, "slug string").count()
