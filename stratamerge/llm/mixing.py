@@ -29,14 +29,16 @@ def uniform(*parts: Column) -> Column:
 
 def inverse(rate: float) -> list[float]:
     """P(N <= k) for k = 0, 1, ... up to where doubles reach 1."""
-    out, p, at, k = [], math.exp(-rate), 0.0, 0
+    if rate <= 0:
+        return [1.0]
+    out, at, k = [], 0.0, 0
     while True:
-        at += p
+        # each term by itself: exp(-rate) is 0 for large rates
+        at += math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1))
         if out and at <= out[-1] and k > rate:
             return out
         out.append(at)
         k += 1
-        p *= rate / k
 
 
 def tempered(docs: DataFrame, source: str = "source", power: float = 0.5) -> dict:

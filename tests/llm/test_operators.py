@@ -120,6 +120,13 @@ def test_poisson_inverse():
     assert mixing.inverse(0.0)[0] == 1.0
 
 
+def test_poisson_inverse_of_large_rates():
+    for rate in (720.0, 1250.0):
+        cdf = mixing.inverse(rate)
+        mean = sum(1 - c for c in cdf)
+        assert abs(cdf[-1] - 1) < 1e-9 and abs(mean - rate) < 1e-3 and cdf[int(rate) - 200] < 1e-6
+
+
 # --- 4 search
 
 
