@@ -92,8 +92,9 @@ def year_columns(df: DataFrame) -> list[str]:
 
 
 def first_non_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row with a non-null value of each column (the least, to be repeatable)."""
-    return df.agg(*[F.min(f"`{c}`").alias(c) for c in columns])
+    """One row with a value of each column: the least that is a JSON object, or else the least that isn't null (so that it is repeatable)."""
+    is_object = lambda c: F.coalesce(F.schema_of_variant(F.try_parse_json(c)).startswith("OBJECT<"), F.lit(False))
+    return df.agg(*[F.coalesce(F.min(F.when(is_object(F.col(f"`{c}`")), F.col(f"`{c}`"))), F.min(f"`{c}`")).alias(c) for c in columns])
 
 
 def sniff_json_schema(df: DataFrame) -> T.StructType | None:

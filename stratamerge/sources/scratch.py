@@ -12,22 +12,39 @@ from pyspark.sql import DataFrame, SparkSession
 _own: list[str] = []
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset (tests), below a folder of ours."""
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Where it is unset, a folder of ours in local mode (tests), an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="stratamerge-"))
             atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
         base = "file://" + _own[0]
-    return f"{base.rstrip('/')}/stratamerge-{uuid.uuid4().hex}/{name}"
+    return base.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark)}/stratamerge-{uuid.uuid4().hex}/{name}"
 
 
 def materialize_zstd(df: DataFrame, path: str | None = None, row_group_rows: int | None = None) -> DataFrame:
-    """Write as ZSTD Parquet and scan that instead: cuts a wide plan."""
+    """Write as ZSTD Parquet and scan that instead: cuts a wide plan and its lineage."""
     path = path or scratch(df.sparkSession, "table")
     writer = df.write.option("compression", "zstd")
     if row_group_rows:
         writer = writer.option("parquet.block.row.count.limit", row_group_rows)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of materialize_zstd that nothing reads any more: all that came from them is written itself."""
+    for table in tables:
+        session, path = table.sparkSession, table.written_to
+        target = session._jvm.org.apache.hadoop.fs.Path(path).getParent()
+        target.getFileSystem(session._jsc.hadoopConfiguration()).delete(target, True)
