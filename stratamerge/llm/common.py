@@ -2,38 +2,54 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_own_dir: list[str] = []
+from ..sources.scratch import materialize_zstd, scratch
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back: cuts lineage, survives executors."""
+    return materialize_zstd(df, scratch(df.sparkSession, name))
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: spark.checkpoint.dir; where unset (tests), a folder of ours."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not _own_dir:
-            _own_dir.append(tempfile.mkdtemp(prefix="stratamerge-"))
-            atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
-        base = "file://" + _own_dir[0]
-    return base.rstrip("/")
 
+def carried(docs: DataFrame, *but: str) -> tuple[Column, list[str]]:
+    """All columns but some as one struct, so that no name of theirs clashes with ours; and their names."""
+    kept = [c for c in docs.columns if c not in but]
+    return F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]), kept
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts lineage, survives executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stratamerge-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def unpacked(struct: str, kept: list[str]) -> list[Column]:
+    """The columns of `carried` again."""
+    return [F.col(struct).getField(f"c{i}").alias(c) for i, c in enumerate(kept)]
+
+
+BUCKET = 1 << 15  # bits of one row of a bit table
+
+
+class BitTable:
+    """Set of 64-bit hashes as bits: about 16 a hash, between 2^20 and 2^30 in all. What it lacks is not in the set."""
+
+    def __init__(self, values: DataFrame, column: str, least: int = 1 << 20, most: int = 1 << 30):
+        n = values.count()
+        self.size = min(most, max(least, 1 << max(16 * n - 1, 0).bit_length()))
+        at = values.select(F.pmod(column, F.lit(self.size)).alias("at"))
+        at = at.groupBy(F.expr(f"at div {BUCKET}").alias("bucket")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(BUCKET))).alias("bits"))
+        table = np.zeros((self.size // BUCKET, BUCKET // 8), np.uint8)
+        for r in at.toLocalIterator():
+            table[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+        self.bits = table.ravel()
+
+    def __contains__(self, value: int) -> bool:
+        return bool(self.has(np.array([value]))[0])
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        at = values.view(np.uint64) & np.uint64(self.size - 1)
+        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
