@@ -32,7 +32,6 @@ from pyspark.sql import types as T
 from .common import SpanHash, carried, pieces, unpacked, utf8, written
 
 PIECE = 1_000_000  # bytes of text that are cut in one step
-OFTEN = 0.005  # a pre-token may be frequent if some batch has it in such a share of its rows
 
 LETTER, NUMBER, SPACE, OTHER, NONE = range(5)
 #: What the pattern of pre-tokens takes apart after an apostrophe.
@@ -156,21 +155,28 @@ def encoded(words: DataFrame, path: str) -> DataFrame:
     return words.select("word").mapInArrow(encode, "word string, pieces int")
 
 
-def frequent(cut_texts: DataFrame, head: int) -> DataFrame:
-    """(word): at most `head` pre-tokens, among them all of any weight in all batches."""
+def frequent(texts: DataFrame, head: int) -> DataFrame:
+    """(word): at most `head` pre-tokens, the most frequent ones by what tasks see of them more than once."""
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(0).flatten()
-            counts = pc.value_counts(words.field("word"))
-            some = pc.greater(counts.field("counts"), max(1, int(OFTEN * batch.num_rows)))
-            counts = counts.filter(some)
+            counts = pc.value_counts(batch.column(0).flatten().field("word"))
+            counts = counts.filter(pc.greater(counts.field("counts"), 1))
             yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["word", "n"])
 
-    return cut_texts.select("words").mapInArrow(often, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(head).select("word")
+    counts = texts.select("words").mapInArrow(often, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = written(counts.select("word", F.floor(F.log2("n") * 8).alias("octave")), "counts")
+    # the frequency from which at most `head` are left, to an eighth of an octave
+    least, left = 1 << 30, head
+    for r in sorted(counts.groupBy("octave").count().collect(), reverse=True):
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r["octave"]
+    return counts.where(F.col("octave") >= least).select("word")
 
 
-def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_tokens", head: int = 1 << 17) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_tokens", head: int = 1 << 18) -> DataFrame:
     """docs without the text, with column `out` (long): the number of tokens of each whole text, none added.
 
     path: a byte-level BPE vocabulary of the tokenizers library, there on every machine.
@@ -190,7 +196,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
     texts = written(rows.mapInArrow(make, T.StructType().add("row", "long").add(rows.schema["own"]).add("words", PRETOKENS)), "frequencies")
     top = F.broadcast(written(encoded(frequent(texts, head), path), "frequent"))  # head rows at most
     each = texts.select("row", F.explode("words").alias("w")).select("row", "w.word", "w.n")
-    rest = each.join(top, "word", "left_anti").repartition("word")
+    rest = each.join(top, "word", "left_anti")
     priced = encoded(rest.select("word").distinct(), path)
     found = each.join(top, "word").groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("s"))
     found = found.union(rest.join(priced, "word").groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("s")))
