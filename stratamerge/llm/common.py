@@ -44,9 +44,6 @@ class BitTable:
             table[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
         self.bits = table.ravel()
 
-    def __contains__(self, value: int) -> bool:
-        return bool(self.has(np.array([value]))[0])
-
     def has(self, values: np.ndarray) -> np.ndarray:
         at = values.view(np.uint64) & np.uint64(self.size - 1)
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0

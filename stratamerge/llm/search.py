@@ -1,12 +1,17 @@
-"""Exact top-k search by BM25 with block-max pruning, run per shard and merged.
+"""Exact top-k search by BM25: inverted indexes with block-max WAND pruning, per shard, merged exactly.
 
-Documents are dealt into shards of bounded size. A shard's inverted index keeps, for each
-term, its postings' impacts in blocks of documents (by length, so that a block's impacts
-are alike) and the largest impact of each block. Queries pass in batches: the sum of the
-largest impacts bounds what any document of a block can score. The blocks with the
-highest bounds are scored first; from then on a block is scored for those queries only
-whose k-th score so far its bound can reach. Frequent terms are held as dense rows,
-rare ones as posting lists.
+Documents are dealt into shards of bounded size. A shard orders its documents so that
+neighbours are alike and cuts them into blocks. Its inverted index keeps the postings of
+each term by block, with the largest impact of each block. The cursors of a query move
+over the blocks; a block is a pivot if the sum of its terms' block maxima reaches the
+query's k-th best score so far. Only pivots are scored, all other blocks are passed over
+with all their postings. The k-th score starts with the blocks of the highest bounds and
+rises as pivots are scored. Queries of a batch move together, each with pivots of its own.
+
+Every query first meets one shard, where it is dealt with the shard's documents. Its k-th
+score there is the threshold for all other shards. These get the queries in blocks of
+bounded size by broadcast, one block after another, so queries aren't copied per shard on
+disk. A shard returns only what reaches the threshold.
 
 Document frequencies, the number of documents and their mean length are those of the
 whole corpus, so the shards' scores are final and the best k of all shards are exact.
@@ -15,24 +20,32 @@ Scores are rounded to 6 decimals, equal ones ordered by key (null last).
 Terms are runs of ASCII letters and digits (A-Z as a-z) and other characters beyond
 ASCII. Null and empty texts are documents of length 0: as queries they find nothing, as
 documents they aren't found; a query finds only documents that share a term with it.
-Repeated rows are found each. Columns other than key and text are not read.
+Rows of one key among the queries are one query of all their terms; among the documents
+each row is a document of its own and is found each. A text is read whole, whatever its
+length. An empty table gives an empty result. Columns other than key and text are not read.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import SpanHash, lower_ascii, pieces, utf8, words_of, written
+from ..sources.scratch import discard
+from .common import BitTable, SpanHash, lower_ascii, pieces, utf8, words_of, written
 
 K1, B = 1.2, 0.75
 BLOCK = 64
-DENSE = 384  # most frequent terms of a shard that are held as dense rows
-FILTER = 1 << 26
+DENSE = 384  # most frequent terms of a shard, whose impacts are held as rows of a matrix
+BATCH = 128  # queries that move together
+WINDOWS = 8  # steps in which the cursors pass the blocks
+SHARD_ROWS, SHARD_POSTINGS = 16_384, 4_000_000
+CHUNK = 8 << 20  # bytes of queries in a broadcast
 
 
 def word_bytes() -> np.ndarray:
@@ -54,20 +67,6 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return h[at], row[at], np.diff(np.append(at, len(h))), np.bincount(row, minlength=len(offsets) - 1)
 
 
-def bit_table(values: DataFrame) -> np.ndarray:
-    """FILTER bits, set at the hashes (column v)."""
-    at = values.select(F.pmod("v", F.lit(FILTER)).alias("at")).groupBy(F.expr("at div 32768").alias("bucket")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(32768))).alias("bits"))
-    table = np.zeros((FILTER // 32768, 4096), np.uint8)
-    for r in at.collect():
-        table[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return table.ravel()
-
-
-def passes(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = (values % np.uint64(FILTER)).astype(np.int64)
-    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-
-
 def rows_of_terms(docs: DataFrame, key: str, text: str, wanted=None) -> DataFrame:
     """(key, length, terms, counts) of each row; only terms that pass the filter, if there is one."""
 
@@ -78,7 +77,7 @@ def rows_of_terms(docs: DataFrame, key: str, text: str, wanted=None) -> DataFram
             for i, j in pieces(offsets, 1_000_000):
                 h, row, n, length = term_counts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 if table is not None:
-                    ok = passes(table, h)
+                    ok = table.has(h)
                     h, row, n = h[ok], row[ok], n[ok]
                 cut = np.searchsorted(row, np.arange(j - i + 1))
                 spans = list(zip(cut[:-1], cut[1:], strict=True))
@@ -87,8 +86,8 @@ def rows_of_terms(docs: DataFrame, key: str, text: str, wanted=None) -> DataFram
                     pa.array([h[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([n[a:b].astype(np.int32).tobytes() for a, b in spans], pa.binary()),
                 ], names=["key", "length", "terms", "counts"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(make, f"key {kind}, length long, terms binary, counts binary")
+    schema = T.StructType().add("key", docs.schema[key].dataType).add("length", "long").add("terms", "binary").add("counts", "binary")
+    return docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(make, schema)
 
 
 def exploded(rows: DataFrame) -> DataFrame:
@@ -102,7 +101,7 @@ def exploded(rows: DataFrame) -> DataFrame:
                 row = np.repeat(np.arange(len(t)), [len(x) for x in t])
                 yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(row)), pa.array(np.concatenate(t)), pa.array(np.concatenate(n))], names=["key", "term", "n"])
 
-    return rows.mapInArrow(make, f"key {rows.schema['key'].dataType.simpleString()}, term long, n int")
+    return rows.mapInArrow(make, T.StructType().add("key", rows.schema["key"].dataType).add("term", "long").add("n", "integer"))
 
 
 def document_frequencies(rows: DataFrame) -> DataFrame:
@@ -132,145 +131,261 @@ def document_frequencies(rows: DataFrame) -> DataFrame:
 # --- one shard --------------------------------------------------------------------------
 
 
+def alike_order(looks: np.ndarray, leaf: int, rounds: int = 6) -> np.ndarray:
+    """Rows in an order in which neighbours are alike: halved by their leading component until `leaf` are left."""
+    rng, done, todo = np.random.default_rng(0), [], [np.arange(len(looks))]
+    while todo:
+        some = todo.pop()
+        if len(some) <= leaf:
+            done.append(some)
+            continue
+        x = looks[some] - looks[some].mean(axis=0)
+        v = rng.standard_normal(x.shape[1]).astype(np.float32)
+        for _ in range(rounds):
+            v = x.T @ (x @ v)
+            v /= max(np.linalg.norm(v), 1e-9)
+        some = some[np.argsort(x @ v, kind="stable")]
+        half = -(-(len(some) // 2) // leaf) * leaf
+        todo += [some[half:], some[:half]]
+    return np.concatenate(done) if done else np.zeros(0, np.int64)
+
+
+def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[0], ... first[0] + n[0] - 1, first[1], ..."""
+    return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
+
+
 class Shard:
-    """Inverted index of a shard's documents, in order of length."""
-
-    def __init__(self, keys: list, lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], mean: float):
-        order = np.argsort(lengths, kind="stable")
-        self.keys = [keys[i] for i in order]
-        self.size = len(keys)
-        self.starts = np.arange(0, self.size, BLOCK)
-        size = np.array([len(terms[i]) for i in order])
-        term = np.concatenate([terms[i] for i in order]) if self.size else np.zeros(0, np.uint64)
-        tf = np.concatenate([counts[i] for i in order]).astype(float) if self.size else np.zeros(0)
-        doc = np.repeat(np.arange(self.size), size)
-        impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * np.repeat(lengths[order], size) / mean))
-        by_term = np.argsort(term, kind="stable")  # documents stay in order within a term
-        self.doc, self.impact, term = doc[by_term], impact[by_term], term[by_term]
-        self.terms, first, n = np.unique(term, return_index=True, return_counts=True)
-        self.first, self.n = first, n
-        dense = np.argsort(-n, kind="stable")[:DENSE]
-        dense = dense[n[dense] * 200 > self.size]
-        self.row = np.full(len(self.terms), -1)
-        self.row[dense] = np.arange(len(dense))
-        self.dense = np.zeros((len(dense), self.size))
-        for r, t in enumerate(dense.tolist()):
-            s = slice(first[t], first[t] + n[t])
-            self.dense[r, self.doc[s]] = self.impact[s]
-        self.most = np.maximum.reduceat(self.dense, self.starts, axis=1) if len(dense) and self.size else np.zeros((len(dense), len(self.starts)))
-
-    def search(self, terms: list[np.ndarray], weights: list[np.ndarray], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(documents, scores) of each query's best k; all that tie with the k-th are there."""
-        m, q = len(terms), np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+    """Inverted index of some documents. Postings are ordered by term, then by document."""
+
+    def __init__(self, size: int, length: np.ndarray, term: np.ndarray, doc: np.ndarray, tf: np.ndarray, mean: float):
+        self.size, self.arrays = size, (length, term, doc, tf)
+        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / mean))
+        self.doc, self.blocks = doc, -(-size // BLOCK)
+        begin = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, np.int64)
+        self.terms, n = term[begin], np.diff(np.append(begin, len(term)))
+        # entries: a term in a block, with its postings there
+        cell = np.repeat(np.arange(len(begin)), n) * self.blocks + doc // BLOCK
+        self.first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+        self.n = np.diff(np.append(self.first, len(cell)))
+        self.block = cell[self.first] % max(self.blocks, 1)
+        self.most = np.maximum.reduceat(self.impact, self.first) if len(cell) else np.zeros(0)
+        self.entry = np.searchsorted(cell[self.first], np.arange(len(begin) + 1) * self.blocks)  # first entry of each term
+        top = np.argsort(-n, kind="stable")[:DENSE]
+        top = top[n[top] * 200 > size]
+        self.row = np.full(len(begin), -1)
+        self.row[top] = np.arange(len(top))
+        self.dense = np.zeros((len(top), size))
+        self.dense_most = np.zeros((len(top), self.blocks))
+        for r, t in enumerate(top.tolist()):
+            at = slice(begin[t], begin[t] + n[t])
+            self.dense[r, doc[at]] = self.impact[at]
+            at = slice(self.entry[t], self.entry[t + 1])
+            self.dense_most[r, self.block[at]] = self.most[at]
+
+    @classmethod
+    def of(cls, lengths: list[int], terms: list[np.ndarray], counts: list[np.ndarray], mean: float) -> tuple[Shard, np.ndarray]:
+        """The shard of some documents, and their order in it."""
+        n, length = np.array([len(t) for t in terms]), np.array(lengths, np.int64)
+        doc, term, tf = np.repeat(np.arange(len(terms)), n), np.concatenate(terms), np.concatenate(counts)
+        known, at, df = np.unique(term, return_inverse=True, return_counts=True)
+        top = np.argsort(-df, kind="stable")[:DENSE]
+        row = np.full(len(known), -1)
+        row[top] = np.arange(len(top))
+        looks, some = np.zeros((len(terms), len(top)), np.float32), row[at] >= 0
+        impact = tf[some] * (K1 + 1) / (tf[some] + K1 * (1 - B + B * length[doc[some]] / mean))
+        looks[doc[some], row[at[some]]] = impact * np.log(1 + len(terms) / df[at[some]])
+        order = alike_order(looks, BLOCK)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        doc = place[doc]
+        by_term = np.lexsort((doc, term))
+        return cls(len(terms), length[order], term[by_term], doc[by_term].astype(np.int32), tf[by_term].astype(np.int32), mean), order
+
+    def stored(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, *self.arrays)
+        return out.getvalue()
+
+    @classmethod
+    def loaded(cls, data: bytes, mean: float) -> Shard:
+        arrays = np.load(io.BytesIO(data))
+        length, term, doc, tf = (arrays[f"arr_{i}"] for i in range(4))
+        return cls(len(length), length, term, doc, tf, mean)
+
+    def search(self, terms: list[np.ndarray], weights: list[np.ndarray], floor: np.ndarray, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+        """(documents, scores) of each query's best k of at least its floor, with all that tie; and how many (query, block) pairs were scored."""
+        m = len(terms)
+        q = np.repeat(np.arange(m), [len(t) for t in terms])
         term, weight = np.concatenate(terms), np.concatenate(weights)
         at = np.minimum(np.searchsorted(self.terms, term), max(len(self.terms) - 1, 0))
         ok = self.terms[at] == term if len(self.terms) else np.zeros(len(term), bool)
         q, at, weight = q[ok], at[ok], weight[ok]
-        is_dense = self.row[at] >= 0
+        frequent = self.row[at] >= 0
         w = np.zeros((m, len(self.dense)))
-        w[q[is_dense], self.row[at[is_dense]]] = weight[is_dense]
-        q, at, weight = q[~is_dense], at[~is_dense], weight[~is_dense]
-        # rare terms: their postings added up
-        n = self.n[at]
-        posting = np.repeat(self.first[at] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(at) else np.zeros(0, np.int64)
-        rare = np.bincount(np.repeat(q, n) * self.size + self.doc[posting], np.repeat(weight, n) * self.impact[posting], m * self.size).reshape(m, self.size)
-        bound = w @ self.most + np.maximum.reduceat(rare, self.starts, axis=1)
+        w[q[frequent], self.row[at[frequent]]] = weight[frequent]
+        q, at, weight = q[~frequent], at[~frequent], weight[~frequent]
+        # the entries of all rarer terms
+        n = self.entry[at + 1] - self.entry[at]
+        entry, eq, ew = spread(self.entry[at], n), np.repeat(q, n), np.repeat(weight, n)
+        eb = self.block[entry]
+        bound = w @ self.dense_most + np.bincount(eq * self.blocks + eb, ew * self.most[entry], m * self.blocks).reshape(m, self.blocks)
         bound *= 1 + 1e-9
-        scores = np.full((m, self.size), -1.0)
-        done = np.zeros(bound.shape, bool)
-
-        def score(block: int, some: np.ndarray) -> None:
-            s = slice(block * BLOCK, min((block + 1) * BLOCK, self.size))
-            scores[some, s] = w[some] @ self.dense[:, s] + rare[some, s]
-            done[some, block] = True
-
-        lead = min(-(-2 * k // BLOCK) + 1, bound.shape[1])
+        scores, scored = np.zeros((m, self.size)), np.zeros((m, self.blocks), bool)
+
+        def score(pivots: np.ndarray) -> None:
+            nonlocal scores
+            some = pivots[eq, eb]
+            count = self.n[entry[some]]
+            posting = spread(self.first[entry[some]], count)
+            np.add.at(scores, (np.repeat(eq[some], count), self.doc[posting]), np.repeat(ew[some], count) * self.impact[posting])
+            for block in np.flatnonzero(pivots.any(axis=0)).tolist():
+                who, s = np.flatnonzero(pivots[:, block]), slice(block * BLOCK, min((block + 1) * BLOCK, self.size))
+                scores[who, s] += w[who] @ self.dense[:, s]
+            scored[pivots] = True
+
+        def best_of(best: np.ndarray, more: np.ndarray) -> np.ndarray:
+            if more.shape[1] > k:
+                more = np.partition(more, more.shape[1] - k, axis=1)[:, -k:]
+            both = np.concatenate([best, more], axis=1)
+            return np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+
+        lead = min(-(-2 * k // BLOCK) + 1, self.blocks)
         first = np.argpartition(-bound, lead - 1, axis=1)[:, :lead]
-        for block in np.unique(first).tolist():
-            score(block, np.flatnonzero((first == block).any(axis=1)))
-        kth = min(k, self.size) - 1
-        least = -np.partition(-scores, kth, axis=1)[:, kth] - 1e-6
-        for block in np.argsort(-bound.max(axis=0)).tolist():
-            some = np.flatnonzero(~done[:, block] & (bound[:, block] >= least) & (bound[:, block] > 0))
-            if len(some):
-                score(block, some)
-        out = []
+        pivots = np.zeros_like(scored)
+        np.put_along_axis(pivots, first, True, axis=1)
+        score(pivots & (bound > 0) & (bound >= floor[:, None]))
+        led = np.repeat(pivots, BLOCK, axis=1)[:, : self.size]
+        best = best_of(np.zeros((m, k)), np.where(led, scores, 0.0))
+        width = -(-self.blocks // WINDOWS)
+        for lo in range(0, self.blocks, width):
+            least = np.maximum(floor, best.min(axis=1) - 1e-6)[:, None]
+            pivots = (bound >= least) & (bound > 0) & ~scored
+            pivots[:, :lo] = pivots[:, lo + width :] = False
+            if pivots.any():
+                score(pivots)
+                s = slice(lo * BLOCK, (lo + width) * BLOCK)
+                best = best_of(best, np.where(led[:, s], 0.0, scores[:, s]))
         scores = np.round(scores, 6)
-        for i in range(m):
-            row = scores[i]
-            t = max(-np.partition(-row, kth)[kth], 1e-6)
-            found = np.flatnonzero(row >= t)
-            out.append((found, row[found]))
-        return out
-
-
-def search_shards(both: DataFrame, mean: float, k: int, kind: str, batch_rows: int = 128) -> DataFrame:
-    """(query_id, doc_id, score): each shard's best k of each query. both: rows sorted so that documents come before queries."""
-    names = ["query_id", "doc_id", "score"]
-
-    def best(shard: Shard, queries: list[tuple]) -> pa.RecordBatch:
-        found = shard.search([x[1] for x in queries], [x[2] for x in queries], k)
-        ids, docs, scores = [], [], []
-        for (name, *_), (at, score) in zip(queries, found, strict=True):
-            rows = sorted(zip((-score).tolist(), [(shard.keys[i] is None, shard.keys[i]) for i in at], strict=True))[:k]
+        least = np.maximum(np.maximum(floor, np.round(best.min(axis=1), 6)), 1e-6)
+        who, found = np.nonzero(scores >= least[:, None])
+        cuts = np.searchsorted(who, np.arange(m + 1))
+        return [(found[i:j], scores[x, found[i:j]]) for x, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))], int(scored.sum())
+
+
+def hits(shard: Shard, keys: list, queries: list[tuple], k: int) -> tuple[list, list, list]:
+    """query ids, documents and scores of the queries (id, terms, weights, floor), at most k each."""
+    ids, docs, scores = [], [], []
+    for at in range(0, len(queries), BATCH):
+        some = queries[at : at + BATCH]
+        found, _ = shard.search([x[1] for x in some], [x[2] for x in some], np.array([x[3] for x in some]), k)
+        for (name, *_), (which, score) in zip(some, found, strict=True):
+            rows = sorted(zip((-score).tolist(), [(keys[i] is None, keys[i]) for i in which.tolist()], strict=True))[:k]
             ids += [name] * len(rows)
             docs += [key for _, (_, key) in rows]
-            scores += [-s for s, _ in rows]
-        return pa.RecordBatch.from_arrays([pa.array(ids, arrow), pa.array(docs, arrow), pa.array(scores, pa.float64())], names=names)
+            scores += [-x for x, _ in rows]
+    return ids, docs, scores
+
+
+# --- all shards -------------------------------------------------------------------------
+
 
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+def index_shards(both: DataFrame, mean: float, k: int, key: T.DataType) -> DataFrame:
+    """Per shard a row with its index, and rows with the best k of the queries dealt to it.
+
+    both: (shard, query, key, length, terms, vals), a shard's documents before its queries.
+    """
+    schema = T.StructType().add("shard", "long").add("index", "binary").add("keys", T.ArrayType(key)).add("query_id", key).add("doc_id", key).add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, docs, queries, shard = None, [], [], None
+        now, docs, queries, kind = None, [], [], None
+
+        def out() -> pa.RecordBatch:
+            keys, rows = [], ([], [], [])
+            index = None
+            if docs:
+                shard, order = Shard.of([d[1] for d in docs], [d[2] for d in docs], [d[3] for d in docs], mean)
+                keys, index = [docs[i][0] for i in order.tolist()], shard.stored()
+                rows = hits(shard, keys, queries, k)
+            n = len(rows[0])
+            return pa.RecordBatch.from_arrays([
+                pa.array([now] * (n + 1), pa.int64()), pa.array([index, *[None] * n], pa.binary()), pa.array([keys, *[None] * n], pa.list_(kind)),
+                pa.array([None, *rows[0]], kind), pa.array([None, *rows[1]], kind), pa.array([None, *rows[2]], pa.float64()),
+            ], names=[f.name for f in schema.fields])
+
         for batch in batches:
-            for number, query, key, length, terms, values in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            kind = batch.column("key").type
+            for number, query, name, length, terms, values in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if number != now:
-                    if queries:
-                        yield best(shard, queries)
-                    now, docs, queries, shard = number, [], [], None
-                if not query:
-                    docs.append((key, length, np.frombuffer(terms, np.uint64), np.frombuffer(values, np.int32)))
-                    continue
-                if shard is None:
-                    if not docs:
-                        continue
-                    shard = Shard([d[0] for d in docs], np.array([d[1] for d in docs]), [d[2] for d in docs], [d[3] for d in docs], mean)
-                    docs = []
-                queries.append((key, np.frombuffer(terms, np.uint64), np.frombuffer(values, np.float64)))
-                if len(queries) == batch_rows:
-                    yield best(shard, queries)
-                    queries = []
-        if queries:
-            yield best(shard, queries)
-
-    return both.mapInArrow(run, f"query_id {kind}, doc_id {kind}, score double")
-
-
-def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text", k: int = 10, shard_rows: int = 16_384) -> DataFrame:
+                    if now is not None:
+                        yield out()
+                    now, docs, queries = number, [], []
+                if query:
+                    queries.append((name, np.frombuffer(terms, np.uint64), np.frombuffer(values, np.float64), 0.0))
+                else:
+                    docs.append((name, length, np.frombuffer(terms, np.uint64), np.frombuffer(values, np.int32)))
+        if now is not None:
+            yield out()
+
+    return both.mapInArrow(run, schema)
+
+
+def ask_shards(index: DataFrame, queries: list[tuple], mean: float, k: int, key: T.DataType) -> DataFrame:
+    """(query_id, doc_id, score) of the queries (id, terms, weights, floor, home) from all shards but their homes."""
+    asked = index.sparkSession.sparkContext.broadcast(queries)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                kind, number = batch.column("keys").type.value_type, batch.column("shard")[i].as_py()
+                some = [(n, np.frombuffer(t, np.uint64), np.frombuffer(w, np.float64), f) for n, t, w, f, home in asked.value if home != number]
+                keys = batch.column("keys")[i].as_py()
+                shard = Shard.loaded(batch.column("index")[i].as_buffer(), mean)
+                ids, docs, scores = hits(shard, keys, some, k)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(docs, kind), pa.array(scores, pa.float64())], names=["query_id", "doc_id", "score"])
+
+    return index.select("shard", "index", "keys").mapInArrow(run, T.StructType().add("query_id", key).add("doc_id", key).add("score", "double"))
+
+
+def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text", k: int = 10, shard_rows: int = SHARD_ROWS, chunk: int = CHUNK) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best documents of each query, by the whole texts of both."""
-    spark = docs.sparkSession
-    kind = docs.schema[key].dataType.simpleString()
+    spark, kind = docs.sparkSession, docs.schema[key].dataType
     asked = written(rows_of_terms(queries, key, text), "queries")
-    wanted = spark.sparkContext.broadcast(bit_table(exploded(asked).select(F.col("term").alias("v")).distinct()))
+    each = exploded(asked).groupBy("key", "term").agg(F.sum("n").alias("n"))
+    wanted = spark.sparkContext.broadcast(BitTable(each.select("term").distinct(), "term"))
     rows = written(rows_of_terms(docs, key, text, wanted), "documents")
-    n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    n, total, postings = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.sum(F.octet_length("terms")), F.lit(0)) / 8).first()
     mean = total / n if total else 1.0
+    shards = int(max(1, -(-n // shard_rows), -(-postings // SHARD_POSTINGS)))
     df = document_frequencies(rows)
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighed = exploded(asked).join(df, "term").select("key", F.struct("term", (F.col("n") * idf).alias("w")).alias("t"))
+    weighed = each.join(df, "term").select("key", F.struct("term", (F.col("n") * idf).alias("w")).alias("t"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = [sorted((x["term"] & (1 << 64) - 1, x["w"]) for x in some) for some in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.array([a for a, _ in x], np.uint64).tobytes() for x in t], pa.binary()), pa.array([np.array([b for _, b in x]).tobytes() for x in t], pa.binary())], names=["key", "terms", "vals"])
 
-    ready = weighed.groupBy("key").agg(F.collect_list("t").alias("ts")).mapInArrow(packed, f"key {kind}, terms binary, vals binary")
-    ready = written(ready, "weighted")
-    shards = max(1, -(-n // shard_rows))
-    dealt = rows.where("octet_length(terms) > 0").select(F.pmod(F.xxhash64("key", "terms"), F.lit(shards)).alias("shard"), F.lit(False).alias("query"), "key", "length", "terms", F.col("counts").alias("vals"))
-    sent = ready.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(True).alias("query"), "key", F.lit(0).cast("long").alias("length"), "terms", "vals")
-    both = dealt.union(sent).repartition(shards, "shard").sortWithinPartitions("shard", "query")
-    best = search_shards(both, mean, k, kind)
+    ready = weighed.groupBy("key").agg(F.collect_list("t").alias("ts")).mapInArrow(packed, T.StructType().add("key", kind).add("terms", "binary").add("vals", "binary"))
+    ready = written(ready.withColumn("shard", F.pmod(F.xxhash64("terms", F.lit(1)), F.lit(shards).cast("long"))), "weighted")
+    dealt = rows.where("octet_length(terms) > 0").select(F.pmod(F.xxhash64("key", "terms"), F.lit(shards).cast("long")).alias("shard"), F.lit(False).alias("query"), "key", "length", "terms", F.col("counts").alias("vals"))
+    home = ready.select("shard", F.lit(True).alias("query"), "key", F.lit(0).cast("long").alias("length"), "terms", "vals")
+    both = dealt.union(home).repartition(shards, "shard").sortWithinPartitions("shard", "query")
+    index = written(index_shards(both, mean, k, kind), "shards")
+    discard(asked, rows)
+    found = [index.where("index IS NULL").where("score IS NOT NULL").select("query_id", "doc_id", "score")]
+    if shards > 1:
+        reached = found[0].groupBy("query_id").agg(F.when(F.count("score") >= k, F.min("score")).otherwise(0.0).alias("floor"))
+        asked = ready.join(reached, ready["key"].eqNullSafe(reached["query_id"]), "left").select("key", "terms", "vals", F.coalesce("floor", F.lit(0.0)).alias("floor"), "shard")
+        chunks = max(1, -(-ready.agg(F.coalesce(F.sum(F.octet_length("terms") + F.octet_length("vals")), F.lit(0))).first()[0] // chunk))
+        asked = written(asked.withColumn("chunk", F.pmod(F.xxhash64("terms", F.lit(2)), F.lit(chunks))), "asked")
+        for c in range(chunks):  # a block of queries of about `chunk` bytes against all shards
+            block = [(r["key"], bytes(r["terms"]), bytes(r["vals"]), r["floor"], r["shard"]) for r in asked.where(F.col("chunk") == c).collect()]
+            if block:
+                found.append(written(ask_shards(index.where("index IS NOT NULL"), block, mean, k, kind), "found"))
+    best = found[0]
+    for more in found[1:]:
+        best = best.union(more)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
