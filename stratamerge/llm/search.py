@@ -27,7 +27,6 @@ length. An empty table gives an empty result. Columns other than key and text ar
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,10 +41,11 @@ from .common import BitTable, SpanHash, lower_ascii, pieces, utf8, words_of, wri
 K1, B = 1.2, 0.75
 BLOCK = 64
 DENSE = 384  # most frequent terms of a shard, whose impacts are held as rows of a matrix
-BATCH = 128  # queries that move together
-WINDOWS = 8  # steps in which the cursors pass the blocks
-SHARD_ROWS, SHARD_POSTINGS = 16_384, 4_000_000
-CHUNK = 8 << 20  # bytes of queries in a broadcast
+BATCH = 64  # queries that move together
+SLACK = 1e-4  # single precision is off by less than this share of a score
+WINDOWS = 4  # steps in which the cursors pass the blocks
+SHARD_ROWS, SHARD_POSTINGS = 8192, 2_000_000
+CHUNK = 16 << 20  # bytes of queries in a broadcast
 
 
 def word_bytes() -> np.ndarray:
@@ -160,7 +160,8 @@ class Shard:
 
     def __init__(self, size: int, length: np.ndarray, term: np.ndarray, doc: np.ndarray, tf: np.ndarray, mean: float):
         self.size, self.arrays = size, (length, term, doc, tf)
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / mean))
+        self.norm = K1 * (1 - B + B * length / mean)
+        self.impact = tf * (K1 + 1) / (tf + self.norm[doc])
         self.doc, self.blocks = doc, -(-size // BLOCK)
         begin = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, np.int64)
         self.terms, n = term[begin], np.diff(np.append(begin, len(term)))
@@ -175,11 +176,12 @@ class Shard:
         top = top[n[top] * 200 > size]
         self.row = np.full(len(begin), -1)
         self.row[top] = np.arange(len(top))
-        self.dense = np.zeros((len(top), size))
+        self.dense = np.zeros((len(top), size), np.float32)  # rough impacts; the exact ones follow from the counts
+        self.counts = np.zeros((len(top), size), np.int32)
         self.dense_most = np.zeros((len(top), self.blocks))
         for r, t in enumerate(top.tolist()):
             at = slice(begin[t], begin[t] + n[t])
-            self.dense[r, doc[at]] = self.impact[at]
+            self.dense[r, doc[at]], self.counts[r, doc[at]] = self.impact[at], tf[at]
             at = slice(self.entry[t], self.entry[t + 1])
             self.dense_most[r, self.block[at]] = self.most[at]
 
@@ -202,16 +204,25 @@ class Shard:
         by_term = np.lexsort((doc, term))
         return cls(len(terms), length[order], term[by_term], doc[by_term].astype(np.int32), tf[by_term].astype(np.int32), mean), order
 
-    def stored(self) -> bytes:
-        out = io.BytesIO()
-        np.savez(out, *self.arrays)
-        return out.getvalue()
+    def stored(self) -> list[bytes]:
+        """What an index row holds: lengths, terms, their postings' number, documents and frequencies, in the narrowest types."""
+        length, term, doc, tf = self.arrays
+        n = np.diff(np.append(np.searchsorted(term, self.terms), len(term)))
+        narrow = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0)))).tobytes()
+        return [length.astype(np.int64).tobytes(), self.terms.tobytes(), n.astype(np.int32).tobytes(), narrow(doc), narrow(tf)]
 
     @classmethod
-    def loaded(cls, data: bytes, mean: float) -> Shard:
-        arrays = np.load(io.BytesIO(data))
-        length, term, doc, tf = (arrays[f"arr_{i}"] for i in range(4))
-        return cls(len(length), length, term, doc, tf, mean)
+    def loaded(cls, stored: list[bytes], mean: float) -> Shard:
+        length, terms, n = (np.frombuffer(x, kind) for x, kind in zip(stored, (np.int64, np.uint64, np.int32), strict=False))
+        wide = lambda x: np.frombuffer(x, f"u{len(x) // max(int(n.sum()), 1) or 1}").astype(np.int32)
+        return cls(len(length), length, np.repeat(terms, n), wide(stored[3]), wide(stored[4]), mean)
+
+    def dense_bounds(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Bounds of the blocks by the frequent terms."""
+        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
+        ok = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+        row = self.row[at[ok]]
+        return weights[ok][row >= 0] @ self.dense_most[row[row >= 0]]
 
     def search(self, terms: list[np.ndarray], weights: list[np.ndarray], floor: np.ndarray, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
         """(documents, scores) of each query's best k of at least its floor, with all that tie; and how many (query, block) pairs were scored."""
@@ -228,20 +239,31 @@ class Shard:
         # the entries of all rarer terms
         n = self.entry[at + 1] - self.entry[at]
         entry, eq, ew = spread(self.entry[at], n), np.repeat(q, n), np.repeat(weight, n)
-        eb = self.block[entry]
-        bound = w @ self.dense_most + np.bincount(eq * self.blocks + eb, ew * self.most[entry], m * self.blocks).reshape(m, self.blocks)
+        cell = eq * self.blocks + self.block[entry]
+        bound = w @ self.dense_most + np.bincount(cell, ew * self.most[entry], m * self.blocks).reshape(m, self.blocks)
         bound *= 1 + 1e-9
-        scores, scored = np.zeros((m, self.size)), np.zeros((m, self.blocks), bool)
+        # scores by the rarer terms, exact, and by the frequent ones, in single precision
+        scores, rough, scored = np.zeros((m, self.size)), np.zeros((m, self.size), np.float32), np.zeros((m, self.blocks), bool)
+        single = w.astype(np.float32)
+        width = max(1, -(-self.blocks // WINDOWS))
+
+        flat = scores.reshape(-1)
 
         def score(pivots: np.ndarray) -> None:
-            nonlocal scores
-            some = pivots[eq, eb]
+            some = np.flatnonzero(pivots.ravel().take(cell))
             count = self.n[entry[some]]
             posting = spread(self.first[entry[some]], count)
-            np.add.at(scores, (np.repeat(eq[some], count), self.doc[posting]), np.repeat(ew[some], count) * self.impact[posting])
-            for block in np.flatnonzero(pivots.any(axis=0)).tolist():
-                who, s = np.flatnonzero(pivots[:, block]), slice(block * BLOCK, min((block + 1) * BLOCK, self.size))
-                scores[who, s] += w[who] @ self.dense[:, s]
+            np.add.at(flat, np.repeat(eq[some] * self.size, count) + self.doc[posting], np.repeat(ew[some], count) * self.impact[posting])
+            for lo in range(0, self.blocks, width):
+                part = pivots[:, lo : lo + width]
+                who, s = np.flatnonzero(part.any(axis=1)), slice(lo * BLOCK, min((lo + width) * BLOCK, self.size))
+                if part.sum() > 0.7 * len(who) * part.shape[1]:  # most of the window: one product, without what isn't a pivot
+                    more = single[who] @ self.dense[:, s]
+                    rough[who, s] += np.where(np.repeat(part[who], BLOCK, axis=1)[:, : more.shape[1]], more, 0)
+                    continue
+                for block in (np.flatnonzero(part.any(axis=0)) + lo).tolist():
+                    who, s = np.flatnonzero(pivots[:, block]), slice(block * BLOCK, min((block + 1) * BLOCK, self.size))
+                    rough[who, s] = single[who] @ self.dense[:, s]
             scored[pivots] = True
 
         def best_of(best: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -256,26 +278,35 @@ class Shard:
         np.put_along_axis(pivots, first, True, axis=1)
         score(pivots & (bound > 0) & (bound >= floor[:, None]))
         led = np.repeat(pivots, BLOCK, axis=1)[:, : self.size]
-        best = best_of(np.zeros((m, k)), np.where(led, scores, 0.0))
-        width = -(-self.blocks // WINDOWS)
+        best = best_of(np.zeros((m, k), np.float32), np.where(led, rough + scores.astype(np.float32), 0))
         for lo in range(0, self.blocks, width):
-            least = np.maximum(floor, best.min(axis=1) - 1e-6)[:, None]
+            least = np.maximum(floor - 1e-6, best.min(axis=1) * (1 - SLACK))[:, None]
             pivots = (bound >= least) & (bound > 0) & ~scored
             pivots[:, :lo] = pivots[:, lo + width :] = False
             if pivots.any():
                 score(pivots)
                 s = slice(lo * BLOCK, (lo + width) * BLOCK)
-                best = best_of(best, np.where(led[:, s], 0.0, scores[:, s]))
-        scores = np.round(scores, 6)
-        least = np.maximum(np.maximum(floor, np.round(best.min(axis=1), 6)), 1e-6)
-        who, found = np.nonzero(scores >= least[:, None])
+                best = best_of(best, np.where(led[:, s], 0, rough[:, s] + scores[:, s].astype(np.float32)))
+        # exact scores of all that may be among the best
+        least = np.maximum(np.maximum(floor, best.min(axis=1)) * (1 - SLACK) - 1e-6, 1e-9)
+        who, found = np.nonzero(rough + scores >= least[:, None])
+        count = self.counts[:, found]
+        exact = np.round(scores[who, found] + np.einsum("ij,ji->i", w[who], count * (K1 + 1) / (count + self.norm[found])), 6)
         cuts = np.searchsorted(who, np.arange(m + 1))
-        return [(found[i:j], scores[x, found[i:j]]) for x, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))], int(scored.sum())
+        out = []
+        for x, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            kth = np.partition(exact[i:j], j - i - k)[j - i - k] if j - i > k else 0.0
+            use = exact[i:j] >= max(kth, floor[x], 1e-6)
+            out.append((found[i:j][use], exact[i:j][use]))
+        return out, int(scored.sum())
 
 
 def hits(shard: Shard, keys: list, queries: list[tuple], k: int) -> tuple[list, list, list]:
-    """query ids, documents and scores of the queries (id, terms, weights, floor), at most k each."""
+    """query ids, documents and scores of the queries (id, terms, weights, floor), at most k each. Queries with pivots alike move together."""
     ids, docs, scores = [], [], []
+    if len(queries) > BATCH:
+        looks = np.stack([shard.dense_bounds(x[1], x[2]) for x in queries]).astype(np.float32)
+        queries = [queries[i] for i in alike_order(looks, BATCH).tolist()]
     for at in range(0, len(queries), BATCH):
         some = queries[at : at + BATCH]
         found, _ = shard.search([x[1] for x in some], [x[2] for x in some], np.array([x[3] for x in some]), k)
@@ -289,27 +320,32 @@ def hits(shard: Shard, keys: list, queries: list[tuple], k: int) -> tuple[list,
 
 # --- all shards -------------------------------------------------------------------------
 
+PARTS = ("lengths", "terms", "counts", "docs", "tfs")  # of a stored index
+
 
 def index_shards(both: DataFrame, mean: float, k: int, key: T.DataType) -> DataFrame:
     """Per shard a row with its index, and rows with the best k of the queries dealt to it.
 
     both: (shard, query, key, length, terms, vals), a shard's documents before its queries.
     """
-    schema = T.StructType().add("shard", "long").add("index", "binary").add("keys", T.ArrayType(key)).add("query_id", key).add("doc_id", key).add("score", "double")
+    schema = T.StructType().add("shard", "long")
+    for name in PARTS:
+        schema = schema.add(name, "binary")
+    schema = schema.add("keys", T.ArrayType(key)).add("query_id", key).add("doc_id", key).add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, docs, queries, kind = None, [], [], None
 
         def out() -> pa.RecordBatch:
             keys, rows = [], ([], [], [])
-            index = None
+            parts = [None] * len(PARTS)
             if docs:
                 shard, order = Shard.of([d[1] for d in docs], [d[2] for d in docs], [d[3] for d in docs], mean)
-                keys, index = [docs[i][0] for i in order.tolist()], shard.stored()
+                keys, parts = [docs[i][0] for i in order.tolist()], shard.stored()
                 rows = hits(shard, keys, queries, k)
             n = len(rows[0])
             return pa.RecordBatch.from_arrays([
-                pa.array([now] * (n + 1), pa.int64()), pa.array([index, *[None] * n], pa.binary()), pa.array([keys, *[None] * n], pa.list_(kind)),
+                pa.array([now] * (n + 1), pa.int64()), *[pa.array([x, *[None] * n], pa.binary()) for x in parts], pa.array([keys, *[None] * n], pa.list_(kind)),
                 pa.array([None, *rows[0]], kind), pa.array([None, *rows[1]], kind), pa.array([None, *rows[2]], pa.float64()),
             ], names=[f.name for f in schema.fields])
 
@@ -340,11 +376,11 @@ def ask_shards(index: DataFrame, queries: list[tuple], mean: float, k: int, key:
                 kind, number = batch.column("keys").type.value_type, batch.column("shard")[i].as_py()
                 some = [(n, np.frombuffer(t, np.uint64), np.frombuffer(w, np.float64), f) for n, t, w, f, home in asked.value if home != number]
                 keys = batch.column("keys")[i].as_py()
-                shard = Shard.loaded(batch.column("index")[i].as_buffer(), mean)
+                shard = Shard.loaded([batch.column(p)[i].as_buffer() for p in PARTS], mean)
                 ids, docs, scores = hits(shard, keys, some, k)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(docs, kind), pa.array(scores, pa.float64())], names=["query_id", "doc_id", "score"])
 
-    return index.select("shard", "index", "keys").mapInArrow(run, T.StructType().add("query_id", key).add("doc_id", key).add("score", "double"))
+    return index.select("shard", *PARTS, "keys").mapInArrow(run, T.StructType().add("query_id", key).add("doc_id", key).add("score", "double"))
 
 
 def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text", k: int = 10, shard_rows: int = SHARD_ROWS, chunk: int = CHUNK) -> DataFrame:
@@ -373,7 +409,7 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     both = dealt.union(home).repartition(shards, "shard").sortWithinPartitions("shard", "query")
     index = written(index_shards(both, mean, k, kind), "shards")
     discard(asked, rows)
-    found = [index.where("index IS NULL").where("score IS NOT NULL").select("query_id", "doc_id", "score")]
+    found = [index.where("score IS NOT NULL").select("query_id", "doc_id", "score")]
     if shards > 1:
         reached = found[0].groupBy("query_id").agg(F.when(F.count("score") >= k, F.min("score")).otherwise(0.0).alias("floor"))
         asked = ready.join(reached, ready["key"].eqNullSafe(reached["query_id"]), "left").select("key", "terms", "vals", F.coalesce("floor", F.lit(0.0)).alias("floor"), "shard")
@@ -382,7 +418,7 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
         for c in range(chunks):  # a block of queries of about `chunk` bytes against all shards
             block = [(r["key"], bytes(r["terms"]), bytes(r["vals"]), r["floor"], r["shard"]) for r in asked.where(F.col("chunk") == c).collect()]
             if block:
-                found.append(written(ask_shards(index.where("index IS NOT NULL"), block, mean, k, kind), "found"))
+                found.append(written(ask_shards(index.where("terms IS NOT NULL"), block, mean, k, kind), "found"))
     best = found[0]
     for more in found[1:]:
         best = best.union(more)
