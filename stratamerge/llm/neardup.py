@@ -8,21 +8,27 @@ one node, named by a 64-bit hash of the set; links are sought between different
    are l - 1 longer.
 2. So a set without enough keys that other sets have too has no links. Shared passages
    alone don't make a set a candidate.
-3. Candidates form leaves: sets with the same least shared key and of similar size, at
-   most a fixed number a leaf. A leaf node holds the OR of its sets' token bitmaps and their size range, and
-   finds its own links.
-4. Where a key occurs in several leaves, a tree over their nodes is traversed against
-   itself; node pairs go when their maximum possible overlap is below what any pair of
-   their sizes needs. Pairs left in enough blocks are verified set by set, with the same bound on pairs
-   of sets first. Pairs that are connected already need no check.
-   Sets of hot keys are first linked to few representatives. A leaf holds sets of one of the
-   components that arise, or of none, and leaves of the same one are not compared. The other
-   leaves of a key with very many are dealt into small units, and pairs of units over the tasks.
-5. Components of the links are found by large and small stars.
+3. Keys of the same candidates are one block, with their number as its weight.
+4. The sets of each block are checked against the block's least set (and large blocks in
+   parts too, by several hashes): links that are linear in the rows. Their components
+   contract: the leaves of the trees are few sets of one component and of similar size, or
+   a single set. A leaf's node holds the OR of its sets' token bitmaps, as wide as their
+   sizes ask for, and their size range.
+5. In each block, a tree over the nodes of its leaves is traversed against itself; node
+   pairs go when their maximum possible overlap is below what any pair of their sizes
+   needs, or when they are of one component. Leaves of a block with very many are dealt
+   into small units, and pairs of units over the tasks.
+   A pair that is left comes out of the least block that both leaves are in, if they meet
+   in as many keys as a link needs.
+6. These pairs are verified set by set, with the same bound on pairs of sets first. Pairs
+   that are connected already need no check.
+7. Components of the links are found by large and small stars.
 
 Nulls and texts without words have an empty set and are linked with nothing. Repeated
 rows are copies of each other. Components are named by their least id (null ids are
-passed over; null if there is no other).
+passed over; null if there is no other). A text is read whole, whatever its length. Of
+ties nothing depends: links have no order. An empty table gives an empty result. Columns
+other than key and text are not read.
 """
 
 from __future__ import annotations
@@ -34,16 +40,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, pieces, runs, shingles, utf8, written
+from ..sources.scratch import discard
+from .common import BitTable, mix, pieces, runs, shingles, utf8, written
 from .components import components
 
-WIDTH = 512  # bits of a signature
-FILTER = 1 << 26  # bits of the filter for candidates
-LEAF = 128  # sets of a leaf at most
-HOT = 128  # keys of more sets are linked to representatives first
-UNIT = 256  # about so many leaves of a key are compared in one step
+LEAF = 16  # sets of a leaf at most
+HOT = 128  # blocks of more sets are linked to several representatives
+UNIT = 256  # about so many leaves of a block are compared in one step
 GUESTS = 4096  # about so many sets meet one copy of their representative
 VISITS = 64  # about so many leaves meet one copy of their host
+BITS = 8  # bits of a bitmap for each shingle, at least
 
 
 def need(n, m, percent: int):
@@ -126,17 +132,6 @@ def candidates(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return shared.groupBy("sid").agg(F.countDistinct("key").alias("met")).join(sizes, "sid").where(F.col("met") > F.floor(least / 10)).select("sid")
 
 
-def candidate_filter(sids: DataFrame) -> np.ndarray:
-    """Bit table over the names of the candidates (FILTER bits whatever the corpus)."""
-    at = sids.select(F.pmod("sid", F.lit(FILTER)).alias("at"))
-    # 32,768 bits a row: bitmap_construct_agg takes positions in a bucket
-    at = at.groupBy(F.expr("at div 32768").alias("bucket")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(32768))).alias("bits"))
-    table = np.zeros((FILTER // 32768, 4096), np.uint8)
-    for r in at.collect():
-        table[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return table.ravel()
-
-
 def sets_of(docs: DataFrame, text: str, k: int, wanted) -> DataFrame:
     """(sid, members) of the sets that the filter lets pass, once a task."""
 
@@ -147,9 +142,7 @@ def sets_of(docs: DataFrame, text: str, k: int, wanted) -> DataFrame:
             for i, j in pieces(offsets, 1_000_000):
                 h, cuts = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
                 sid, n = set_ids(h, cuts), np.diff(cuts)
-                at = np.mod(sid, FILTER)
-                ok = (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-                rows = [r for r in np.flatnonzero(ok & (n > 0)).tolist() if not (sid[r] in met or met.add(sid[r]))]
+                rows = [r for r in np.flatnonzero(table.has(sid) & (n > 0)).tolist() if not (sid[r] in met or met.add(sid[r]))]
                 yield pa.RecordBatch.from_arrays([pa.array(sid[rows]), pa.array([h[cuts[r] : cuts[r + 1]].tobytes() for r in rows], pa.binary())], names=["sid", "members"])
 
     return docs.select(text).mapInArrow(make, "sid long, members binary")
@@ -157,22 +150,26 @@ def sets_of(docs: DataFrame, text: str, k: int, wanted) -> DataFrame:
 
 def size_class(n, percent: int):
     """Sizes of linked sets differ by the threshold at most: they are in the same class or the next."""
-    return F.floor(F.log(n) / F.log(F.lit(100 / percent)))
+    return F.floor(F.log(n) / F.log(F.lit(100 / percent))).cast("int")
+
+
+def blocks_of(shared: DataFrame) -> DataFrame:
+    """(block, weight, c, sid): the c sets of keys that are all in the same sets; weight: how many keys."""
+    keys = shared.groupBy("key").agg(F.count("sid").alias("c"), *[F.bit_xor(F.xxhash64("sid", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
+    blocks = keys.groupBy("c", "h1", "h2").agg(F.min("key").alias("key"), F.count("key").alias("weight"))
+    return shared.join(blocks.select("key", "weight", "c"), "key").select(F.col("key").alias("block"), "weight", "c", "sid")
 
 
-def hot_links(shared: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links (a, b) of sets of hot keys with representatives: the least set of the key, and those of its parts by two hashes; None without hot keys."""
-    counts = written(shared.groupBy("key").agg(F.count("sid").alias("c")).where(F.col("c") > HOT), "hot")
-    if counts.isEmpty():
-        return None
-    hot = shared.join(counts, "key")
-    # powers of two, so that keys of about the same sets have the same parts
+def star_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the sets of blocks with representatives: the least set of the block, and in large ones those of its parts by two hashes."""
+    # powers of two, so that blocks of about the same sets have the same parts
     parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("c") / HOT))).cast("long")
     met = None
     for turn in range(3):
-        dealt = hot.select("key", "sid", (F.pmod(F.xxhash64("sid", F.lit(turn)), parts) if turn else F.lit(0).cast("long")).alias("part"))
-        least = dealt.groupBy("key", "part").agg(F.min("sid").alias("to"))
-        one = dealt.join(least, ["key", "part"]).where("sid <> to").groupBy("sid", "to").agg(F.count("key").alias("met"))
+        some = blocks.where(F.col("c") > HOT) if turn else blocks
+        dealt = some.select("block", "weight", "sid", (F.pmod(F.xxhash64("sid", F.lit(turn)), parts) if turn else F.lit(0).cast("long")).alias("part"))
+        least = dealt.groupBy("block", "part").agg(F.min("sid").alias("to"))
+        one = dealt.join(least, ["block", "part"]).where("sid <> to").groupBy("sid", "to").agg(F.sum("weight").alias("met"))
         met = one if met is None else met.union(one)
     # a hint only: what is passed over here is still compared leaf by leaf
     enough = F.col("met") > F.floor(F.ceil(F.col("n") * percent / 100) / 10)
@@ -199,9 +196,14 @@ def hot_links(shared: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int
 # --- nodes and their traversal ----------------------------------------------------------
 
 
-def signature(members: np.ndarray) -> np.ndarray:
-    bits = np.zeros(WIDTH, bool)
-    bits[(members % np.uint64(WIDTH)).astype(np.int64)] = True
+def width_of(size: int, percent: int) -> int:
+    """Bits of the bitmaps of a size class: a power of two."""
+    return 1 << max(9, int(np.ceil(np.log2(BITS * (100 / percent) ** (size + 1)))))
+
+
+def signature(members: np.ndarray, width: int) -> np.ndarray:
+    bits = np.zeros(width, bool)
+    bits[(members & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.uint64)
 
 
@@ -210,42 +212,64 @@ def ones(x: np.ndarray) -> np.ndarray:
 
 
 class Nodes:
-    """Parallel arrays of nodes: OR of signatures, size range, and the most members that share bits (slack)."""
+    """Parallel arrays of nodes: OR of signatures, size range, the most members that share bits (slack), and a component if all have the same (else 0)."""
 
-    def __init__(self, bits: np.ndarray, least: np.ndarray, most: np.ndarray, slack: np.ndarray):
-        self.bits, self.least, self.most, self.slack = bits, least, most, slack
+    def __init__(self, bits: np.ndarray, least: np.ndarray, most: np.ndarray, slack: np.ndarray, root: np.ndarray):
+        self.bits, self.least, self.most, self.slack, self.root = bits, least, most, slack, root
 
     def possible(self, i: np.ndarray, other: Nodes, j: np.ndarray, percent: int) -> np.ndarray:
-        """Whether some set below i and some below j can overlap as much as their sizes need."""
-        overlap = ones(self.bits[i] & other.bits[j]) + np.minimum(self.slack[i], other.slack[j])
-        overlap = np.minimum(overlap, np.minimum(self.most[i], other.most[j]))
-        sizes = (100 * self.most[i] >= percent * other.least[j]) & (100 * other.most[j] >= percent * self.least[i])
-        return sizes & (overlap >= need(self.least[i], other.least[j], percent))
+        """Whether some set below i and some below j can overlap as much as their sizes need, in different components."""
+        ok = (100 * self.most[i] >= percent * other.least[j]) & (100 * other.most[j] >= percent * self.least[i]) & ((self.root[i] != other.root[j]) | (self.root[i] == 0))
+        step = max(1, (1 << 20) // self.bits.shape[1])  # pairs of about 8 MB of bits
+        at = np.flatnonzero(ok)
+        for a in range(0, len(at), step):
+            some = at[a : a + step]
+            x, y = i[some], j[some]
+            overlap = ones(self.bits[x] & other.bits[y]) + np.minimum(self.slack[x], other.slack[y])
+            overlap = np.minimum(overlap, np.minimum(self.most[x], other.most[y]))
+            ok[some] = overlap >= need(self.least[x], other.least[y], percent)
+        return ok
 
     def parents(self, fan: int) -> Nodes:
         at = np.arange(0, len(self.least), fan)
-        return Nodes(np.bitwise_or.reduceat(self.bits, at), np.minimum.reduceat(self.least, at), np.maximum.reduceat(self.most, at), np.maximum.reduceat(self.slack, at))
-
-
-def traverse(leaves: Nodes, percent: int, fan: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs i < j of leaves that the bounds leave, by descending a tree against itself."""
-    levels = [leaves]
-    while len(levels[-1].least) > fan:
-        levels.append(levels[-1].parents(fan))
-    n = len(levels[-1].least)
-    i, j = np.triu_indices(n)
-    for depth in range(len(levels) - 1, -1, -1):
-        ok = levels[depth].possible(i, levels[depth], j, percent)
+        low, high = np.minimum.reduceat(self.root, at), np.maximum.reduceat(self.root, at)
+        return Nodes(np.bitwise_or.reduceat(self.bits, at), np.minimum.reduceat(self.least, at), np.maximum.reduceat(self.most, at), np.maximum.reduceat(self.slack, at), np.where(low == high, low, 0))
+
+    def folded(self, words: int) -> Nodes:
+        """With bitmaps of so many words: bits that fall together count as more slack."""
+        if self.bits.shape[1] == words:
+            return self
+        bits = np.bitwise_or.reduce(self.bits.reshape(len(self.bits), -1, words), axis=1)
+        return Nodes(bits, self.least, self.most, self.slack + ones(self.bits) - ones(bits), self.root)
+
+    def some(self, at) -> Nodes:
+        return Nodes(self.bits[at], self.least[at], self.most[at], self.slack[at], self.root[at])
+
+
+def traverse(left: Nodes, right: Nodes | None, percent: int, fan: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of leaves that the bounds leave, by descending two trees together; right None: a tree against itself, pairs i < j."""
+    alone = right is None
+    sides = [[left], [left if alone else right]]
+    while max(len(sides[0][-1].least), len(sides[1][-1].least)) > fan:
+        for side in sides[:1] if alone else sides:
+            side.append(side[-1].parents(fan))
+        if alone:
+            sides[1] = sides[0]
+    n, m = len(sides[0][-1].least), len(sides[1][-1].least)
+    i, j = np.triu_indices(n) if alone else (x.ravel() for x in np.indices((n, m)))
+    for depth in range(len(sides[0]) - 1, -1, -1):
+        x, y = sides[0][depth], sides[1][depth]
+        ok = x.possible(i, y, j, percent)
         if depth == 0:
-            ok &= i < j
+            ok &= (i < j) if alone else True
             return i[ok], j[ok]
-        ok |= i == j
+        if alone:
+            ok |= i == j
         i, j = i[ok], j[ok]
         step = np.arange(fan)
         i, j = np.broadcast_arrays(i[:, None, None] * fan + step[None, :, None], j[:, None, None] * fan + step[None, None, :])
         i, j = i.ravel(), j.ravel()
-        below = len(levels[depth - 1].least)
-        use = (i < below) & (j < below) & (i <= j)
+        use = (i < len(sides[0][depth - 1].least)) & (j < len(sides[1][depth - 1].least)) & ((i <= j) if alone else True)
         i, j = i[use], j[use]
     raise AssertionError
 
@@ -264,17 +288,17 @@ class Union:
         self.up[self.find(x)] = self.find(y)
 
 
-def nodes_of(sets: list[np.ndarray]) -> Nodes:
-    bits = np.array([signature(s) for s in sets])
+def nodes_of(sets: list[np.ndarray], width: int) -> Nodes:
+    bits = np.array([signature(s, width) for s in sets])
     n = np.array([len(s) for s in sets])
-    return Nodes(bits, n, n, n - ones(bits))
+    return Nodes(bits, n, n, n - ones(bits), np.zeros(len(n), np.int64))
 
 
 class Leaf:
     """Sets of a leaf with their nodes."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets, self.nodes = sets, nodes_of(sets)
+    def __init__(self, sets: list[np.ndarray], width: int):
+        self.sets, self.nodes = sets, nodes_of(sets, width)
         self.all = np.concatenate(sets)
         self.begin = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
 
@@ -282,14 +306,13 @@ class Leaf:
 def links(left: Leaf, right: Leaf, percent: int, joined: Union, shift: int) -> list[tuple[int, int]]:
     """Links of left sets (numbers 0..) with right ones (numbers shift..) that connect what isn't connected."""
     out = []
-    every = np.arange(len(right.sets))
+    every, words = np.arange(len(right.sets)), min(left.nodes.bits.shape[1], right.nodes.bits.shape[1])
+    ours, theirs = left.nodes.folded(words), right.nodes.folded(words)
     roots = {joined.find(i) for i in range(len(left.sets))} | {joined.find(shift + j) for j in every.tolist()}
     for i, s in enumerate(left.sets):
         if len(roots) == 1:
             break
-        ok = left.nodes.possible(np.full(len(every), i), right.nodes, every, percent)
-        if shift == 0:
-            ok &= every > i
+        ok = ours.possible(np.full(len(every), i), theirs, every, percent)
         rest = [j for j in np.flatnonzero(ok).tolist() if joined.find(i) != joined.find(shift + j)]
         if not rest:
             continue
@@ -307,113 +330,112 @@ def links(left: Leaf, right: Leaf, percent: int, joined: Union, shift: int) -> l
     return out
 
 
-LEAVES = "leaf long, root long, least long, most long, slack long, bits binary, sids array<long>, sets array<binary>, edges array<struct<a:int,b:int>>"
-EDGE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+LEAVES = "leaf long, root long, size int, least long, most long, slack long, bits binary, sids array<long>, sets array<binary>"
 
 
 def build_leaves(sets: DataFrame, percent: int) -> DataFrame:
-    """One row per leaf from (first, size, root, part, sid, members): its node, its sets and the links among them.
+    """One row per leaf from (root, size, part, sid, members): its node and its sets.
 
-    Sets with the same first, size, root and part are neighbours; every LEAF of them are a leaf.
-    Those with a root (not 0) are connected already.
+    Sets of the same root, size class and part are neighbours; every LEAF of them are a
+    leaf. Those with a root (not 0) are connected already; a set without one is a leaf.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, sids, sets = None, [], []
 
         def leaf() -> pa.RecordBatch:
-            own = Leaf(sets)
-            inside = [(i, i + 1) for i in range(len(sets) - 1)] if key[2] else links(own, own, percent, Union(len(sets)), 0)
-            nodes = own.nodes
+            nodes = nodes_of(sets, width_of(key[1], percent))
             return pa.RecordBatch.from_arrays([
-                pa.array([sids[0]]), pa.array([key[2]]), pa.array([int(nodes.least.min())]), pa.array([int(nodes.most.max())]), pa.array([int(nodes.slack.max())]),
-                pa.array([np.bitwise_or.reduce(nodes.bits).tobytes()], pa.binary()), pa.array([sids], pa.list_(pa.int64())),
-                pa.array([[s.tobytes() for s in sets]], pa.list_(pa.binary())), pa.array([[{"a": x, "b": y} for x, y in inside]], EDGE),
-            ], names=["leaf", "root", "least", "most", "slack", "bits", "sids", "sets", "edges"])
+                pa.array([sids[0]]), pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([int(nodes.least.min())]), pa.array([int(nodes.most.max())]), pa.array([int(nodes.slack.max())]),
+                pa.array([np.bitwise_or.reduce(nodes.bits).tobytes()], pa.binary()), pa.array([sids], pa.list_(pa.int64())), pa.array([[s.tobytes() for s in sets]], pa.list_(pa.binary())),
+            ], names=["leaf", "root", "size", "least", "most", "slack", "bits", "sids", "sets"])
 
         for batch in batches:
-            for first, size, root, part, sid, members in zip(*[batch.column(c).to_pylist() for c in ("first", "size", "root", "part", "sid", "members")], strict=True):
-                if sids and (key != (first, size, root, part) or len(sids) == LEAF):
+            for root, size, part, sid, members in zip(*[batch.column(c).to_pylist() for c in ("root", "size", "part", "sid", "members")], strict=True):
+                if sids and (key != (root, size, part) or len(sids) == LEAF or not root and sid != sids[-1]):
                     yield leaf()
                     sids, sets = [], []
-                key = (first, size, root, part)
+                key = (root, size, part)
                 if not sids or sid != sids[-1]:
                     sids.append(sid)
                     sets.append(np.frombuffer(members, np.uint64))
         if sids:
             yield leaf()
 
-    return sets.select("first", "size", "root", "part", "sid", "members").repartition("first", "size", "root", "part").sortWithinPartitions("first", "size", "root", "part", "sid").mapInArrow(build, LEAVES)
-
-
-SMALL = 8  # blocks of so many leaves are compared without a tree
+    return sets.select("root", "size", "part", "sid", "members").repartition("root", "size", "part").sortWithinPartitions("root", "size", "part", "sid").mapInArrow(build, LEAVES)
 
 
-def block_pairs(key: np.ndarray, nodes: Nodes, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs i < j of rows of the same key that may hold a link; rows come sorted by key."""
-    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    size = np.diff(np.append(begin, len(key)))
-    small = np.repeat(size <= SMALL, size)
-    left, right = [], []
-    for d in range(1, min(SMALL, len(key))):
-        i = np.flatnonzero((key[:-d] == key[d:]) & small[:-d])
-        i = i[nodes.possible(i, nodes, i + d, percent)]
-        left.append(i)
-        right.append(i + d)
-    for at, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-        own = np.arange(at, at + n)[np.argsort(nodes.least[at : at + n], kind="stable")]
-        i, j = traverse(Nodes(nodes.bits[own], nodes.least[own], nodes.most[own], nodes.slack[own]), percent)
-        left.append(own[i])
-        right.append(own[j])
-    return np.concatenate([np.zeros(0, np.int64), *left]), np.concatenate([np.zeros(0, np.int64), *right])
+NODE = ("root", "size", "least", "most", "slack", "bits", "blocks")
 
 
-def node_rows(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, Nodes]:
-    """Leaves, roots and nodes of rows of blocks."""
+def node_rows(rows: pa.Table) -> tuple[np.ndarray, Nodes]:
+    """Leaves and nodes of rows of one size class."""
     get = lambda c: rows.column(c).to_numpy()
     bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(rows.num_rows, -1)
-    return get("leaf"), get("root"), Nodes(bits, get("least"), get("most"), get("slack"))
+    return get("leaf"), Nodes(bits, get("least"), get("most"), get("slack"), get("root"))
 
 
-def counted_pairs(leaf: np.ndarray, root: np.ndarray, least: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
-    """Pairs of rows of blocks as pairs of leaves with the blocks they met in; without those of one component."""
-    apart = (root[i] != root[j]) | (root[i] == 0)
-    i, j = i[apart], j[apart]
-    one, two, enough = np.minimum(leaf[i], leaf[j]), np.maximum(leaf[i], leaf[j]), 1 + extra(np.minimum(least[i], least[j]))
-    order = np.lexsort((two, one))
-    one, two, enough = one[order], two[order], enough[order]
-    at = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])) if len(one) else np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(one[at]), pa.array(two[at]), pa.array(np.diff(np.append(at, len(one)))), pa.array(enough[at])], names=["one", "two", "met", "need"])
+def meetings(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, block and weight of all that rows list as the blocks of their leaves."""
+    lists = pa.concat_arrays(rows.column("blocks").chunks)
+    each = lists.flatten()
+    row = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return row, each.field("block").to_numpy(), each.field("weight").to_numpy()
 
 
-COUNTED = "one long, two long, met long, need long"
+def pairs_between(left: pa.Table, right: pa.Table | None, percent: int) -> pa.RecordBatch:
+    """(one, two) of the leaf pairs of two size classes that the trees leave and that meet in enough keys; right None: of one class with itself.
+
+    A pair that meets in several blocks comes out of the least of them.
+    """
+    leaf, nodes = node_rows(left)
+    if right is None:
+        other, across = leaf, nodes
+        i, j = traverse(nodes, None, percent)
+    else:
+        other, across = node_rows(right)
+        words = min(nodes.bits.shape[1], across.bits.shape[1])
+        i, j = traverse(nodes.folded(words), across.folded(words), percent)
+    keep = np.zeros(len(i), bool)
+    if len(i):
+        here = [meetings(left), meetings(left if right is None else right)]
+        blocks, at = np.unique(np.concatenate([b for _, b, _ in here]), return_inverse=True)
+        weight = np.zeros(len(blocks))
+        weight[at] = np.concatenate([w for _, _, w in here])
+        tables, cut = [], 0
+        for n, (row, block, _) in zip((len(leaf), len(other)), here, strict=True):
+            tables.append(np.zeros((n, len(blocks)), bool))
+            tables[-1][row, at[cut : cut + len(block)]] = True
+            cut += len(block)
+        own = int(np.searchsorted(blocks, left.column("block")[0].as_py()))
+        enough = 1 + extra(np.minimum(nodes.least[i], across.least[j]))
+        step = max(1, (1 << 23) // len(blocks))
+        for a in range(0, len(i), step):
+            s = slice(a, a + step)
+            both = tables[0][i[s]] & tables[1][j[s]]
+            keep[s] = (both.argmax(axis=1) == own) & (both @ weight >= enough[s])
+    i, j = i[keep], j[keep]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(leaf[i], other[j])), pa.array(np.maximum(leaf[i], other[j]))], names=["one", "two"])
+
+
+PAIRS = "one long, two long"
 
 
 def leaf_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """(one, two, met, need) of the leaves that meet in blocks (key, leaf, root, node columns) of at most UNIT leaves."""
+    """(one, two) of the leaves that meet in blocks (block, leaf, node columns) of at most UNIT leaves."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-
-        def of(rows: pa.Table) -> pa.RecordBatch:
-            leaf, root, nodes = node_rows(rows)
-            return counted_pairs(leaf, root, nodes.least, *block_pairs(rows.column("key").to_numpy(), nodes, percent))
-
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([held, rows]) if held is not None else rows
-            if rows.num_rows < 20_000:
-                held = rows
-                continue
-            key = rows.column("key").to_numpy()
-            cut = int(np.searchsorted(key, key[-1]))
-            if cut:
-                yield of(rows.slice(0, cut))
-            held = rows.slice(cut)
-        if held is not None and held.num_rows:
-            yield of(held)
+        for rows in runs(batches, ["block"]):
+            size = rows.column("size").to_numpy()
+            cuts = [0, *(np.flatnonzero(size[1:] != size[:-1]) + 1).tolist(), len(size)]
+            parts = [rows.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            for part, after in zip(parts, [*parts[1:], None], strict=True):
+                if part.num_rows > 1:
+                    yield pairs_between(part, None, percent)
+                if after is not None and after.column("size")[0].as_py() == part.column("size")[0].as_py() + 1:
+                    yield pairs_between(part, after, percent)
 
-    return blocks.select("key", "leaf", "root", "least", "most", "slack", "bits").repartition("key").sortWithinPartitions("key", "leaf").mapInArrow(pairs, COUNTED)
+    return blocks.select("block", "leaf", *NODE).repartition("block").sortWithinPartitions("block", "size", "least").mapInArrow(pairs, PAIRS)
 
 
 def unit_pairs(blocks: DataFrame, percent: int) -> DataFrame:
@@ -422,38 +444,30 @@ def unit_pairs(blocks: DataFrame, percent: int) -> DataFrame:
     A unit holds leaves of one size class, and of one component where that has many;
     units of the same component don't meet.
     """
-    own = blocks.select("key", "leaf", "root", "least", "most", "slack", "bits", size_class(F.col("least"), percent).alias("size"))
-    held = own.groupBy("key", "root", "size").agg(F.count("leaf").alias("c"))
+    own = blocks.select("block", "leaf", *NODE)
+    held = own.groupBy("block", "root", "size").agg(F.count("leaf").alias("c"))
     held = held.withColumn("pool", F.when(F.col("c") >= UNIT, F.col("root")).otherwise(0))
-    pools = held.groupBy("key", "pool", "size").agg(F.ceil(F.sum("c") / UNIT).alias("parts"))
-    placed = own.join(held.select("key", "root", "size", "pool"), ["key", "root", "size"]).join(pools, ["key", "pool", "size"])
+    pools = held.groupBy("block", "pool", "size").agg(F.ceil(F.sum("c") / UNIT).alias("parts"))
+    placed = own.join(held.select("block", "root", "size", "pool"), ["block", "root", "size"]).join(pools, ["block", "pool", "size"])
     placed = placed.withColumn("part", F.pmod(F.xxhash64("leaf"), "parts")).withColumn("unit", F.concat_ws(":", "pool", "size", "part"))
-    units = pools.select("key", "pool", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    units = units.select("key", "pool", "size", F.concat_ws(":", "pool", "size", "part").alias("unit"))
-    one, two = (units.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("pool", "size", "unit")]) for i in (1, 2))
-    steps = one.join(two, "key").where("unit1 <= unit2 AND abs(size1 - size2) <= 1 AND (pool1 <> pool2 OR pool1 = 0)")
-    steps = steps.select("key", "unit1", "unit2", F.concat_ws("|", "key", "unit1", "unit2").alias("step"))
-    sides = [steps.select("key", F.col("unit1").alias("unit"), "step", F.lit(0).alias("side")), steps.where("unit1 <> unit2").select("key", F.col("unit2").alias("unit"), "step", F.lit(1).alias("side"))]
-    rows = sides[0].union(sides[1]).join(placed, ["key", "unit"]).select("step", "side", "leaf", "root", "least", "most", "slack", "bits")
+    units = pools.select("block", "pool", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    units = units.select("block", "pool", "size", F.concat_ws(":", "pool", "size", "part").alias("unit"))
+    one, two = (units.select("block", *[F.col(c).alias(f"{c}{i}") for c in ("pool", "size", "unit")]) for i in (1, 2))
+    steps = one.join(two, "block").where("(size1 < size2 OR size1 = size2 AND unit1 <= unit2) AND size2 - size1 <= 1 AND (pool1 <> pool2 OR pool1 = 0)")
+    steps = steps.select("block", "unit1", "unit2", F.concat_ws("|", "block", "unit1", "unit2").alias("step"))
+    sides = [steps.select("block", F.col("unit1").alias("unit"), "step", F.when(F.col("unit1") == F.col("unit2"), 2).otherwise(0).alias("side")), steps.where("unit1 <> unit2").select("block", F.col("unit2").alias("unit"), "step", F.lit(1).alias("side"))]
+    rows = sides[0].union(sides[1]).join(placed, ["block", "unit"]).select("step", "side", "block", "leaf", *NODE)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in runs(batches, ["step"]):
-            leaf, root, nodes = node_rows(step)
             side = step.column("side").to_numpy()
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            if not len(right):  # a unit and itself
-                i, j = np.triu_indices(len(left), 1)
-            else:
-                i, j = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
-            ok = nodes.possible(i, nodes, j, percent)
-            yield counted_pairs(leaf, root, nodes.least, i[ok], j[ok])
-
-    return rows.repartition("step").sortWithinPartitions("step", "side").mapInArrow(pairs, COUNTED)
-
+            first = int((side == 0).sum())
+            if side[0] == 2:  # a unit with itself
+                yield pairs_between(step, None, percent)
+            elif 0 < first < step.num_rows:
+                yield pairs_between(step.slice(0, first), step.slice(first), percent)
 
-def enough_met(counted: DataFrame) -> DataFrame:
-    """Pairs of leaves that meet in as many blocks as a link between them needs."""
-    return counted.groupBy("one", "two").agg(F.sum("met").alias("met"), F.max("need").alias("need")).where("met >= need").select("one", "two")
+    return rows.repartition("step").sortWithinPartitions("step", "side", "least").mapInArrow(pairs, PAIRS)
 
 
 def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
@@ -463,23 +477,22 @@ def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     sized = sized.select(F.when(F.col("c1") >= F.col("c2"), F.col("one")).otherwise(F.col("two")).alias("home"), F.when(F.col("c1") >= F.col("c2"), F.col("two")).otherwise(F.col("one")).alias("leaf"))
     spread = sized.groupBy("home").agg(F.ceil(F.count("leaf") / VISITS).alias("parts"))
     dealt = sized.join(spread, "home").withColumn("part", F.pmod(F.xxhash64("leaf"), "parts"))
-    guests = dealt.join(leaves.select("leaf", "sids", "sets", "edges"), "leaf").select("home", "part", F.col("leaf").alias("guest"), "sids", "sets", "edges")
-    hosts = leaves.join(spread.select(F.col("home").alias("leaf"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")), "leaf").select(F.col("leaf").alias("home"), "part", F.lit(None).cast("long").alias("guest"), "sids", "sets", "edges")
+    guests = dealt.join(leaves.select("leaf", "root", "size", "sids", "sets"), "leaf").select("home", "part", F.col("leaf").alias("guest"), "root", "size", "sids", "sets")
+    hosts = leaves.join(spread.select(F.col("home").alias("leaf"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")), "leaf").select(F.col("leaf").alias("home"), "part", F.lit(None).cast("long").alias("guest"), "root", "size", "sids", "sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host = own = n = None
         for batch in batches:
             found = []
             for r in batch.to_pylist():
-                leaf = Leaf([np.frombuffer(x, np.uint64) for x in r["sets"]])
+                leaf = Leaf([np.frombuffer(x, np.uint64) for x in r["sets"]], width_of(r["size"], percent))
                 if r["guest"] is None:
                     host, own, n = leaf, r, len(leaf.sets)
                     continue
                 joined = Union(n + len(leaf.sets))
-                for e in own["edges"]:
-                    joined.join(e["a"], e["b"])
-                for e in r["edges"]:
-                    joined.join(n + e["a"], n + e["b"])
+                for begin, end in ((0, n), (n, n + len(leaf.sets))):  # the sets of a leaf are connected
+                    for x in range(begin, end - 1):
+                        joined.join(x, x + 1)
                 found += [(own["sids"][i], r["sids"][j - n]) for i, j in links(host, leaf, percent, joined, n)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
 
@@ -498,31 +511,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     sizes = news.select("sid", F.col("n_shingles").alias("n")).distinct()
     shared = written(shared_keys(news.select(F.explode("keys").alias("key"), "sid")), "shared")
     for _ in range(2):  # the second time by the keys that candidates share with candidates
-        shared = shared.join(candidates(shared, sizes, percent), "sid", "left_semi")
-        met = shared.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
-        shared = written(shared.join(met, "key", "left_semi").select("key", "sid"), "shared")
-    wanted = context.broadcast(candidate_filter(candidates(shared, sizes, percent)))
-    sets = written(sets_of(docs, text, k, wanted), "members")
-    known = hot_links(shared, sizes, sets, percent)
-    known = docs.sparkSession.createDataFrame([], "node long, root long") if known is None else components(known)
-    members = shared.groupBy("sid").agg(F.min("key").alias("first")).join(sizes, "sid").withColumn("size", size_class(F.col("n"), percent))
-    members = members.join(known.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", F.lit(0).cast("long")))
-    # the root's own component is named by itself; 0 names the empty set and so no root
-    roots_too = known.select(F.col("root").alias("sid"), F.col("root").alias("own")).distinct()
-    members = members.join(roots_too, "sid", "left").withColumn("root", F.coalesce("own", "root")).drop("own")
-    groups = members.groupBy("first", "size", "root").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
-    members = members.join(groups, ["first", "size", "root"]).select("sid", "first", "size", "root", F.pmod("sid", "parts").alias("part"))
+        left = shared.join(candidates(shared, sizes, percent), "sid", "left_semi")
+        met = left.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
+        left = written(left.join(met, "key", "left_semi").select("key", "sid").distinct(), "shared")
+        discard(shared)
+        shared = left
+    wanted = context.broadcast(BitTable(candidates(shared, sizes, percent), "sid"))
+    sets = written(sets_of(docs, text, k, wanted).dropDuplicates(["sid"]), "members")
+    blocks = written(blocks_of(shared), "blocks")
+    known = components(star_links(blocks, sizes, sets, percent))
+    members = blocks.select("sid").distinct().join(sizes, "sid").withColumn("size", size_class(F.col("n"), percent))
+    both = known.union(known.select("root", "root")).distinct()  # the root too; 0 names the empty set and so no root
+    members = members.join(both.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", F.lit(0).cast("long")))
+    groups = members.where("root <> 0").groupBy("root", "size").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
+    members = members.join(groups, ["root", "size"], "left").select("sid", "size", "root", F.when(F.col("root") == 0, F.col("sid")).otherwise(F.pmod("sid", "parts")).alias("part"))
     leaves = written(build_leaves(sets.join(members, "sid"), percent), "leaves")
-    blocks = shared.join(leaves.select("leaf", F.explode("sids").alias("sid")), "sid").select("key", "leaf").distinct()
-    busy = written(blocks.groupBy("key").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"), F.count("leaf").alias("c")).where("lo < hi").select("key", "c"), "busy")
-    nodes = leaves.select("leaf", "root", "least", "most", "slack", "bits")
-    meet = lambda keys: blocks.join(keys.select("key"), "key", "left_semi").join(nodes, "leaf")
-    counted, many = leaf_pairs(meet(busy.where(F.col("c") <= UNIT)), percent), busy.where(F.col("c") > UNIT)
-    if not many.isEmpty():
-        counted = counted.union(unit_pairs(meet(many), percent))
-    pairs = written(enough_met(counted), "pairs")
-    own = leaves.where("root = 0").select("sids", F.explode("edges").alias("e")).select(F.get("sids", F.col("e.a")).alias("a"), F.get("sids", F.col("e.b")).alias("b"))
-    found = own.union(cross_links(pairs, leaves, percent)).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    # blocks of leaves; those of one component only have nothing left to find, and equal ones count together
+    meet = blocks.join(leaves.select("leaf", "root", F.explode("sids").alias("sid")), "sid").groupBy("block", "leaf", "root").agg(F.max("weight").alias("weight"))
+    busy = meet.groupBy("block").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"), F.min("root").alias("one"), F.max("root").alias("two"), F.count("leaf").alias("c"), F.first("weight").alias("weight"), *[F.bit_xor(F.xxhash64("leaf", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
+    busy = busy.where("lo < hi AND (one <> two OR one = 0)").groupBy("c", "h1", "h2").agg(F.min("block").alias("block"), F.sum("weight").alias("weight"))
+    busy = written(busy.select("block", "weight", "c"), "busy")
+    placed = written(meet.select("block", "leaf").join(busy, "block"), "placed")
+    lists = placed.groupBy("leaf").agg(F.collect_list(F.struct("block", "weight")).alias("blocks"))  # as many as a set has keys, at most
+    nodes = leaves.select("leaf", *[c for c in NODE if c != "blocks"]).join(lists, "leaf")
+    of = lambda some: placed.where(some).select("block", "leaf").join(nodes, "leaf")
+    near = leaf_pairs(of(F.col("c") <= UNIT), percent)
+    if not busy.where(F.col("c") > UNIT).isEmpty():
+        near = near.union(unit_pairs(of(F.col("c") > UNIT), percent))
+    pairs = written(near, "pairs")
+    found = cross_links(pairs, leaves, percent).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
     roots = components(found)
     rows = rows.drop("keys")
     firsts = rows.where("n_shingles > 0").groupBy("sid").agg(F.min(key).alias("first"))
