@@ -4,19 +4,23 @@ Every string of `window` bytes has an anchor: the position of its least hashed q
 Equal strings have equal anchors at equal places, so strings are compared only with
 those of the same anchor content, whatever document they are in.
 
-1. Codes of all anchors are counted; a fixed-size bit table keeps those met twice.
+1. Codes of all anchors are counted; a bit table keeps those met twice.
 2. The string starts that belong to such an anchor are cut into a few ranges. All strings
-   of a range share a core of bytes; ranges whose core is met once hold no repeats, and
-   ranges met twice as a whole hold nothing else.
-3. What is left is sorted into shards by core. Over the blocks of a shard's ranges a
-   suffix array is built by linear grouping; common prefixes with the neighbours in it
-   tell which strings may repeat, and their bytes' hashes decide. Cores with very many
-   ranges aren't put into one shard: their strings are counted one by one by Spark.
+   of a range share a core of bytes; ranges whose core is met once hold no repeats. Equal
+   ranges are kept once, with their number.
+3. The ranges are sorted into shards by core. Over the blocks of a shard's ranges a suffix
+   array is built by linear grouping. Strings whose full blocks stand together in its
+   order, by the common prefixes of neighbours, and whose few bytes before and after these
+   blocks agree are equal; they repeat if they occur twice in all, counting equal ranges.
+   A core with very many different ranges is halved first: its ranges become narrower, with
+   longer cores, until a core's ranges fit a shard. Ranges of one string each are all equal.
 4. The covered bytes of each document are united and cut out.
 
 Texts are taken as UTF-8; a null text is empty. A text shorter than the window loses
-nothing. Repeated rows are occurrences like any others. Strings are told apart by 64-bit
-hashes of their bytes.
+nothing; a text is read whole, whatever its length. Repeated rows are occurrences like any
+others. Codes, cores, ranges, blocks and the bytes beside them are told apart by 64-bit
+hashes. Columns named like the outputs are replaced, others are passed on, whatever their
+names and types. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,13 +31,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import SpanHash, mix, pieces, utf8, written
+from .common import BitTable, SpanHash, carried, mix, pieces, unpacked, utf8, written
 
-FILTER = 1 << 26
 RANGES = 4
 BLOCK = 25
-HOT = 4096  # ranges of one core that go into a shard at most
+LARGE = 4096  # a core of more different ranges is halved
 PLACE = np.uint64((1 << 28) - 1)  # positions in a piece, in packed comparisons
 
 
@@ -53,33 +57,49 @@ def suffix_array(s: list[int]) -> list[int]:
     n = len(s)
     if not n:
         return []
-    order = sorted(range(n), key=s.__getitem__)
-    place, group = [0] * n, [0] * n  # place in order; first place of the group
-    for r, i in enumerate(order):
-        place[i] = r
-        group[i] = group[order[r - 1]] if r and s[order[r - 1]] == s[i] else r
+    # counting sort by symbol
+    size = [0] * (max(s) + 1)
+    for x in s:
+        size[x] += 1
+    first, at = [0] * len(size), 0
+    for x, c in enumerate(size):
+        first[x] = at
+        at += c
+    order, place, group, free = [0] * n, [0] * n, [0] * n, first[:]
+    for i, x in enumerate(s):  # place in order; first place of the group
+        group[i], place[i], order[free[x]] = first[x], free[x], i
+        free[x] += 1
     size = [0] * n
     for i in range(n):
         size[group[i]] += 1
-    before = [-1] * n
+    before = [-2] * n  # -2: not known yet, -1: none
     end = n
     while end > 0:
         start = group[order[end - 1]]
-        members = sorted(order[start:end])
+        members = order[start:end]
         pointed: dict[int, int] = {}
         for i in members:
-            j = i - 1
+            if before[i] != -2:
+                continue
+            path, j = [i], i - 1
             while j >= 0 and group[j] >= start:
-                j = before[j]
-            before[i] = j
+                if before[j] == -2:  # of the same group: ends where i does
+                    path.append(j)
+                    j -= 1
+                else:
+                    j = before[j]
+            for x in path:
+                before[x] = j
+        for i in members:
+            j = before[i]
             if j >= 0:
                 pointed[j] = pointed.get(j, 0) + 1
         if pointed:
             by_count: dict[int, list[int]] = {}
             for j, c in pointed.items():
                 by_count.setdefault(c, []).append(j)
-            for c in sorted(by_count, reverse=True):
-                promoted = by_count[c]
+            for c in range(max(by_count), 0, -1):
+                promoted = by_count.get(c, ())
                 moved: dict[int, int] = {}
                 for j in promoted:  # to the end of its group
                     g = group[j]
@@ -113,13 +133,13 @@ def suffix_array(s: list[int]) -> list[int]:
     return out
 
 
-def common_prefixes(s: list[int], order: list[int], stop: int) -> list[int]:
-    """Length of each suffix's longest common prefix with a neighbour in the order; the symbol `stop` ends suffixes."""
+def common_prefixes(s: list[int], order: list[int], stop: int) -> tuple[list[int], list[int]]:
+    """Rank of each suffix, and by rank the length of the common prefix with the one before; the symbol `stop` ends suffixes."""
     n = len(s)
     rank = [0] * n
     for r, i in enumerate(order):
         rank[i] = r
-    best, h = [0] * n, 0
+    common, h = [0] * n, 0
     for i in range(n):
         if not rank[i]:
             h = 0
@@ -127,12 +147,9 @@ def common_prefixes(s: list[int], order: list[int], stop: int) -> list[int]:
         j = order[rank[i] - 1]
         while i + h < n and j + h < n and s[i + h] == s[j + h] != stop:
             h += 1
-        if h > best[i]:
-            best[i] = h
-        if h > best[j]:
-            best[j] = h
+        common[rank[i]] = h
         h -= h > 0
-    return best
+    return rank, common
 
 
 # --- anchors and ranges -----------------------------------------------------------------
@@ -182,20 +199,6 @@ class Anchors:
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def bit_table(values: DataFrame) -> np.ndarray:
-    """FILTER bits, set at the hashes (column v)."""
-    at = values.select(F.pmod("v", F.lit(FILTER)).alias("at")).groupBy(F.expr("at div 32768").alias("bucket")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(32768))).alias("bits"))
-    table = np.zeros((FILTER // 32768, 4096), np.uint8)
-    for r in at.collect():
-        table[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return table.ravel()
-
-
-def passes(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = np.mod(values, FILTER)
-    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-
-
 def anchor_codes(texts: DataFrame, window: int, q: int) -> DataFrame:
     """(v, n): anchors by code, counted per batch."""
 
@@ -223,7 +226,7 @@ def range_rows(texts: DataFrame, window: int, q: int, codes) -> DataFrame:
                 a = Anchors(data[offsets[i] : offsets[j]], own, window, q)
                 if a.span is None:
                     continue
-                key, full, lo, hi, _ = a.ranges(passes(table, a.code.view(np.int64)))
+                key, full, lo, hi, _ = a.ranges(table.has(a.code))
                 row = np.searchsorted(own, lo, "right") - 1
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (names[i:j][row], key, full, lo - own[row], hi - own[row])], names=["k", "key", "full", "lo", "hi"])
 
@@ -242,8 +245,8 @@ def range_bytes(texts: DataFrame, window: int, q: int, codes, wanted) -> DataFra
                 a = Anchors(part, offsets[i : j + 1] - offsets[i], window, q)
                 if a.span is None:
                     continue
-                key, full, lo, hi, skip = a.ranges(passes(table, a.code.view(np.int64)))
-                use = [x for x in np.flatnonzero(passes(want, key ^ full)).tolist() if (p := (int(key[x]), int(full[x]))) not in met and not met.add(p)]
+                key, full, lo, hi, skip = a.ranges(table.has(a.code))
+                use = [x for x in np.flatnonzero(want.has(key ^ full)).tolist() if (p := (int(key[x]), int(full[x]))) not in met and not met.add(p)]
                 yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(full[use]), pa.array(skip[use]), pa.array([part[lo[x] : hi[x] + window].tobytes() for x in use], pa.binary())], names=["key", "full", "skip", "bytes"])
 
     return texts.select("text").mapInArrow(find, "key long, full long, skip long, bytes binary")
@@ -252,8 +255,8 @@ def range_bytes(texts: DataFrame, window: int, q: int, codes, wanted) -> DataFra
 # --- shards -----------------------------------------------------------------------------
 
 
-def repeats_in(keys: np.ndarray, skips: np.ndarray, texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, start in it) of the strings that occur in another text of the same key at the same place."""
+def repeats_in(keys: np.ndarray, skips: np.ndarray, weights: np.ndarray, texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, start in it) of the strings that occur more than once among texts of the same key at the same place; a text counts by its weight."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     length = np.array([len(t) for t in texts])
     base = np.concatenate([[0], np.cumsum(length)[:-1]])
@@ -271,21 +274,26 @@ def repeats_in(keys: np.ndarray, skips: np.ndarray, texts: list[bytes], window:
     string = np.zeros(len(text) + len(texts), np.int64)
     string[place] = symbol.ravel() + 1
     letters = string.tolist()
-    prefix = np.array(common_prefixes(letters, suffix_array(letters), 0))
+    rank, common = (np.array(x) for x in common_prefixes(letters, suffix_array(letters), 0))
     # all starts, their first full block and how many full blocks they hold
     starts = length - window + 1
     t = np.repeat(np.arange(len(texts)), starts)
     i = np.arange(len(t)) - np.repeat(np.concatenate([[0], np.cumsum(starts)[:-1]]), starts)
-    first = -(-(i - head[t]) // BLOCK)
-    first = np.maximum(first, 0)
+    first = np.maximum(-(-(i - head[t]) // BLOCK), 0)
     held = (i + window - head[t]) // BLOCK - first
     origin = np.concatenate([[0], np.cumsum(blocks + 1)[:-1]])
-    maybe = prefix[origin[t] + first] >= held
-    t, i = t[maybe], i[maybe]
+    place = rank[origin[t] + first]
+    # suffixes that share so many blocks stand together in the order
+    group = np.zeros(len(t), np.int64)
+    for depth in np.unique(held).tolist():
+        some = held == depth
+        group[some] = np.cumsum(common < depth)[place[some]] * window + depth
+    # what lies before the first full block and after the last
     at = base[t] + i
-    h = mix(span(at, at + window) + mix((i + skips[t]).astype(np.uint64)) + keys[t].view(np.uint64))
-    _, inverse, n = np.unique(h, return_inverse=True, return_counts=True)
-    again = n[inverse.ravel()] > 1
+    front = base[t] + head[t] + first * BLOCK
+    beside = mix(span(at, front) + mix(span(front + held * BLOCK, at + window)))
+    _, same = np.unique(mix(group.astype(np.uint64) + beside), return_inverse=True)
+    again = np.bincount(same.ravel(), weights[t])[same.ravel()] > 1
     return t[again], i[again]
 
 
@@ -294,74 +302,99 @@ def runs_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[cut], starts[np.append(cut[1:], len(starts)) - 1]
 
 
+RANGE = T.StructType().add("key", "long").add("full", "long").add("skip", "long").add("n", "long").add("bytes", "binary")
+FOUND = T.StructType().add("key", "long").add("full", "long").add("from", "long").add("to", "long")
+
+
 def shard_repeats(ranges: DataFrame, window: int, most: int = 2_000_000) -> DataFrame:
-    """(key, full, lo, hi): runs of repeated starts in each range, from shards of whole keys of about `most` bytes."""
+    """(key, full, from, to): runs of repeated starts in each range, from shards of whole keys of about `most` bytes."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[int] = []
-        fulls: list[int] = []
-        skips: list[int] = []
-        texts: list[bytes] = []
+        held: list[tuple] = []
 
         def shard() -> pa.RecordBatch:
-            t, i = repeats_in(np.array(keys, np.int64), np.array(skips, np.int64), texts, window)
+            keys, fulls, skips, weights, texts = zip(*held, strict=True)
+            t, i = repeats_in(np.array(keys, np.int64), np.array(skips, np.int64), np.array(weights), list(texts), window)
             out: list[tuple] = []
             for x in np.unique(t).tolist():
                 a, b = runs_of(i[slice(*np.searchsorted(t, [x, x + 1]))])
                 out += [(keys[x], fulls[x], int(p), int(r)) for p, r in zip(a, b, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(4)], names=["key", "full", "from", "to"])
+            return pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(4)], names=FOUND.names)
 
         size = 0
         for batch in batches:
-            for key, full, skip, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if keys and key != keys[-1] and size > most:
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if held and row[0] != held[-1][0] and size > most:
                     yield shard()
-                    keys.clear(), fulls.clear(), skips.clear(), texts.clear()
+                    held.clear()
                     size = 0
-                if keys and (key, full) == (keys[-1], fulls[-1]):
-                    continue  # from another task
-                keys.append(key), fulls.append(full), skips.append(skip), texts.append(text)
-                size += len(text)
-        if keys:
+                held.append(row)
+                size += len(row[4])
+        if held:
             yield shard()
 
-    return ranges.repartition("key").sortWithinPartitions("key", "full").mapInArrow(find, "key long, full long, `from` long, `to` long")
+    return ranges.select(*RANGE.names).repartition("key").sortWithinPartitions("key", "full").mapInArrow(find, FOUND)
 
 
-def counted_repeats(ranges: DataFrame, window: int) -> DataFrame:
-    """The same for keys too large for a shard: every string is counted by its hash."""
+def halved(ranges: DataFrame, window: int, wide: int) -> DataFrame:
+    """Ranges of `wide` starts as halves: key, full, shift (of the half in the range), and part_key, part_full, skip, n, bytes of the half."""
+    half = -(-wide // 2)
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, full, skip, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                at = np.arange(len(text) - window + 1)
-                h = mix(SpanHash(np.frombuffer(text, np.uint8))(at, at + window) + mix((at + skip).astype(np.uint64)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key)), pa.array(np.full(len(at), full)), pa.array(at), pa.array(h.view(np.int64))], names=["key", "full", "at", "h"])
-
-    rows = ranges.dropDuplicates(["key", "full"]).mapInArrow(explode, "key long, full long, at long, h long")
-    again = rows.groupBy("key", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return rows.join(again, ["key", "h"], "left_semi").select("key", "full", F.col("at").alias("from"), F.col("at").alias("to"))
+            out = []
+            for key, full, skip, n, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                span = SpanHash(np.frombuffer(text, np.uint8))
+                last = skip + len(text) - window
+                for side in (0, 1):
+                    zero = side * half
+                    a, b = max(skip, zero), min(last, zero + half - 1)
+                    if a > b:
+                        continue
+                    core = span(np.array([zero + half - 1 - skip]), np.array([zero + window - skip]))
+                    whole = span(np.array([a - skip]), np.array([b - skip + window]))
+                    seed, ends = np.array([key, (a - zero) * 1024 + b - zero], np.int64).view(np.uint64)
+                    part = mix(mix(np.array([seed + np.uint64(side + 1)])) + core), mix(whole + mix(np.array([ends])))
+                    out.append((key, full, a - skip, *(int(x.view(np.int64)[0]) for x in part), a - zero, n, text[a - skip : b - skip + window]))
+            kinds = [pa.int64()] * 7 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], kind) for c, kind in enumerate(kinds)], names=["key", "full", "shift", "part_key", "part_full", "skip", "n", "bytes"])
+
+    return ranges.select(*RANGE.names).mapInArrow(cut, "key long, full long, shift long, part_key long, part_full long, skip long, n long, bytes binary")
+
+
+def repeats_of(ranges: DataFrame, window: int, wide: int) -> DataFrame:
+    """(key, full, from, to) of written ranges of at most `wide` starts; cores of more than LARGE ranges by their halves."""
+    large = ranges.groupBy("key").agg(F.count("full").alias("c")).where(F.col("c") > LARGE).select("key")
+    if wide == 1 or large.isEmpty():
+        return written(shard_repeats(ranges, window), "repeats")
+    found = written(shard_repeats(ranges.join(large, "key", "left_anti"), window), "repeats")
+    parts = written(halved(ranges.join(large, "key", "left_semi"), window, wide), "halves")
+    alike = parts.groupBy("part_key", "part_full").agg(F.first("skip").alias("skip"), F.sum("n").alias("n"), F.first("bytes").alias("bytes"))
+    alike = written(alike.withColumnsRenamed({"part_key": "key", "part_full": "full"}), "parts")
+    again = alike.groupBy("key").agg(F.sum("n").alias("all")).where("all > 1").select("key")
+    below = repeats_of(written(alike.join(again, "key", "left_semi"), "ranges"), window, -(-wide // 2))
+    below = below.select(F.col("key").alias("part_key"), F.col("full").alias("part_full"), "from", "to")
+    up = parts.join(below, ["part_key", "part_full"]).select("key", "full", (F.col("shift") + F.col("from")).alias("from"), (F.col("shift") + F.col("to")).alias("to"))
+    return found.union(up)
 
 
 def repeated_spans(texts: DataFrame, window: int, q: int) -> DataFrame:
-    """(k, spans): per row name, the byte spans (array of from, to) covered by repeated strings, unsorted."""
+    """(k, spans): per row number, the byte spans (array of from, to) covered by repeated strings, unsorted."""
     context = texts.sparkSession.sparkContext
     twice = anchor_codes(texts, window, q).groupBy("v").agg(F.sum("n").alias("n")).where("n > 1").select("v")
-    codes = context.broadcast(bit_table(twice))
+    codes = context.broadcast(BitTable(written(twice, "anchors"), "v"))
     rows = written(range_rows(texts, window, q, codes), "ranges")
     wholes = rows.groupBy("key", "full").agg(F.count(F.lit(1)).alias("n"))
-    cores = wholes.groupBy("key").agg(F.count(F.lit(1)).alias("wholes")).where("wholes > 1")
-    wholes = written(wholes.join(cores, "key", "left").where("n > 1 OR wholes > 1").select("key", "full", "n", F.coalesce("wholes", F.lit(1)).alias("wholes")), "wholes")
-    wanted = context.broadcast(bit_table(wholes.where("wholes > 1").select(F.col("key").bitwiseXOR(F.col("full")).alias("v"))))
-    data = range_bytes(texts, window, q, codes, wanted)
-    large = wholes.where(F.col("wholes") > HOT).select("key").distinct()
-    small = wholes.where((F.col("wholes") > 1) & (F.col("wholes") <= HOT)).select("key").distinct()
-    found = written(shard_repeats(data.join(small, "key", "left_semi").select("key", "full", "skip", "bytes"), window), "repeats")
-    if not large.isEmpty():
-        found = found.union(counted_repeats(data.join(large, "key", "left_semi").select("key", "full", "skip", "bytes"), window))
-    whole = rows.join(wholes.where("n > 1").select("key", "full"), ["key", "full"]).select("k", F.col("lo").alias("from"), (F.col("hi") + window).alias("to"))
-    part = rows.join(found.join(wholes.where("n = 1").select("key", "full"), ["key", "full"]), ["key", "full"]).select("k", (F.col("lo") + F.col("from")).alias("from"), (F.col("lo") + F.col("to") + window).alias("to"))
-    return whole.union(part).groupBy("k").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    cores = wholes.groupBy("key").agg(F.sum("n").alias("all")).where("all > 1").select("key")
+    wholes = written(wholes.join(cores, "key", "left_semi"), "wholes")
+    wanted = context.broadcast(BitTable(wholes.select(F.col("key").bitwiseXOR(F.col("full")).alias("v")), "v"))
+    data = range_bytes(texts, window, q, codes, wanted).dropDuplicates(["key", "full"]).join(wholes, ["key", "full"])
+    found = repeats_of(written(data.select(*RANGE.names), "data"), window, -(-(window - q + 1) // RANGES))
+    spans = rows.join(found, ["key", "full"]).select("k", (F.col("lo") + F.col("from")).alias("from"), (F.col("lo") + F.col("to") + window).alias("to"))
+    return spans.groupBy("k").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+
+
+OUTPUTS = T.StructType().add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = 400, q: int = 64) -> DataFrame:
@@ -370,19 +403,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 400, q: in
     Every byte that lies in a string of `window` bytes which starts anywhere else too is
     removed; strings are judged on the input.
     """
-    others = [c for c in docs.columns if c not in (text, "kept", "n_bytes", "n_removed", "n_spans")]
-    rows = docs.select(*others, F.coalesce(F.col(text), F.lit("")).alias("text"))
-    named = rows.withColumn("k", F.xxhash64(*rows.columns))
-    spans = repeated_spans(named.select("k", "text"), window, q)
-    joined = named.join(spans, "k", "left").drop("k")
-    kinds = [f.dataType.simpleString() for f in docs.select(*others).schema.fields]
-    schema = ", ".join([*[f"`{c}` {t}" for c, t in zip(others, kinds, strict=True)], "kept binary, n_bytes long, n_removed long, n_spans long"])
+    own, names = carried(docs, text, *OUTPUTS.names)
+    # written once, so that row numbers stay what they are
+    texts = written(docs.select(F.monotonically_increasing_id().alias("k"), own.alias("own"), F.coalesce(F.col(text), F.lit("")).alias("text")), "texts")
+    joined = texts.join(repeated_spans(texts, window, q), "k", "left").select("own", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(len(others)))
+            data, offsets = utf8(batch.column(1))
             kept, removed, count = [], [], []
-            for r, some in enumerate(batch.column(len(others) + 1).to_pylist()):
+            for r, some in enumerate(batch.column(2).to_pylist()):
                 own, out, at, gone, n = data[offsets[r] : offsets[r + 1]].tobytes(), [], 0, 0, 0
                 for a, b in sorted((x["from"], x["to"]) for x in some or ()):
                     if a > at or not n:
@@ -394,13 +424,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 400, q: in
                 kept.append(b"".join([*out, own[at:]]))
                 removed.append(gone)
                 count.append(n)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], pa.array(kept, pa.binary()), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(count, pa.int64())], names=[*others, "kept", "n_bytes", "n_removed", "n_spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(count, pa.int64())], names=["own", *OUTPUTS.names])
 
-    return joined.mapInArrow(cut, schema)
+    out = joined.mapInArrow(cut, T.StructType([texts.schema["own"], *OUTPUTS.fields]))
+    return out.select(*unpacked("own", names), *OUTPUTS.names)
 
 
 def op9_repeats(docs: DataFrame) -> DataFrame:
     out = remove_repeats(docs.select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-
-

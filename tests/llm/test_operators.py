@@ -168,6 +168,19 @@ def test_search_is_exact(spark, shard_rows):
         assert all(abs(m[2] - s) < 2e-6 for m, (_, s) in zip(mine, best, strict=True))
 
 
+def test_search_repeated_query_rows(spark):
+    random.seed(14)
+    rows = [(i, " ".join(random.choices([f"w{j}" for j in range(40)], k=12))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "w1 w2"), (1, "w2 w3"), (2, "w1 w2 w2 w3")], "doc_id long, text string")
+    for kind in ("long", "double", "string"):
+        out = {}
+        for r in search.search(df.withColumn("doc_id", F.col("doc_id").cast(kind)), asked.withColumn("doc_id", F.col("doc_id").cast(kind)), shard_rows=50).collect():
+            out.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+        one, two = (sorted(x) for _, x in sorted(out.items()))
+        assert one == two and len(one) == 10  # rows of one key are one query of all their terms
+
+
 def test_search_odd_rows(odd, none):
     assert search.op4_search(none).count() == 0
     out = search.search(odd, odd).collect()
@@ -362,9 +375,9 @@ def brute_repeats(texts, window):
     return out
 
 
-@pytest.mark.parametrize("hot", [4096, 3])
-def test_repeats_against_all_windows(spark, none, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT", hot)
+@pytest.mark.parametrize("large", [4096, 3])
+def test_repeats_against_all_windows(spark, none, monkeypatch, large):
+    monkeypatch.setattr(repeats, "LARGE", large)
     random.seed(9)
     base = ["".join(random.choices("abcdef ", k=1500)) for _ in range(3)]
     texts = ["a" * 399, "a" * 400, "a" * 900, "", None, "ab" * 500, "é" * 300]
@@ -381,6 +394,28 @@ def test_repeats_against_all_windows(spark, none, monkeypatch, hot):
     assert repeats.op9_repeats(none).count() == 0
 
 
+def test_repeats_by_the_order_alone():
+    import numpy as np
+
+    random.seed(19)
+    text = bytes(random.choices(b"abc ", k=900))
+    texts = [text[:480], b"x" * 30 + text[30:480], text[:450] + b"y" * 30, bytes(random.choices(b"abc ", k=480))]
+    def found(weights):
+        t, i = repeats.repeats_in(np.zeros(4, np.int64), np.zeros(4, np.int64), np.array(weights), texts, 400)
+        return set(zip(t.tolist(), i.tolist(), strict=True))
+
+    want = {(a, i) for a in range(4) for b in range(4) for i in range(81) if a != b and texts[a][i : i + 400] == texts[b][i : i + 400]}
+    assert found([1, 1, 1, 1]) == want and (0, 10) in want and (1, 20) not in want
+    assert found([1, 1, 1, 2]) == want | {(3, i) for i in range(81)}
+
+
+def test_repeats_clashing_names(spark):
+    schema = "doc_id long, text string, k long, spans string, own int, n_bytes int, m map<string,int>"
+    rows = [(i, "ab" * 300 if i < 2 else "c", 7, "s", 1, 2, {"a": i}) for i in range(3)]
+    out = by_id(repeats.remove_repeats(spark.createDataFrame(rows, schema)))
+    assert out[0]["n_removed"] == 600 and out[2]["n_removed"] == 0 and out[2]["k"] == 7 and out[1]["spans"] == "s" and out[2]["m"] == {"a": 2} and out[0]["n_bytes"] == 600
+
+
 def test_repeats_odd_rows(odd):
     out = repeats.remove_repeats(odd).collect()
     assert len(out) == 7 and {r["n_removed"] for r in out if r["doc_id"] == 5} == {150_000}
