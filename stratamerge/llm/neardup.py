@@ -18,8 +18,8 @@ one node, named by a 64-bit hash of the set; links are sought between different
    pairs go when their maximum possible overlap is below what any pair of their sizes
    needs, or when they are of one component. Leaves of a block with very many are dealt
    into small units, and pairs of units over the tasks.
-   A pair that is left comes out of the least block that both leaves are in, if they meet
-   in as many keys as a link needs.
+   A leaf leaves out its most frequent blocks, as far as links can't depend on them. A pair
+   that is left comes out of the least block that both leaves are in.
 6. These pairs are verified set by set, with the same bound on pairs of sets first. Pairs
    that are connected already need no check.
 7. Components of the links are found by large and small stars.
@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import discard
@@ -49,7 +49,7 @@ HOT = 128  # blocks of more sets are linked to several representatives
 UNIT = 256  # about so many leaves of a block are compared in one step
 GUESTS = 4096  # about so many sets meet one copy of their representative
 VISITS = 64  # about so many leaves meet one copy of their host
-BITS = 8  # bits of a bitmap for each shingle, at least
+BITS = 4  # bits of a bitmap for each shingle, at least
 
 
 def need(n, m, percent: int):
@@ -375,16 +375,35 @@ def node_rows(rows: pa.Table) -> tuple[np.ndarray, Nodes]:
     return get("leaf"), Nodes(bits, get("least"), get("most"), get("slack"), get("root"))
 
 
-def meetings(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, block and weight of all that rows list as the blocks of their leaves."""
-    lists = pa.concat_arrays(rows.column("blocks").chunks)
-    each = lists.flatten()
-    row = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-    return row, each.field("block").to_numpy(), each.field("weight").to_numpy()
+def meeting_lists(placed: DataFrame) -> DataFrame:
+    """(leaf, blocks): the blocks of each leaf, packed; as many as a set has keys, at most."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [np.array(some, np.int64).tobytes() for some in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["leaf", "blocks"])
+
+    return placed.groupBy("leaf").agg(F.collect_list("block").alias("blocks")).mapInArrow(pack, "leaf long, blocks binary")
+
+
+def rare_blocks(placed: DataFrame, percent: int) -> DataFrame:
+    """placed (block, weight, c, leaf, root, size, least) without the rows that no pair needs, and with c counted anew.
+
+    A leaf leaves out its most frequent blocks as long as their keys are fewer than any link
+    of its sets needs. As all leaves do so in the same order of blocks, the rarest block that
+    two linked leaves have in common stays in both. A leaf also needs another one of its
+    size class or the next in a block.
+    """
+    hottest = Window.partitionBy("leaf").orderBy(F.desc("c"), F.desc("block")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("over", F.sum("weight").over(hottest)).where(F.col("over") > F.floor(F.ceil(F.col("least") * percent / 100) / 10)).drop("over", "c")
+    counts = placed.groupBy("block", "size").agg(F.count("leaf").alias("c"))
+    peers = counts.select("block", F.explode(F.array(*[F.col("size") + i for i in (-1, 0, 1)])).alias("size"), "c").groupBy("block", "size").agg(F.sum("c").alias("c"))
+    kept = written(placed.join(peers.where("c > 1").select("block", "size"), ["block", "size"], "left_semi"), "rare")
+    return written(kept.join(kept.groupBy("block").agg(F.count("leaf").alias("c")), "block"), "placed")
 
 
 def pairs_between(left: pa.Table, right: pa.Table | None, percent: int) -> pa.RecordBatch:
-    """(one, two) of the leaf pairs of two size classes that the trees leave and that meet in enough keys; right None: of one class with itself.
+    """(one, two) of the leaf pairs of two size classes that the trees leave; right None: of one class with itself.
 
     A pair that meets in several blocks comes out of the least of them.
     """
@@ -398,22 +417,17 @@ def pairs_between(left: pa.Table, right: pa.Table | None, percent: int) -> pa.Re
         i, j = traverse(nodes.folded(words), across.folded(words), percent)
     keep = np.zeros(len(i), bool)
     if len(i):
-        here = [meetings(left), meetings(left if right is None else right)]
-        blocks, at = np.unique(np.concatenate([b for _, b, _ in here]), return_inverse=True)
-        weight = np.zeros(len(blocks))
-        weight[at] = np.concatenate([w for _, _, w in here])
-        tables, cut = [], 0
-        for n, (row, block, _) in zip((len(leaf), len(other)), here, strict=True):
-            tables.append(np.zeros((n, len(blocks)), bool))
-            tables[-1][row, at[cut : cut + len(block)]] = True
-            cut += len(block)
+        here = [[np.frombuffer(x, np.int64) for x in side.column("blocks").to_pylist()] for side in (left, left if right is None else right)]
+        blocks = np.unique(np.concatenate(here[0] + here[1]))
+        tables = []
+        for lists in here:
+            tables.append(np.zeros((len(lists), len(blocks)), bool))
+            tables[-1][np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.searchsorted(blocks, np.concatenate(lists))] = True
         own = int(np.searchsorted(blocks, left.column("block")[0].as_py()))
-        enough = 1 + extra(np.minimum(nodes.least[i], across.least[j]))
         step = max(1, (1 << 23) // len(blocks))
         for a in range(0, len(i), step):
             s = slice(a, a + step)
-            both = tables[0][i[s]] & tables[1][j[s]]
-            keep[s] = (both.argmax(axis=1) == own) & (both @ weight >= enough[s])
+            keep[s] = (tables[0][i[s]] & tables[1][j[s]]).argmax(axis=1) == own
     i, j = i[keep], j[keep]
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(leaf[i], other[j])), pa.array(np.maximum(leaf[i], other[j]))], names=["one", "two"])
 
@@ -421,8 +435,8 @@ def pairs_between(left: pa.Table, right: pa.Table | None, percent: int) -> pa.Re
 PAIRS = "one long, two long"
 
 
-def leaf_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """(one, two) of the leaves that meet in blocks (block, leaf, node columns) of at most UNIT leaves."""
+def leaf_pairs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(one, two) of the leaves that meet in blocks of at most UNIT leaves."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, ["block"]):
@@ -435,16 +449,16 @@ def leaf_pairs(blocks: DataFrame, percent: int) -> DataFrame:
                 if after is not None and after.column("size")[0].as_py() == part.column("size")[0].as_py() + 1:
                     yield pairs_between(part, after, percent)
 
-    return blocks.select("block", "leaf", *NODE).repartition("block").sortWithinPartitions("block", "size", "least").mapInArrow(pairs, PAIRS)
+    return placed.select("block", "leaf").join(nodes, "leaf").repartition("block").sortWithinPartitions("block", "size", "least").mapInArrow(pairs, PAIRS)
 
 
-def unit_pairs(blocks: DataFrame, percent: int) -> DataFrame:
+def unit_pairs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """leaf_pairs of blocks of any size: their leaves are dealt into units, and each pair of units is a step of its own.
 
     A unit holds leaves of one size class, and of one component where that has many;
     units of the same component don't meet.
     """
-    own = blocks.select("block", "leaf", *NODE)
+    own = placed.select("block", "leaf", "root", "size")
     held = own.groupBy("block", "root", "size").agg(F.count("leaf").alias("c"))
     held = held.withColumn("pool", F.when(F.col("c") >= UNIT, F.col("root")).otherwise(0))
     pools = held.groupBy("block", "pool", "size").agg(F.ceil(F.sum("c") / UNIT).alias("parts"))
@@ -456,7 +470,7 @@ def unit_pairs(blocks: DataFrame, percent: int) -> DataFrame:
     steps = one.join(two, "block").where("(size1 < size2 OR size1 = size2 AND unit1 <= unit2) AND size2 - size1 <= 1 AND (pool1 <> pool2 OR pool1 = 0)")
     steps = steps.select("block", "unit1", "unit2", F.concat_ws("|", "block", "unit1", "unit2").alias("step"))
     sides = [steps.select("block", F.col("unit1").alias("unit"), "step", F.when(F.col("unit1") == F.col("unit2"), 2).otherwise(0).alias("side")), steps.where("unit1 <> unit2").select("block", F.col("unit2").alias("unit"), "step", F.lit(1).alias("side"))]
-    rows = sides[0].union(sides[1]).join(placed, ["block", "unit"]).select("step", "side", "block", "leaf", *NODE)
+    rows = sides[0].union(sides[1]).join(placed, ["block", "unit"]).select("step", "side", "block", "leaf").join(nodes, "leaf")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in runs(batches, ["step"]):
@@ -531,13 +545,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     busy = meet.groupBy("block").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"), F.min("root").alias("one"), F.max("root").alias("two"), F.count("leaf").alias("c"), F.first("weight").alias("weight"), *[F.bit_xor(F.xxhash64("leaf", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
     busy = busy.where("lo < hi AND (one <> two OR one = 0)").groupBy("c", "h1", "h2").agg(F.min("block").alias("block"), F.sum("weight").alias("weight"))
     busy = written(busy.select("block", "weight", "c"), "busy")
-    placed = written(meet.select("block", "leaf").join(busy, "block"), "placed")
-    lists = placed.groupBy("leaf").agg(F.collect_list(F.struct("block", "weight")).alias("blocks"))  # as many as a set has keys, at most
-    nodes = leaves.select("leaf", *[c for c in NODE if c != "blocks"]).join(lists, "leaf")
-    of = lambda some: placed.where(some).select("block", "leaf").join(nodes, "leaf")
-    near = leaf_pairs(of(F.col("c") <= UNIT), percent)
-    if not busy.where(F.col("c") > UNIT).isEmpty():
-        near = near.union(unit_pairs(of(F.col("c") > UNIT), percent))
+    placed = meet.select("block", "leaf").join(busy, "block").join(leaves.select("leaf", "root", "size", "least"), "leaf")
+    placed = rare_blocks(placed, percent)
+    nodes = leaves.select("leaf", *[c for c in NODE if c != "blocks"]).join(meeting_lists(placed), "leaf")
+    near = leaf_pairs(placed.where(F.col("c") <= UNIT), nodes, percent)
+    if not placed.where(F.col("c") > UNIT).isEmpty():
+        near = near.union(unit_pairs(placed.where(F.col("c") > UNIT), nodes, percent))
     pairs = written(near, "pairs")
     found = cross_links(pairs, leaves, percent).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
     roots = components(found)
