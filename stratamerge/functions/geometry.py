@@ -19,6 +19,11 @@ POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.D
 RINGS = T.ArrayType(T.ArrayType(POINT))
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def points(rings: Column) -> Column:
     return F.flatten(rings)
 
@@ -80,23 +85,24 @@ def st_centroid(rings: Column, is_hole: Column) -> Column:
     """struct<x,y>: weighted by area, by length where the area is 0."""
 
     def part(r: Column, i: Column) -> Column:
-        m, o = moments(r), F.get(r, F.lit(0))
-        area, sign = F.abs(m["a"]) / 2, F.when(F.get(is_hole, i), -1.0).otherwise(1.0)
-        safe, length = F.when(m["a"] == 0, F.lit(1.0)).otherwise(m["a"]), F.when(m["l"] == 0, F.lit(1.0)).otherwise(m["l"])
-        return F.struct(
-            (sign * area).alias("a"), (sign * area * (o["x"] + m["x"] / (3 * safe))).alias("x"), (sign * area * (o["y"] + m["y"] / (3 * safe))).alias("y"),
-            m["l"].alias("l"), (m["l"] * (o["x"] + m["lx"] / length)).alias("lx"), (m["l"] * (o["y"] + m["ly"] / length)).alias("ly"),
-        )
+        def of(m: Column) -> Column:
+            o = F.get(r, F.lit(0))
+            weight = F.abs(m["a"]) / 2 * F.when(F.get(is_hole, i), -1.0).otherwise(1.0)
+            safe, length = F.when(m["a"] == 0, F.lit(1.0)).otherwise(m["a"]), F.when(m["l"] == 0, F.lit(1.0)).otherwise(m["l"])
+            return F.struct(
+                weight.alias("a"), (weight * (o["x"] + m["x"] / (3 * safe))).alias("x"), (weight * (o["y"] + m["y"] / (3 * safe))).alias("y"),
+                m["l"].alias("l"), (m["l"] * (o["x"] + m["lx"] / length)).alias("lx"), (m["l"] * (o["y"] + m["ly"] / length)).alias("ly"),
+            )
+
+        return let(moments(r), of)
 
     names = ("a", "x", "y", "l", "lx", "ly")
     zero = F.struct(*[F.lit(0.0).alias(n) for n in names])
     total = F.aggregate(F.transform(rings, part), zero, lambda s, p: F.struct(*[(s[n] + p[n]).alias(n) for n in names]))
-    # two steps through an array: the sums are computed once
-    pick = lambda t: F.struct(
+    return let(total, lambda t: F.struct(
         F.when(t["a"] != 0, t["x"] / F.nullif(t["a"], F.lit(0.0))).otherwise(t["lx"] / F.nullif(t["l"], F.lit(0.0))).alias("x"),
         F.when(t["a"] != 0, t["y"] / F.nullif(t["a"], F.lit(0.0))).otherwise(t["ly"] / F.nullif(t["l"], F.lit(0.0))).alias("y"),
-    )
-    return F.get(F.transform(F.array(total), pick), F.lit(0))
+    ))
 
 
 def st_within(x: Column, y: Column, edge_array: Column) -> Column:
@@ -113,28 +119,46 @@ def st_geometry_type(is_hole: Column) -> Column:
 
 
 def validity(df: DataFrame, key: str, rings: str = "rings", is_hole: str = "is_hole") -> DataFrame:
-    """(key, is_valid): rings closed, of 4 points at least and finite; no two edges of a shape cross; hole vertices not outside the outer rings.
+    """(key, is_valid): every ring closed, of 4 points at least, finite and of some area; no ring meets itself but in
+    neighbours' corners, and no two rings cross or share a stretch; holes lie in outer rings; parts don't overlap.
 
-    Edges of a shape meet their own shape's edges only, in cells of its bounding box, so
-    a shape of many vertices isn't compared edge by edge. Nested or overlapping parts
-    that share no crossing edges count as valid.
+    Edges of a shape meet its own edges only, in cells of its bounding box, so a shape of
+    many vertices isn't compared edge by edge. Rings of one shape may touch in points.
     """
     r = F.col(rings)
-    shaped = F.forall(r, lambda ring: (F.size(ring) >= 4) & (F.get(ring, F.lit(0)) == F.element_at(ring, -1)) & F.forall(ring, lambda p: F.coalesce(F.abs(p["x"]) < F.lit(float("inf")), F.lit(False)) & F.coalesce(F.abs(p["y"]) < F.lit(float("inf")), F.lit(False))))
-    outer = F.flatten(F.transform(F.filter(r, lambda _, i: ~F.get(F.col(is_hole), i)), edges))
+    finite = lambda ring: F.forall(ring, lambda p: F.coalesce(F.abs(p["x"]) < F.lit(float("inf")), F.lit(False)) & F.coalesce(F.abs(p["y"]) < F.lit(float("inf")), F.lit(False)))
+    shaped = F.forall(r, lambda ring: (F.size(ring) >= 4) & (F.get(ring, F.lit(0)) == F.element_at(ring, -1)) & finite(ring) & (moments(ring)["a"] != 0))
+    outers = F.filter(r, lambda _, i: ~F.get(F.col(is_hole), i))
+    outer = F.flatten(F.transform(outers, edges))
     holes = F.flatten(F.filter(r, lambda _, i: F.get(F.col(is_hole), i)))
     outside = F.exists(holes, lambda p: ~st_within(p["x"], p["y"], outer) & ~on_any(p["x"], p["y"], outer))
-    checked = df.select(key, r.alias("rings"), F.coalesce(shaped & (F.size(r) > 0), F.lit(False)).alias("_shaped"), F.coalesce(~outside, F.lit(True)).alias("_inside"))
-    cut = df.select(key, st_bounds(r).alias("b"), F.greatest(F.lit(1.0), F.sqrt(st_npoints(r).cast("double"))).alias("n"), F.posexplode(all_edges(r)).alias("i", "e"))
+    # a corner of one part strictly inside another one; what crosses is found below
+    nested = F.exists(F.transform(outers, lambda a, i: F.exists(outers, lambda b: ~b.eqNullSafe(a) & F.exists(a, lambda p: st_within(p["x"], p["y"], edges(b))))), lambda x: x)
+    ok = F.coalesce(shaped & (F.size(r) > 0), F.lit(False))
+    checked = df.select(key, ok.alias("_shaped"), F.when(ok, ~outside & ~nested).otherwise(False).alias("_apart"))
+    ringed = F.flatten(F.transform(r, lambda ring, i: F.transform(edges(ring), lambda e, j: F.struct(i.alias("ring"), j.alias("at"), (F.size(ring) - 1).alias("n"), e.alias("e")))))
+    cut = df.where(ok).select(key, st_bounds(r).alias("b"), F.greatest(F.lit(1.0), F.sqrt(st_npoints(r).cast("double"))).alias("n"), F.explode(ringed).alias("w")).withColumn("e", F.col("w.e"))
     g = F.greatest((F.col("b.xmax") - F.col("b.xmin")), (F.col("b.ymax") - F.col("b.ymin")), F.lit(1e-12)) / F.col("n")
     span = lambda a, b, low: F.sequence(F.floor((F.least(a, b) - low) / g), F.floor((F.greatest(a, b) - low) / g))
     cells = cut.withColumn("cx", F.explode(span(F.col("e.x1"), F.col("e.x2"), F.col("b.xmin")))).withColumn("cy", F.explode(span(F.col("e.y1"), F.col("e.y2"), F.col("b.ymin"))))
-    one, two = cells.select(key, "cx", "cy", F.col("i").alias("i1"), F.col("e").alias("p")), cells.select(key, "cx", "cy", F.col("i").alias("i2"), F.col("e").alias("q"))
-    side = lambda e, x, y: F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
-    p, q = F.col("p"), F.col("q")
+    one, two = cells.select(key, "cx", "cy", F.col("w").alias("v")), cells.select(key, "cx", "cy", "w")
+    v, w, p, q = F.col("v"), F.col("w"), F.col("v.e"), F.col("w.e")
+    turn = lambda e, x, y: (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+    side = lambda e, x, y: F.signum(turn(e, x, y))
     crossing = (side(p, q["x1"], q["y1"]) * side(p, q["x2"], q["y2"]) < 0) & (side(q, p["x1"], p["y1"]) * side(q, p["x2"], p["y2"]) < 0)
-    crossed = one.join(two, [key, "cx", "cy"]).where((F.col("i1") < F.col("i2")) & crossing).select(key).distinct().withColumn("_crossed", F.lit(True))
-    return checked.join(crossed, key, "left").select(key, (F.col("_shaped") & F.col("_inside") & F.col("_crossed").isNull()).alias("is_valid"))
+    on = lambda x, y, e: (turn(e, x, y) == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    touching = on(q["x1"], q["y1"], p) | on(q["x2"], q["y2"], p) | on(p["x1"], p["y1"], q) | on(p["x2"], p["y2"], q)
+    straight = (turn(p, q["x1"], q["y1"]) == 0) & (turn(p, q["x2"], q["y2"]) == 0)
+    # a stretch in common: on one line, and more than a point of it
+    low = lambda a: F.greatest(F.least(p[f"{a}1"], p[f"{a}2"]), F.least(q[f"{a}1"], q[f"{a}2"]))
+    high = lambda a: F.least(F.greatest(p[f"{a}1"], p[f"{a}2"]), F.greatest(q[f"{a}1"], q[f"{a}2"]))
+    stretch = straight & (low("x") <= high("x")) & (low("y") <= high("y")) & ((low("x") < high("x")) | (low("y") < high("y")))
+    same = v["ring"] == w["ring"]
+    beside = same & ((w["at"] - v["at"] == 1) | (v["at"] == 0) & (w["at"] == w["n"] - 1))
+    bad = crossing | stretch | (same & ~beside & touching)
+    later = (v["ring"] < w["ring"]) | same & (v["at"] < w["at"])
+    wrong = one.join(two, [key, "cx", "cy"]).where(later & bad).select(key).distinct().withColumn("_wrong", F.lit(True))
+    return checked.join(wrong, key, "left").select(key, (F.col("_shaped") & F.col("_apart") & F.col("_wrong").isNull()).alias("is_valid"))
 
 
 def on_any(x: Column, y: Column, edge_array: Column) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import all_edges, st_bounds, st_centroid, st_within
+from ..functions.geometry import all_edges, let, st_bounds, st_centroid, st_within
 from ..functions.names import normalize_area_name, title_case
+from ..sources.scratch import materialize_zstd
 from .merge import KEYS, small
 from .reshape import union_relaxed
 
@@ -19,6 +20,14 @@ def in_envelope(c: Column, xmin: float, ymin: float, xmax: float, ymax: float) -
     return (c["x"] > xmin) & (c["x"] < xmax) & (c["y"] > ymin) & (c["y"] < ymax)
 
 
+def centroid_in_envelopes(df: DataFrame, regions: dict[str, tuple[float, float, float, float]], digits: int = 9) -> DataFrame:
+    """(region, n): how many shapes have their centroid, rounded, strictly inside each region (xmin, ymin, xmax, ymax)."""
+    inside = lambda c: F.struct(*[in_envelope(c, *r).alias(n) for n, r in regions.items()])
+    rounded = lambda c: F.struct(F.round(c["x"], digits).alias("x"), F.round(c["y"], digits).alias("y"))
+    found = df.select(let(let(st_centroid(F.col("rings"), F.col("is_hole")), rounded), inside).alias("i"))
+    return found.agg(*[F.count_if(F.col("i").getField(n)).alias(n) for n in regions]).unpivot([], list(regions), "region", "n")
+
+
 def bbox_contained(bbox: str, xmin: float, ymin: float, xmax: float, ymax: float) -> Column:
     """Bounding box inside the rectangle, as plain comparisons on the struct's leaves (they reach the scan)."""
     return (F.col(f"{bbox}.xmin") >= xmin) & (F.col(f"{bbox}.xmax") <= xmax) & (F.col(f"{bbox}.ymin") >= ymin) & (F.col(f"{bbox}.ymax") <= ymax)
@@ -60,7 +69,9 @@ def spatial_left_join(points: DataFrame, areas: DataFrame, x: str = "x", y: str
 
 def admin_lookup(rows: DataFrame, areas: DataFrame) -> DataFrame:
     """(mws_id, version, state, district, tehsil): the admin area of each row's centroid, names normalised; every match."""
-    centres = rows.select(*KEYS, st_centroid(F.col("rings"), F.col("is_hole")).alias("c")).select(*KEYS, F.col("c.x").alias("x"), F.col("c.y").alias("y"))
+    # written, as the join reads the centres twice
+    centres = rows.select(*KEYS, F.inline(F.array(st_centroid(F.col("rings"), F.col("is_hole")))))
+    centres = materialize_zstd(centres)
     joined = spatial_left_join(centres, areas.select(*ADMIN, "rings"))
     return joined.select(*KEYS, normalize_area_name(F.col("state")).alias("state"), title_case(F.col("district")).alias("district"), title_case(F.col("tehsil")).alias("tehsil"))
 

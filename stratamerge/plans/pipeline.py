@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.geometry import wkb_to_rings
 from ..operators.merge import join_layer_versions, join_layers, missing_ids, prepare_base, tag_location
-from ..operators.reshape import explode_locations, prefix_cols, rename_and_drop, split_range_cols, unnest_json_cols
+from ..operators.reshape import explode_locations, harmonize_geometry_name, prefix_cols, rename_and_drop, split_range_cols, unnest_json_cols
 from ..operators.spatial import fill_admin
 from ..sources.features import read_areas, read_layer_features, read_layer_versions, read_locations, scan_base
 from ..sources.geoparquet import write_geoparquet
@@ -24,8 +25,10 @@ def layer_table(spark: SparkSession, request: Request, layer: str, folder: str,
 def integrate(spark: SparkSession, request: Request, folder: str, locations_path: str, areas_path: str) -> DataFrame:
     """Runs a request over landed feature files and writes its output; returns the merged table."""
     locations = join_layer_versions(explode_locations(read_locations(spark, locations_path)), read_layer_versions(spark, request.layer_version))
-    raw = scan_base(spark, request.base_layer[request.unit])
-    base = prepare_base(raw.withColumnRenamed("rings", "geometry") if "geometry" not in raw.columns and "geom" not in raw.columns else raw)
+    raw = harmonize_geometry_name(scan_base(spark, request.base_layer[request.unit]))
+    if "rings" not in raw.columns:  # a base that holds WKB
+        raw = wkb_to_rings(raw)
+    base = prepare_base(raw.drop("geometry").withColumnRenamed("rings", "geometry"))
     layers = {name: layer_table(spark, request, name, folder, locations) for name in request.layers}
     merged = materialize_zstd(join_layers(base, layers).withColumnRenamed("geometry", "rings"))
     if not missing_ids(base, layers).isEmpty():

@@ -465,9 +465,24 @@ def _(s, d):
     return shapes(s, d).select("k", g.st_geometry_type(F.col("is_hole")).alias("type"))
 
 
-@query("st_is_valid", f"WITH {SHAPES} SELECT k, kind <> 3 AS is_valid FROM measured")
+def spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shapes, some of them with a spike, a figure touching itself, no area, a hole like its shell, equal parts or a part within another."""
+    x, y, s = F.col("x"), F.col("y"), F.col("s")
+    square = box(x, y, s, s)
+    faults = [
+        ring((x, y), (x + s, y), (x + s, y + s), (x + s, y + 2 * s), (x + s, y + s), (x, y + s), (x, y)),
+        ring((x, y), (x + s, y), (x + s / 2, y + s), (x + s, y + 2 * s), (x, y + 2 * s), (x + s / 2, y + s), (x, y)),
+        ring((x, y), (x + s, y), (x + 2 * s, y), (x, y)),
+    ]
+    which, twice = F.col("k") % 11, F.array(square, square)
+    rings = F.when(which == 1, F.array(faults[0])).when(which == 2, F.array(faults[1])).when(which == 3, F.array(faults[2])).when(which.isin(4, 5), twice).when(which == 6, F.array(square, box(x + s / 4, y + s / 4, s / 2, s / 2))).otherwise(F.col("rings"))
+    marks = F.when(which <= 3, F.array(F.lit(False))).when(which == 4, F.array(F.lit(False), F.lit(True))).when(which <= 6, F.array(F.lit(False), F.lit(False)))
+    return shapes(spark, sf_dir).select("k", rings.alias("rings"), F.when(which.between(1, 6), marks).otherwise(F.col("is_hole")).alias("is_hole"))
+
+
+@query("st_is_valid", f"WITH {SHAPES} SELECT k, kind <> 3 AND k % 11 NOT BETWEEN 1 AND 6 AS is_valid FROM measured")
 def _(s, d):
-    return g.validity(shapes(s, d), "k")
+    return g.validity(spoiled(s, d), "k")
 
 
 @query("st_within", f"WITH {SHAPES} SELECT k, kind IN (0, 1) OR (kind = 4) AS quarter, kind <> 3 AND kind <> 1 AND kind <> 2 AS centre, false AS corner FROM measured")
@@ -503,8 +518,7 @@ def _(s, d):
 
 @query("centroid_in_envelope", f"WITH {SHAPES} " + " UNION ALL ".join(f"SELECT '{n}' AS region, count(*) AS n FROM measured WHERE round(cx, 9) > {a} AND round(cx, 9) < {c} AND round(cy, 9) > {b} AND round(cy, 9) < {e}" for n, (a, b, c, e) in REGIONS.items()))
 def _(s, d):
-    c = shapes(s, d).select(g.st_centroid(F.col("rings"), F.col("is_hole")).alias("c")).select(F.struct(F.round("c.x", 9).alias("x"), F.round("c.y", 9).alias("y")).alias("c"))
-    return c.agg(*[F.count_if(spatial.in_envelope(F.col("c"), *r)).alias(n) for n, r in REGIONS.items()]).unpivot([], list(REGIONS), "region", "n")
+    return spatial.centroid_in_envelopes(shapes(s, d), REGIONS)
 
 
 @query("bounds_within_extent", f"WITH {SHAPES}, b AS (SELECT min(x) AS xmin, min(y) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax FROM measured) SELECT *, CASE WHEN xmin >= 0 AND ymin >= 0 AND xmax <= 300 AND ymax <= 100000 THEN 'ok' ELSE 'warning' END AS status FROM b")
@@ -533,15 +547,15 @@ def _(s, d):
     return quality.count_by(shapes(s, d).select(g.st_geometry_type(F.col("is_hole")).alias("type")), "type")
 
 
-@query("count_invalid_geometry", f"WITH {SHAPES} SELECT count(*) FILTER (kind = 3) AS n_invalid FROM measured")
+@query("count_invalid_geometry", f"WITH {SHAPES} SELECT count(*) FILTER (kind = 3 OR k % 11 BETWEEN 1 AND 6) AS n_invalid FROM measured")
 def _(s, d):
-    return quality.count_invalid_geometry(shapes(s, d), "k")
+    return quality.count_invalid_geometry(spoiled(s, d), "k")
 
 
 @query("count_null_bbox", f"WITH {SHAPES} SELECT count(*) FILTER (k % 7 = 0) AS n_null FROM measured")
 def _(s, d):
     b = shapes(s, d).select(F.when(F.col("k") % 7 != 0, g.bbox_struct(F.col("rings"))).alias("bbox"))
-    return b.agg(F.count_if(F.col("bbox").isNull()).alias("n_null"))
+    return quality.null_counts(b.withColumnRenamed("bbox", "n_null"), ["n_null"])
 
 
 # --- filters, aggregates, sorts -----------------------------------------------------------
@@ -738,9 +752,10 @@ def _(s, d):
     return geoparquet.geo_footer_report(s, dataset(s, d)).groupBy("version", "primary_column", "authority", "code", "covering").agg(F.count(F.lit(1)).alias("files"))
 
 
-@query("dataset_file_stats")
+@query("dataset_file_stats", "SELECT count(DISTINCT CASE WHEN p_partkey % 11 <> 0 THEN p_brand ELSE 'unknown' END) AS files, count(*)::BIGINT AS rows, count(DISTINCT CASE WHEN p_partkey % 11 <> 0 THEN p_brand ELSE 'unknown' END) AS row_groups, true AS measured FROM part")
 def _(s, d):
-    return geoparquet.dataset_file_stats(s, dataset(s, d))
+    out = geoparquet.dataset_file_stats(s, dataset(s, d))
+    return out.select("files", "rows", "row_groups", ((F.col("bytes") > 0) & (F.col("mb_per_file") > 0) & (F.col("rows_per_group") > 0) & (F.col("bytes_per_row") > 0)).alias("measured"))
 
 
 @query("empty_file_inventory", "SELECT count(DISTINCT CASE WHEN p_partkey % 11 <> 0 THEN p_brand ELSE 'unknown' END) AS files, 0::BIGINT AS n_empty FROM part")

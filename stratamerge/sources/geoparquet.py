@@ -49,8 +49,9 @@ class Written(WriterCommitMessage):
 class GeoParquetWriter(DataSourceArrowWriter):
     """Each task writes one staged file per partition directory, row group by row group; commit gives them their names."""
 
-    def __init__(self, path: str, partition: str, footer: str):
-        self.path, self.partition, self.footer = path, partition, footer
+    def __init__(self, path: str, partition: str, footer: str, overwrite: bool):
+        self.path, self.partition, self.footer, self.overwrite = path, partition, footer, overwrite
+        self.run = uuid.uuid4().hex  # in the names of this write's staged files
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, root = located(self.path)
@@ -76,7 +77,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
                     if writer:
                         writer.close()
                     current = values[a]
-                    folder, name = f"{root}/{self.partition}={current}", f"part-{uuid.uuid4().hex}.parquet"
+                    folder, name = f"{root}/{self.partition}={current}", f"part-{self.run}-{uuid.uuid4().hex}.parquet"
                     store.create_dir(folder, recursive=True)
                     files.append((f"{folder}/_tmp-{name}", f"{folder}/{name}"))
                     schema = body.schema.with_metadata({"geo": self.footer})
@@ -90,17 +91,29 @@ class GeoParquetWriter(DataSourceArrowWriter):
             writer.close()
         return Written(files)
 
+    def present(self) -> list[str]:
+        """Data files and staged files below the path."""
+        store, root = located(self.path)
+        found = store.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True))
+        return [x.path for x in found if x.is_file and x.path.endswith(".parquet")]
+
     def commit(self, messages: list[Written | None]) -> None:
+        """The files of the tasks that count get their names. An overwrite then drops all files of earlier writes; what failed tasks staged goes too."""
         store, _ = located(self.path)
+        before = self.present()
         for m in messages:
             for staged, final in m.files if m else []:
                 store.move(staged, final)
+        moved = {staged for m in messages if m for staged, _ in m.files}
+        for path in before:
+            if path not in moved and (self.overwrite or self.run in path):
+                store.delete_file(path)
 
     def abort(self, messages: list[Written | None]) -> None:
         store, _ = located(self.path)
-        for m in messages:
-            for staged, _ in m.files if m else []:
-                store.delete_file(staged)
+        for path in self.present():
+            if self.run in path:
+                store.delete_file(path)
 
 
 class GeoParquet(DataSource):
@@ -111,22 +124,26 @@ class GeoParquet(DataSource):
         return "geoparquet"
 
     def writer(self, schema, overwrite: bool) -> GeoParquetWriter:
-        return GeoParquetWriter(self.options["path"], self.options["partition"], self.options["footer"])
+        return GeoParquetWriter(self.options["path"], self.options["partition"], self.options["footer"], overwrite)
 
 
-def write_geoparquet(df: DataFrame, path: str, state: str = "state", tasks_a_state: int = 1) -> None:
+def write_geoparquet(df: DataFrame, path: str, state: str = "state", rows_a_file: int = 1_000_000) -> None:
     """Partition by the state's slug (null: unknown), with a bbox column, WKB geometry and the geo footer.
 
-    The state's own spelling stays in column <state>_name. tasks_a_state spreads states
-    over several files each, for states that hold much of the data.
+    The state's own spelling stays in column <state>_name. A state of more than about
+    rows_a_file rows is spread over several files, each a task of its own. Files of an
+    earlier run are replaced.
     """
     spark = df.sparkSession
     b = global_bounds(df).first()
     bbox = None if b["xmin"] is None else tuple(b)
     rows = df.withColumn("bbox", st_bounds(F.col("rings"))).withColumn(f"{state}_name", F.col(state)).withColumn(state, partition_slug(F.col(state)))
-    rows = rings_to_wkb(rows).withColumn("_salt", F.floor(F.rand(1) * tasks_a_state))
+    sizes = rows.groupBy(F.col(state).alias("_state")).agg(F.ceil(F.count(F.lit(1)) / rows_a_file).alias("_files"))  # a row a state
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    rows = rows.join(sizes, F.col(state) == F.col("_state")).withColumn("_salt", F.pmod(F.xxhash64(*plain), "_files")).drop("_state", "_files")
+    rows = rings_to_wkb(rows)
     spark.dataSource.register(GeoParquet)
-    rows.repartition(state, "_salt").sortWithinPartitions(state).drop("_salt").write.format("geoparquet").option("partition", state).option("footer", geo_footer(bbox)).mode("append").save(path)
+    rows.repartition(state, "_salt").sortWithinPartitions(state).drop("_salt").write.format("geoparquet").option("partition", state).option("footer", geo_footer(bbox)).mode("overwrite").save(path)
 
 
 def scan_partitioned(spark: SparkSession, path: str) -> DataFrame:

@@ -40,6 +40,22 @@ def test_validity(shapes):
     assert dict(g.validity(shapes, "k").collect()) == {1: True, 2: False, 3: False, 4: False}
 
 
+def test_validity_of_spikes_and_parts(spark):
+    square, small = ring((0, 0), (4, 0), (4, 4), (0, 4), (0, 0)), ring((1, 1), (2, 1), (2, 2), (1, 2), (1, 1))
+    cases = {
+        1: ([ring((0, 0), (4, 0), (4, 4), (4, 8), (4, 4), (0, 4), (0, 0))], [False], False),  # a spike
+        2: ([ring((0, 0), (4, 0), (2, 2), (4, 4), (0, 4), (2, 2), (0, 0))], [False], False),  # touches itself
+        3: ([ring((0, 0), (4, 0), (8, 0), (0, 0))], [False], False),  # no area
+        4: ([square, square], [False, True], False), 5: ([square, square], [False, False], False),
+        6: ([square, small], [False, False], False), 7: ([square, small], [False, True], True),
+        8: ([square, ring((4, 4), (8, 4), (8, 8), (4, 8), (4, 4))], [False, False], True),  # parts that touch in a point
+        9: ([square, ring((4, 0), (8, 0), (8, 4), (4, 4), (4, 0))], [False, False], False),  # parts with an edge in common
+        10: ([square, ring((3, 3), (8, 3), (8, 8), (3, 8), (3, 3))], [False, False], False),
+    }
+    df = spark.createDataFrame([(k, r, h) for k, (r, h, _) in cases.items()], SHAPE)
+    assert dict(g.validity(df, "k").collect()) == {k: ok for k, (_, _, ok) in cases.items()}
+
+
 def test_wkb_round_trip(shapes):
     back = g.wkb_to_rings(g.rings_to_wkb(shapes))
     assert sorted(back.select("k", "rings", "is_hole").collect()) == sorted(shapes.select("k", "rings", "is_hole").collect())

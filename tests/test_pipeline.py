@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from stratamerge.functions.geometry import rings_to_wkb
 from stratamerge.plans.config import Request
 from stratamerge.plans.pipeline import integrate
 from stratamerge.sources import features, geoparquet
@@ -17,7 +18,8 @@ def collection(rows):
     return json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": p, "geometry": {"type": "Polygon", "coordinates": c}} for p, c in rows]})
 
 
-def test_integrate(spark, tmp_path):
+@pytest.mark.parametrize("base", ["features", "wkb"])
+def test_integrate(spark, tmp_path, base):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/terrain_d_one_t_one.geojson").write_text(collection([({"uid": "a", "Slope": "5 - 10%", "2019_2020": '{"DeltaG": 2}'}, square(0, 0)), ({"uid": "b", "Slope": "7", "2019_2020": None}, square(2, 0))]))
     (tmp_path / "in/terrain_d_one_t_two.geojson").write_text(collection([]))
@@ -29,6 +31,9 @@ def test_integrate(spark, tmp_path):
         "unit": "mws", "layers": ["terrain"], "output_path": f"file://{tmp_path}/out", "base_layer": {"mws": f"file://{tmp_path}/base.parquet"},
         "column_map": {"terrain": {"rename_columns": {"uid": "mws_id", "Slope": "slope"}, "drop_columns": []}}, "layer_version": f"file://{tmp_path}/versions.csv",
     }))
+    if base == "wkb":
+        rows = features.read_features(spark, f"file://{tmp_path}/base.geojson", None)
+        rings_to_wkb(rows).write.parquet(f"file://{tmp_path}/base.parquet")
     integrate(spark, request, f"file://{tmp_path}/in", f"file://{tmp_path}/locations.json", f"file://{tmp_path}/areas.geojson")
     out = {r["mws_id"]: r for r in geoparquet.scan_partitioned(spark, f"file://{tmp_path}/out").collect()}
     assert {k: r["state"] for k, r in out.items()} == {"a": "S_One", "b": "S_One", "c": "Far"}
@@ -38,6 +43,16 @@ def test_integrate(spark, tmp_path):
     assert {(r["version"], r["code"], r["covering"]) for r in report} == {("1.1.0", 4326, True)} and len(report) == 2
 
 
+def test_write_twice_and_large_states(spark, tmp_path):
+    rows = [(i, "s" if i else None, [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]], [False]) for i in range(50)]
+    df = spark.createDataFrame(rows, "k int, state string, rings array<array<struct<x:double,y:double>>>, is_hole array<boolean>")
+    path = f"file://{tmp_path}/out"
+    for files in (2, 4):  # the second run replaces the first
+        geoparquet.write_geoparquet(df, path, rows_a_file=49 // (files - 1) + 1)
+        assert geoparquet.scan_partitioned(spark, path).count() == 50
+        assert geoparquet.files(spark, path).count() <= files
+
+
 def test_missing_layer(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         features.read_layer_features(spark, f"file://{tmp_path}", "nothing")
