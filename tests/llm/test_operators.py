@@ -89,6 +89,34 @@ def test_packing_batches(docs, odd, none):
     assert packing.op2_packing(none).count() == 0
 
 
+def test_packing_of_long_texts_is_optimal(spark):
+    import itertools
+
+    # nine long lengths in sixteen buckets need no padding
+    lens = [2048 + 3 * i for i in range(9)]
+    many = spark.createDataFrame([(x, "k", {"a": x}) for x in lens * 3], "n long, own string, rank map<string,long>")
+    out = packing.pack(many, "n").collect()
+    assert sum(r["padding"] for r in out) == 0 and sorted(r["rank"]["a"] for r in out) == sorted(lens * 3) and {r["own"] for r in out} == {"k"}
+    # and in three as little as the best of all choices
+    best = min(3 * sum(min(b for b in (*c, lens[-1]) if b >= x) - x for x in lens) for c in itertools.combinations(lens[:-1], 2))
+    assert sum(r["padding"] for r in packing.pack(many, "n", buckets=3).collect()) == best
+
+
+def test_op2_against_brute_force(docs):
+    from collections import Counter
+
+    out = packing.op2_packing(docs).collect()
+    words = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in docs.collect()}
+    assert {r["doc_id"]: r["n_words"] for r in out} == words
+    sizes = Counter(n for n in words.values() if n)
+    lens = sorted(sizes)
+    # the plain quadratic program over all lengths
+    best = [0] + [float("inf")] * len(lens)
+    for _ in range(16):
+        best = [0] + [min(best[i] + sum(sizes[x] * (lens[j] - x) for x in lens[i : j + 1]) for i in range(j + 1)) for j in range(len(lens))]
+    assert sum(r["padding"] for r in out) == best[-1]
+
+
 def test_word_count(spark):
     rows = [("a b", 2), ("", 0), (None, 0), ("  a\n\tb c ", 3), ("é", 1)]
     got = spark.createDataFrame(rows, "t string, n int").select("n", packing.word_count(F.col("t")).alias("w")).collect()
@@ -112,6 +140,15 @@ def test_mixing(docs, odd, none):
     assert mixing.op3_mixing(none).count() == 0
 
 
+def test_mixing_clashing_names(spark):
+    rows = spark.createDataFrame([(i, f"t{i}", "a", i, "x", float(i), [1.0]) for i in range(50)], "doc_id long, text string, source string, n long, own string, u double, upto array<double>")
+    got = mixing.mix(rows, {"a": 2.0})
+    assert got.columns == [*rows.columns, "replica", "mix_key"]
+    assert all((r["n"], r["own"], r["u"], r["upto"]) == (r["doc_id"], "x", float(r["doc_id"]), [1.0]) for r in got.collect())
+    plain = mixing.mix(rows.select("doc_id", "text", "source"), {"a": 2.0})
+    assert sorted(r["mix_key"] for r in got.collect()) == sorted(r["mix_key"] for r in plain.collect())
+
+
 def test_poisson_inverse():
     import math
 
