@@ -8,7 +8,7 @@ by that count and dealt out in one global random order.
 A null source is a source of its own; a source without a weight has weight 0. Null ids
 and texts hash as empty. Repeated rows get equal counts (copies with ids of their own
 don't). An empty table gives an empty result; columns named like the outputs are
-replaced.
+replaced, others are passed on, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import carried, unpacked
+
 SMALL_SOURCES = 10_000  # rates of at most so many sources are broadcast; more are joined by shuffle
 
 
@@ -55,20 +57,18 @@ def rates(docs: DataFrame, weights: dict, source: str = "source", total: float =
 
 def mix(docs: DataFrame, rate_of: dict, source: str = "source", identity: tuple[str, ...] = ("doc_id", "text"), seed: int = 11) -> DataFrame:
     """Every document repeated by its Poisson count, in a global order by hash, with replica (from 0) and mix_key."""
-    spark = docs.sparkSession
     docs = docs.drop("replica", "mix_key")
-    table = spark.createDataFrame([(s, inverse(r)) for s, r in sorted(rate_of.items(), key=str)], f"_source {docs.schema[source].dataType.simpleString()}, _upto array<double>") if rate_of else spark.createDataFrame([], f"_source {docs.schema[source].dataType.simpleString()}, _upto array<double>")
+    own, kept = carried(docs)
+    schema = f"source {docs.schema[source].dataType.simpleString()}, upto array<double>"
+    table = docs.sparkSession.createDataFrame([(s, inverse(r)) for s, r in sorted(rate_of.items(), key=str)], schema)
     if len(rate_of) <= SMALL_SOURCES:
         table = F.broadcast(table)
-    keyed = docs.withColumn("_u", uniform(F.lit(seed), *identity_columns(identity)))
-    keyed = keyed.join(table, docs[source].eqNullSafe(table["_source"])).withColumn("_n", F.size(F.filter("_upto", lambda c: c <= F.col("_u"))))
-    out = keyed.where("_n > 0").withColumn("replica", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    out = out.withColumn("mix_key", F.md5(F.concat_ws("|", F.lit(str(seed + 1)), *[F.coalesce(c.cast("string"), F.lit("")) for c in identity_columns(identity)], F.col("replica").cast("string"))))
-    return out.select(*docs.columns, "replica", "mix_key").repartitionByRange("mix_key").sortWithinPartitions("mix_key")
-
-
-def identity_columns(names: tuple[str, ...]) -> list[Column]:
-    return [F.col(n) for n in names]
+    keyed = docs.select(own.alias("own"), uniform(F.lit(seed), *[F.col(f"`{c}`") for c in identity]).alias("u"), F.col(f"`{source}`").alias("from"))
+    keyed = keyed.join(table, F.col("from").eqNullSafe(F.col("source"))).withColumn("n", F.size(F.filter("upto", lambda c: c <= F.col("u"))))
+    out = keyed.where("n > 0").select("own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("replica"))
+    named = [F.coalesce(F.col("own").getField(f"c{kept.index(c)}").cast("string"), F.lit("")) for c in identity]
+    key = F.md5(F.concat_ws("|", F.lit(str(seed + 1)), *named, F.col("replica").cast("string")))
+    return out.select(*unpacked("own", kept), "replica", key.alias("mix_key")).repartitionByRange("mix_key").sortWithinPartitions("mix_key")
 
 
 def op3_mixing(docs: DataFrame) -> DataFrame:
@@ -81,7 +81,8 @@ OP3_SQL = """
 WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 weights AS (SELECT source, n, pow(n::DOUBLE, 0.5) AS w FROM sizes),
 rate AS (SELECT source, (SELECT sum(n) FROM weights)::DOUBLE * w / (SELECT sum(w ORDER BY source) FROM weights) / n AS r FROM weights),
-cdf AS (SELECT source, k, sum(exp(-r + k * ln(r) - lgamma(k + 1.0))) OVER (PARTITION BY source ORDER BY k) AS upto FROM rate, range(60) t(k)),
+cdf AS (SELECT source, k, sum(exp(-r + k * ln(r) - lgamma(k + 1.0))) OVER (PARTITION BY source ORDER BY k) AS upto
+        FROM (SELECT source, r, unnest(range((r + 12 * sqrt(r) + 40)::BIGINT)) AS k FROM rate)),
 docs AS (SELECT doc_id, text, source, (('0x' || substr(md5(concat_ws('|', '11', coalesce(doc_id::VARCHAR, ''), coalesce(text, ''))), 1, 13))::BIGINT)::DOUBLE / 4503599627370496.0 AS u FROM documents),
 counted AS (SELECT d.doc_id, d.text, d.source, count(c.k) AS n FROM docs d LEFT JOIN cdf c ON c.source IS NOT DISTINCT FROM d.source AND c.upto <= d.u GROUP BY ALL)
 SELECT doc_id, text, source, replica::INT AS replica,
