@@ -12,7 +12,8 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
     """(node, root) of every node of edges(a, b): root is the smallest node of its component.
 
     Each round's edges are written to the shared folder; the rounds are about the
-    logarithm of the longest path. Self loops and repeated edges do no harm.
+    logarithm of the longest path, and more than `most` are an error. Self loops and
+    repeated edges do no harm.
     """
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     if now.isEmpty():
@@ -29,6 +30,6 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
         now = written(small.where("a <> b").distinct(), "edges")
         state = tuple(now.agg(F.count("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == before:
-            break
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    raise RuntimeError(f"components: not done after {most} rounds")

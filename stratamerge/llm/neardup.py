@@ -21,7 +21,9 @@ one node, named by a 64-bit hash of the set; links are sought between different
    A leaf leaves out its most frequent blocks, as far as links can't depend on them. A pair
    that is left comes out of the least block that both leaves are in.
 6. These pairs are verified set by set, with the same bound on pairs of sets first. Pairs
-   that are connected already need no check.
+   that are connected already need no check. Steps 4 to 6 pass twice: first with a few
+   partners of each leaf, in neighbouring units only, whose links contract a large group;
+   then with all that are left in different components.
 7. Components of the links are found by large and small stars.
 
 Nulls and texts without words have an empty set and are linked with nothing. Repeated
@@ -49,6 +51,7 @@ HOT = 128  # blocks of more sets are linked to several representatives
 UNIT = 256  # about so many leaves of a block are compared in one step
 GUESTS = 4096  # about so many sets meet one copy of their representative
 VISITS = 64  # about so many leaves meet one copy of their host
+FEW = 4  # partners of a leaf in a step of the first pass
 BITS = 4  # bits of a bitmap for each shingle, at least
 
 
@@ -402,10 +405,20 @@ def rare_blocks(placed: DataFrame, percent: int) -> DataFrame:
     return written(kept.join(kept.groupBy("block").agg(F.count("leaf").alias("c")), "block"), "placed")
 
 
-def pairs_between(left: pa.Table, right: pa.Table | None, percent: int) -> pa.RecordBatch:
+def some_of_each(one: np.ndarray, two: np.ndarray, few: int) -> np.ndarray:
+    """Which pairs are among the `few` first of their first leaf, in an order by hash."""
+    h = mix(mix(one.view(np.uint64)) + two.view(np.uint64))
+    order = np.lexsort((h, one))
+    begin = np.flatnonzero(np.concatenate([[True], one[order][1:] != one[order][:-1]]))
+    rank = np.arange(len(one)) - np.repeat(begin, np.diff(np.append(begin, len(one))))
+    return order[rank < few]
+
+
+def pairs_between(left: pa.Table, right: pa.Table | None, percent: int, few: int | None) -> pa.RecordBatch:
     """(one, two) of the leaf pairs of two size classes that the trees leave; right None: of one class with itself.
 
-    A pair that meets in several blocks comes out of the least of them.
+    A pair that meets in several blocks comes out of the least of them. few: so many pairs
+    of each left leaf only (None: all).
     """
     leaf, nodes = node_rows(left)
     if right is None:
@@ -429,13 +442,16 @@ def pairs_between(left: pa.Table, right: pa.Table | None, percent: int) -> pa.Re
             s = slice(a, a + step)
             keep[s] = (tables[0][i[s]] & tables[1][j[s]]).argmax(axis=1) == own
     i, j = i[keep], j[keep]
+    if few is not None and len(i):
+        some = some_of_each(leaf[i], other[j], few)
+        i, j = i[some], j[some]
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(leaf[i], other[j])), pa.array(np.maximum(leaf[i], other[j]))], names=["one", "two"])
 
 
 PAIRS = "one long, two long"
 
 
-def leaf_pairs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def leaf_pairs(placed: DataFrame, nodes: DataFrame, percent: int, few: int | None = None) -> DataFrame:
     """(one, two) of the leaves that meet in blocks of at most UNIT leaves."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,18 +461,19 @@ def leaf_pairs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             parts = [rows.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             for part, after in zip(parts, [*parts[1:], None], strict=True):
                 if part.num_rows > 1:
-                    yield pairs_between(part, None, percent)
+                    yield pairs_between(part, None, percent, few)
                 if after is not None and after.column("size")[0].as_py() == part.column("size")[0].as_py() + 1:
-                    yield pairs_between(part, after, percent)
+                    yield pairs_between(part, after, percent, few)
 
     return placed.select("block", "leaf").join(nodes, "leaf").repartition("block").sortWithinPartitions("block", "size", "least").mapInArrow(pairs, PAIRS)
 
 
-def unit_pairs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def unit_pairs(placed: DataFrame, nodes: DataFrame, percent: int, few: int | None = None) -> DataFrame:
     """leaf_pairs of blocks of any size: their leaves are dealt into units, and each pair of units is a step of its own.
 
     A unit holds leaves of one size class, and of one component where that has many;
-    units of the same component don't meet.
+    units of the same component don't meet. With few, a unit meets itself and its
+    neighbours only, so that the steps are linear in the units.
     """
     own = placed.select("block", "leaf", "root", "size")
     held = own.groupBy("block", "root", "size").agg(F.count("leaf").alias("c"))
@@ -465,9 +482,11 @@ def unit_pairs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     placed = own.join(held.select("block", "root", "size", "pool"), ["block", "root", "size"]).join(pools, ["block", "pool", "size"])
     placed = placed.withColumn("part", F.pmod(F.xxhash64("leaf"), "parts")).withColumn("unit", F.concat_ws(":", "pool", "size", "part"))
     units = pools.select("block", "pool", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    units = units.select("block", "pool", "size", F.concat_ws(":", "pool", "size", "part").alias("unit"))
-    one, two = (units.select("block", *[F.col(c).alias(f"{c}{i}") for c in ("pool", "size", "unit")]) for i in (1, 2))
+    units = units.select("block", "pool", "size", "part", F.concat_ws(":", "pool", "size", "part").alias("unit"))
+    one, two = (units.select("block", *[F.col(c).alias(f"{c}{i}") for c in ("pool", "size", "part", "unit")]) for i in (1, 2))
     steps = one.join(two, "block").where("(size1 < size2 OR size1 = size2 AND unit1 <= unit2) AND size2 - size1 <= 1 AND (pool1 <> pool2 OR pool1 = 0)")
+    if few is not None:
+        steps = steps.where("abs(part1 - part2) <= 1 AND (size1 < size2 OR pool1 = pool2) OR pool1 <> pool2 AND part1 = 0 AND part2 = 0")
     steps = steps.select("block", "unit1", "unit2", F.concat_ws("|", "block", "unit1", "unit2").alias("step"))
     sides = [steps.select("block", F.col("unit1").alias("unit"), "step", F.when(F.col("unit1") == F.col("unit2"), 2).otherwise(0).alias("side")), steps.where("unit1 <> unit2").select("block", F.col("unit2").alias("unit"), "step", F.lit(1).alias("side"))]
     rows = sides[0].union(sides[1]).join(placed, ["block", "unit"]).select("step", "side", "block", "leaf").join(nodes, "leaf")
@@ -477,9 +496,9 @@ def unit_pairs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             side = step.column("side").to_numpy()
             first = int((side == 0).sum())
             if side[0] == 2:  # a unit with itself
-                yield pairs_between(step, None, percent)
+                yield pairs_between(step, None, percent, few)
             elif 0 < first < step.num_rows:
-                yield pairs_between(step.slice(0, first), step.slice(first), percent)
+                yield pairs_between(step.slice(0, first), step.slice(first), percent, few)
 
     return rows.repartition("step").sortWithinPartitions("step", "side", "least").mapInArrow(pairs, PAIRS)
 
@@ -514,6 +533,32 @@ def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
+def tree_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, known: DataFrame, percent: int, few: int | None) -> DataFrame:
+    """Links (a, b) that connect the components of known (node, root): known itself and those found through the trees.
+
+    few: so many partners of each leaf in a step only (None: all, so no link is lost).
+    """
+    members = blocks.select("sid").distinct().join(sizes, "sid").withColumn("size", size_class(F.col("n"), percent))
+    both = known.union(known.select("root", "root")).distinct()  # the root too; 0 names the empty set and so no root
+    members = members.join(both.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", F.lit(0).cast("long")))
+    groups = members.where("root <> 0").groupBy("root", "size").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
+    members = members.join(groups, ["root", "size"], "left").select("sid", "size", "root", F.when(F.col("root") == 0, F.col("sid")).otherwise(F.pmod("sid", "parts")).alias("part"))
+    leaves = written(build_leaves(sets.join(members, "sid"), percent), "leaves")
+    # blocks of leaves; those of one component only have nothing left to find, and equal ones count together
+    meet = blocks.join(leaves.select("leaf", "root", F.explode("sids").alias("sid")), "sid").groupBy("block", "leaf", "root").agg(F.max("weight").alias("weight"))
+    busy = meet.groupBy("block").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"), F.min("root").alias("one"), F.max("root").alias("two"), F.count("leaf").alias("c"), F.first("weight").alias("weight"), *[F.bit_xor(F.xxhash64("leaf", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
+    busy = busy.where("lo < hi AND (one <> two OR one = 0)").groupBy("c", "h1", "h2").agg(F.min("block").alias("block"), F.sum("weight").alias("weight"))
+    busy = written(busy.select("block", "weight", "c"), "busy")
+    placed = meet.select("block", "leaf").join(busy, "block").join(leaves.select("leaf", "root", "size", "least"), "leaf")
+    placed = rare_blocks(placed, percent)
+    nodes = leaves.select("leaf", *[c for c in NODE if c != "blocks"]).join(meeting_lists(placed), "leaf")
+    near = leaf_pairs(placed.where(F.col("c") <= UNIT), nodes, percent, few)
+    if not placed.where(F.col("c") > UNIT).isEmpty():
+        near = near.union(unit_pairs(placed.where(F.col("c") > UNIT), nodes, percent, few))
+    pairs = written(near, "pairs")
+    return cross_links(pairs, leaves, percent).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """key, n_shingles and component_id (least key reachable by links) of every row of docs.
 
@@ -533,27 +578,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     wanted = context.broadcast(BitTable(candidates(shared, sizes, percent), "sid"))
     sets = written(sets_of(docs, text, k, wanted).dropDuplicates(["sid"]), "members")
     blocks = written(blocks_of(shared), "blocks")
-    known = components(star_links(blocks, sizes, sets, percent))
-    members = blocks.select("sid").distinct().join(sizes, "sid").withColumn("size", size_class(F.col("n"), percent))
-    both = known.union(known.select("root", "root")).distinct()  # the root too; 0 names the empty set and so no root
-    members = members.join(both.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", F.lit(0).cast("long")))
-    groups = members.where("root <> 0").groupBy("root", "size").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
-    members = members.join(groups, ["root", "size"], "left").select("sid", "size", "root", F.when(F.col("root") == 0, F.col("sid")).otherwise(F.pmod("sid", "parts")).alias("part"))
-    leaves = written(build_leaves(sets.join(members, "sid"), percent), "leaves")
-    # blocks of leaves; those of one component only have nothing left to find, and equal ones count together
-    meet = blocks.join(leaves.select("leaf", "root", F.explode("sids").alias("sid")), "sid").groupBy("block", "leaf", "root").agg(F.max("weight").alias("weight"))
-    busy = meet.groupBy("block").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"), F.min("root").alias("one"), F.max("root").alias("two"), F.count("leaf").alias("c"), F.first("weight").alias("weight"), *[F.bit_xor(F.xxhash64("leaf", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
-    busy = busy.where("lo < hi AND (one <> two OR one = 0)").groupBy("c", "h1", "h2").agg(F.min("block").alias("block"), F.sum("weight").alias("weight"))
-    busy = written(busy.select("block", "weight", "c"), "busy")
-    placed = meet.select("block", "leaf").join(busy, "block").join(leaves.select("leaf", "root", "size", "least"), "leaf")
-    placed = rare_blocks(placed, percent)
-    nodes = leaves.select("leaf", *[c for c in NODE if c != "blocks"]).join(meeting_lists(placed), "leaf")
-    near = leaf_pairs(placed.where(F.col("c") <= UNIT), nodes, percent)
-    if not placed.where(F.col("c") > UNIT).isEmpty():
-        near = near.union(unit_pairs(placed.where(F.col("c") > UNIT), nodes, percent))
-    pairs = written(near, "pairs")
-    found = cross_links(pairs, leaves, percent).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    roots = components(found)
+    roots = components(star_links(blocks, sizes, sets, percent))
+    for few in (FEW, None):
+        roots = components(tree_links(blocks, sizes, sets, roots, percent, few))
     rows = rows.drop("keys")
     firsts = rows.where("n_shingles > 0").groupBy("sid").agg(F.min(key).alias("first"))
     firsts = firsts.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
