@@ -256,7 +256,7 @@ def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc
     looks = np.array([np.frombuffer(r["patterns"], bool) for r in rows]).astype(int)
     terms_of = [np.frombuffer(r["hits"], np.int32) for r in rows]
     row, term = np.repeat(np.arange(len(rows)), [len(t) for t in terms_of]), np.concatenate(terms_of).astype(np.int64)
-    # toxic terms are dealt out over the lexicon voters by strength, clean terms form one voter
+    # toxic terms are dealt out over the lexicon voters by strength; clean terms only enter the classifier
     toxic = np.argsort(-strength)[: int((strength > 0).sum())]
     voter = np.full(len(words), -1)
     voter[toxic] = np.arange(len(toxic)) % voters
