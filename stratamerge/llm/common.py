@@ -40,7 +40,7 @@ class BitTable:
         at = values.select(F.pmod(column, F.lit(self.size)).alias("at"))
         at = at.groupBy(F.expr(f"at div {BUCKET}").alias("bucket")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(BUCKET))).alias("bits"))
         table = np.zeros((self.size // BUCKET, BUCKET // 8), np.uint8)
-        for r in at.toLocalIterator():
+        for r in at.repartition(8).toLocalIterator():  # a job for each partition
             table[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
         self.bits = table.ravel()
 

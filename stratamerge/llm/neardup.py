@@ -569,13 +569,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     news = rows.where("keys IS NOT NULL")
     sizes = news.select("sid", F.col("n_shingles").alias("n")).distinct()
     shared = written(shared_keys(news.select(F.explode("keys").alias("key"), "sid")), "shared")
-    for _ in range(2):  # the second time by the keys that candidates share with candidates
-        left = shared.join(candidates(shared, sizes, percent), "sid", "left_semi")
-        met = left.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
-        left = written(left.join(met, "key", "left_semi").select("key", "sid").distinct(), "shared")
-        discard(shared)
-        shared = left
-    wanted = context.broadcast(BitTable(candidates(shared, sizes, percent), "sid"))
+    # the keys that candidates share with candidates
+    left = shared.join(candidates(shared, sizes, percent), "sid", "left_semi")
+    met = left.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
+    left = written(left.join(met, "key", "left_semi").select("key", "sid").distinct(), "shared")
+    discard(shared)
+    shared = left
+    wanted = context.broadcast(BitTable(written(candidates(shared, sizes, percent), "wanted"), "sid"))
     sets = written(sets_of(docs, text, k, wanted).dropDuplicates(["sid"]), "members")
     blocks = written(blocks_of(shared), "blocks")
     roots = components(star_links(blocks, sizes, sets, percent))
