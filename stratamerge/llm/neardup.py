@@ -10,7 +10,7 @@ one node, named by a 64-bit hash of the set; links are sought between different
    alone don't make a set a candidate.
 3. Keys of the same candidates are one block, with their number as its weight.
 4. The sets of each block are checked against the block's least set (and large blocks in
-   parts too, by several hashes): links that are linear in the rows. Their components
+   parts too, by a hash): links that are linear in the rows. Their components
    contract: the leaves of the trees are few sets of one component and of similar size, or
    a single set. A leaf's node holds the OR of its sets' token bitmaps, as wide as their
    sizes ask for, and their size range.
@@ -164,11 +164,11 @@ def blocks_of(shared: DataFrame) -> DataFrame:
 
 
 def star_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of the sets of blocks with representatives: the least set of the block, and in large ones those of its parts by two hashes."""
+    """Links (a, b) of the sets of blocks with representatives: the least set of the block, and in large ones those of its parts by a hash."""
     # powers of two, so that blocks of about the same sets have the same parts
     parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("c") / HOT))).cast("long")
     met = None
-    for turn in range(3):
+    for turn in range(2):
         some = blocks.where(F.col("c") > HOT) if turn else blocks
         dealt = some.select("block", "weight", "sid", (F.pmod(F.xxhash64("sid", F.lit(turn)), parts) if turn else F.lit(0).cast("long")).alias("part"))
         least = dealt.groupBy("block", "part").agg(F.min("sid").alias("to"))
