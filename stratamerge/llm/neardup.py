@@ -21,9 +21,10 @@ one node, named by a 64-bit hash of the set; links are sought between different
    A leaf leaves out its most frequent blocks, as far as links can't depend on them. A pair
    that is left comes out of the least block that both leaves are in.
 6. These pairs are verified set by set, with the same bound on pairs of sets first. Pairs
-   that are connected already need no check. Steps 4 to 6 pass twice: first with a few
-   partners of each leaf, in neighbouring units only, whose links contract a large group;
-   then with all that are left in different components.
+   that are connected already need no check. Steps 5 and 6 pass twice: first in large
+   blocks, with a few partners of each leaf, in neighbouring units only, whose links
+   contract a large group; then in all blocks, with all that are left in different
+   components.
 7. Components of the links are found by large and small stars.
 
 Nulls and texts without words have an empty set and are linked with nothing. Repeated
@@ -52,6 +53,7 @@ UNIT = 256  # about so many leaves of a block are compared in one step
 GUESTS = 4096  # about so many sets meet one copy of their representative
 VISITS = 64  # about so many leaves meet one copy of their host
 FEW = 4  # partners of a leaf in a step of the first pass
+LARGE = 32  # the first pass is for blocks of more sets
 BITS = 4  # bits of a bitmap for each shingle, at least
 
 
@@ -402,7 +404,9 @@ def rare_blocks(placed: DataFrame, percent: int) -> DataFrame:
     counts = placed.groupBy("block", "size").agg(F.count("leaf").alias("c"))
     peers = counts.select("block", F.explode(F.array(*[F.col("size") + i for i in (-1, 0, 1)])).alias("size"), "c").groupBy("block", "size").agg(F.sum("c").alias("c"))
     kept = written(placed.join(peers.where("c > 1").select("block", "size"), ["block", "size"], "left_semi"), "rare")
-    return written(kept.join(kept.groupBy("block").agg(F.count("leaf").alias("c")), "block"), "placed")
+    placed = written(kept.join(kept.groupBy("block").agg(F.count("leaf").alias("c")), "block"), "placed")
+    discard(kept)
+    return placed
 
 
 def some_of_each(one: np.ndarray, two: np.ndarray, few: int) -> np.ndarray:
@@ -533,10 +537,11 @@ def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
-def tree_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, known: DataFrame, percent: int, few: int | None) -> DataFrame:
+def tree_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, known: DataFrame, percent: int, few: int | None, used: list[DataFrame]) -> DataFrame:
     """Links (a, b) that connect the components of known (node, root): known itself and those found through the trees.
 
     few: so many partners of each leaf in a step only (None: all, so no link is lost).
+    used gets the written tables that nobody needs once the links are written.
     """
     members = blocks.select("sid").distinct().join(sizes, "sid").withColumn("size", size_class(F.col("n"), percent))
     both = known.union(known.select("root", "root")).distinct()  # the root too; 0 names the empty set and so no root
@@ -556,6 +561,7 @@ def tree_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, known: Data
     if not placed.where(F.col("c") > UNIT).isEmpty():
         near = near.union(unit_pairs(placed.where(F.col("c") > UNIT), nodes, percent, few))
     pairs = written(near, "pairs")
+    used += [leaves, busy, placed, pairs]
     return cross_links(pairs, leaves, percent).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
 
@@ -579,8 +585,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     sets = written(sets_of(docs, text, k, wanted).dropDuplicates(["sid"]), "members")
     blocks = written(blocks_of(shared), "blocks")
     roots = components(star_links(blocks, sizes, sets, percent))
-    for few in (FEW, None):
-        roots = components(tree_links(blocks, sizes, sets, roots, percent, few))
+    for few, some in ((FEW, blocks.where(F.col("c") > LARGE)), (None, blocks)):
+        if not some.isEmpty():
+            used = []
+            roots = components(tree_links(some, sizes, sets, roots, percent, few, used))
+            for table in used:  # the edges are written
+                discard(table)
     rows = rows.drop("keys")
     firsts = rows.where("n_shingles > 0").groupBy("sid").agg(F.min(key).alias("first"))
     firsts = firsts.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
