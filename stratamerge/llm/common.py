@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.scratch import materialize_zstd, scratch
+from ..sources.scratch import discard, materialize_zstd, scratch
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: cuts lineage, survives executors."""
@@ -49,6 +50,25 @@ class BitTable:
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
+def ranked(rows: DataFrame, group: str, *order: str, name: str = "ranked") -> DataFrame:
+    """A written table's rows with rank (0, 1, ... within the group, in the order) and total (rows of the group).
+
+    Rows are range-partitioned by group and order, so a group of any size is spread over
+    tasks; places are what stands before a row in its part and the sizes of the parts before.
+    Equal rows may take each other's places. The result is written.
+    """
+    keys = [F.col(f"`{c}`") for c in (group, *order)] + [F.col("_tie")]  # rows that are equal can be parted too
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+    placed = written(dealt.withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_at", 33)
+    starts = placed.groupBy(F.col(group).alias("_group"), part.alias("_part")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before, every = Window.partitionBy("_group").orderBy("_part"), Window.partitionBy("_group")
+    starts = starts.select("_group", "_part", (F.col("_first") - F.sum("_n").over(before) + F.col("_n")).alias("_zero"), F.sum("_n").over(every).alias("total"))
+    out = written(placed.join(starts, F.col(group).eqNullSafe(F.col("_group")) & (part == F.col("_part"))).select(*rows.columns, (F.col("_at") - F.col("_zero")).alias("rank"), "total"), name)
+    discard(placed)
+    return out
+
+
 def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     """schema with fields added; a field of the same name is replaced."""
     new = {f.name for f in fields}
