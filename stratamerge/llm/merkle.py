@@ -174,7 +174,7 @@ def manifest(docs: DataFrame, key: str = "doc_id", by: str = "lang", fields: tup
     leaves = ranked(written(rows, "leaves"), "tree", "key", "digest")
     tiers, subroots = grown(leaves, fan, height)
     # the same above the trees, as one tree without a name
-    named = ranked(written(subroots.select(F.lit("").alias("all"), "tree", "digest"), "subroots"), "all", "tree").withColumnRenamed("tree", "name").withColumn("tree", F.lit(None).cast("string"))
+    named = ranked(written(subroots.select(F.lit("").alias("all"), "tree", "digest"), "subroots"), "all", "tree").withColumnRenamed("tree", "name").withColumn("tree", F.col("all"))
     upper, root = grown(named, fan, height)
     start = root.select("tree", F.struct(F.lit("").alias("subroot"), F.col("digest").alias("root"), F.array().cast(T.ArrayType(LEVEL)).alias("levels")).alias("path"))
     found = descended(upper, start, fan, height).select("rank", "path")

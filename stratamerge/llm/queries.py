@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, langid, merkle, mixing, neardup, packing, repeats, search, secrets, tokens, toxicity
+from . import fingerprints, langid, merkle, mixing, neardup, packing, repeats, search, secrets, tokens, toxicity, trie
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,9 +30,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": lambda s, d: neardup.op8_jaccard_join(documents(s, d)),
         "op9_repeats": lambda s, d: repeats.op9_repeats(documents(s, d)),
         "op10_token_counts": lambda s, d: tokens.op10_token_counts(documents(s, d), tokenizer_path()),
+        "op11_prefix_trie": lambda s, d: trie.op11_prefix_trie(s.read.parquet(f"{d}/conversations.parquet")),
         "op13_manifest": lambda s, d: merkle.op13_manifest(documents(s, d)),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.OP3_SQL, "op4_search": search.OP4_SQL, "op13_manifest": merkle.OP13_SQL}
+    return {"op3_mixing": mixing.OP3_SQL, "op4_search": search.OP4_SQL, "op11_prefix_trie": trie.op11_sql(merkle.crc32_sql("conv_id::VARCHAR")), "op13_manifest": merkle.OP13_SQL}
