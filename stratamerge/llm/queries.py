@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, langid, merkle, mixing, neardup, packing, repeats, search, secrets, tokens, toxicity, trie
+from . import bpe, fingerprints, langid, merkle, mixing, neardup, packing, repeats, search, secrets, tokens, toxicity, trie
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_repeats": lambda s, d: repeats.op9_repeats(documents(s, d)),
         "op10_token_counts": lambda s, d: tokens.op10_token_counts(documents(s, d), tokenizer_path()),
         "op11_prefix_trie": lambda s, d: trie.op11_prefix_trie(s.read.parquet(f"{d}/conversations.parquet")),
+        "op12_bpe": lambda s, d: bpe.op12_bpe(documents(s, d), tokenizer_path()),
         "op13_manifest": lambda s, d: merkle.op13_manifest(documents(s, d)),
     }
 
