@@ -32,22 +32,31 @@ def unpacked(struct: str, kept: list[str]) -> list[Column]:
 BUCKET = 1 << 15  # bits of one row of a bit table
 
 
-class BitTable:
-    """Set of 64-bit hashes as bits: about 16 a hash, between 2^20 and 2^30 in all. What it lacks is not in the set."""
-
-    def __init__(self, values: DataFrame, column: str, least: int = 1 << 20, most: int = 1 << 30):
-        n = values.count()
-        self.size = min(most, max(least, 1 << max(16 * n - 1, 0).bit_length()))
-        at = values.select(F.pmod(column, F.lit(self.size)).alias("at"))
-        at = at.groupBy(F.expr(f"at div {BUCKET}").alias("bucket")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(BUCKET))).alias("bits"))
-        table = np.zeros((self.size // BUCKET, BUCKET // 8), np.uint8)
-        for r in at.repartition(8).toLocalIterator():  # a job for each partition
-            table[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-        self.bits = table.ravel()
-
-    def has(self, values: np.ndarray) -> np.ndarray:
-        at = values.view(np.uint64) & np.uint64(self.size - 1)
-        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+def bit_table(values: DataFrame, column: str, least: int = 1 << 20, most: int = 1 << 30) -> np.ndarray:
+    """Set of 64-bit hashes as bits: about 16 a hash, between 2^20 and 2^30 in all. What it lacks is not in the set.
+
+    A plain array, so that executors can unpack its broadcast without this package.
+    """
+    n = values.count()
+    size = min(most, max(least, 1 << max(16 * n - 1, 0).bit_length()))
+    at = values.select(F.pmod(column, F.lit(size)).alias("at"))
+    at = at.groupBy(F.expr(f"at div {BUCKET}").alias("bucket")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(BUCKET))).alias("bits"))
+    table = np.zeros((size // BUCKET, BUCKET // 8), np.uint8)
+    for r in at.collect() if size <= 1 << 26 else at.repartition(8).toLocalIterator():  # 8 MB, or a job for each of 8 parts
+        table[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return table.ravel()
+
+
+def in_table(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values.view(np.uint64) & np.uint64(8 * len(table) - 1)
+    return (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """The name, lengthened until it is none of the columns'."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
 
 
 def ranked(rows: DataFrame, group: str, *order: str, name: str = "ranked") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import put_columns, remainder, with_fields
+from .common import put_columns, remainder, unused, with_fields
 
 UNKNOWN = "und"
 
@@ -152,14 +152,15 @@ def mean_less(cosines: np.ndarray, spread: float) -> float:
 def classify(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame:
     """docs with lang_pred (nearest language), score (its cosine, 0 to 1) and rejected (too far from it)."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.idf, model.vectors, model.language, model.reach))  # dims * (centroids + 1) floats
-    docs = docs.withColumn("_letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    letters = unused("_letters", docs.columns)
+    docs = docs.withColumn(letters, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Centroids(*shared.value)
         for batch in batches:
             n = batch.num_rows
-            ok = batch.column(batch.schema.get_field_index("_letters")).to_numpy(zero_copy_only=False)
+            ok = batch.column(batch.schema.get_field_index(letters)).to_numpy(zero_copy_only=False)
             lang, score, far = np.full(n, UNKNOWN, object), np.zeros(n), np.ones(n, bool)
             at = np.flatnonzero(ok) if len(m.vectors) else np.zeros(0, int)
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
@@ -172,7 +173,7 @@ def classify(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame
                 far[rows] = top < m.reach[best]
             yield put_columns(batch, {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score), "rejected": pa.array(far)})
 
-    return docs.mapInArrow(predict, with_fields(docs.schema, *fields)).drop("_letters")
+    return docs.mapInArrow(predict, with_fields(docs.schema, *fields)).drop(letters)
 
 
 def op1_language(docs: DataFrame) -> DataFrame:

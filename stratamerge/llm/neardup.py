@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import discard
-from .common import BitTable, mix, pieces, runs, shingles, utf8, written
+from .common import bit_table, in_table, mix, pieces, runs, shingles, utf8, written
 from .components import components
 
 LEAF = 16  # sets of a leaf at most
@@ -147,7 +147,7 @@ def sets_of(docs: DataFrame, text: str, k: int, wanted) -> DataFrame:
             for i, j in pieces(offsets, 1_000_000):
                 h, cuts = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
                 sid, n = set_ids(h, cuts), np.diff(cuts)
-                rows = [r for r in np.flatnonzero(table.has(sid) & (n > 0)).tolist() if not (sid[r] in met or met.add(sid[r]))]
+                rows = [r for r in np.flatnonzero(in_table(table, sid) & (n > 0)).tolist() if not (sid[r] in met or met.add(sid[r]))]
                 yield pa.RecordBatch.from_arrays([pa.array(sid[rows]), pa.array([h[cuts[r] : cuts[r + 1]].tobytes() for r in rows], pa.binary())], names=["sid", "members"])
 
     return docs.select(text).mapInArrow(make, "sid long, members binary")
@@ -165,8 +165,11 @@ def blocks_of(shared: DataFrame) -> DataFrame:
     return shared.join(blocks.select("key", "weight", "c"), "key").select(F.col("key").alias("block"), "weight", "c", "sid")
 
 
-def star_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of the sets of blocks with representatives: the least set of the block, and in large ones those of its parts by a hash."""
+def star_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, used: list[DataFrame]) -> DataFrame:
+    """Links (a, b) of the sets of blocks with representatives: the least set of the block, and in large ones those of its parts by a hash.
+
+    used gets the written tables that nobody needs once the links are written.
+    """
     # powers of two, so that blocks of about the same sets have the same parts
     parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("c") / HOT))).cast("long")
     met = None
@@ -180,9 +183,9 @@ def star_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, percent: in
     enough = F.col("met") > F.floor(F.ceil(F.col("n") * percent / 100) / 10)
     pairs = written(met.join(sizes, "sid").where(enough).select("sid", "to").distinct(), "stars")
     spread = pairs.groupBy("to").agg(F.ceil(F.count("sid") / GUESTS).alias("parts"))
-    once = written(sets.join(pairs.select("sid").union(pairs.select("to")).distinct(), "sid", "left_semi").dropDuplicates(["sid"]), "starred")
-    guests = pairs.join(spread, "to").select("to", F.pmod(F.xxhash64("sid"), "parts").alias("part"), "sid").join(once, "sid")
-    hosts = spread.join(once.select(F.col("sid").alias("to"), F.col("members").alias("other")), "to").select("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "other")
+    used.append(pairs)
+    guests = pairs.join(spread, "to").select("to", F.pmod(F.xxhash64("sid"), "parts").alias("part"), "sid").join(sets, "sid")
+    hosts = spread.join(sets.select(F.col("sid").alias("to"), F.col("members").alias("other")), "to").select("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "other")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -571,27 +574,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     Two rows link when 100 * intersection >= percent * union of their k-word shingles.
     """
     context = docs.sparkSession.sparkContext
-    rows = written(described(docs, key, text, k, percent), "sets")
-    news = rows.where("keys IS NOT NULL")
-    sizes = news.select("sid", F.col("n_shingles").alias("n")).distinct()
-    shared = written(shared_keys(news.select(F.explode("keys").alias("key"), "sid")), "shared")
+    whole = written(described(docs, key, text, k, percent), "sets")
+    rows = written(whole.drop("keys"), "rows")
+    sizes = rows.where("n_shingles > 0").select("sid", F.col("n_shingles").alias("n")).distinct()
+    shared = written(shared_keys(whole.where("keys IS NOT NULL").select(F.explode("keys").alias("key"), "sid")), "shared")
+    discard(whole)
     # the keys that candidates share with candidates
     left = shared.join(candidates(shared, sizes, percent), "sid", "left_semi")
     met = left.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
     left = written(left.join(met, "key", "left_semi").select("key", "sid").distinct(), "shared")
     discard(shared)
-    shared = left
-    wanted = context.broadcast(BitTable(written(candidates(shared, sizes, percent), "wanted"), "sid"))
+    some = written(candidates(left, sizes, percent), "wanted")
+    wanted = context.broadcast(bit_table(some, "sid"))
     sets = written(sets_of(docs, text, k, wanted).dropDuplicates(["sid"]), "members")
-    blocks = written(blocks_of(shared), "blocks")
-    roots = components(star_links(blocks, sizes, sets, percent))
+    blocks = written(blocks_of(left), "blocks")
+    discard(left, some)
+    used: list[DataFrame] = []
+    roots = components(star_links(blocks, sizes, sets, percent, used))
     for few, some in ((FEW, blocks.where(F.col("c") > LARGE)), (None, blocks)):
         if not some.isEmpty():
-            used = []
+            before = roots
             roots = components(tree_links(some, sizes, sets, roots, percent, few, used))
-            for table in used:  # the edges are written
-                discard(table)
-    rows = rows.drop("keys")
+            used.append(before)
+        discard(*used)  # the edges are written
+        used.clear()
+    discard(blocks, sets)
     firsts = rows.where("n_shingles > 0").groupBy("sid").agg(F.min(key).alias("first"))
     firsts = firsts.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     named = firsts.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BitTable, SpanHash, carried, mix, pieces, unpacked, utf8, written
+from .common import SpanHash, bit_table, carried, in_table, mix, pieces, unpacked, utf8, written
 
 RANGES = 4
 BLOCK = 25
@@ -226,7 +226,7 @@ def range_rows(texts: DataFrame, window: int, q: int, codes) -> DataFrame:
                 a = Anchors(data[offsets[i] : offsets[j]], own, window, q)
                 if a.span is None:
                     continue
-                key, full, lo, hi, _ = a.ranges(table.has(a.code))
+                key, full, lo, hi, _ = a.ranges(in_table(table, a.code))
                 row = np.searchsorted(own, lo, "right") - 1
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (names[i:j][row], key, full, lo - own[row], hi - own[row])], names=["k", "key", "full", "lo", "hi"])
 
@@ -245,8 +245,8 @@ def range_bytes(texts: DataFrame, window: int, q: int, codes, wanted) -> DataFra
                 a = Anchors(part, offsets[i : j + 1] - offsets[i], window, q)
                 if a.span is None:
                     continue
-                key, full, lo, hi, skip = a.ranges(table.has(a.code))
-                use = [x for x in np.flatnonzero(want.has(key ^ full)).tolist() if (p := (int(key[x]), int(full[x]))) not in met and not met.add(p)]
+                key, full, lo, hi, skip = a.ranges(in_table(table, a.code))
+                use = [x for x in np.flatnonzero(in_table(want, key ^ full)).tolist() if (p := (int(key[x]), int(full[x]))) not in met and not met.add(p)]
                 yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(full[use]), pa.array(skip[use]), pa.array([part[lo[x] : hi[x] + window].tobytes() for x in use], pa.binary())], names=["key", "full", "skip", "bytes"])
 
     return texts.select("text").mapInArrow(find, "key long, full long, skip long, bytes binary")
@@ -382,12 +382,12 @@ def repeated_spans(texts: DataFrame, window: int, q: int) -> DataFrame:
     """(k, spans): per row number, the byte spans (array of from, to) covered by repeated strings, unsorted."""
     context = texts.sparkSession.sparkContext
     twice = anchor_codes(texts, window, q).groupBy("v").agg(F.sum("n").alias("n")).where("n > 1").select("v")
-    codes = context.broadcast(BitTable(written(twice, "anchors"), "v"))
+    codes = context.broadcast(bit_table(written(twice, "anchors"), "v"))
     rows = written(range_rows(texts, window, q, codes), "ranges")
     wholes = rows.groupBy("key", "full").agg(F.count(F.lit(1)).alias("n"))
     cores = wholes.groupBy("key").agg(F.sum("n").alias("all")).where("all > 1").select("key")
     wholes = written(wholes.join(cores, "key", "left_semi"), "wholes")
-    wanted = context.broadcast(BitTable(wholes.select(F.col("key").bitwiseXOR(F.col("full")).alias("v")), "v"))
+    wanted = context.broadcast(bit_table(wholes.select(F.col("key").bitwiseXOR(F.col("full")).alias("v")), "v"))
     data = range_bytes(texts, window, q, codes, wanted).dropDuplicates(["key", "full"]).join(wholes, ["key", "full"])
     found = repeats_of(written(data.select(*RANGE.names), "data"), window, -(-(window - q + 1) // RANGES))
     spans = rows.join(found, ["key", "full"]).select("k", (F.col("lo") + F.col("from")).alias("from"), (F.col("lo") + F.col("to") + window).alias("to"))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.scratch import discard
-from .common import BitTable, SpanHash, lower_ascii, pieces, utf8, words_of, written
+from .common import SpanHash, bit_table, in_table, lower_ascii, pieces, utf8, words_of, written
 
 K1, B = 1.2, 0.75
 BLOCK = 64
@@ -77,7 +77,7 @@ def rows_of_terms(docs: DataFrame, key: str, text: str, wanted=None) -> DataFram
             for i, j in pieces(offsets, 1_000_000):
                 h, row, n, length = term_counts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 if table is not None:
-                    ok = table.has(h)
+                    ok = in_table(table, h)
                     h, row, n = h[ok], row[ok], n[ok]
                 cut = np.searchsorted(row, np.arange(j - i + 1))
                 spans = list(zip(cut[:-1], cut[1:], strict=True))
@@ -388,7 +388,7 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     spark, kind = docs.sparkSession, docs.schema[key].dataType
     asked = written(rows_of_terms(queries, key, text), "queries")
     each = exploded(asked).groupBy("key", "term").agg(F.sum("n").alias("n"))
-    wanted = spark.sparkContext.broadcast(BitTable(each.select("term").distinct(), "term"))
+    wanted = spark.sparkContext.broadcast(bit_table(each.select("term").distinct(), "term"))
     rows = written(rows_of_terms(docs, key, text, wanted), "documents")
     n, total, postings = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.sum(F.octet_length("terms")), F.lit(0)) / 8).first()
     mean = total / n if total else 1.0

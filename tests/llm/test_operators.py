@@ -44,6 +44,12 @@ def test_language_held_out_accuracy(docs):
     assert all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_language_keeps_columns_of_any_name(spark, docs):
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    got = langid.classify(docs.limit(5).withColumn("_letters", F.lit("mine")), model)
+    assert {r["_letters"] for r in got.collect()} == {"mine"}
+
+
 def test_language_odd_rows(odd, none, docs):
     model = langid.fit(docs.select("doc_id", "text", "lang"))
     out = langid.classify(odd, model).collect()
@@ -388,10 +394,12 @@ def test_near_duplicates_odd_rows(odd, none):
     assert len(out) == 7 and {r["doc_id"]: r["component_id"] for r in out} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, None: None}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_components(spark, few):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 101), (100, 101)]
-    out = dict(components.components(spark.createDataFrame(edges, "a long, b long")).collect())
-    assert all(out[i] == 0 for i in range(1, 41)) and out[101] == 100
+    out = dict(components.components(spark.createDataFrame(edges, "a long, b long"), few=few).collect())
+    assert out == {i: 0 for i in range(1, 41)} | {101: 100}
+    assert components.components(spark.createDataFrame([(7, 7)], "a long, b long"), few=few).collect() == []
 
 
 # --- 9 repeats
