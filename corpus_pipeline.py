@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamerge.llm import mixing, neardup, packing, secrets, toxicity
-from stratamerge.llm.common import documents, written
+from stratamerge.llm.common import documents, unused, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,26 +32,37 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = neardup.near_duplicates(docs.select("doc_id", "text"))
     keep = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi")
-    named = named.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    digest = unused("_text", docs.columns)
+    named = named.withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest]).select(*docs.columns)
     return named.union(docs.where(F.col("doc_id").isNull()))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts replaced by their kinds, and n_chars brought up to date."""
-    out = secrets.scan_secrets(docs, out="_secrets", redacted="text")
+    spans = unused("_secrets", docs.columns)
+    out = secrets.scan_secrets(docs, out=spans, redacted="text")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size("_secrets") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that sources come in shares of the square roots of their sizes, in random order."""
+    """Documents repeated so that sources come in shares of the square roots of their sizes, in random order.
+
+    Rows without a source are a source of their own. Rows that are equal are drawn alike, so
+    ties give no order; no columns but those of docs are returned.
+    """
     return mixing.mix(docs, mixing.rates(docs, mixing.tempered(docs))).select(*docs.columns)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their length in words, bucket, batch and slot."""
+    """Documents with their length in words, bucket, batch and slot.
+
+    Null and empty texts have no words and go to bucket 0. Ties of the order's hash are broken
+    by the rows' values. Columns named like an output (n_words, bucket, bucket_len, batch, slot,
+    padding) are replaced, others are passed on.
+    """
     return packing.pack(docs.withColumn("n_words", packing.word_count(F.col("text"))), "n_words")
 
 
