@@ -105,12 +105,42 @@ def st_centroid(rings: Column, is_hole: Column) -> Column:
     ))
 
 
+def turn(e: Column, x: Column, y: Column) -> Column:
+    """Positive left of the edge, negative right of it, 0 on its line."""
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+
+
+def on_edge(x: Column, y: Column, e: Column) -> Column:
+    same = (e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"])
+    return same & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+
+
+def right_of(x: Column, y: Column, e: Column) -> Column:
+    """Whether the ray from the point to the right crosses the edge."""
+    rise = F.nullif(e["y2"] - e["y1"], F.lit(0.0))
+    return ((e["y1"] > y) != (e["y2"] > y)) & F.coalesce(x < (e["x2"] - e["x1"]) * (y - e["y1"]) / rise + e["x1"], F.lit(False))
+
+
 def st_within(x: Column, y: Column, edge_array: Column) -> Column:
     """Whether the point lies strictly inside: an odd number of edges to its right, and none it lies on."""
-    rise = lambda e: F.nullif(e["y2"] - e["y1"], F.lit(0.0))
-    crossed = F.filter(edge_array, lambda e: ((e["y1"] > y) != (e["y2"] > y)) & F.coalesce(x < (e["x2"] - e["x1"]) * (y - e["y1"]) / rise(e) + e["x1"], F.lit(False)))
-    on = F.exists(edge_array, lambda e: ((e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"])) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
-    return (F.size(crossed) % 2 == 1) & ~on
+    return (F.size(F.filter(edge_array, lambda e: right_of(x, y, e))) % 2 == 1) & ~F.exists(edge_array, lambda e: on_edge(x, y, e))
+
+
+NEAR = 1e-9  # of a cell's width: an edge so near to a cell counts as passing it
+
+
+def cells_passed(e: Column, x0: Column, y0: Column, g: Column) -> Column:
+    """array<struct<cx,cy>> of the grid cells of width g, from (x0, y0) on, that an edge passes: column by column, the rows between its heights there."""
+    u1, u2, v1, v2 = (e["x1"] - x0) / g, (e["x2"] - x0) / g, (e["y1"] - y0) / g, (e["y2"] - y0) / g
+    low, high = F.least(u1, u2), F.greatest(u1, u2)
+    slope = F.when(u1 != u2, (v2 - v1) / F.nullif(u2 - u1, F.lit(0.0)))
+
+    def rows(c: Column) -> Column:
+        at = lambda u: F.least(F.greatest(v1 + (F.least(F.greatest(u, low), high) - u1) * slope, F.least(v1, v2)), F.greatest(v1, v2))
+        a, b = F.when(u1 == u2, v1).otherwise(at(c - NEAR)), F.when(u1 == u2, v2).otherwise(at(c + 1 + NEAR))
+        return F.transform(F.sequence(F.floor(F.least(a, b) - NEAR), F.floor(F.greatest(a, b) + NEAR)), lambda r: F.struct(c.alias("cx"), r.alias("cy")))
+
+    return F.flatten(F.transform(F.sequence(F.floor(low - NEAR), F.floor(high + NEAR)), rows))
 
 
 def st_geometry_type(is_hole: Column) -> Column:
@@ -118,53 +148,6 @@ def st_geometry_type(is_hole: Column) -> Column:
     return F.when(F.size(F.filter(is_hole, lambda h: ~h)) == 1, "POLYGON").otherwise("MULTIPOLYGON")
 
 
-def validity(df: DataFrame, key: str, rings: str = "rings", is_hole: str = "is_hole") -> DataFrame:
-    """(key, is_valid): every ring closed, of 4 points at least, finite and of some area; no ring meets itself but in
-    neighbours' corners, and no two rings cross or share a stretch; holes lie in outer rings; parts don't overlap.
-
-    Edges of a shape meet its own edges only, in cells of its bounding box, so a shape of
-    many vertices isn't compared edge by edge. Rings of one shape may touch in points.
-    """
-    r = F.col(rings)
-    finite = lambda ring: F.forall(ring, lambda p: F.coalesce(F.abs(p["x"]) < F.lit(float("inf")), F.lit(False)) & F.coalesce(F.abs(p["y"]) < F.lit(float("inf")), F.lit(False)))
-    shaped = F.forall(r, lambda ring: (F.size(ring) >= 4) & (F.get(ring, F.lit(0)) == F.element_at(ring, -1)) & finite(ring) & (moments(ring)["a"] != 0))
-    outers = F.filter(r, lambda _, i: ~F.get(F.col(is_hole), i))
-    outer = F.flatten(F.transform(outers, edges))
-    holes = F.flatten(F.filter(r, lambda _, i: F.get(F.col(is_hole), i)))
-    outside = F.exists(holes, lambda p: ~st_within(p["x"], p["y"], outer) & ~on_any(p["x"], p["y"], outer))
-    # a corner of one part strictly inside another one; what crosses is found below
-    nested = F.exists(F.transform(outers, lambda a, i: F.exists(outers, lambda b: ~b.eqNullSafe(a) & F.exists(a, lambda p: st_within(p["x"], p["y"], edges(b))))), lambda x: x)
-    ok = F.coalesce(shaped & (F.size(r) > 0), F.lit(False))
-    checked = df.select(key, ok.alias("_shaped"), F.when(ok, ~outside & ~nested).otherwise(False).alias("_apart"))
-    ringed = F.flatten(F.transform(r, lambda ring, i: F.transform(edges(ring), lambda e, j: F.struct(i.alias("ring"), j.alias("at"), (F.size(ring) - 1).alias("n"), e.alias("e")))))
-    cut = df.where(ok).select(key, st_bounds(r).alias("b"), F.greatest(F.lit(1.0), F.sqrt(st_npoints(r).cast("double"))).alias("n"), F.explode(ringed).alias("w")).withColumn("e", F.col("w.e"))
-    g = F.greatest((F.col("b.xmax") - F.col("b.xmin")), (F.col("b.ymax") - F.col("b.ymin")), F.lit(1e-12)) / F.col("n")
-    span = lambda a, b, low: F.sequence(F.floor((F.least(a, b) - low) / g), F.floor((F.greatest(a, b) - low) / g))
-    cells = cut.withColumn("cx", F.explode(span(F.col("e.x1"), F.col("e.x2"), F.col("b.xmin")))).withColumn("cy", F.explode(span(F.col("e.y1"), F.col("e.y2"), F.col("b.ymin"))))
-    one, two = cells.select(key, "cx", "cy", F.col("w").alias("v")), cells.select(key, "cx", "cy", "w")
-    v, w, p, q = F.col("v"), F.col("w"), F.col("v.e"), F.col("w.e")
-    turn = lambda e, x, y: (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-    side = lambda e, x, y: F.signum(turn(e, x, y))
-    crossing = (side(p, q["x1"], q["y1"]) * side(p, q["x2"], q["y2"]) < 0) & (side(q, p["x1"], p["y1"]) * side(q, p["x2"], p["y2"]) < 0)
-    on = lambda x, y, e: (turn(e, x, y) == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-    touching = on(q["x1"], q["y1"], p) | on(q["x2"], q["y2"], p) | on(p["x1"], p["y1"], q) | on(p["x2"], p["y2"], q)
-    straight = (turn(p, q["x1"], q["y1"]) == 0) & (turn(p, q["x2"], q["y2"]) == 0)
-    # a stretch in common: on one line, and more than a point of it
-    low = lambda a: F.greatest(F.least(p[f"{a}1"], p[f"{a}2"]), F.least(q[f"{a}1"], q[f"{a}2"]))
-    high = lambda a: F.least(F.greatest(p[f"{a}1"], p[f"{a}2"]), F.greatest(q[f"{a}1"], q[f"{a}2"]))
-    stretch = straight & (low("x") <= high("x")) & (low("y") <= high("y")) & ((low("x") < high("x")) | (low("y") < high("y")))
-    same = v["ring"] == w["ring"]
-    beside = same & ((w["at"] - v["at"] == 1) | (v["at"] == 0) & (w["at"] == w["n"] - 1))
-    bad = crossing | stretch | (same & ~beside & touching)
-    later = (v["ring"] < w["ring"]) | same & (v["at"] < w["at"])
-    wrong = one.join(two, [key, "cx", "cy"]).where(later & bad).select(key).distinct().withColumn("_wrong", F.lit(True))
-    return checked.join(wrong, key, "left").select(key, (F.col("_shaped") & F.col("_apart") & F.col("_wrong").isNull()).alias("is_valid"))
-
-
-def on_any(x: Column, y: Column, edge_array: Column) -> Column:
-    return F.exists(edge_array, lambda e: ((e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"])) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
-
-
 # --- WKB: the form at rest --------------------------------------------------------------
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import st_area, st_bounds, st_npoints, validity
+from ..functions.geometry import st_area, st_bounds, st_npoints
 from .merge import KEYS
+from .validity import validity
 
 
 def count_by(df: DataFrame, column: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions import names
 from ..operators import ingest, merge, quality, reshape, spatial
+from ..operators.validity import validity
 from ..sources import features, geoparquet
 from ..sources.scratch import materialize_zstd, scratch
 
@@ -466,23 +467,43 @@ def _(s, d):
 
 
 def spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shapes, some of them with a spike, a figure touching itself, no area, a hole like its shell, equal parts or a part within another."""
+    """Shapes, some of them replaced by one of the FAULTS, which are valid or not."""
     x, y, s = F.col("x"), F.col("y"), F.col("s")
-    square = box(x, y, s, s)
+    at = lambda *corners: ring(*[(x + s * a, y + s * b) for a, b in [*corners, corners[0]]])
+    inner = lambda a, b, w: at((a, b), (a + w, b), (a + w, b + w), (a, b + w))
+    shell = inner(0, 0, 1)
     faults = [
-        ring((x, y), (x + s, y), (x + s, y + s), (x + s, y + 2 * s), (x + s, y + s), (x, y + s), (x, y)),
-        ring((x, y), (x + s, y), (x + s / 2, y + s), (x + s, y + 2 * s), (x, y + 2 * s), (x + s / 2, y + s), (x, y)),
-        ring((x, y), (x + s, y), (x + 2 * s, y), (x, y)),
+        ([at((0, 0), (1, 0), (1, 1), (1, 2), (1, 1), (0, 1))], "F"),  # a spike
+        ([at((0, 0), (1, 0), (0.5, 1), (1, 2), (0, 2), (0.5, 1))], "F"),  # a figure touching itself
+        ([at((0, 0), (1, 0), (2, 0))], "F"),  # no area
+        ([shell, shell], "FT"),  # a hole like its shell
+        ([shell, shell], "FF"),  # equal parts
+        ([shell, inner(0.25, 0.25, 0.5)], "FF"),  # a part within another one
+        ([shell, at((0, 0.5), (0.5, 0.25), (0.5, 0.75))], "FT"),  # a hole that touches the shell once
+        ([shell, inner(0.25, 0.25, 0.5)], "FT"),
+        ([shell, inner(0.125, 0.125, 0.75), inner(0.25, 0.25, 0.5)], "FTF"),  # an island in a lake
+        ([shell, inner(0.125, 0.125, 0.75), inner(0.25, 0.25, 0.5)], "FTT"),  # a hole in a hole
+        ([shell, at((0, 0.5), (0.5, 0.25), (1, 0.5), (0.5, 0.75))], "FT"),  # a hole that cuts its part in two
+        ([shell, at((0, 0.5), (0.5, 0), (1, 0.5), (0.5, 1))], "FF"),  # a part inscribed in another one
+        ([shell, at((0, 0.5), (0.25, 0.25), (0.5, 0.5), (0.25, 0.75)), at((0.5, 0.5), (0.75, 0.25), (1, 0.5), (0.75, 0.75))], "FTT"),  # two holes that together cut it
+        ([shell, at((0, 0.5), (0.25, 0.25), (0.5, 0.5), (0.25, 0.75)), at((0.5, 0.5), (0.75, 0.25), (0.875, 0.5), (0.75, 0.75))], "FTT"),  # the same, but one touches the other only
+        ([shell, inner(2.25, 0.25, 0.5), inner(2, 0, 1)], "FTF"),  # a hole in the other part
+        ([at((0, 0), (0, 0), (1, 0), (1, 0.5), (1, 0.5), (1, 1), (0, 1))], "F"),  # repeated points
     ]
-    which, twice = F.col("k") % 11, F.array(square, square)
-    rings = F.when(which == 1, F.array(faults[0])).when(which == 2, F.array(faults[1])).when(which == 3, F.array(faults[2])).when(which.isin(4, 5), twice).when(which == 6, F.array(square, box(x + s / 4, y + s / 4, s / 2, s / 2))).otherwise(F.col("rings"))
-    marks = F.when(which <= 3, F.array(F.lit(False))).when(which == 4, F.array(F.lit(False), F.lit(True))).when(which <= 6, F.array(F.lit(False), F.lit(False)))
-    return shapes(spark, sf_dir).select("k", rings.alias("rings"), F.when(which.between(1, 6), marks).otherwise(F.col("is_hole")).alias("is_hole"))
+    which = F.col("k") % FAULTS
+    rings, marks = F.col("rings"), F.col("is_hole")
+    for i, (shape, holes) in enumerate(faults):
+        rings, marks = F.when(which == i + 1, F.array(*shape)).otherwise(rings), F.when(which == i + 1, F.array(*[F.lit(h == "T") for h in holes])).otherwise(marks)
+    return shapes(spark, sf_dir).select("k", rings.alias("rings"), marks.alias("is_hole"))
+
+
+FAULTS = 19
+VALID = f"CASE WHEN k % {FAULTS} BETWEEN 1 AND 16 THEN k % {FAULTS} IN (7, 8, 9, 14, 16) ELSE kind <> 3 END"
 
 
-@query("st_is_valid", f"WITH {SHAPES} SELECT k, kind <> 3 AND k % 11 NOT BETWEEN 1 AND 6 AS is_valid FROM measured")
+@query("st_is_valid", f"WITH {SHAPES} SELECT k, {VALID} AS is_valid FROM measured")
 def _(s, d):
-    return g.validity(spoiled(s, d), "k")
+    return validity(spoiled(s, d), "k")
 
 
 @query("st_within", f"WITH {SHAPES} SELECT k, kind IN (0, 1) OR (kind = 4) AS quarter, kind <> 3 AND kind <> 1 AND kind <> 2 AS centre, false AS corner FROM measured")
@@ -547,7 +568,7 @@ def _(s, d):
     return quality.count_by(shapes(s, d).select(g.st_geometry_type(F.col("is_hole")).alias("type")), "type")
 
 
-@query("count_invalid_geometry", f"WITH {SHAPES} SELECT count(*) FILTER (kind = 3 OR k % 11 BETWEEN 1 AND 6) AS n_invalid FROM measured")
+@query("count_invalid_geometry", f"WITH {SHAPES} SELECT count(*) FILTER (NOT {VALID}) AS n_invalid FROM measured")
 def _(s, d):
     return quality.count_invalid_geometry(spoiled(s, d), "k")
 

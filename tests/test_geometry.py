@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratamerge.functions import geometry as g
+from stratamerge.operators.validity import validity
 
 SHAPE = "k int, rings array<array<struct<x:double,y:double>>>, is_hole array<boolean>"
 
@@ -37,7 +38,7 @@ def test_within_excludes_edges_and_holes(spark, shapes):
 
 
 def test_validity(shapes):
-    assert dict(g.validity(shapes, "k").collect()) == {1: True, 2: False, 3: False, 4: False}
+    assert dict(validity(shapes, "k").collect()) == {1: True, 2: False, 3: False, 4: False}
 
 
 def test_validity_of_spikes_and_parts(spark):
@@ -53,7 +54,7 @@ def test_validity_of_spikes_and_parts(spark):
         10: ([square, ring((3, 3), (8, 3), (8, 8), (3, 8), (3, 3))], [False, False], False),
     }
     df = spark.createDataFrame([(k, r, h) for k, (r, h, _) in cases.items()], SHAPE)
-    assert dict(g.validity(df, "k").collect()) == {k: ok for k, (_, _, ok) in cases.items()}
+    assert dict(validity(df, "k").collect()) == {k: ok for k, (_, _, ok) in cases.items()}
 
 
 def test_wkb_round_trip(shapes):
