@@ -7,11 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions.names import clean_label
 
+MOST_LAYERS = 1000
+
 
 def fetch_manifest(locations: DataFrame, layers: DataFrame) -> DataFrame:
-    """One row per layer(layer, template) and location: its task key and URL ({state}, {district}, {tehsil} in the template)."""
+    """One row per layer(layer, template) and location: its task key and URL ({state}, {district}, {tehsil} in the template).
+
+    Each location takes the array of all layers (one short row each, by nature a handful) and explodes it.
+    """
     slugged = locations.select(*[clean_label(F.col(f"{n}_name")).alias(n) for n in ("state", "district", "tehsil")])
-    both = slugged.crossJoin(F.broadcast(layers))  # a handful of layers
+    rows = [(r["layer"], r["template"]) for r in layers.select("layer", "template").limit(MOST_LAYERS + 1).collect()]
+    if len(rows) > MOST_LAYERS:
+        raise ValueError(f"more than {MOST_LAYERS} layers")
+    known = F.array(*[F.struct(F.lit(a).alias("layer"), F.lit(b).alias("template")) for a, b in rows]).cast("array<struct<layer:string,template:string>>")
+    both = slugged.withColumn("l", F.explode(known)).select("state", "district", "tehsil", "l.layer", "l.template")
     url = F.col("template")
     for n in ("state", "district", "tehsil"):
         url = F.replace(url, F.lit("{" + n + "}"), F.col(n))

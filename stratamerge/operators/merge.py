@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import clean_label, lenient_cast, lower_names
 from .reshape import harmonize_geometry_name, rename_and_drop, union_relaxed
@@ -15,13 +16,27 @@ NOT_JOINED = ("id", "tehsil", "district", "state", "geometry", "area_in_ha")
 LOCATION = ("mws_id", "version", "tehsil", "district", "state")
 #: Layers in the order in which locations are taken from them.
 LOCATION_ORDER = ("terrain", "soge", "aquifer", "cropping_intensity", "deltaG_fortnight", "deltaG_well_depth")
-SMALL_ROWS = 200_000  # tables of at most so many rows are broadcast
+SMALL_ROWS, SMALL_BYTES = 200_000, 1 << 25  # tables within both bounds are broadcast
 
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """df with a broadcast hint if it is known to be small: `rows`, or a count that stops at the bound."""
-    n = df.limit(SMALL_ROWS + 1).count() if rows is None else rows
-    return F.broadcast(df) if n <= SMALL_ROWS else df
+def weight(value: Column, kind: T.DataType) -> Column:
+    """About the bytes of a value."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + weight(x, kind.elementType)), F.lit(0)) + 24
+    if isinstance(kind, T.MapType):
+        return weight(F.map_keys(value), T.ArrayType(kind.keyType)) + weight(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return sum((weight(value[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    return F.lit(8)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint if its rows and their bytes are known to be few, by a look that stops at the bound."""
+    size = sum((weight(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8))
+    n, total = df.limit(SMALL_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= SMALL_ROWS and total <= SMALL_BYTES else df
 
 
 def prepare_base(raw: DataFrame, version: float = BASE_VERSION) -> DataFrame:
@@ -33,14 +48,26 @@ def prepare_base(raw: DataFrame, version: float = BASE_VERSION) -> DataFrame:
     return base
 
 
+def file_slug() -> Column:
+    return F.concat_ws("_", clean_label(F.col("district_name")), clean_label(F.col("tehsil_name")))
+
+
+def shared_slugs(locations: DataFrame) -> DataFrame:
+    """(slug, n, first, last): file slugs that several locations have, how many, and the first and last of their names. Their features can't be told apart."""
+    named = locations.select(file_slug().alias("slug"), F.concat_ws(" / ", "state_name", "district_name", "tehsil_name").alias("name")).distinct()
+    return named.groupBy("slug").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("first"), F.max("name").alias("last")).where("n > 1")
+
+
 def tag_location(features: DataFrame, locations: DataFrame, slug: str = "slug") -> DataFrame:
-    """Each feature with version, tehsil, district and state of the location whose file slug it carries."""
-    own = locations.select(
-        F.concat_ws("_", clean_label(F.col("district_name")), clean_label(F.col("tehsil_name"))).alias(slug),
-        lenient_cast(F.col("algorithm version")).alias("version"), F.col("tehsil_name").alias("tehsil"), F.col("district_name").alias("district"), F.col("state_name").alias("state"),
-    )
+    """Each feature with version, tehsil, district and state of the location whose file slug it carries.
+
+    Of locations with the same slug (see shared_slugs) the first by (state, district, tehsil,
+    version) is taken, so no feature is doubled.
+    """
+    tags = F.struct(F.col("state_name").alias("state"), F.col("district_name").alias("district"), F.col("tehsil_name").alias("tehsil"), lenient_cast(F.col("algorithm version")).alias("version"))
+    own = locations.groupBy(file_slug().alias(slug)).agg(F.min(tags).alias("t")).select(slug, *[F.col(f"t.{c}").alias(c) for c in ("version", "tehsil", "district", "state")])
     kept = [c for c in features.columns if c not in ("version", "tehsil", "district", "state")]
-    return features.select(*kept).join(small(own), slug)
+    return features.select(*[F.col(f"`{c}`") for c in kept]).join(small(own), slug)
 
 
 def join_layer_versions(locations: DataFrame, versions: DataFrame) -> DataFrame:

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import all_edges, let, st_bounds, st_centroid, st_within
+from ..functions.geometry import all_edges, cells_passed, let, on_edge, right_of, st_bounds, st_centroid, turn
 from ..functions.names import normalize_area_name, title_case
 from ..sources.scratch import materialize_zstd
-from .merge import KEYS, small
-from .reshape import union_relaxed
+from .merge import KEYS
 
 ADMIN = ("state", "district", "tehsil")
-CELLS = 64  # an area covers at most about so many cells of its level
+EDGES = 64  # edges in one row of a cell at most
 
 
 def in_envelope(c: Column, xmin: float, ymin: float, xmax: float, ymax: float) -> Column:
@@ -33,37 +32,84 @@ def bbox_contained(bbox: str, xmin: float, ymin: float, xmax: float, ymax: float
     return (F.col(f"{bbox}.xmin") >= xmin) & (F.col(f"{bbox}.xmax") <= xmax) & (F.col(f"{bbox}.ymin") >= ymin) & (F.col(f"{bbox}.ymax") <= ymax)
 
 
+def beyond(x: Column, y: Column, e: Column) -> Column:
+    """Of an edge that crosses height y (a hair above): whether it does so right of x."""
+    side = F.when(e["y2"] > e["y1"], turn(e, x, y) > 0).otherwise(turn(e, x, y) < 0)
+    return F.when(F.least(e["x1"], e["x2"]) > x, True).when(F.greatest(e["x1"], e["x2"]) <= x, False).otherwise(side)
+
+
+def up_to(x: Column, y: Column, e: Column) -> Column:
+    """Of an edge that crosses x (a hair to the right): whether it does so not above y. Decided by the same sign as `beyond`, so that both agree however numbers are rounded."""
+    above = turn(e, x, y) * F.signum(e["x2"] - e["x1"])
+    side = F.when((e["y2"] > e["y1"]) == (e["x2"] > e["x1"]), above > 0).otherwise(above >= 0)
+    return F.when(F.greatest(e["y1"], e["y2"]) <= y, True).when(F.least(e["y1"], e["y2"]) > y, False).otherwise(side)
+
+
+def area_cells(shapes: DataFrame) -> DataFrame:
+    """(level, cx, cy, area, edges, odd, parts) of shapes (area, level, edges): the grid cells that each covers, of width 2^level.
+
+    A cell holds the edges that pass it, EDGES of them in a row, and in its first row whether
+    its lower right corner is inside. Cells wholly inside have one row without edges.
+    """
+    g = F.pow(F.lit(2.0), F.col("level"))
+    e, none = F.col("e"), F.lit(0).cast("long")
+    lines = materialize_zstd(shapes.select("area", "level", F.explode("edges").alias("e")))
+    passed = lines.select("area", "level", "e", F.explode(cells_passed(e, F.lit(0.0), F.lit(0.0), g)).alias("c")).select("area", "level", "e", "c.*")
+    turns = F.row_number().over(Window.partitionBy("area", "level", "cx", "cy").orderBy("e")) - 1
+    rows = passed.withColumn("part", F.floor(turns / EDGES)).groupBy("area", "level", "cx", "cy", "part").agg(F.collect_list("e").alias("edges"))
+    rows = materialize_zstd(rows)
+    # where edges cross the lower sides of cells: the first cell whose right side isn't left of that
+    crossed = lines.select("area", "level", "e", F.explode(F.sequence(F.ceil(F.least(e["y1"], e["y2"]) / g), F.greatest(F.ceil(F.greatest(e["y1"], e["y2"]) / g) - 1, F.ceil(F.least(e["y1"], e["y2"]) / g)))).alias("cy"))
+    y = F.col("cy") * g
+    crossed = crossed.where((e["y1"] > y) != (e["y2"] > y)).withColumn("c", F.floor(((e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]) / g))
+    c = F.col("c")
+    crossed = crossed.select("area", "level", "cy", F.when(~beyond(c * g, y, e), c - 1).when(~beyond((c + 1) * g, y, e), c).otherwise(c + 1).alias("cx"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("held"))
+    held = rows.where("part = 0").select("area", "level", "cy", "cx", none.alias("n"), F.lit(True).alias("held"))
+    line = Window.partitionBy("area", "level", "cy")
+    columns = crossed.union(held).groupBy("area", "level", "cy", "cx").agg(F.sum("n").alias("n"), F.max("held").alias("held"))
+    columns = columns.withColumn("right", F.sum("n").over(line.orderBy(F.desc("cx")).rowsBetween(Window.unboundedPreceding, 0))).where("held").withColumn("last", F.lag("cx").over(line.orderBy("cx")))
+    columns = materialize_zstd(columns)
+    odd = columns.select("area", "level", "cx", "cy", ((F.col("right") - F.col("n")) % 2).alias("odd"))
+    parts = rows.groupBy("area", "level", "cx", "cy").agg(F.count(F.lit(1)).alias("parts"))
+    held = rows.join(odd.join(parts, ["area", "level", "cx", "cy"]), ["area", "level", "cx", "cy"]).withColumn("odd", F.when(F.col("part") == 0, F.col("odd")).otherwise(none)).drop("part")
+    gaps = columns.where("right % 2 = 1 AND cx - last > 1").select("area", "level", F.explode(F.sequence(F.col("last") + 1, F.col("cx") - 1)).alias("cx"), "cy")
+    inner = gaps.select("*", F.array().cast(rows.schema["edges"].dataType).alias("edges"), F.lit(1).cast("long").alias("odd"), F.lit(1).cast("long").alias("parts"))
+    return materialize_zstd(held.unionByName(inner))
+
+
 def spatial_left_join(points: DataFrame, areas: DataFrame, x: str = "x", y: str = "y", rings: str = "rings") -> DataFrame:
     """Points with the columns of every area they lie strictly within; nulls where there is none.
 
-    Areas cover grid cells of one of several levels, each four times as coarse as the one
-    before, the first that needs few cells; a point probes one cell of each level. So the
-    join is by equality of cells; bounding box and exact test follow. Points with a null
-    coordinate match nothing. Names that both sides have are an error.
+    Areas cover grid cells, of a width that fits their size and number of edges; a point probes
+    one cell of each width in use. So the join is by equality of cells. A cell's row
+    carries the edges that pass the cell only: what lies right of the point within it decides,
+    together with the cell's corner; cells wholly inside need no test. Whether cells or
+    attributes are broadcast is up to Spark, by the bytes of their written tables. Points
+    with a null coordinate match nothing. Names that both sides have are an error.
     """
     attributes = [c for c in areas.columns if c not in (rings, "is_hole")]
     clash = set(attributes) & set(points.columns)
     if clash:
         raise ValueError(f"names on both sides: {sorted(clash)}")
-    boxed = areas.select(*attributes, all_edges(F.col(rings)).alias("_edges"), st_bounds(F.col(rings)).alias("_box")).where("_box.xmin IS NOT NULL")
-    wide, high = F.col("_box.xmax") - F.col("_box.xmin"), F.col("_box.ymax") - F.col("_box.ymin")
-    size, largest = boxed.select(F.percentile_approx(F.greatest(wide, high), 0.5), F.max(F.greatest(wide, high))).first()
-    size = float(size or 1.0) or 1.0
-    levels = 1
-    while largest and largest / (size * 4 ** (levels - 1)) > CELLS**0.5 - 1:
-        levels += 1
-    fits = [F.when((wide / (size * 4**k) + 1) * (high / (size * 4**k) + 1) <= CELLS, k) for k in range(levels)]
-    boxed = boxed.withColumn("_level", F.coalesce(*fits, F.lit(levels - 1))).withColumn("_size", F.lit(size) * F.pow(F.lit(4.0), F.col("_level")))
-    span = lambda a: F.sequence(F.floor(F.col(f"_box.{a}min") / F.col("_size")), F.floor(F.col(f"_box.{a}max") / F.col("_size")))
-    cells = boxed.withColumn("_cx", F.explode(span("x"))).withColumn("_cy", F.explode(span("y")))
+    # written, so that the numbers of areas stay what they are
+    source = materialize_zstd(areas.select(*attributes, F.col(rings).alias("_rings"))).withColumn("_area", F.monotonically_increasing_id())
+    box = st_bounds(F.col("_rings"))
+    span = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
+    shapes = source.select(F.col("_area").alias("area"), all_edges(F.col("_rings")).alias("edges"), span.alias("span")).where("span > 0 AND span < double('Infinity')")
+    shapes = shapes.withColumn("level", F.ceil(F.log2(F.col("span") / F.sqrt(F.size("edges").cast("double")))).cast("int"))
+    cells = area_cells(shapes)
+    levels = [r[0] for r in cells.select("level").distinct().collect()]  # a few dozen at most: powers of two
     # places stand for the points, so no row numbers that a recomputation could change
     places = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).where("_x IS NOT NULL AND _y IS NOT NULL").distinct()
-    probes = places.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in range(levels)])))
-    at = F.lit(size) * F.pow(F.lit(4.0), F.col("_level"))
-    probes = probes.withColumn("_cx", F.floor(F.col("_x") / at)).withColumn("_cy", F.floor(F.col("_y") / at))
-    near = probes.join(small(cells), ["_level", "_cx", "_cy"])
-    near = near.where(F.col("_x").between(F.col("_box.xmin"), F.col("_box.xmax")) & F.col("_y").between(F.col("_box.ymin"), F.col("_box.ymax")))
-    found = near.where(st_within(F.col("_x"), F.col("_y"), F.col("_edges"))).select("_x", "_y", *attributes)
+    g = F.pow(F.lit(2.0), F.col("level"))
+    probes = places.withColumn("level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>"))).withColumn("cx", F.floor(F.col("_x") / g)).withColumn("cy", F.floor(F.col("_y") / g))
+    px, py, right, low = F.col("_x"), F.col("_y"), (F.col("cx") + 1) * g, F.col("cy") * g
+    ahead = F.size(F.filter("edges", lambda e: right_of(px, py, e) & ~beyond(right, py, e)))
+    down = F.size(F.filter("edges", lambda e: ((e["x1"] > right) != (e["x2"] > right)) & up_to(right, py, e) & ~up_to(right, low, e)))
+    met = probes.join(cells, ["level", "cx", "cy"]).select("_x", "_y", "area", "parts", (ahead + down + F.col("odd")).alias("n"), F.exists("edges", lambda e: on_edge(px, py, e)).alias("on"))
+    whole = met.where("parts = 1 AND n % 2 = 1 AND NOT on").select("_x", "_y", "area")
+    split = met.where("parts > 1").groupBy("_x", "_y", "area").agg(F.sum("n").alias("n"), F.max("on").alias("on")).where("n % 2 = 1 AND NOT on").select("_x", "_y", "area")
+    found = whole.union(split).join(source.select("_area", *attributes), F.col("area") == F.col("_area")).select("_x", "_y", *attributes)
     return points.join(found, (points[x] == found["_x"]) & (points[y] == found["_y"]), "left").drop("_x", "_y")
 
 
@@ -76,15 +122,22 @@ def admin_lookup(rows: DataFrame, areas: DataFrame) -> DataFrame:
     return joined.select(*KEYS, normalize_area_name(F.col("state")).alias("state"), title_case(F.col("district")).alias("district"), title_case(F.col("tehsil")).alias("tehsil"))
 
 
-def dedup_lookup(lookup: DataFrame) -> DataFrame:
-    """The first match by (state, district, tehsil) of each key."""
-    return lookup.groupBy(*KEYS).agg(F.min(F.struct(*ADMIN)).alias("a")).select(*KEYS, *[F.col(f"a.{c}").alias(c) for c in ADMIN])
+def dedup_lookup(lookup: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """The first match by (state, district, tehsil) of each key. seen gets matched, unmatched and removed (see match_counts) once a job has read all of it."""
+    one = lookup.groupBy(*KEYS).agg(F.min(F.struct(*ADMIN)).alias("a"), F.count("state").alias("m"), F.count(F.lit(1)).alias("n"))
+    if seen is not None:
+        one = one.observe(seen, *counts("m", "n"))
+    return one.select(*KEYS, *[F.col(f"a.{c}").alias(c) for c in ADMIN])
+
+
+def counts(m: str, n: str) -> list[Column]:
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return [total(F.col(m)).alias("matched"), total(F.col(n) - F.col(m)).alias("unmatched"), total(F.col(n) - 1).alias("removed")]
 
 
 def match_counts(lookup: DataFrame) -> DataFrame:
     """One row: matched, unmatched, and rows beyond the first of a key."""
-    return lookup.groupBy(*KEYS).agg(F.count_if(F.col("state").isNotNull()).alias("m"), F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum("m"), F.lit(0)).alias("matched"), F.coalesce(F.sum(F.col("n") - F.col("m")), F.lit(0)).alias("unmatched"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("removed"))
+    return lookup.groupBy(*KEYS).agg(F.count("state").alias("m"), F.count(F.lit(1)).alias("n")).agg(*counts("m", "n"))
 
 
 def join_admin_lookup(rows: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -92,8 +145,14 @@ def join_admin_lookup(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     return rows.drop(*ADMIN).join(lookup, list(KEYS), "left")
 
 
-def fill_admin(merged: DataFrame, areas: DataFrame) -> DataFrame:
-    """Rows without a state get the admin area their centroid lies in; the others stay as they are."""
-    without = merged.where(F.col("state").isNull())
-    lookup = dedup_lookup(admin_lookup(without.select(*KEYS, "rings", "is_hole"), areas))
-    return union_relaxed(merged.where(F.col("state").isNotNull()), join_admin_lookup(without, lookup).select(*merged.columns))
+def fill_admin(merged: DataFrame, areas: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Rows without a state get the admin area their centroid lies in; the others stay as they are.
+
+    The lookup is made from keys and shapes, written, and joined to the one wide table.
+    seen gets matched, unmatched and removed, without a pass of its own.
+    """
+    without = merged.where(F.col("state").isNull()).select(*KEYS, "rings", "is_hole")
+    lookup = materialize_zstd(dedup_lookup(admin_lookup(without, areas), seen))
+    lookup = lookup.select(*KEYS, *[F.col(c).alias(f"_{c}") for c in ADMIN])
+    filled = {c: F.when(F.col("state").isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in ADMIN}
+    return merged.join(lookup, list(KEYS), "left").select(*[filled.get(c, F.col(f"`{c}`")) for c in merged.columns])

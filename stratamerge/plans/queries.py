@@ -223,6 +223,13 @@ def _(s, d):
     return merge.tag_location(c.select("c_custkey", slug.alias("slug"), F.lit("old").alias("state")), located)
 
 
+@query("shared_slugs", f"WITH named AS (SELECT DISTINCT {SLUG.format('n_name')} || '_t_' || s_suppkey % 37 AS slug, r_name || ' / ' || n_name || ' / T' || CASE WHEN s_suppkey % 2 = 0 THEN ' ' ELSE '-' END || s_suppkey % 37 AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) SELECT slug, count(*) AS n, min(name) AS first, max(name) AS last FROM named GROUP BY slug HAVING count(*) > 1")
+def _(s, d):
+    key = F.col("tehsil_id").cast("long")
+    named = F.concat(F.lit("T"), F.when(key % 2 == 0, " ").otherwise("-"), (key % 37).cast("string"))
+    return merge.shared_slugs(reshape.explode_locations(nested_locations(s, d)).where("tehsil_id IS NOT NULL").withColumn("tehsil_name", named))
+
+
 @query("spatial_left_join", f"WITH {POINTS}, {area_sql()}, {WITHIN} SELECT p.k, px AS x, py AS y, state, district, tehsil FROM points p LEFT JOIN hits USING (k)")
 def _(s, d):
     return spatial.spatial_left_join(customer_points(s, d), areas(s).drop("is_hole"))

@@ -34,7 +34,8 @@ def test_integrate(spark, tmp_path, base):
     if base == "wkb":
         rows = features.read_features(spark, f"file://{tmp_path}/base.geojson", None)
         rings_to_wkb(rows).write.parquet(f"file://{tmp_path}/base.parquet")
-    integrate(spark, request, f"file://{tmp_path}/in", f"file://{tmp_path}/locations.json", f"file://{tmp_path}/areas.geojson")
+    done = integrate(spark, request, f"file://{tmp_path}/in", f"file://{tmp_path}/locations.json", f"file://{tmp_path}/areas.geojson")
+    assert (done.uncovered, done.uncovered_ids, done.matched, done.unmatched, done.removed, done.shared_slugs.collect()) == (1, ["c"], 1, 0, 0, [])
     out = {r["mws_id"]: r for r in geoparquet.scan_partitioned(spark, f"file://{tmp_path}/out").collect()}
     assert {k: r["state"] for k, r in out.items()} == {"a": "S_One", "b": "S_One", "c": "Far"}
     assert (out["a"]["te_slope_min"], out["a"]["te_slope_max"], out["b"]["te_slope_max"]) == (5, 10, 7)
