@@ -7,11 +7,7 @@ areas, centroids and containment.
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,77 +144,14 @@ def st_geometry_type(is_hole: Column) -> Column:
     return F.when(F.size(F.filter(is_hole, lambda h: ~h)) == 1, "POLYGON").otherwise("MULTIPOLYGON")
 
 
-# --- WKB: the form at rest --------------------------------------------------------------
-
-
-def encode(rings: list, is_hole: list[bool]) -> bytes:
-    """Little-endian WKB polygon or multipolygon; holes belong to the outer ring before them."""
-    polygons: list[list] = []
-    for ring, hole in zip(rings, is_hole, strict=True):
-        if hole and polygons:
-            polygons[-1].append(ring)
-        else:
-            polygons.append([ring])
-
-    def polygon(some: list) -> bytes:
-        body = b"".join(struct.pack(f"<I{2 * len(r)}d", len(r), *[v for p in r for v in (p["x"], p["y"])]) for r in some)
-        return struct.pack("<BII", 1, 3, len(some)) + body
-
-    if len(polygons) == 1:
-        return polygon(polygons[0])
-    return struct.pack("<BII", 1, 6, len(polygons)) + b"".join(map(polygon, polygons))
-
-
-def decode(data: bytes) -> tuple[list, list[bool]]:
-    """Rings and hole marks of a WKB polygon or multipolygon of either byte order."""
-    rings: list = []
-    holes: list[bool] = []
-
-    def read(at: int) -> int:
-        order = "<" if data[at] else ">"
-        kind, n = struct.unpack_from(order + "II", data, at + 1)
-        at += 9
-        if kind == 6:
-            for _ in range(n):
-                at = read(at)
-        elif kind == 3:
-            for i in range(n):
-                (m,) = struct.unpack_from(order + "I", data, at)
-                v = struct.unpack_from(f"{order}{2 * m}d", data, at + 4)
-                rings.append([{"x": x, "y": y} for x, y in zip(v[::2], v[1::2], strict=True)])
-                holes.append(i > 0)
-                at += 4 + 16 * m
-        else:
-            raise ValueError(f"WKB type {kind}")
-        return at
-
-    read(0)
-    return rings, holes
-
-
-def rings_to_wkb(df: DataFrame, rings: str = "rings", is_hole: str = "is_hole", out: str = "geometry") -> DataFrame:
-    """df with the shape columns replaced by one WKB column (null stays null)."""
-    schema = T.StructType([f for f in df.schema.fields if f.name not in (rings, is_hole, out)] + [T.StructField(out, T.BinaryType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            r, h = b.column(rings).to_pylist(), b.column(is_hole).to_pylist()
-            wkb = [None if x is None else encode(x, y) for x, y in zip(r, h, strict=True)]
-            kept = [n for n in b.schema.names if n not in (rings, is_hole, out)]
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in kept], pa.array(wkb, pa.binary())], names=[*kept, out])
-
-    return df.mapInArrow(run, schema)
-
-
-def wkb_to_rings(df: DataFrame, geometry: str = "geometry", rings: str = "rings", is_hole: str = "is_hole") -> DataFrame:
-    """The reverse of rings_to_wkb."""
-    schema = T.StructType([f for f in df.schema.fields if f.name not in (geometry, rings, is_hole)] + [T.StructField(rings, RINGS), T.StructField(is_hole, T.ArrayType(T.BooleanType()))])
-    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            both = [(None, None) if x is None else decode(x) for x in b.column(geometry).to_pylist()]
-            kept = [n for n in b.schema.names if n not in (geometry, rings, is_hole)]
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in kept], pa.array([x for x, _ in both], kind), pa.array([x for _, x in both], pa.list_(pa.bool_()))], names=[*kept, rings, is_hole])
-
-    return df.mapInArrow(run, schema)
+def morton(x: Column, y: Column) -> Column:
+    """Place of a point of the unit square on the Z-order curve through 2^16 x 2^16 cells; null coordinates give null."""
+
+    def spread(v: Column) -> Column:
+        """The 16 bits, one place apart."""
+        v = F.least(F.greatest(F.floor(v * 65536), F.lit(0)), F.lit(65535))
+        for by, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            v = v.bitwiseOR(F.shiftleft(v, by)).bitwiseAND(F.lit(mask).cast("long"))
+        return v
+
+    return F.when(x.isNotNull() & y.isNotNull(), spread(x).bitwiseOR(F.shiftleft(spread(y), 1)))

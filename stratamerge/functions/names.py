@@ -24,10 +24,15 @@ def replace_first(c: Column, pattern: str, by: str) -> Column:
     return F.regexp_replace(c, f"(?s)^(.*?)(?:{pattern})", f"$1{by}")
 
 
+def replace_all(c: Column, pattern: str, by: str) -> Column:
+    """Every match is replaced."""
+    return F.regexp_replace(c, pattern, by)
+
+
 def normalize_area_name(c: Column) -> Column:
     """Without '(disputed)', a leading 'disputed' and parentheses; in title case."""
     c = replace_first(c, r"(?i:\s*\(disputed\)\s*)", "")
-    c = F.regexp_replace(c, r"(?i)^disputed\s*", "")
+    c = replace_all(c, r"(?i)^disputed\s*", "")
     return title_case(F.trim(F.translate(c, "()", "")))
 
 

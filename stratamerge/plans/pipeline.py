@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ..functions.geometry import wkb_to_rings
+from ..functions.wkb import wkb_to_rings
 from ..operators.merge import join_layer_versions, join_layers, missing_ids, prepare_base, shared_slugs, tag_location
 from ..operators.reshape import explode_locations, harmonize_geometry_name, prefix_cols, rename_and_drop, split_range_cols, unnest_json_cols
 from ..operators.spatial import fill_admin

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import names
+from ..functions.wkb import rings_to_wkb, wkb_to_rings
 from ..operators import ingest, merge, quality, reshape, spatial
 from ..operators.validity import validity
 from ..sources import features, geoparquet
@@ -400,9 +401,14 @@ def _(s, d):
     return table(s, d, "orders").select("o_orderkey", names.partition_slug(F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT"))).alias("slug"))
 
 
-@query("replace_first", "SELECT p_partkey, regexp_replace(p_type, 'E', '*') AS first, regexp_replace(p_type, 'E', '*', 'g') AS every FROM part")
+@query("replace_first", "SELECT p_partkey, regexp_replace(p_type, 'E', '*') AS first FROM part")
 def _(s, d):
-    return table(s, d, "part").select("p_partkey", names.replace_first(F.col("p_type"), "E", "*").alias("first"), F.regexp_replace("p_type", "E", "*").alias("every"))
+    return table(s, d, "part").select("p_partkey", names.replace_first(F.col("p_type"), "E", "*").alias("first"))
+
+
+@query("replace_all", "SELECT p_partkey, regexp_replace(p_type, '[AE]', '*', 'g') AS every FROM part")
+def _(s, d):
+    return table(s, d, "part").select("p_partkey", names.replace_all(F.col("p_type"), "[AE]", "*").alias("every"))
 
 
 @query("split_get", "SELECT o_orderkey, split_part(o_orderpriority, '-', 1) AS a, CASE WHEN contains(o_orderpriority, '-') THEN split_part(o_orderpriority, '-', 2) END AS b, NULL::VARCHAR AS c FROM orders")
@@ -522,14 +528,38 @@ def _(s, d):
 SQL["st_within"] = f"WITH {SHAPES} SELECT k, kind IN (0, 1, 4) AS quarter, kind IN (0, 2, 4) AS centre, false AS corner FROM measured"
 
 
-@query("rings_to_wkb", f"WITH {SHAPES} SELECT k, (CASE kind WHEN 0 THEN 93 WHEN 1 THEN 125 WHEN 2 THEN 177 WHEN 3 THEN 93 ELSE 195 END)::INT AS bytes FROM measured")
+def double_hex(quarters: str) -> str:
+    """SQL: the bytes of a double that is so many quarters (not negative), little-endian, as hex."""
+    q = f"({quarters})::BIGINT"
+    power = f"(length(bin({q})) - 1)"
+    bits = f"printf('%016X', CASE WHEN {q} = 0 THEN 0 ELSE ((1021 + {power}) << 52) | (({q} << (52 - {power})) & 4503599627370495) END)"
+    return " || ".join(f"substr({bits}, {i}, 2)" for i in range(15, 0, -2))
+
+
+def wkb_hex(parts: list[list[list[tuple[str, str]]]]) -> str:
+    """SQL: hex of a polygon or multipolygon of parts, rings and corners, given in quarters."""
+    word = lambda n: n.to_bytes(4, "little").hex().upper()
+    corners = lambda ring: " || ".join([f"'{word(len(ring))}'", *[double_hex(v) for xy in ring for v in xy]])
+    polygon = lambda rings: " || ".join([f"'01{word(3)}{word(len(rings))}'", *map(corners, rings)])
+    return polygon(parts[0]) if len(parts) == 1 else " || ".join([f"'01{word(6)}{word(len(parts))}'", *map(polygon, parts)])
+
+
+def shape_hex() -> str:
+    """SQL: the WKB of the stand-in shapes, by kind."""
+    at = lambda *corners: [(f"4 * x + {a} * s", f"4 * y + {b} * s") for a, b in [*corners, corners[0]]]  # noqa: E731  in quarters of s
+    square = lambda a, b, w: at((a, b), (a + w, b), (a + w, b + w), (a, b + w))
+    kinds = [[[square(0, 0, 4)]], [[at((0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4))]], [[square(0, 0, 4), square(1, 1, 1)]], [[at((0, 0), (4, 4), (4, 0), (0, 4))]], [[square(0, 0, 4)], [square(8, 0, 4)]]]
+    return "CASE kind " + " ".join(f"WHEN {i} THEN {wkb_hex(k)}" for i, k in enumerate(kinds)) + " END"
+
+
+@query("rings_to_wkb", f"WITH {SHAPES} SELECT k, {shape_hex()} AS wkb FROM measured")
 def _(s, d):
-    return g.rings_to_wkb(shapes(s, d)).select("k", F.octet_length("geometry").alias("bytes"))
+    return rings_to_wkb(shapes(s, d)).select("k", F.hex("geometry").alias("wkb"))
 
 
 @query("wkb_to_rings", f"WITH {SHAPES} SELECT k, round(area, 6) AS area, n FROM measured")
 def _(s, d):
-    back = g.wkb_to_rings(g.rings_to_wkb(shapes(s, d).select("k", "rings", "is_hole")))
+    back = wkb_to_rings(rings_to_wkb(shapes(s, d).select("k", "rings", "is_hole")))
     return back.select("k", F.round(g.st_area(F.col("rings"), F.col("is_hole")), 6).alias("area"), g.st_npoints(F.col("rings")).alias("n"))
 
 
@@ -718,7 +748,7 @@ def _(s, d):
 @query("scan_base", f"WITH {SHAPES} SELECT k, kind FROM measured")
 def _(s, d):
     path = scratch(s, "base.parquet")
-    g.rings_to_wkb(shapes(s, d).select("k", "kind", "rings", "is_hole")).write.parquet(path)
+    rings_to_wkb(shapes(s, d).select("k", "kind", "rings", "is_hole")).write.parquet(path)
     return features.scan_base(s, path).select("k", "kind")
 
 
@@ -760,7 +790,7 @@ def dataset(spark: SparkSession, sf_dir: str) -> str:
 
 @query("write_geoparquet", f"WITH {SHAPES} SELECT k, CASE WHEN k % 11 <> 0 THEN replace(replace(p_brand, ' ', '_'), '/', '_') ELSE 'unknown' END AS state, x AS xmin, ymax, round(area, 6) AS area FROM measured JOIN part ON p_partkey = k")
 def _(s, d):
-    rows = g.wkb_to_rings(geoparquet.scan_partitioned(s, dataset(s, d)).select("k", "state", "bbox", "geometry"))
+    rows = wkb_to_rings(geoparquet.scan_partitioned(s, dataset(s, d)).select("k", "state", "bbox", "geometry"))
     return rows.select("k", "state", "bbox.xmin", "bbox.ymax", F.round(g.st_area(F.col("rings"), F.col("is_hole")), 6).alias("area"))
 
 

@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.reshape import harmonize_geometry_name
+from .geojson import feature_texts
 from .geoparquet import located
 from .scratch import materialize_zstd
 
-FEATURES = "features array<struct<type:string,properties:variant,geometry:struct<type:string,coordinates:string>>>"
+FEATURE = "type string, properties variant, geometry struct<type:string,coordinates:string>"
 FILE_ROWS, FILE_BYTES = 10_000, 1 << 24  # about so much in a feature file at most
 POSITIONS = "array<array<array<double>>>"
 
@@ -37,12 +38,12 @@ def spark_type(variant_type: str) -> str:
 
 
 def read_features(spark: SparkSession, path: str | list[str], slug: str | None = "slug") -> DataFrame:
-    """One row per feature of GeoJSON files: properties as columns (types from all files), rings, is_hole, and the file's name without its ending (and .part-N) as slug.
+    """One row per feature of GeoJSON files, large ones read by many tasks: properties as columns (types from all files), rings, is_hole, and the file's name without its ending (and .part-N) as slug.
 
     Files without features give no rows. Property names must differ from the added ones.
     """
-    raw = spark.read.schema(FEATURES).json(path, multiLine=True)
-    rows = raw.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.part-\d+)?\.[^.]*$", 1).alias("_slug"), F.explode("features").alias("f")).select("_slug", "f.properties", "f.geometry")
+    slug_of = F.regexp_extract(F.substring_index("path", "/", -1), r"^(.*?)(\.part-\d+)?\.[^.]*$", 1)
+    rows = feature_texts(spark, path).select(slug_of.alias("_slug"), F.from_json("feature", FEATURE).alias("f")).where("f.type = 'Feature'").select("_slug", "f.properties", "f.geometry")
     found = rows.agg(F.schema_of_variant_agg("properties")).first()[0] or "VOID"
     fields = []
     if found.upper().startswith("OBJECT<"):

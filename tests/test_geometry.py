@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratamerge.functions import geometry as g
+from stratamerge.functions.wkb import rings_to_wkb, wkb_to_rings
 from stratamerge.operators.validity import validity
 
 SHAPE = "k int, rings array<array<struct<x:double,y:double>>>, is_hole array<boolean>"
@@ -58,5 +59,5 @@ def test_validity_of_spikes_and_parts(spark):
 
 
 def test_wkb_round_trip(shapes):
-    back = g.wkb_to_rings(g.rings_to_wkb(shapes))
+    back = wkb_to_rings(rings_to_wkb(shapes))
     assert sorted(back.select("k", "rings", "is_hole").collect()) == sorted(shapes.select("k", "rings", "is_hole").collect())

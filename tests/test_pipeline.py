@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from stratamerge.functions.geometry import rings_to_wkb
+from stratamerge.functions.wkb import rings_to_wkb
 from stratamerge.plans.config import Request
 from stratamerge.plans.pipeline import integrate
 from stratamerge.sources import features, geoparquet
