@@ -10,7 +10,9 @@ rings of a part into a graph; a cycle in it cuts the part's interior.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from ..functions.geometry import cells_passed, edges, moments, on_edge, st_bound
 from ..sources.scratch import materialize_zstd
 
 
+FEW = 64
+
+
 def finite(ring: Column) -> Column:
     inside = lambda v: F.coalesce(F.abs(v) < F.lit(float("inf")), F.lit(False))
     return F.forall(ring, lambda p: inside(p["x"]) & inside(p["y"]))
@@ -36,7 +41,7 @@ def meetings(cells: DataFrame) -> DataFrame:
     side = lambda e, x, y: F.signum(turn(e, x, y))
     crossing = (side(p, q["x1"], q["y1"]) * side(p, q["x2"], q["y2"]) < 0) & (side(q, p["x1"], p["y1"]) * side(q, p["x2"], p["y2"]) < 0)
     ends = [(q, "1", p), (q, "2", p), (p, "1", q), (p, "2", q)]
-    points = F.array_distinct(F.filter(F.array(*[F.when(on_edge(a[f"x{i}"], a[f"y{i}"], b), F.struct(a[f"x{i}"].alias("x"), a[f"y{i}"].alias("y"))) for a, i, b in ends]), lambda x: x.isNotNull()))
+    points = F.array_distinct(F.array_compact(F.array(*[F.when(on_edge(a[f"x{i}"], a[f"y{i}"], b), F.struct(a[f"x{i}"].alias("x"), a[f"y{i}"].alias("y"))) for a, i, b in ends])))
     # a stretch in common: on one line, and more than a point of it
     low = lambda a: F.greatest(F.least(p[f"{a}1"], p[f"{a}2"]), F.least(q[f"{a}1"], q[f"{a}2"]))
     high = lambda a: F.least(F.greatest(p[f"{a}1"], p[f"{a}2"]), F.greatest(q[f"{a}1"], q[f"{a}2"]))
@@ -45,7 +50,8 @@ def meetings(cells: DataFrame) -> DataFrame:
     same = v["ring"] == w["ring"]
     beside = same & ((w["at"] - v["at"] == 1) | (v["at"] == 0) & (w["at"] == w["n"] - 1))
     later = (v["ring"] < w["ring"]) | same & (v["at"] < w["at"])
-    met = sides[0].join(sides[1], ["_id", "cx", "cy"]).where(later).select("_id", *[v[c].alias(f"{c}1") for c in ("ring", "part", "at")], *[w[c].alias(f"{c}2") for c in ("ring", "part", "at")], points.alias("points"), (crossing | stretch).alias("cut"), same.alias("same"), beside.alias("beside"))
+    near = (low("x") <= high("x")) & (low("y") <= high("y"))  # their boxes meet
+    met = sides[0].join(sides[1], ["_id", "cx", "cy"]).where(later & near).select("_id", *[v[c].alias(f"{c}1") for c in ("ring", "part", "at")], *[w[c].alias(f"{c}2") for c in ("ring", "part", "at")], points.alias("points"), (crossing | stretch).alias("cut"), same.alias("same"), beside.alias("beside"))
     spoiled = F.col("cut") | F.col("same") & ~F.col("beside") & (F.size("points") > 0)
     return met.withColumn("spoiled", spoiled).where("spoiled OR NOT same AND size(points) > 0").drop("cut", "same", "beside").distinct()
 
@@ -79,22 +85,23 @@ def misplaced(lines: DataFrame, met: DataFrame) -> DataFrame:
     return placed.where(wrong).select("_id")
 
 
-def has_cycle(pairs: list[tuple]) -> bool:
-    """Whether a graph, given by its different edges, has one: some edge joins what is joined already."""
-    up: dict = {}
+class Forest:
+    """Nodes joined by edges so far."""
+
+    def __init__(self):
+        self.up: dict = {}
 
-    def top(x):
-        while up.setdefault(x, x) != x:
-            up[x] = up[up[x]]
-            x = up[x]
+    def top(self, x):
+        while self.up.setdefault(x, x) != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
         return x
 
-    for a, b in pairs:
-        a, b = top(a), top(b)
-        if a == b:
-            return True
-        up[a] = b
-    return False
+    def join(self, a, b) -> bool:
+        """False if the edge makes a cycle: its ends are joined already."""
+        a, b = self.top(a), self.top(b)
+        self.up[a] = b
+        return a != b
 
 
 def parted(met: DataFrame) -> DataFrame:
@@ -102,11 +109,18 @@ def parted(met: DataFrame) -> DataFrame:
     touch = met.where("part1 = part2 AND ring1 <> ring2").select("_id", F.col("part1").alias("part"), "ring1", "ring2", F.explode("points").alias("p"))
     rows = touch.select("_id", "part", F.explode(F.array("ring1", "ring2")).alias("ring"), "p.x", "p.y").distinct()
 
-    def cycles(rows: pd.DataFrame) -> pd.DataFrame:
-        found = has_cycle([(("ring", r), (x, y)) for r, x, y in zip(rows["ring"], rows["x"], rows["y"], strict=True)])
-        return rows[["_id"]].head(1 if found else 0)
+    def cycles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, forest = None, Forest()
+        for batch in batches:
+            found = set()
+            for key, part, ring, x, y in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (key, part) != now:
+                    now, forest = (key, part), Forest()
+                if not forest.join(("ring", ring), (x, y)):
+                    found.add(key)
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["_id"])
 
-    return rows.groupBy("_id", "part").applyInPandas(cycles, "_id long")
+    return rows.repartition("_id", "part").sortWithinPartitions("_id", "part").mapInArrow(cycles, "_id long")
 
 
 def validity(df: DataFrame, key: str, rings: str = "rings", is_hole: str = "is_hole") -> DataFrame:
@@ -126,9 +140,11 @@ def validity(df: DataFrame, key: str, rings: str = "rings", is_hole: str = "is_h
     line = lambda ring, i: F.transform(edges(ring), lambda e, j: F.struct(i.alias("ring"), part(i).alias("part"), F.get("holes", i).alias("is_hole"), j.alias("at"), (F.size(ring) - 1).alias("n"), e.alias("e")))
     box = F.col("box")
     lines = shapes.where("ok").select("_id", st_bounds(r).alias("box"), st_npoints(r).alias("points"), F.explode(F.flatten(F.transform(r, line))).alias("l")).select("_id", "box", "points", "l.*")
-    lines = lines.withColumn("g", F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"]) / F.sqrt(F.col("points").cast("double")))
+    span, few = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"]), F.col("points") <= FEW
+    # a shape of few points lies in one cell
+    lines = lines.withColumn("g", F.when(few, span * 4).otherwise(span / F.sqrt(F.col("points").cast("double")))).withColumn("off", F.when(few, span).otherwise(0.0))
     lines = materialize_zstd(lines.drop("points"))  # read from here on several times
-    cells = lines.select("_id", "ring", "part", "at", "n", "e", F.explode(cells_passed(F.col("e"), box["xmin"], box["ymin"], F.col("g"))).alias("c")).select("_id", "ring", "part", "at", "n", "e", "c.*")
+    cells = lines.select("_id", "ring", "part", "at", "n", "e", F.explode(cells_passed(F.col("e"), box["xmin"] - F.col("off"), box["ymin"] - F.col("off"), F.col("g"))).alias("c")).select("_id", "ring", "part", "at", "n", "e", "c.*")
     met = materialize_zstd(meetings(cells))
     several = lines.where(F.col("is_hole") | (F.col("part") > 1)).select("_id").distinct()  # one ring alone can't be misplaced
     wrong = met.where("spoiled").select("_id").union(misplaced(lines.join(several, "_id", "left_semi"), met)).union(parted(met)).distinct().withColumn("wrong", F.lit(True))
