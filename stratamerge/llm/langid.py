@@ -10,8 +10,10 @@ of about `sample` training rows per language: a documented bound, so that the fi
 the driver doesn't grow with the corpus.
 
 A null text or one without a letter is `und` with score 0 and is rejected; with no
-training rows every text is. Rows with a null language train nothing. Repeated rows are
-scored alike; columns named like the outputs are replaced, others are passed on.
+training rows every text is. Rows with a null language train nothing. Of centroids that are
+equally near the first counts, by language, then by number. A text is counted whole, in one
+task, whatever its length. Repeated rows are scored alike; columns named like the outputs are
+replaced, others are passed on. An empty table gives an empty result.
 """
 
 from __future__ import annotations

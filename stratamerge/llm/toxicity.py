@@ -8,13 +8,16 @@ that depend on each other given the label are linked in a tree, so that agreeing
 of one signal don't count twice. A human label enters it as one more, reliable voter.
 A linear classifier over lexicon hits and patterns is trained on the posterior labels.
 
-The fit works on a sample of at most about `most` labelled rows a class and as many
-unlabelled ones (documented bounds); scoring covers every whole text.
+Lexicon and classifier are fitted on a sample of about `most` labelled rows a class at most
+(a documented bound). Rows without a label all enter the label model: each gets its votes,
+and the model sees how many rows have which votes. Scoring covers every whole text,
+whatever its length.
 
 Null and empty texts get the score of a text without any hit. Without labelled rows of
 both classes every score is the share of toxic labels (0 with none). Labels of null are
 no labels; several labels of a document count as several rows. Repeated rows are scored
-alike; columns named like the outputs are replaced, others are passed on.
+alike; of ties nothing depends. Columns named like the outputs are replaced, others are
+passed on. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -113,28 +116,29 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def maximise(votes: np.ndarray, q: np.ndarray, parent: list[int]) -> LabelModel:
-    weight = np.column_stack([1 - q, q])
+def maximise(votes: np.ndarray, q: np.ndarray, mass: np.ndarray, parent: list[int]) -> LabelModel:
+    """The tables that suit labels q best; mass: how many rows each row stands for."""
+    weight = np.column_stack([1 - q, q]) * mass[:, None]
     table = np.zeros((votes.shape[1], 2, 2))
     for j, p in enumerate(parent):
         for y in (0, 1):
             for u in (0, 1):
                 w = weight[:, y] * (votes[:, p] == u) if p >= 0 else weight[:, y]
                 table[j, y, u] = ((w * votes[:, j]).sum() + 0.5) / (w.sum() + 1)
-    return LabelModel(float(np.clip(q.mean(), 1e-4, 1 - 1e-4)), parent, np.clip(table, 1e-4, 1 - 1e-4))
+    return LabelModel(float(np.clip((q * mass).sum() / mass.sum(), 1e-4, 1 - 1e-4)), parent, np.clip(table, 1e-4, 1 - 1e-4))
 
 
-def correlations(votes: np.ndarray, q: np.ndarray) -> np.ndarray:
+def correlations(votes: np.ndarray, q: np.ndarray, mass: np.ndarray) -> np.ndarray:
     """Mutual information of each pair of voters given the label."""
     v = np.stack([1 - votes, votes]).astype(float)  # value, row, voter
     out = np.zeros((votes.shape[1],) * 2)
-    for w in (1 - q, q):
+    for w in ((1 - q) * mass, q * mass):
         total = max(w.sum(), 1e-9)
         single = (v * w[None, :, None]).sum(axis=1) / total
         for a in (0, 1):
             for b in (0, 1):
                 joint = (v[a] * w[:, None]).T @ v[b] / total
-                out += total / len(q) * np.where(joint > 0, joint * np.log(np.maximum(joint, 1e-12) / np.maximum(np.outer(single[a], single[b]), 1e-12)), 0)
+                out += total / mass.sum() * np.where(joint > 0, joint * np.log(np.maximum(joint, 1e-12) / np.maximum(np.outer(single[a], single[b]), 1e-12)), 0)
     return out
 
 
@@ -155,35 +159,37 @@ def dependency_tree(info: np.ndarray, least: float = 0.002) -> list[int]:
     return parent
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 15) -> LabelModel:
-    """EM, with voters linked by the correlations among human-labelled rows first, then among all."""
+def label_model(votes: np.ndarray, gold: np.ndarray, mass: np.ndarray | None = None, rounds: int = 15) -> LabelModel:
+    """EM, with voters linked by the correlations among human-labelled rows first, then among all. mass: how many rows each row stands for (None: one)."""
+    mass = np.ones(len(gold)) if mass is None else mass
     known = gold >= 0
     rate = (gold == 1).sum() / max(known.sum(), 1)
     q = np.where(known, np.where(gold == 1, GOLD, 1 - GOLD), rate)
     some = known if known.any() else np.ones(len(gold), bool)
-    parent = dependency_tree(correlations(votes[some], q[some]), 0.01)
-    model = maximise(votes[some], q[some], parent)
+    parent = dependency_tree(correlations(votes[some], q[some], mass[some]), 0.01)
+    model = maximise(votes[some], q[some], mass[some], parent)
     for step in range(2):
         for _ in range(rounds):
             q = model.posterior(votes, gold)
-            model = maximise(votes, q, parent)
+            model = maximise(votes, q, mass, parent)
         if not step:
-            parent = dependency_tree(correlations(votes, q))
-            model = maximise(votes, q, parent)
+            parent = dependency_tree(correlations(votes, q, mass))
+            model = maximise(votes, q, mass, parent)
     return model
 
 
-def linear(row: np.ndarray, column: np.ndarray, width: int, target: np.ndarray, rounds: int = 400, rate: float = 0.05, shrink: float = 2e-4) -> np.ndarray:
+def linear(row: np.ndarray, column: np.ndarray, width: int, target: np.ndarray, mass: np.ndarray | None = None, rounds: int = 400, rate: float = 0.05, shrink: float = 2e-4) -> np.ndarray:
     """Weights (the last is the bias) of a logistic regression on soft labels, by Adam.
 
-    The training matrix is given by the (row, column) of its ones.
+    The training matrix is given by the (row, column) of its ones. mass: weights of the rows (None: all alike).
     """
+    mass = np.full(len(target), 1 / max(len(target), 1)) if mass is None else mass / mass.sum()
     w, m, v = (np.zeros(width + 1) for _ in range(3))
-    mean = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
+    mean = float(np.clip((target * mass).sum(), 1e-3, 1 - 1e-3))
     w[-1] = np.log(mean / (1 - mean))
     for t in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[column], len(target)) + w[-1], -30, 30)))
-        off = (p - target) / len(target)
+        off = (p - target) * mass
         g = np.append(np.bincount(column, off[row], width), off.sum())
         g[:-1] += shrink * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -197,14 +203,19 @@ class Model:
     weights: np.ndarray  # of terms, patterns, bias
 
 
-def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", most: int = 5000, voters: int = 12, seed: int = 5) -> Model:
+def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", most: int = 5000, voters: int = 12, clean: float = 2.0, seed: int = 5) -> Model:
     """Label model and classifier from train's texts and the labels of their ids.
 
-    most: about so many rows of each label, and so many without one, are used.
+    most: about so many rows of each label are used, for the lexicon, the classifier and, with
+    their labels, the label model. Rows without a label all count in the label model, by
+    how many of them have which votes (2 to the number of voters at most); together they weigh as
+    much as the labelled ones. clean: weight of clean rows in the classifier, as they are the more
+    frequent ones.
     """
     labels = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"))
     ids = train.select(F.col(key).alias("_id"))
-    sizes = {r[0]: r[1] for r in labels.join(ids, "_id", "left_semi").groupBy("_label").count().collect()}
+    labels = written(labels.join(ids, "_id", "left_semi"), "labels")
+    sizes = {r[0]: r[1] for r in labels.groupBy("_label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         p = float(bool(sizes.get(1)))
         return Model(np.zeros(0, np.uint64), np.array([*[0.0] * PATTERNS, 30.0 * (2 * p - 1)], np.float32))
@@ -212,9 +223,8 @@ def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc
     share = lambda n: min(whole, whole * most // max(n, 1))
     h = F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(whole))
     picked = labels.where(h < F.when(F.col("_label") == 1, F.lit(share(sizes[1]))).otherwise(F.lit(share(sizes[0]))))
-    rest = ids.where(h < share(ids.count())).select("_id", F.lit(-1).alias("_label")).join(labels, "_id", "left_anti")
-    # about 3 * most ids: a bounded table
-    chosen = F.broadcast(written(picked.union(rest), "chosen"))
+    # about 2 * most ids: a bounded table
+    chosen = F.broadcast(written(picked, "chosen"))
     sample = written(train.select(F.col(key).alias("_id"), F.coalesce(text, F.lit("")).alias("text")).join(chosen, "_id").select("text", "_label"), "sample")
 
     def list_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,10 +272,31 @@ def fit(train: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc
     voter[toxic] = np.arange(len(toxic)) % voters
     lexica = np.zeros((len(rows), voters), int)
     lexica[row[voter[term] >= 0], voter[term[voter[term] >= 0]]] = 1
-    votes = np.column_stack([lexica, looks])
-    model = label_model(votes, gold)
+    told = sample.sparkSession.sparkContext.broadcast((words, first_bits(words), voter))
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex, maybe, who = told.value
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            for i, j in pieces(offsets, 1_000_000):
+                part = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                t, row = hits(lex, *part, maybe)
+                v = np.zeros((j - i, voters + PATTERNS), np.int64)
+                v[row[who[t] >= 0], who[t[who[t] >= 0]]] = 1
+                v[:, voters:] = patterns(*part)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(v @ (1 << np.arange(voters + PATTERNS)))], names=["_id", "votes"])
+
+    cast = T.StructType([T.StructField("_id", train.schema[key].dataType), T.StructField("votes", T.LongType())])
+    others = train.select(F.col(key).alias("_id"), F.coalesce(text, F.lit("")).alias("text")).mapInArrow(vote, cast).join(labels.select("_id"), "_id", "left_anti")
+    rest = sorted((r["votes"], r["n"]) for r in others.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect())
+    codes, many = (np.array([r[k] for r in rest], np.int64) for k in range(2))
+    own = np.column_stack([lexica, looks])
+    votes = np.vstack([own, codes[:, None] >> np.arange(voters + PATTERNS) & 1])
+    mass = np.concatenate([np.ones(len(own)), many * (len(own) / max(many.sum(), 1))])
+    model = label_model(votes, np.concatenate([gold, np.full(len(codes), -1)]), mass)
     seen, look = np.nonzero(looks)
-    weights = linear(np.append(row, seen), np.append(term, len(words) + look), len(words) + PATTERNS, model.posterior(votes, gold))
+    target = model.posterior(own, gold)
+    weights = linear(np.append(row, seen), np.append(term, len(words) + look), len(words) + PATTERNS, target, np.where(gold == 1, 1.0, clean))
     return Model(words, weights)
 
 
