@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -43,8 +44,14 @@ def materialize_zstd(df: DataFrame, path: str | None = None, row_group_rows: int
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables of materialize_zstd that nothing reads any more: all that came from them is written itself."""
+    """Delete tables of materialize_zstd that nothing reads any more: all that came from them is written itself.
+
+    Shuffle files of the jobs that wrote them go too, as Spark drops them once their plans are garbage.
+    """
     for table in tables:
         session, path = table.sparkSession, table.written_to
         target = session._jvm.org.apache.hadoop.fs.Path(path).getParent()
         target.getFileSystem(session._jsc.hadoopConfiguration()).delete(target, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
