@@ -54,7 +54,7 @@ GUESTS = 4096  # about so many sets meet one copy of their representative
 VISITS = 64  # about so many leaves meet one copy of their host
 FEW = 4  # partners of a leaf in a step of the first pass
 LARGE = 32  # the first pass is for blocks of more sets
-BITS = 4  # bits of a bitmap for each shingle, at least
+BITS = 2  # bits of a bitmap for each shingle, at least
 
 
 def need(n, m, percent: int):
