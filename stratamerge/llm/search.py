@@ -2,16 +2,17 @@
 
 Documents are dealt into shards of bounded size. A shard orders its documents so that
 neighbours are alike and cuts them into blocks. Its inverted index keeps the postings of
-each term by block, with the largest impact of each block. The cursors of a query move
-over the blocks; a block is a pivot if the sum of its terms' block maxima reaches the
-query's k-th best score so far. Only pivots are scored, all other blocks are passed over
-with all their postings. The k-th score starts with the blocks of the highest bounds and
+each term by block, with the largest impact of each block. A block is a pivot of a query if
+the sum of its terms' block maxima reaches the query's k-th best score so far. Only pivots
+are scored, all other blocks are passed over with all their postings. There is no cursor for
+each term: the bounds of all blocks come from one product for a batch of queries, and windows
+of blocks are taken in turn. The k-th score starts with the blocks of the highest bounds and
 rises as pivots are scored. Queries of a batch move together, each with pivots of its own.
 
 Every query first meets one shard, where it is dealt with the shard's documents. Its k-th
-score there is the threshold for all other shards. These get the queries in blocks of
-bounded size by broadcast, one block after another, so queries aren't copied per shard on
-disk. A shard returns only what reaches the threshold.
+score there is the threshold for all other shards. Their tasks read the queries from the
+shared folder, in files of bounded size, one after another. A shard returns only what reaches
+the threshold.
 
 Document frequencies, the number of documents and their mean length are those of the
 whole corpus, so the shards' scores are final and the best k of all shards are exact.
@@ -28,13 +29,16 @@ length. An empty table gives an empty result. Columns other than key and text ar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.geoparquet import located
 from ..sources.scratch import discard
 from .common import SpanHash, bit_table, in_table, lower_ascii, pieces, utf8, words_of, written
 
@@ -45,7 +49,7 @@ BATCH = 64  # queries that move together
 SLACK = 1e-4  # single precision is off by less than this share of a score
 WINDOWS = 4  # steps in which the cursors pass the blocks
 SHARD_ROWS, SHARD_POSTINGS = 8192, 2_000_000
-CHUNK = 16 << 20  # bytes of queries in a broadcast
+CHUNK = 16 << 20  # bytes of queries that a task holds
 
 
 def word_bytes() -> np.ndarray:
@@ -366,19 +370,26 @@ def index_shards(both: DataFrame, mean: float, k: int, key: T.DataType) -> DataF
     return both.mapInArrow(run, schema)
 
 
-def ask_shards(index: DataFrame, queries: list[tuple], mean: float, k: int, key: T.DataType) -> DataFrame:
-    """(query_id, doc_id, score) of the queries (id, terms, weights, floor, home) from all shards but their homes."""
-    asked = index.sparkSession.sparkContext.broadcast(queries)
+def ask_shards(index: DataFrame, blocks: list[str], mean: float, k: int, key: T.DataType) -> DataFrame:
+    """(query_id, doc_id, score) of queries (key, terms, vals, floor, shard) from all shards but their homes.
+
+    blocks: files of the written queries, each of bounded size. A task loads its shard once and
+    reads one block after another from the shared folder.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            kind = batch.column("keys").type.value_type
             for i in range(batch.num_rows):
-                kind, number = batch.column("keys").type.value_type, batch.column("shard")[i].as_py()
-                some = [(n, np.frombuffer(t, np.uint64), np.frombuffer(w, np.float64), f) for n, t, w, f, home in asked.value if home != number]
-                keys = batch.column("keys")[i].as_py()
+                number, keys = batch.column("shard")[i].as_py(), batch.column("keys")[i].as_py()
                 shard = Shard.loaded([batch.column(p)[i].as_buffer() for p in PARTS], mean)
-                ids, docs, scores = hits(shard, keys, some, k)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(docs, kind), pa.array(scores, pa.float64())], names=["query_id", "doc_id", "score"])
+                for path in blocks:
+                    store, name = located(unquote(path))
+                    with store.open_input_file(name) as f:
+                        rows = pq.read_table(f, columns=["key", "terms", "vals", "floor", "shard"])
+                    some = [(n, np.frombuffer(t, np.uint64), np.frombuffer(w, np.float64), f) for n, t, w, f, home in zip(*[c.to_pylist() for c in rows.columns], strict=True) if home != number]
+                    ids, docs, scores = hits(shard, keys, some, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(docs, kind), pa.array(scores, pa.float64())], names=["query_id", "doc_id", "score"])
 
     return index.select("shard", *PARTS, "keys").mapInArrow(run, T.StructType().add("query_id", key).add("doc_id", key).add("score", "double"))
 
@@ -414,11 +425,9 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
         reached = found[0].groupBy("query_id").agg(F.when(F.count("score") >= k, F.min("score")).otherwise(0.0).alias("floor"))
         asked = ready.join(reached, ready["key"].eqNullSafe(reached["query_id"]), "left").select("key", "terms", "vals", F.coalesce("floor", F.lit(0.0)).alias("floor"), "shard")
         chunks = max(1, -(-ready.agg(F.coalesce(F.sum(F.octet_length("terms") + F.octet_length("vals")), F.lit(0))).first()[0] // chunk))
-        asked = written(asked.withColumn("chunk", F.pmod(F.xxhash64("terms", F.lit(2)), F.lit(chunks))), "asked")
-        for c in range(chunks):  # a block of queries of about `chunk` bytes against all shards
-            block = [(r["key"], bytes(r["terms"]), bytes(r["vals"]), r["floor"], r["shard"]) for r in asked.where(F.col("chunk") == c).collect()]
-            if block:
-                found.append(written(ask_shards(index.where("terms IS NOT NULL"), block, mean, k, kind), "found"))
+        asked = written(asked.repartition(int(chunks)), "asked")  # blocks of about `chunk` bytes, a file each
+        found.append(written(ask_shards(index.where("terms IS NOT NULL"), sorted(asked.inputFiles()), mean, k, kind), "found"))
+        discard(asked)
     best = found[0]
     for more in found[1:]:
         best = best.union(more)
