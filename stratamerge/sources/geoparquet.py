@@ -69,11 +69,14 @@ class GeoParquetWriter(DataSourceArrowWriter):
         files: list[str] = []
         writer, current, held, rows = None, None, [], 0
 
-        def flush() -> None:
+        def flush(last: bool = True) -> None:
+            """Write what is held as whole row groups; the rest stays, unless it is the file's last."""
             nonlocal held, rows
             if held:
-                writer.write_table(pa.Table.from_batches(held), row_group_size=self.row_group)
-                held, rows = [], 0
+                whole = pa.Table.from_batches(held)
+                n = rows if last else rows - rows % self.row_group
+                writer.write_table(whole.slice(0, n), row_group_size=self.row_group)
+                held, rows = whole.slice(n).to_batches(), rows - n
 
         for batch in iterator:
             at = batch.schema.get_field_index(self.partition)
@@ -96,7 +99,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
                 held.append(body.slice(a, b - a))
                 rows += b - a
                 if rows >= self.row_group:
-                    flush()
+                    flush(last=False)
         flush()
         if writer:
             writer.close()

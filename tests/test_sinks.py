@@ -5,6 +5,7 @@ import struct
 import time
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from stratamerge.functions import wkb
 from stratamerge.functions.geometry import morton
 from stratamerge.operators.spatial import bbox_contained
+from stratamerge.plans.queries import QUERIES
 from stratamerge.sources import geojson, geoparquet
 from stratamerge.sources.features import read_features
 
@@ -185,3 +187,19 @@ def test_input_is_evaluated_once(spark, tmp_path):
 def test_morton(spark):
     at = lambda x, y: spark.range(1).select(morton(F.lit(x), F.lit(y))).first()[0]
     assert (at(0.0, 0.0), at(1 / 65536, 0.0), at(0.0, 1 / 65536), at(1.0, 1.0), at(None, 0.5)) == (0, 1, 2, (1 << 32) - 1, None)
+
+
+def test_row_groups_are_full_but_the_last(tmp_path):
+    writer = geoparquet.GeoParquetWriter(f"file://{tmp_path}/t", "state", geoparquet.geo_footer(None), True, 10)
+    batches = [pa.RecordBatch.from_pydict({"id": list(range(i, i + 7)), "state": ["x"] * 7, "_file": ["0"] * 7}) for i in range(0, 35, 7)]
+    writer.commit([writer.write(iter(batches))])
+    file = pq.ParquetFile(writer.present()[0])
+    assert [file.metadata.row_group(i).num_rows for i in range(file.num_row_groups)] == [10, 10, 10, 5]
+    assert file.read().column("id").to_pylist() == list(range(35))
+
+
+def test_a_large_state_is_one_row_group_as_its_sql_says(spark, tmp_path):
+    part = spark.range(110_000).selectExpr("id * 11 AS p_partkey", "'n' AS p_name", "'B' AS p_brand", "'t' AS p_type", "1 AS p_size", "1D AS p_retailprice")
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    out = QUERIES["dataset_file_stats"](spark, str(tmp_path)).first()
+    assert (out["files"], out["rows"], out["row_groups"]) == (1, 110_000, 1)
