@@ -2,6 +2,9 @@
 
 import math
 
+import pyarrow as pa
+
+from stratamerge.operators import validity as by_edges
 from stratamerge.operators.validity import Forest, validity
 
 SHAPE = "k int, rings array<array<struct<x:double,y:double>>>, is_hole array<boolean>"
@@ -76,3 +79,23 @@ def test_shapes_of_many_vertices(spark):
 def test_cycles():
     joins = lambda edges: [f.join(a, b) for f in [Forest()] for a, b in edges]
     assert all(joins([(1, "a"), (2, "a"), (3, "a"), (3, "b")])) and joins([(1, "a"), (2, "a"), (2, "b"), (1, "b")]) == [True, True, True, False]
+
+
+def test_both_ways_agree_and_small_shapes_are_not_exploded(spark, monkeypatch):
+    rows = [(i, [closed(r, back=bool(i % 2)) for r in rings], [h == "T" for h in holes]) for i, (rings, holes, _) in enumerate(CASES.values())] * 3
+    df = spark.createDataFrame(rows, SHAPE)
+    called, real = [], by_edges.lines_of
+    monkeypatch.setattr(by_edges, "lines_of", lambda s: called.append(1) or real(s))
+    few = sorted(validity(df, "k").collect())
+    assert not called
+    monkeypatch.setattr(by_edges, "FEW", 0)
+    assert sorted(validity(df, "k").collect()) == few == sorted((i, ok) for i, (_, _, ok) in enumerate(CASES.values()) for _ in range(3)) and called
+
+
+def test_pairs_in_pieces_cover_all(monkeypatch):
+    shapes = pa.array([[[dict(zip("xy", p, strict=True)) for p in closed(r)] for r in rings] for rings, _, _ in CASES.values() if len(set(rings[0])) == len(rings[0])])
+    holes = pa.array([[h == "T" for h in h] for rings, h, _ in CASES.values() if len(set(rings[0])) == len(rings[0])])
+    wrong, touches = by_edges.judge(shapes, holes)
+    monkeypatch.setattr(by_edges, "PAIRS", 7)
+    again, pieces = by_edges.judge(shapes, holes)
+    assert (wrong == again).all() and wrong.any() and all(sorted(a.tolist()) == sorted(b.tolist()) for a, b in zip(touches, pieces, strict=True))
