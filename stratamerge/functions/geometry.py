@@ -151,7 +151,7 @@ def morton(x: Column, y: Column) -> Column:
         """The 16 bits, one place apart."""
         v = F.least(F.greatest(F.floor(v * 65536), F.lit(0)), F.lit(65535))
         for by, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
-            v = v.bitwiseOR(F.shiftleft(v, by)).bitwiseAND(F.lit(mask).cast("long"))
+            v = let(v, lambda u: u.bitwiseOR(F.shiftleft(u, by)).bitwiseAND(F.lit(mask).cast("long")))  # noqa: B023  without let each step doubles the expression
         return v
 
     return F.when(x.isNotNull() & y.isNotNull(), spread(x).bitwiseOR(F.shiftleft(spread(y), 1)))

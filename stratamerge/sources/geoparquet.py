@@ -24,6 +24,7 @@ ROW_GROUP = 100_000
 MANIFEST = "_manifest"  # readers of Spark pass over names that begin like this
 PIECE = "_file"  # column that tells which rows of a partition share a file; it isn't written
 MOST_TASKS = 100_000
+READ_ROWS = 10_000  # of a row group of the table that is written first
 CURVE_CUTS = 256  # a large state is cut at some of so many places of the curve
 
 
@@ -170,24 +171,29 @@ def write_geoparquet(df: DataFrame, path: str, state: str = "state", rows_a_file
     side = lambda f, name: f(F.col(f"bbox.{name}")).alias(name)
     seen = Observation()
     rows = df.withColumn("bbox", st_bounds(F.col("rings"))).withColumn(f"{state}_name", F.col(state)).withColumn(state, partition_slug(F.col(state)))
-    rows = materialize_zstd(rows.observe(seen, side(F.min, "xmin"), side(F.min, "ymin"), side(F.max, "xmax"), side(F.max, "ymax")))
+    # row groups of a few thousand rows, so that all cores read them whatever the input's number of files
+    rows = materialize_zstd(rows.observe(seen, side(F.min, "xmin"), side(F.min, "ymin"), side(F.max, "xmax"), side(F.max, "ymax")), row_group_rows=READ_ROWS)
     bounds = seen.get
     bbox = None if bounds["xmin"] is None else tuple(bounds[c] for c in ("xmin", "ymin", "xmax", "ymax"))
     x0, y0, x1, y1 = bbox or (0.0, 0.0, 1.0, 1.0)
     middle = lambda a, low, high: ((F.col(f"bbox.{a}min") + F.col(f"bbox.{a}max")) / 2 - low) / ((high - low) or 1.0)
     curve = F.coalesce(morton(middle("x", x0, x1), middle("y", y0, y1)), F.lit(0).cast("long"))
-    at = rows.select(F.col(state).alias("_s"), curve.alias("_c"))
-    cuts = [F.lit(i / CURVE_CUTS) for i in range(1, CURVE_CUTS)]
-    large = at.groupBy("_s").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_c", F.array(*cuts), 10_000).alias("_cuts")).where(F.col("n") > rows_a_file)
-    # every so many of the cuts, so that the pieces hold about rows_a_file rows; a row a large state
-    step = F.greatest(F.lit(1), F.floor(F.lit(CURVE_CUTS) * rows_a_file / F.col("n")))
-    large = large.select("_s", F.filter("_cuts", lambda _, i: (i + 1) % step == 0).alias("_cuts"))
-    rows = rows.withColumn("_curve", curve).join(large, F.col(state) == F.col("_s"), "left")
-    rows = rows.withColumn("_piece", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_curve"))), F.lit(0))).drop("_s", "_cuts")
+    rows = rows.withColumn("_curve", curve)
+    large = rows.groupBy(F.col(state).alias("_s")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_a_file).collect()  # a row a large state
+    if large:
+        n_of = spark.createDataFrame([(r["_s"], r["n"]) for r in large], "_s string, n long")
+        at = rows.select(F.col(state).alias("_s"), F.col("_curve").alias("_c")).join(n_of, "_s")
+        cuts = at.groupBy("_s").agg(F.first("n").alias("n"), F.percentile_approx("_c", F.array(*[F.lit(i / CURVE_CUTS) for i in range(1, CURVE_CUTS)]), 10_000).alias("_cuts"))
+        # every so many of the cuts, so that the pieces hold about rows_a_file rows; a row a large state
+        step = F.greatest(F.lit(1), F.floor(F.lit(CURVE_CUTS) * rows_a_file / F.col("n")))
+        cuts = cuts.select("_s", F.filter("_cuts", lambda _, i: (i + 1) % step == 0).alias("_cuts"))
+        rows = rows.join(cuts, F.col(state) == F.col("_s"), "left").withColumn("_piece", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_curve"))), F.lit(0))).drop("_s", "_cuts")
+    else:
+        rows = rows.withColumn("_piece", F.lit(0))
     plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     pieces = rows.groupBy(F.col(state).alias("_s"), F.col("_piece").alias("_p")).agg(F.ceil(F.count(F.lit(1)) / (2 * rows_a_file)).alias("_files"))
     n = pieces.agg(F.sum("_files")).first()[0] or 1  # stated, so that pieces aren't put together into few tasks
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), "_files")
+    salt = F.when(F.col("_files") > 1, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), "_files")).otherwise(0)
     rows = rows.join(pieces, (F.col(state) == F.col("_s")) & (F.col("_piece") == F.col("_p"))).withColumn(PIECE, F.concat_ws("-", "_piece", salt)).drop("_s", "_p", "_files", "_piece")
     spark.dataSource.register(GeoParquet)
     dealt = rings_to_wkb(rows).repartition(min(n, MOST_TASKS), state, PIECE).sortWithinPartitions(state, PIECE, "_curve").drop("_curve")

@@ -203,3 +203,21 @@ def test_a_large_state_is_one_row_group_as_its_sql_says(spark, tmp_path):
     part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     out = QUERIES["dataset_file_stats"](spark, str(tmp_path)).first()
     assert (out["files"], out["rows"], out["row_groups"]) == (1, 110_000, 1)
+
+
+def test_the_curve_names_each_coordinate_once():
+    assert str(morton(F.lit(0.25), F.lit(0.5))).lower().count("floor") == 2
+
+
+def test_the_first_table_is_cut_for_all_cores(spark, tmp_path, monkeypatch):
+    groups, real = [], geoparquet.materialize_zstd
+    monkeypatch.setattr(geoparquet, "READ_ROWS", 100, raising=False)
+
+    def counted(df, *a, **k):
+        out = real(df, *a, **k)
+        groups.extend(pq.ParquetFile(p.removeprefix("file:").replace("///", "/")).num_row_groups for p in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(geoparquet, "materialize_zstd", counted)
+    geoparquet.write_geoparquet(squares(spark, 3000).coalesce(1), f"file://{tmp_path}/t")
+    assert sum(groups) >= 30
