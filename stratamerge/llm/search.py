@@ -45,7 +45,8 @@ from .common import SpanHash, bit_table, in_table, lower_ascii, pieces, utf8, wo
 K1, B = 1.2, 0.75
 BLOCK = 64
 DENSE = 384  # most frequent terms of a shard, whose impacts are held as rows of a matrix
-BATCH = 64  # queries that move together
+BATCH, BATCH_TERMS = 64, 16_384  # queries that move together, and their terms (a longer query moves alone)
+POSTINGS, FOUND = 1_000_000, 4096  # scored at a time
 SLACK = 1e-4  # single precision is off by less than this share of a score
 WINDOWS = 4  # steps in which the cursors pass the blocks
 SHARD_ROWS, SHARD_POSTINGS = 8192, 2_000_000
@@ -159,6 +160,16 @@ def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
 
 
+def pieces_of(n: np.ndarray, most: int, rows: int | None = None) -> Iterator[slice]:
+    """Neighbours whose sum is `most` at most and whose number is `rows` at most; one at least."""
+    total, a = np.cumsum(n), 0
+    while a < len(n):
+        b = int(np.searchsorted(total, (total[a - 1] if a else 0) + most, side="right"))
+        b = max(a + 1, b if rows is None else min(b, a + rows))
+        yield slice(a, b)
+        a = b
+
+
 class Shard:
     """Inverted index of some documents. Postings are ordered by term, then by document."""
 
@@ -255,9 +266,11 @@ class Shard:
 
         def score(pivots: np.ndarray) -> None:
             some = np.flatnonzero(pivots.ravel().take(cell))
-            count = self.n[entry[some]]
-            posting = spread(self.first[entry[some]], count)
-            np.add.at(flat, np.repeat(eq[some] * self.size, count) + self.doc[posting], np.repeat(ew[some], count) * self.impact[posting])
+            for part in pieces_of(self.n[entry[some]], POSTINGS):
+                these = some[part]
+                count = self.n[entry[these]]
+                posting = spread(self.first[entry[these]], count)
+                np.add.at(flat, np.repeat(eq[these] * self.size, count) + self.doc[posting], np.repeat(ew[these], count) * self.impact[posting])
             for lo in range(0, self.blocks, width):
                 part = pivots[:, lo : lo + width]
                 who, s = np.flatnonzero(part.any(axis=1)), slice(lo * BLOCK, min((lo + width) * BLOCK, self.size))
@@ -294,8 +307,11 @@ class Shard:
         # exact scores of all that may be among the best
         least = np.maximum(np.maximum(floor, best.min(axis=1)) * (1 - SLACK) - 1e-6, 1e-9)
         who, found = np.nonzero(rough + scores >= least[:, None])
-        count = self.counts[:, found]
-        exact = np.round(scores[who, found] + np.einsum("ij,ji->i", w[who], count * (K1 + 1) / (count + self.norm[found])), 6)
+        exact = np.zeros(len(who))
+        for a in range(0, len(who), FOUND):
+            i, j = who[a : a + FOUND], found[a : a + FOUND]
+            count = self.counts[:, j]
+            exact[a : a + FOUND] = np.round(scores[i, j] + np.einsum("ij,ji->i", w[i], count * (K1 + 1) / (count + self.norm[j])), 6)
         cuts = np.searchsorted(who, np.arange(m + 1))
         out = []
         for x, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
@@ -311,8 +327,8 @@ def hits(shard: Shard, keys: list, queries: list[tuple], k: int) -> tuple[list,
     if len(queries) > BATCH:
         looks = np.stack([shard.dense_bounds(x[1], x[2]) for x in queries]).astype(np.float32)
         queries = [queries[i] for i in alike_order(looks, BATCH).tolist()]
-    for at in range(0, len(queries), BATCH):
-        some = queries[at : at + BATCH]
+    for part in pieces_of(np.array([len(x[1]) for x in queries], np.int64), BATCH_TERMS, BATCH):
+        some = queries[part]
         found, _ = shard.search([x[1] for x in some], [x[2] for x in some], np.array([x[3] for x in some]), k)
         for (name, *_), (which, score) in zip(some, found, strict=True):
             rows = sorted(zip((-score).tolist(), [(keys[i] is None, keys[i]) for i in which.tolist()], strict=True))[:k]

@@ -85,3 +85,20 @@ def test_nearest_centroid_against_plain(spark, sf_dir):
         best = max(range(len(cosines)), key=cosines.__getitem__)
         assert got[r["doc_id"]]["lang_pred"] == model.languages[model.language[best]] and got[r["doc_id"]]["score"] == pytest.approx(min(max(cosines[best], 0), 1), abs=1e-3)
     assert langid.classify(some.where(F.lit(False)), model).collect() == []
+
+
+def test_queries_of_many_terms_move_in_batches_of_bounded_terms(monkeypatch):
+    from stratamerge.llm import search
+
+    rng = np.random.default_rng(3)
+    terms = [np.unique(rng.integers(0, 900, n).astype(np.uint64)) for n in rng.integers(1, 400, 300)]
+    shard, order = search.Shard.of([len(t) for t in terms], terms, [np.ones(len(t), np.int32) for t in terms], 150.0)
+    queries = [(i, t, np.ones(len(t)), 0.0) for i, t in enumerate(terms)]
+    sizes, real = [], search.Shard.search
+    monkeypatch.setattr(search.Shard, "search", lambda self, t, *a: sizes.append([len(x) for x in t]) or real(self, t, *a))
+    whole = search.hits(shard, order.tolist(), queries, 5)
+    for name, n in (("BATCH_TERMS", 500), ("POSTINGS", 50), ("FOUND", 3)):
+        monkeypatch.setattr(search, name, n, raising=False)
+    sizes.clear()
+    assert sorted(zip(*search.hits(shard, order.tolist(), queries, 5))) == sorted(zip(*whole))
+    assert sum(map(len, sizes)) == 300 and all(sum(s) <= 500 for s in sizes)
