@@ -9,8 +9,10 @@ each term: the bounds of all blocks come from one product for a batch of queries
 of blocks are taken in turn. The k-th score starts with the blocks of the highest bounds and
 rises as pivots are scored. Queries of a batch move together, each with pivots of its own.
 
-Every query first meets one shard, where it is dealt with the shard's documents. Its k-th
-score there is the threshold for all other shards. Their tasks read the queries from the
+Every query first meets FAN shards, where it is dealt with the shards' documents. Its k-th
+score so far is the threshold for the next shards, FAN times as many after each round, until it
+has met all. So about (FAN - 1) k rows a query come out of a round, and the rows in all grow with
+the queries and the logarithm of the shards. The rounds' tasks read the queries from the
 shared folder, in files of bounded size, one after another. A shard returns only what reaches
 the threshold.
 
@@ -50,6 +52,7 @@ POSTINGS, FOUND = 1_000_000, 4096  # scored at a time
 SLACK = 1e-4  # single precision is off by less than this share of a score
 WINDOWS = 4  # steps in which the cursors pass the blocks
 SHARD_ROWS, SHARD_POSTINGS = 8192, 2_000_000
+FAN = 4  # shards that a query meets first, and by which they grow from round to round
 CHUNK = 16 << 20  # bytes of queries that a task holds
 
 
@@ -386,8 +389,8 @@ def index_shards(both: DataFrame, mean: float, k: int, key: T.DataType) -> DataF
     return both.mapInArrow(run, schema)
 
 
-def ask_shards(index: DataFrame, blocks: list[str], mean: float, k: int, key: T.DataType) -> DataFrame:
-    """(query_id, doc_id, score) of queries (key, terms, vals, floor, shard) from all shards but their homes.
+def ask_shards(index: DataFrame, blocks: list[str], ahead: range, shards: int, mean: float, k: int, key: T.DataType) -> DataFrame:
+    """(query_id, doc_id, score) of queries (key, terms, vals, floor, shard) from the shards that lie so far ahead of their own.
 
     blocks: files of the written queries, each of bounded size. A task loads its shard once and
     reads one block after another from the shared folder.
@@ -403,13 +406,21 @@ def ask_shards(index: DataFrame, blocks: list[str], mean: float, k: int, key: T.
                     store, name = located(unquote(path))
                     with store.open_input_file(name) as f:
                         rows = pq.read_table(f, columns=["key", "terms", "vals", "floor", "shard"])
-                    some = [(n, np.frombuffer(t, np.uint64), np.frombuffer(w, np.float64), f) for n, t, w, f, home in zip(*[c.to_pylist() for c in rows.columns], strict=True) if home != number]
+                    far = (number - rows.column("shard").to_numpy()) % shards
+                    rows = rows.filter(pa.array((far >= ahead.start) & (far < ahead.stop)))
+                    some = [(n, np.frombuffer(t, np.uint64), np.frombuffer(w, np.float64), f) for n, t, w, f in zip(*[c.to_pylist() for c in rows.columns[:4]], strict=True)]
                     ids, docs, scores = hits(shard, keys, some, k)
                     yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(docs, kind), pa.array(scores, pa.float64())], names=["query_id", "doc_id", "score"])
 
     return index.select("shard", *PARTS, "keys").mapInArrow(run, T.StructType().add("query_id", key).add("doc_id", key).add("score", "double"))
 
 
+def best_of_all(found: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, doc_id, score): the k best of each query."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+
+
 def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text", k: int = 10, shard_rows: int = SHARD_ROWS, chunk: int = CHUNK) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best documents of each query, by the whole texts of both."""
     spark, kind = docs.sparkSession, docs.schema[key].dataType
@@ -432,23 +443,26 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     ready = weighed.groupBy("key").agg(F.collect_list("t").alias("ts")).mapInArrow(packed, T.StructType().add("key", kind).add("terms", "binary").add("vals", "binary"))
     ready = written(ready.withColumn("shard", F.pmod(F.xxhash64("terms", F.lit(1)), F.lit(shards).cast("long"))), "weighted")
     dealt = rows.where("octet_length(terms) > 0").select(F.pmod(F.xxhash64("key", "terms"), F.lit(shards).cast("long")).alias("shard"), F.lit(False).alias("query"), "key", "length", "terms", F.col("counts").alias("vals"))
-    home = ready.select("shard", F.lit(True).alias("query"), "key", F.lit(0).cast("long").alias("length"), "terms", "vals")
-    both = dealt.union(home).repartition(shards, "shard").sortWithinPartitions("shard", "query")
+    home = ready.select(F.explode(F.sequence(F.lit(0), F.lit(min(FAN, shards) - 1))).alias("ahead"), "*")
+    home = home.select(F.pmod(F.col("shard") + F.col("ahead"), F.lit(shards)).alias("shard"), F.lit(True).alias("query"), "key", F.lit(0).cast("long").alias("length"), "terms", "vals")
+    both = dealt.union(home).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "query")
     index = written(index_shards(both, mean, k, kind), "shards")
     discard(asked, rows)
-    found = [index.where("score IS NOT NULL").select("query_id", "doc_id", "score")]
-    if shards > 1:
-        reached = found[0].groupBy("query_id").agg(F.when(F.count("score") >= k, F.min("score")).otherwise(0.0).alias("floor"))
+    best = best_of_all(index.where("score IS NOT NULL").select("query_id", "doc_id", "score"), k)
+    if shards > FAN:
+        best = written(best, "best")
+        # blocks of about `chunk` bytes, a file each
+        chunks = int(max(1, -(-ready.agg(F.coalesce(F.sum(F.octet_length("terms") + F.octet_length("vals")), F.lit(0))).first()[0] // chunk)))
+    met = FAN
+    while met < shards:
+        reached = best.groupBy("query_id").agg(F.when(F.count("score") >= k, F.min("score")).otherwise(0.0).alias("floor"))
         asked = ready.join(reached, ready["key"].eqNullSafe(reached["query_id"]), "left").select("key", "terms", "vals", F.coalesce("floor", F.lit(0.0)).alias("floor"), "shard")
-        chunks = max(1, -(-ready.agg(F.coalesce(F.sum(F.octet_length("terms") + F.octet_length("vals")), F.lit(0))).first()[0] // chunk))
-        asked = written(asked.repartition(int(chunks)), "asked")  # blocks of about `chunk` bytes, a file each
-        found.append(written(ask_shards(index.where("terms IS NOT NULL"), sorted(asked.inputFiles()), mean, k, kind), "found"))
-        discard(asked)
-    best = found[0]
-    for more in found[1:]:
-        best = best.union(more)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+        asked = written(asked.repartition(chunks), "asked")
+        found = ask_shards(index.where("terms IS NOT NULL"), sorted(asked.inputFiles()), range(met, min(FAN * met, shards)), shards, mean, k, kind)
+        before, best = best, written(best_of_all(best.select(*found.columns).union(found), k), "best")
+        discard(asked, before)
+        met *= FAN
+    return best
 
 
 def every_fiftieth(key: str) -> Column:

@@ -224,6 +224,21 @@ def test_search_repeated_query_rows(spark):
         assert one == two and len(one) == 10  # rows of one key are one query of all their terms
 
 
+def test_shards_return_few_rows(spark, monkeypatch):
+    """What all shards return grows with the logarithm of their number, not with the number."""
+    random.seed(24)
+    rows = [(i, " ".join(random.choices([f"w{j}" for j in range(80)], k=15))) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made, real = [], search.ask_shards
+    monkeypatch.setattr(search, "ask_shards", lambda *a: made.append(real(*a).count()) or real(*a))
+    got = {}
+    for r in search.search(df, df.where("doc_id % 100 = 0"), shard_rows=32).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"]))
+    want = brute_bm25(rows, range(0, 2000, 100), 10)
+    assert all([d for _, d in sorted(got[q])] == [d for d, _ in best] for q, best in want.items())
+    assert sum(made) < 100 * len(want)  # 63 shards of 10 rows each before
+
+
 def test_search_odd_rows(odd, none):
     assert search.op4_search(none).count() == 0
     out = search.search(odd, odd).collect()
