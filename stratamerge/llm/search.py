@@ -8,6 +8,7 @@ are scored, all other blocks are passed over with all their postings. There is n
 each term: the bounds of all blocks come from one product for a batch of queries, and windows
 of blocks are taken in turn. The k-th score starts with the blocks of the highest bounds and
 rises as pivots are scored. Queries of a batch move together, each with pivots of its own.
+Those that bring a threshold from other shards take all their pivots in one step.
 
 Every query first meets FAN shards, where it is dealt with the shards' documents. Its k-th
 score so far is the threshold for the next shards, FAN times as many after each round, until it
@@ -292,21 +293,25 @@ class Shard:
             both = np.concatenate([best, more], axis=1)
             return np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
 
-        lead = min(-(-2 * k // BLOCK) + 1, self.blocks)
-        first = np.argpartition(-bound, lead - 1, axis=1)[:, :lead]
-        pivots = np.zeros_like(scored)
-        np.put_along_axis(pivots, first, True, axis=1)
-        score(pivots & (bound > 0) & (bound >= floor[:, None]))
-        led = np.repeat(pivots, BLOCK, axis=1)[:, : self.size]
-        best = best_of(np.zeros((m, k), np.float32), np.where(led, rough + scores.astype(np.float32), 0))
-        for lo in range(0, self.blocks, width):
-            least = np.maximum(floor - 1e-6, best.min(axis=1) * (1 - SLACK))[:, None]
-            pivots = (bound >= least) & (bound > 0) & ~scored
-            pivots[:, :lo] = pivots[:, lo + width :] = False
-            if pivots.any():
-                score(pivots)
-                s = slice(lo * BLOCK, (lo + width) * BLOCK)
-                best = best_of(best, np.where(led[:, s], 0, rough[:, s] + scores[:, s].astype(np.float32)))
+        best = np.zeros((m, k), np.float32)
+        if (floor > 0).all():  # k-th scores of several shards: this one hardly raises them
+            score((bound >= floor[:, None] - 1e-6) & (bound > 0))
+        else:
+            lead = min(-(-2 * k // BLOCK) + 1, self.blocks)
+            first = np.argpartition(-bound, lead - 1, axis=1)[:, :lead]
+            pivots = np.zeros_like(scored)
+            np.put_along_axis(pivots, first, True, axis=1)
+            score(pivots & (bound > 0) & (bound >= floor[:, None]))
+            led = np.repeat(pivots, BLOCK, axis=1)[:, : self.size]
+            best = best_of(best, np.where(led, rough + scores.astype(np.float32), 0))
+            for lo in range(0, self.blocks, width):
+                least = np.maximum(floor - 1e-6, best.min(axis=1) * (1 - SLACK))[:, None]
+                pivots = (bound >= least) & (bound > 0) & ~scored
+                pivots[:, :lo] = pivots[:, lo + width :] = False
+                if pivots.any():
+                    score(pivots)
+                    s = slice(lo * BLOCK, (lo + width) * BLOCK)
+                    best = best_of(best, np.where(led[:, s], 0, rough[:, s] + scores[:, s].astype(np.float32)))
         # exact scores of all that may be among the best
         least = np.maximum(np.maximum(floor, best.min(axis=1)) * (1 - SLACK) - 1e-6, 1e-9)
         who, found = np.nonzero(rough + scores >= least[:, None])
