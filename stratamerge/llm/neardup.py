@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import discard
+from ..sources.scratch import discard, sweep
 from .common import bit_table, in_table, mix, pieces, runs, shingles, utf8, written
 from .components import components
 
@@ -80,23 +80,48 @@ def set_ids(h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.where(n > 0, mix(sums[cuts[1:]] - sums[cuts[:-1]] + n), 0).astype(np.uint64).view(np.int64)
 
 
-def described(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """key, n_shingles, sid of every row; keys (the prefix, by hash) where the task meets the set first."""
+def packed(members: np.ndarray) -> bytes:
+    """The upper 56 bits of a set's hashes, in their order, 7 bytes each. That two of a pair's shingles agree in them by chance is as rare as that two sets have the same name."""
+    return (members >> np.uint64(8)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def members_of(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 7, 8), np.uint8)
+    wide[:, 1:] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+    return wide.reshape(-1).view("<u8")
+
+
+def described(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """key, n_shingles, sid of every row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
         for batch in batches:
             data, offsets = utf8(batch.column(1))
+            for i, j in pieces(offsets, 1_000_000):
+                h, cuts = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(cuts), pa.int64()), pa.array(set_ids(h, cuts))], names=[key, "n_shingles", "sid"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, text).mapInArrow(describe, f"`{key}` {kind}, n_shingles long, sid long")
+
+
+def prefix_keys(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
+    """(key, sid): the prefix of each set, by hash, where the task meets the set first. Not written: it would take about as much disk as its shuffle."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        for batch in batches:
+            data, offsets = utf8(batch.column(0))
             for i, j in pieces(offsets, 1_000_000):
                 h, cuts = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
                 n, sid, signed = np.diff(cuts), set_ids(h, cuts), h.view(np.int64)
                 until = cuts[:-1] + np.minimum(short_prefix(n, percent) + extra(n), n)
-                new = [bool(n[r]) and s not in met and not met.add(s) for r, s in enumerate(sid.tolist())]
-                keys = [signed[cuts[r] : until[r]] if x else None for r, x in enumerate(new)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(sid), pa.array(keys, pa.list_(pa.int64()))], names=[key, "n_shingles", "sid", "keys"])
+                new = [r for r, s in enumerate(sid.tolist()) if n[r] and s not in met and not met.add(s)]
+                count = (until - cuts[:-1])[new]
+                keys = [signed[cuts[r] : until[r]] for r in new]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([signed[:0], *keys])), pa.array(np.repeat(sid[new], count))], names=["key", "sid"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(describe, f"`{key}` {kind}, n_shingles long, sid long, keys array<long>")
+    return docs.select(text).mapInArrow(describe, "key long, sid long")
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
@@ -148,7 +173,7 @@ def sets_of(docs: DataFrame, text: str, k: int, wanted) -> DataFrame:
                 h, cuts = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
                 sid, n = set_ids(h, cuts), np.diff(cuts)
                 rows = [r for r in np.flatnonzero(in_table(table, sid) & (n > 0)).tolist() if not (sid[r] in met or met.add(sid[r]))]
-                yield pa.RecordBatch.from_arrays([pa.array(sid[rows]), pa.array([h[cuts[r] : cuts[r + 1]].tobytes() for r in rows], pa.binary())], names=["sid", "members"])
+                yield pa.RecordBatch.from_arrays([pa.array(sid[rows]), pa.array([packed(h[cuts[r] : cuts[r + 1]]) for r in rows], pa.binary())], names=["sid", "members"])
 
     return docs.select(text).mapInArrow(make, "sid long, members binary")
 
@@ -192,8 +217,8 @@ def star_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, percent: in
             for at in range(0, whole.num_rows, 256):
                 found = []
                 for a, b, x, y in zip(*[c.to_pylist() for c in whole.slice(at, 256).columns], strict=True):
-                    n, m = len(x) // 8, len(y) // 8
-                    overlap = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                    n, m = len(x) // 7, len(y) // 7
+                    overlap = len(np.intersect1d(members_of(x), members_of(y), assume_unique=True))
                     if 100 * overlap >= percent * (n + m - overlap):
                         found.append((a, b))
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
@@ -211,7 +236,7 @@ def width_of(size: int, percent: int) -> int:
 
 def signature(members: np.ndarray, width: int) -> np.ndarray:
     bits = np.zeros(width, bool)
-    bits[(members & np.uint64(width - 1)).astype(np.int64)] = True
+    bits[(members >> np.uint64(8) & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.uint64)
 
 
@@ -355,7 +380,7 @@ def build_leaves(sets: DataFrame, percent: int) -> DataFrame:
             nodes = nodes_of(sets, width_of(key[1], percent))
             return pa.RecordBatch.from_arrays([
                 pa.array([sids[0]]), pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([int(nodes.least.min())]), pa.array([int(nodes.most.max())]), pa.array([int(nodes.slack.max())]),
-                pa.array([np.bitwise_or.reduce(nodes.bits).tobytes()], pa.binary()), pa.array([sids], pa.list_(pa.int64())), pa.array([[s.tobytes() for s in sets]], pa.list_(pa.binary())),
+                pa.array([np.bitwise_or.reduce(nodes.bits).tobytes()], pa.binary()), pa.array([sids], pa.list_(pa.int64())), pa.array([[packed(s) for s in sets]], pa.list_(pa.binary())),
             ], names=["leaf", "root", "size", "least", "most", "slack", "bits", "sids", "sets"])
 
         for batch in batches:
@@ -366,7 +391,7 @@ def build_leaves(sets: DataFrame, percent: int) -> DataFrame:
                 key = (root, size, part)
                 if not sids or sid != sids[-1]:
                     sids.append(sid)
-                    sets.append(np.frombuffer(members, np.uint64))
+                    sets.append(members_of(members))
         if sids:
             yield leaf()
 
@@ -525,7 +550,7 @@ def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             found = []
             for r in batch.to_pylist():
-                leaf = Leaf([np.frombuffer(x, np.uint64) for x in r["sets"]], width_of(r["size"], percent))
+                leaf = Leaf([members_of(x) for x in r["sets"]], width_of(r["size"], percent))
                 if r["guest"] is None:
                     host, own, n = leaf, r, len(leaf.sets)
                     continue
@@ -552,6 +577,7 @@ def tree_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, known: Data
     groups = members.where("root <> 0").groupBy("root", "size").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
     members = members.join(groups, ["root", "size"], "left").select("sid", "size", "root", F.when(F.col("root") == 0, F.col("sid")).otherwise(F.pmod("sid", "parts")).alias("part"))
     leaves = written(build_leaves(sets.join(members, "sid"), percent), "leaves")
+    sweep(sets.sparkSession)
     # blocks of leaves; those of one component only have nothing left to find, and equal ones count together
     meet = blocks.join(leaves.select("leaf", "root", F.explode("sids").alias("sid")), "sid").groupBy("block", "leaf", "root").agg(F.max("weight").alias("weight"))
     busy = meet.groupBy("block").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"), F.min("root").alias("one"), F.max("root").alias("two"), F.count("leaf").alias("c"), F.first("weight").alias("weight"), *[F.bit_xor(F.xxhash64("leaf", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
@@ -574,11 +600,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     Two rows link when 100 * intersection >= percent * union of their k-word shingles.
     """
     context = docs.sparkSession.sparkContext
-    whole = written(described(docs, key, text, k, percent), "sets")
-    rows = written(whole.drop("keys"), "rows")
+    rows = written(described(docs, key, text, k), "rows")
     sizes = rows.where("n_shingles > 0").select("sid", F.col("n_shingles").alias("n")).distinct()
-    shared = written(shared_keys(whole.where("keys IS NOT NULL").select(F.explode("keys").alias("key"), "sid")), "shared")
-    discard(whole)
+    shared = written(shared_keys(prefix_keys(docs, text, k, percent)), "shared")
+    sweep(docs.sparkSession)
     # the keys that candidates share with candidates
     left = shared.join(candidates(shared, sizes, percent), "sid", "left_semi")
     met = left.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")

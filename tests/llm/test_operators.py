@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -403,6 +404,16 @@ def test_near_duplicates_of_a_large_group(spark, monkeypatch):
     assert seen[0] < 1000  # 1957 if leaves of one component are compared
 
 
+def test_sets_take_seven_bytes_a_shingle(spark):
+    h = np.unique(np.random.default_rng(8).integers(0, 2**64, 300, np.uint64))
+    data = neardup.packed(h)
+    assert len(data) == 7 * len(h) and (neardup.members_of(data) == h >> np.uint64(8) << np.uint64(8)).all()
+    text = " ".join(f"w{i}" for i in range(54))
+    rows = neardup.prefix_keys(spark.createDataFrame([(text,), (text,), (None,), ("a b",)], "text string").coalesce(1), "text", 5, 80)
+    # one set of 50 shingles (its copy is met already) and one of one
+    assert sorted(r["count"] for r in rows.distinct().groupBy("sid").count().collect()) == [1, neardup.short_prefix(50, 80) + neardup.extra(50)]
+
+
 def test_near_duplicates_odd_rows(odd, none):
     assert neardup.op8_jaccard_join(none).count() == 0
     out = neardup.near_duplicates(odd).collect()
