@@ -1,6 +1,7 @@
 """Exact n-gram Jaccard self-join by signature trees.
 
-A document's set holds its distinct word shingles as 64-bit hashes. Equal sets become
+A document's set holds its distinct word shingles as 64-bit hashes; links are checked on
+their upper 56 bits, which take less disk. Equal sets become
 one node, named by a 64-bit hash of the set; links are sought between different sets.
 
 1. Sets keep a prefix of their shingles in the order of their hashes. Two sets that link
