@@ -55,6 +55,7 @@ GUESTS = 4096  # about so many sets meet one copy of their representative
 VISITS = 64  # about so many leaves meet one copy of their host
 FEW = 4  # partners of a leaf in a step of the first pass
 LARGE = 32  # the first pass is for blocks of more sets
+WAIT = 0.5  # seconds before large shuffles of a finished step are dropped
 BITS = 2  # bits of a bitmap for each shingle, at least
 
 
@@ -211,7 +212,8 @@ def star_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, percent: in
     spread = pairs.groupBy("to").agg(F.ceil(F.count("sid") / GUESTS).alias("parts"))
     used.append(pairs)
     guests = pairs.join(spread, "to").select("to", F.pmod(F.xxhash64("sid"), "parts").alias("part"), "sid").join(sets, "sid")
-    hosts = spread.join(sets.select(F.col("sid").alias("to"), F.col("members").alias("other")), "to").select("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "other")
+    # sets are joined under their own names on both sides, so that one exchange of them serves both
+    hosts = spread.join(sets, F.col("to") == F.col("sid")).select("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("members").alias("other"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -410,14 +412,13 @@ def node_rows(rows: pa.Table) -> tuple[np.ndarray, Nodes]:
 
 
 def meeting_lists(placed: DataFrame) -> DataFrame:
-    """(leaf, blocks): the blocks of each leaf, packed; as many as a set has keys, at most."""
+    """(leaf, blocks): the blocks of each leaf, ascending; as many as a set has keys, at most."""
+    return placed.groupBy("leaf").agg(F.sort_array(F.collect_list("block")).alias("blocks"))
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [np.array(some, np.int64).tobytes() for some in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["leaf", "blocks"])
 
-    return placed.groupBy("leaf").agg(F.collect_list("block").alias("blocks")).mapInArrow(pack, "leaf long, blocks binary")
+def up_to_own(rows: DataFrame) -> DataFrame:
+    """rows with the blocks of their leaf cut behind the row's own: a pair only asks whether it meets in a lesser one."""
+    return rows.withColumn("blocks", F.slice("blocks", F.lit(1), F.array_position("blocks", F.col("block")).cast("int")))
 
 
 def rare_blocks(placed: DataFrame, percent: int) -> DataFrame:
@@ -463,12 +464,13 @@ def pairs_between(left: pa.Table, right: pa.Table | None, percent: int, few: int
         i, j = traverse(nodes.folded(words), across.folded(words), percent)
     keep = np.zeros(len(i), bool)
     if len(i):
-        here = [[np.frombuffer(x, np.int64) for x in side.column("blocks").to_pylist()] for side in (left, left if right is None else right)]
-        blocks = np.unique(np.concatenate(here[0] + here[1]))
+        here = [side.column("blocks").combine_chunks() for side in (left, left if right is None else right)]
+        flat = [lists.flatten().to_numpy() for lists in here]
+        blocks = np.unique(np.concatenate(flat))
         tables = []
-        for lists in here:
+        for lists, values in zip(here, flat, strict=True):
             tables.append(np.zeros((len(lists), len(blocks)), bool))
-            tables[-1][np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.searchsorted(blocks, np.concatenate(lists))] = True
+            tables[-1][np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), np.searchsorted(blocks, values)] = True
         own = int(np.searchsorted(blocks, left.column("block")[0].as_py()))
         step = max(1, (1 << 23) // len(blocks))
         for a in range(0, len(i), step):
@@ -498,7 +500,7 @@ def leaf_pairs(placed: DataFrame, nodes: DataFrame, percent: int, few: int | Non
                 if after is not None and after.column("size")[0].as_py() == part.column("size")[0].as_py() + 1:
                     yield pairs_between(part, after, percent, few)
 
-    return placed.select("block", "leaf").join(nodes, "leaf").repartition("block").sortWithinPartitions("block", "size", "least").mapInArrow(pairs, PAIRS)
+    return up_to_own(placed.select("block", "leaf").join(nodes, "leaf")).repartition("block").sortWithinPartitions("block", "size", "least").mapInArrow(pairs, PAIRS)
 
 
 def unit_pairs(placed: DataFrame, nodes: DataFrame, percent: int, few: int | None = None) -> DataFrame:
@@ -533,7 +535,7 @@ def unit_pairs(placed: DataFrame, nodes: DataFrame, percent: int, few: int | Non
             elif 0 < first < step.num_rows:
                 yield pairs_between(step.slice(0, first), step.slice(first), percent, few)
 
-    return rows.repartition("step").sortWithinPartitions("step", "side", "least").mapInArrow(pairs, PAIRS)
+    return up_to_own(rows).repartition("step").sortWithinPartitions("step", "side", "least").mapInArrow(pairs, PAIRS)
 
 
 def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
@@ -566,11 +568,12 @@ def cross_links(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
-def tree_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, known: DataFrame, percent: int, few: int | None, used: list[DataFrame]) -> DataFrame:
+def tree_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, known: DataFrame, percent: int, few: int | None, used: list[DataFrame], spent: list[DataFrame]) -> DataFrame:
     """Links (a, b) that connect the components of known (node, root): known itself and those found through the trees.
 
     few: so many partners of each leaf in a step only (None: all, so no link is lost).
-    used gets the written tables that nobody needs once the links are written.
+    used gets the written tables that nobody needs once the links are written; spent are
+    those that nobody needs once the leaves are.
     """
     members = blocks.select("sid").distinct().join(sizes, "sid").withColumn("size", size_class(F.col("n"), percent))
     both = known.union(known.select("root", "root")).distinct()  # the root too; 0 names the empty set and so no root
@@ -578,7 +581,8 @@ def tree_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, known: Data
     groups = members.where("root <> 0").groupBy("root", "size").agg(F.ceil(F.count("sid") / (4 * LEAF)).alias("parts"))
     members = members.join(groups, ["root", "size"], "left").select("sid", "size", "root", F.when(F.col("root") == 0, F.col("sid")).otherwise(F.pmod("sid", "parts")).alias("part"))
     leaves = written(build_leaves(sets.join(members, "sid"), percent), "leaves")
-    sweep(sets.sparkSession)
+    discard(*spent)
+    sweep(blocks.sparkSession, WAIT)
     # blocks of leaves; those of one component only have nothing left to find, and equal ones count together
     meet = blocks.join(leaves.select("leaf", "root", F.explode("sids").alias("sid")), "sid").groupBy("block", "leaf", "root").agg(F.max("weight").alias("weight"))
     busy = meet.groupBy("block").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"), F.min("root").alias("one"), F.max("root").alias("two"), F.count("leaf").alias("c"), F.first("weight").alias("weight"), *[F.bit_xor(F.xxhash64("leaf", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
@@ -591,6 +595,7 @@ def tree_links(blocks: DataFrame, sizes: DataFrame, sets: DataFrame, known: Data
     if not placed.where(F.col("c") > UNIT).isEmpty():
         near = near.union(unit_pairs(placed.where(F.col("c") > UNIT), nodes, percent, few))
     pairs = written(near, "pairs")
+    sweep(blocks.sparkSession, WAIT)  # their rows hold a bitmap for each block of a leaf
     used += [leaves, busy, placed, pairs]
     return cross_links(pairs, leaves, percent).union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
@@ -604,27 +609,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     rows = written(described(docs, key, text, k), "rows")
     sizes = rows.where("n_shingles > 0").select("sid", F.col("n_shingles").alias("n")).distinct()
     shared = written(shared_keys(prefix_keys(docs, text, k, percent)), "shared")
-    sweep(docs.sparkSession)
+    sweep(docs.sparkSession, WAIT)
     # the keys that candidates share with candidates
     left = shared.join(candidates(shared, sizes, percent), "sid", "left_semi")
     met = left.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
     left = written(left.join(met, "key", "left_semi").select("key", "sid").distinct(), "shared")
     discard(shared)
+    sweep(docs.sparkSession, WAIT)
     some = written(candidates(left, sizes, percent), "wanted")
     wanted = context.broadcast(bit_table(some, "sid"))
     sets = written(sets_of(docs, text, k, wanted).dropDuplicates(["sid"]), "members")
+    discard(some)
+    sweep(docs.sparkSession, WAIT)
     blocks = written(blocks_of(left), "blocks")
-    discard(left, some)
+    discard(left)
     used: list[DataFrame] = []
     roots = components(star_links(blocks, sizes, sets, percent, used))
-    for few, some in ((FEW, blocks.where(F.col("c") > LARGE)), (None, blocks)):
+    for few, some, spent in ((FEW, blocks.where(F.col("c") > LARGE), []), (None, blocks, [sets])):
         if not some.isEmpty():
             before = roots
-            roots = components(tree_links(some, sizes, sets, roots, percent, few, used))
+            roots = components(tree_links(some, sizes, sets, roots, percent, few, used, spent))
             used.append(before)
+        else:
+            used += spent
         discard(*used)  # the edges are written
         used.clear()
-    discard(blocks, sets)
+    discard(blocks)
     firsts = rows.where("n_shingles > 0").groupBy("sid").agg(F.min(key).alias("first"))
     firsts = firsts.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     named = firsts.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -1,6 +1,7 @@
 """Small cases of every operator: nulls, empty texts, ties, repeats, empty tables, clashing names; and brute force."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -414,6 +415,41 @@ def test_sets_take_seven_bytes_a_shingle(spark):
     assert sorted(r["count"] for r in rows.distinct().groupBy("sid").count().collect()) == [1, neardup.short_prefix(50, 80) + neardup.extra(50)]
 
 
+def test_near_duplicates_leave_little_on_disk(spark, monkeypatch):
+    base = [f"v{i}" for i in range(120)]
+    rows = [(i, " ".join([f"e{i}x{i % 3}" if j == i % 60 + 30 else w for j, w in enumerate(base)])) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets, kept, write, check = [], [], neardup.written, neardup.cross_links
+    monkeypatch.setattr(neardup, "written", lambda df, name: (out := write(df, name), name == "members" and sets.append(out.written_to.removeprefix("file:")))[0])
+    monkeypatch.setattr(neardup, "cross_links", lambda *args: kept.append(os.path.exists(sets[0])) or check(*args))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.op8_jaccard_join(df).collect()}
+    assert got == brute_components(rows)
+    assert kept[-1] is False  # the sets are in the leaves by then
+
+
+def test_rows_of_nodes_hold_blocks_up_to_their_own(spark):
+    placed = spark.createDataFrame([(b, leaf) for leaf in (1, 2) for b in (7, -3, 2**40)[leaf - 1 :]], "block long, leaf long")
+    rows = neardup.up_to_own(placed.join(neardup.meeting_lists(placed), "leaf")).collect()
+    assert sorted((r["leaf"], r["block"], r["blocks"]) for r in rows) == [(1, -3, [-3]), (1, 7, [-3, 7]), (1, 2**40, [-3, 7, 2**40]), (2, -3, [-3]), (2, 2**40, [-3, 2**40])]
+
+
+def test_stars_exchange_their_sets_once(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "HOT", 8)
+    sids = list(range(1, 9))
+    members = neardup.packed(np.arange(1, 21, dtype=np.uint64) << np.uint64(8))
+    blocks = spark.createDataFrame([(5, 9, len(sids), s) for s in sids], "block long, weight long, c long, sid long")
+    sizes = spark.createDataFrame([(s, 20) for s in sids], "sid long, n long")
+    sets = neardup.written(spark.createDataFrame([(s, members) for s in sids], "sid long, members binary"), "members")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = neardup.star_links(blocks, sizes, sets, 80, [])
+        assert sorted((r["a"], r["b"]) for r in links.collect()) == [(s, 1) for s in sids[1:]]
+        plan = links._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ReadSchema: struct<sid:bigint,members:binary>") == 1
+
+
 def test_near_duplicates_odd_rows(odd, none):
     assert neardup.op8_jaccard_join(none).count() == 0
     out = neardup.near_duplicates(odd).collect()
