@@ -1,14 +1,14 @@
-"""Exact top-k search by BM25: inverted indexes with block-max WAND pruning, per shard, merged exactly.
+"""Exact top-k search by BM25: inverted indexes with block-max pruning, per shard, merged exactly.
 
 Documents are dealt into shards of bounded size. A shard orders its documents so that
-neighbours are alike and cuts them into blocks. Its inverted index keeps the postings of
-each term by block, with the largest impact of each block. A block is a pivot of a query if
-the sum of its terms' block maxima reaches the query's k-th best score so far. Only pivots
-are scored, all other blocks are passed over with all their postings. There is no cursor for
-each term: the bounds of all blocks come from one product for a batch of queries, and windows
-of blocks are taken in turn. The k-th score starts with the blocks of the highest bounds and
-rises as pivots are scored. Queries of a batch move together, each with pivots of its own.
-Those that bring a threshold from other shards take all their pivots in one step.
+neighbours are alike and cuts them into blocks. The rarer terms of its inverted index have
+posting lists, from which all documents get their scores by these terms, for a batch of
+queries at once. Each block keeps its impacts of the frequent terms as a small matrix, and
+the largest of each. A block is a pivot of a query if these block maxima and the best score by
+rarer terms in the block reach the query's k-th best score so far. Only pivots get the frequent
+terms' part, all queries with a pivot in a block by one product in single precision; exact
+scores follow for what may be among the best. The k-th score starts with the blocks of the
+highest bounds. Queries that bring a threshold from other shards take all their pivots in one step.
 
 Every query first meets FAN shards, where it is dealt with the shards' documents. Its k-th
 score so far is the threshold for the next shards, FAN times as many after each round, until it
@@ -47,11 +47,10 @@ from .common import SpanHash, bit_table, in_table, lower_ascii, pieces, utf8, wo
 
 K1, B = 1.2, 0.75
 BLOCK = 64
-DENSE = 384  # most frequent terms of a shard, whose impacts are held as rows of a matrix
-BATCH, BATCH_TERMS = 64, 16_384  # queries that move together, and their terms (a longer query moves alone)
-POSTINGS, FOUND = 1_000_000, 4096  # scored at a time
-SLACK = 1e-4  # single precision is off by less than this share of a score
-WINDOWS = 4  # steps in which the cursors pass the blocks
+DENSE = 512  # most frequent terms of a shard, whose impacts are held as a matrix for each block
+BATCH, BATCH_TERMS = 256, 65_536  # queries that move together, and their terms (a longer query moves alone)
+POSTINGS, FOUND = 65_536, 4096  # scored at a time
+SLACK = 1e-4  # single precision is off by less than half this share of a score, for sums of up to DENSE terms
 SHARD_ROWS, SHARD_POSTINGS = 8192, 2_000_000
 FAN = 4  # shards that a query meets first, and by which they grow from round to round
 CHUNK = 16 << 20  # bytes of queries that a task holds
@@ -183,26 +182,22 @@ class Shard:
         self.impact = tf * (K1 + 1) / (tf + self.norm[doc])
         self.doc, self.blocks = doc, -(-size // BLOCK)
         begin = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, np.int64)
-        self.terms, n = term[begin], np.diff(np.append(begin, len(term)))
-        # entries: a term in a block, with its postings there
-        cell = np.repeat(np.arange(len(begin)), n) * self.blocks + doc // BLOCK
-        self.first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
-        self.n = np.diff(np.append(self.first, len(cell)))
-        self.block = cell[self.first] % max(self.blocks, 1)
-        self.most = np.maximum.reduceat(self.impact, self.first) if len(cell) else np.zeros(0)
-        self.entry = np.searchsorted(cell[self.first], np.arange(len(begin) + 1) * self.blocks)  # first entry of each term
+        self.terms, self.first = term[begin], np.append(begin, len(term))  # postings of each term
+        n = np.diff(self.first)
         top = np.argsort(-n, kind="stable")[:DENSE]
         top = top[n[top] * 200 > size]
         self.row = np.full(len(begin), -1)
         self.row[top] = np.arange(len(top))
-        self.dense = np.zeros((len(top), size), np.float32)  # rough impacts; the exact ones follow from the counts
-        self.counts = np.zeros((len(top), size), np.int32)
-        self.dense_most = np.zeros((len(top), self.blocks))
-        for r, t in enumerate(top.tolist()):
-            at = slice(begin[t], begin[t] + n[t])
-            self.dense[r, doc[at]], self.counts[r, doc[at]] = self.impact[at], tf[at]
-            at = slice(self.entry[t], self.entry[t + 1])
-            self.dense_most[r, self.block[at]] = self.most[at]
+        row = np.repeat(self.row, n)
+        at = np.flatnonzero(row >= 0)
+        # rough impacts of the frequent terms that a block has; the exact ones follow from the counts
+        dense = np.zeros((self.blocks, len(top), BLOCK), np.float32)
+        dense[doc[at] // BLOCK, row[at], doc[at] % BLOCK] = self.impact[at]
+        self.dense_most = dense.max(axis=2, initial=0).T
+        has = [np.flatnonzero(most) for most in self.dense_most.T]
+        self.dense = [(rows, dense[b, rows]) for b, rows in enumerate(has)]
+        self.counts = np.zeros((size, len(top)), np.min_scalar_type(int(tf[at].max(initial=0))))
+        self.counts[doc[at], row[at]] = tf[at]
 
     @classmethod
     def of(cls, lengths: list[int], terms: list[np.ndarray], counts: list[np.ndarray], mean: float) -> tuple[Shard, np.ndarray]:
@@ -236,90 +231,62 @@ class Shard:
         wide = lambda x: np.frombuffer(x, f"u{len(x) // max(int(n.sum()), 1) or 1}").astype(np.int32)
         return cls(len(length), length, np.repeat(terms, n), wide(stored[3]), wide(stored[4]), mean)
 
-    def dense_bounds(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Bounds of the blocks by the frequent terms."""
-        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        ok = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        row = self.row[at[ok]]
-        return weights[ok][row >= 0] @ self.dense_most[row[row >= 0]]
-
     def search(self, terms: list[np.ndarray], weights: list[np.ndarray], floor: np.ndarray, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
         """(documents, scores) of each query's best k of at least its floor, with all that tie; and how many (query, block) pairs were scored."""
-        m = len(terms)
-        q = np.repeat(np.arange(m), [len(t) for t in terms])
-        term, weight = np.concatenate(terms), np.concatenate(weights)
+        m, wide = len(terms), self.blocks * BLOCK
+        q, term, weight = np.repeat(np.arange(m), [len(t) for t in terms]), np.concatenate(terms), np.concatenate(weights)
         at = np.minimum(np.searchsorted(self.terms, term), max(len(self.terms) - 1, 0))
         ok = self.terms[at] == term if len(self.terms) else np.zeros(len(term), bool)
         q, at, weight = q[ok], at[ok], weight[ok]
-        frequent = self.row[at] >= 0
-        w = np.zeros((m, len(self.dense)))
-        w[q[frequent], self.row[at[frequent]]] = weight[frequent]
-        q, at, weight = q[~frequent], at[~frequent], weight[~frequent]
-        # the entries of all rarer terms
-        n = self.entry[at + 1] - self.entry[at]
-        entry, eq, ew = spread(self.entry[at], n), np.repeat(q, n), np.repeat(weight, n)
-        cell = eq * self.blocks + self.block[entry]
-        bound = w @ self.dense_most + np.bincount(cell, ew * self.most[entry], m * self.blocks).reshape(m, self.blocks)
-        bound *= 1 + 1e-9
-        # scores by the rarer terms, exact, and by the frequent ones, in single precision
-        scores, rough, scored = np.zeros((m, self.size)), np.zeros((m, self.size), np.float32), np.zeros((m, self.blocks), bool)
+        row = self.row[at]
+        frequent = row >= 0
+        w = np.zeros((m, self.counts.shape[1]))
+        w[q[frequent], row[frequent]] = weight[frequent]
         single = w.astype(np.float32)
-        width = max(1, -(-self.blocks // WINDOWS))
-
-        flat = scores.reshape(-1)
+        # scores of all documents by the rarer terms, exact
+        q, at, weight = q[~frequent], at[~frequent], weight[~frequent]
+        n, scores = self.first[at + 1] - self.first[at], np.zeros((m, wide))
+        for part in pieces_of(n, POSTINGS):
+            lo, hi, posting = q[part.start], q[part.stop - 1] + 1, spread(self.first[at[part]], n[part])
+            cell = np.repeat((q[part] - lo) * wide, n[part]) + self.doc[posting]
+            scores[lo:hi] += np.bincount(cell, np.repeat(weight[part], n[part]) * self.impact[posting], (hi - lo) * wide).reshape(-1, wide)
+        scores = scores.reshape(m, self.blocks, BLOCK)
+        bound = (single @ self.dense_most + scores.max(axis=2, initial=0)) * (1 + SLACK)
+        # with the frequent terms' part in single precision, for pivots
+        rough, scored = np.zeros((m, self.blocks, BLOCK), np.float32), np.zeros((m, self.blocks), bool)
 
         def score(pivots: np.ndarray) -> None:
-            some = np.flatnonzero(pivots.ravel().take(cell))
-            for part in pieces_of(self.n[entry[some]], POSTINGS):
-                these = some[part]
-                count = self.n[entry[these]]
-                posting = spread(self.first[entry[these]], count)
-                np.add.at(flat, np.repeat(eq[these] * self.size, count) + self.doc[posting], np.repeat(ew[these], count) * self.impact[posting])
-            for lo in range(0, self.blocks, width):
-                part = pivots[:, lo : lo + width]
-                who, s = np.flatnonzero(part.any(axis=1)), slice(lo * BLOCK, min((lo + width) * BLOCK, self.size))
-                if part.sum() > 0.7 * len(who) * part.shape[1]:  # most of the window: one product, without what isn't a pivot
-                    more = single[who] @ self.dense[:, s]
-                    rough[who, s] += np.where(np.repeat(part[who], BLOCK, axis=1)[:, : more.shape[1]], more, 0)
-                    continue
-                for block in (np.flatnonzero(part.any(axis=0)) + lo).tolist():
-                    who, s = np.flatnonzero(pivots[:, block]), slice(block * BLOCK, min((block + 1) * BLOCK, self.size))
-                    rough[who, s] = single[who] @ self.dense[:, s]
+            for block in np.flatnonzero(pivots.any(axis=0)).tolist():
+                who, (rows, dense) = np.flatnonzero(pivots[:, block]), self.dense[block]
+                rough[who, block] = single[np.ix_(who, rows)] @ dense + scores[who, block]
             scored[pivots] = True
 
-        def best_of(best: np.ndarray, more: np.ndarray) -> np.ndarray:
-            if more.shape[1] > k:
-                more = np.partition(more, more.shape[1] - k, axis=1)[:, -k:]
-            both = np.concatenate([best, more], axis=1)
-            return np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+        def reached(part: np.ndarray) -> np.ndarray:
+            """What the k-th best of these scores, or the floor, asks for."""
+            kth = np.partition(part, -k, axis=1)[:, -k] if part.shape[1] >= k else np.zeros(m)
+            return np.maximum(floor, kth * (1 - SLACK))
 
-        best = np.zeros((m, k), np.float32)
         if (floor > 0).all():  # k-th scores of several shards: this one hardly raises them
             score((bound >= floor[:, None] - 1e-6) & (bound > 0))
+            least = floor
         else:
             lead = min(-(-2 * k // BLOCK) + 1, self.blocks)
             first = np.argpartition(-bound, lead - 1, axis=1)[:, :lead]
             pivots = np.zeros_like(scored)
             np.put_along_axis(pivots, first, True, axis=1)
-            score(pivots & (bound > 0) & (bound >= floor[:, None]))
-            led = np.repeat(pivots, BLOCK, axis=1)[:, : self.size]
-            best = best_of(best, np.where(led, rough + scores.astype(np.float32), 0))
-            for lo in range(0, self.blocks, width):
-                least = np.maximum(floor - 1e-6, best.min(axis=1) * (1 - SLACK))[:, None]
-                pivots = (bound >= least) & (bound > 0) & ~scored
-                pivots[:, :lo] = pivots[:, lo + width :] = False
-                if pivots.any():
-                    score(pivots)
-                    s = slice(lo * BLOCK, (lo + width) * BLOCK)
-                    best = best_of(best, np.where(led[:, s], 0, rough[:, s] + scores[:, s].astype(np.float32)))
+            score(pivots & (bound > 0))
+            least = reached(np.take_along_axis(rough, first[:, :, None], axis=1).reshape(m, -1))
+            score((bound >= least[:, None] - 1e-6) & (bound > 0) & ~scored)
+            least = reached(rough.reshape(m, wide))
         # exact scores of all that may be among the best
-        least = np.maximum(np.maximum(floor, best.min(axis=1)) * (1 - SLACK) - 1e-6, 1e-9)
-        who, found = np.nonzero(rough + scores >= least[:, None])
+        least = np.maximum(least * (1 - SLACK) - 1e-6, 1e-9).astype(np.float32)
+        who, found = np.divmod(np.flatnonzero(rough.reshape(m, wide) >= least[:, None]), wide)
+        scores = scores.reshape(m, wide)
         exact = np.zeros(len(who))
         for a in range(0, len(who), FOUND):
             i, j = who[a : a + FOUND], found[a : a + FOUND]
-            count = self.counts[:, j]
-            exact[a : a + FOUND] = np.round(scores[i, j] + np.einsum("ij,ji->i", w[i], count * (K1 + 1) / (count + self.norm[j])), 6)
+            count = self.counts[j].astype(float)
+            exact[a : a + FOUND] = np.round(scores[i, j] + np.einsum("ij,ij->i", w[i], count * (K1 + 1) / (count + self.norm[j][:, None])), 6)
         cuts = np.searchsorted(who, np.arange(m + 1))
         out = []
         for x, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
@@ -330,11 +297,8 @@ class Shard:
 
 
 def hits(shard: Shard, keys: list, queries: list[tuple], k: int) -> tuple[list, list, list]:
-    """query ids, documents and scores of the queries (id, terms, weights, floor), at most k each. Queries with pivots alike move together."""
+    """query ids, documents and scores of the queries (id, terms, weights, floor), at most k each."""
     ids, docs, scores = [], [], []
-    if len(queries) > BATCH:
-        looks = np.stack([shard.dense_bounds(x[1], x[2]) for x in queries]).astype(np.float32)
-        queries = [queries[i] for i in alike_order(looks, BATCH).tolist()]
     for part in pieces_of(np.array([len(x[1]) for x in queries], np.int64), BATCH_TERMS, BATCH):
         some = queries[part]
         found, _ = shard.search([x[1] for x in some], [x[2] for x in some], np.array([x[3] for x in some]), k)

@@ -102,3 +102,27 @@ def test_queries_of_many_terms_move_in_batches_of_bounded_terms(monkeypatch):
     sizes.clear()
     assert sorted(zip(*search.hits(shard, order.tolist(), queries, 5))) == sorted(zip(*whole))
     assert sum(map(len, sizes)) == 300 and all(sum(s) <= 500 for s in sizes)
+
+
+def test_rarer_terms_bound_a_block_by_its_best_document(monkeypatch):
+    """Two rare terms in two documents of a block don't add up, so the block is no pivot; scores are those of a brute force."""
+    from stratamerge.llm import search
+
+    u = lambda *x: np.array(x, np.uint64)
+    one = lambda t: [np.ones(len(x), np.int32) for x in t]
+    shard = search.Shard(512, np.ones(512), u(1, 2), np.arange(2), np.ones(2, int), 1.0)
+    found, scored = shard.search([u(1, 2)], [np.ones(2)], np.array([1.5]), 1)
+    assert scored == 0 and len(found[0][0]) == 0
+
+    rng = np.random.default_rng(5)
+    terms = [np.unique(np.append((400 * rng.random(n) ** 2).astype(np.uint64), rng.integers(400, 9000, n).astype(np.uint64))) for n in rng.integers(1, 90, 700)]
+    monkeypatch.setattr(search, "DENSE", 40)
+    shard, order = search.Shard.of([len(t) for t in terms], terms, one(terms), 70.0)
+    weights = [rng.random(len(t)) for t in terms[:150]]
+    norm = np.array([2.2 / (1 + search.K1 * (0.25 + 0.75 * len(t) / 70.0)) for t in terms])[order]
+    full = np.array([[w[np.isin(t, terms[d], assume_unique=True)].sum() for d in order] for t, w in zip(terms[:150], weights, strict=True)]) * norm
+    for floor in (np.zeros(150), np.sort(full, axis=1)[:, -6] * 0.999):
+        found, _ = shard.search(terms[:150], weights, floor, 10)
+        for scores, least, (which, score) in zip(full, floor, found, strict=True):
+            want = np.flatnonzero(np.round(scores, 6) >= max(np.sort(np.round(scores, 6))[-10], least, 1e-6))
+            assert which.tolist() == want.tolist() and np.allclose(score, scores[want], atol=2e-6)
